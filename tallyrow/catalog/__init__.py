@@ -1,0 +1,18 @@
+"""All registered queries."""
+
+from __future__ import annotations
+
+import importlib
+
+from tallyrow.catalog.registry import ORACLES, QUERIES
+
+for _module in ("quality", "plans", "fixing"):
+    importlib.import_module(f"tallyrow.catalog.{_module}")
+
+
+def queries():
+    return dict(QUERIES)
+
+
+def oracle_sql():
+    return dict(ORACLES)

@@ -15,6 +15,7 @@ from tallyrow.operators.profile import (
     value_histogram,
 )
 from tallyrow.operators.quantiles import exact_quantiles
+from tallyrow.operators.sizing import pin
 
 EXAMPLES = 5
 
@@ -259,8 +260,7 @@ def scan(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = N
     flagged = [(r["kind"], r["column"]) for r in found.collect()]
     limits = fences(df, known) if "outliers" in kinds else {}
     if limits:
-        outliers = outlier_findings(df, counters, limits)
-        pinned = spark.createDataFrame(outliers.collect(), _FINDING)  # at most one row per column
+        pinned = pin(outlier_findings(df, counters, limits))
         flagged += [(r["kind"], r["column"]) for r in pinned.collect()]
         found = found.unionByName(pinned)
     constants = [c for k, c in flagged if k == "constant_column"]
@@ -275,7 +275,7 @@ def scan(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = N
     if "category_variants" in kinds and any(r["class"] == "category" for r in known):
         groups = variant_groups(category_histogram(df, known, order_by))
         # at most MAX_CATEGORIES spellings per column, and used three times below
-        groups = spark.createDataFrame(groups.collect(), groups.schema)
+        groups = pin(groups)
         found = found.unionByName(category_findings(groups, counters))
         examples = examples.unionByName(variant_examples(groups))
         groups_per_column = groups.groupBy("column").agg(F.count(F.lit(1)).alias("groups"))
@@ -299,7 +299,7 @@ def scan(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = N
             ),
         )
     )
-    return rank_issues(told)
+    return pin(rank_issues(told))
 
 
 def _single_values(df: DataFrame, columns: list[str]) -> tuple[dict, list]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
+from tallyrow.operators.sizing import pin_if_small
 
 _HEX_DIGITS = 4
 
@@ -40,8 +41,7 @@ def stratified_split(
         .select(F.col("cls").alias("__cls"), F.col("digest").alias("__edge"))
     )
     marked = df.withColumns({"__c": cls, "__digest": digest})
-    # one row per class on the right; the planner broadcasts it while it is small
-    joined = marked.join(edge, F.col("__c").eqNullSafe(F.col("__cls")) if label else F.col("__c") == F.col("__cls"), "left")
+    joined = marked.join(pin_if_small(edge), F.col("__c").eqNullSafe(F.col("__cls")), "left")
     is_test = F.coalesce(F.col("__digest") <= F.col("__edge"), F.lit(False))
     return joined.withColumn("is_test", is_test).drop("__c", "__digest", "__cls", "__edge")
 
@@ -62,7 +62,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     weights = class_weights(df, label).select(F.col("label").alias("__label"), F.col("weight").alias(name))
-    return df.join(weights, named(label) == F.col("__label")).drop("__label")
+    return df.join(pin_if_small(weights), named(label) == F.col("__label")).drop("__label")
 
 
 def _ratio(a: Column, b: Column) -> Column:

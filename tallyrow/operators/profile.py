@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
+from tallyrow.operators.sizing import pin
 
 # HyperLogLog++ at this error has 512 registers. A column of at most 60 distinct
 # values fills at most 60 of them, where the sketch uses linear counting, so its
@@ -125,8 +126,7 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
 
 def pinned_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
     """The counters as a local table: one row per column, so bounded by the schema."""
-    rows = column_counters(df, order_by).collect()
-    return df.sparkSession.createDataFrame(rows, COUNTER_SCHEMA)
+    return pin(column_counters(df, order_by))
 
 
 def few_valued(df: DataFrame, columns: list[str]) -> list[str]:

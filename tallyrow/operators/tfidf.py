@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
+from tallyrow.operators.sizing import staged
 
 # largest vocabulary whose idf table is sent whole to every executor
 BROADCAST_TERMS = 2_000_000
@@ -59,8 +60,9 @@ def tfidf(
     words = english_stop_words() if stop_words is None else stop_words
     learn = df if fit_on is None else fit_on
     n_docs = learn.count()
-    counts = term_counts(df, key, text, words)
-    learned = counts if fit_on is None else term_counts(fit_on, key, text, words)
+    # tokenised once; the vocabulary and the weights are two passes over the counts
+    counts = staged(term_counts(df, key, text, words), "terms")
+    learned = counts if fit_on is None else staged(term_counts(fit_on, key, text, words), "terms")
     known = vocabulary(learned, n_docs, max_share).select("term", "df", "idf")
     if known.count() <= broadcast_terms:
         weighed = counts.join(F.broadcast(known.drop("df")), "term")

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named, quoted
 from tallyrow.operators.profile import shown
+from tallyrow.operators.sizing import pin
 
 PAIRS = "array<struct<from_value:string,to_value:string>>"
 
@@ -36,7 +37,7 @@ def propose_fixes(issues: DataFrame, histogram: DataFrame) -> DataFrame:
     """One fix per issue by rule; the plan's author may as well be a person or a model."""
     pairs = spelling_pairs(histogram).withColumn("kind", F.lit("category_variants"))
     number = F.row_number().over(W.orderBy("id"))  # a handful of issues per column
-    return (
+    return pin(
         issues.withColumn("n", number)
         .join(pairs, ["kind", "column"], "left")
         .select(

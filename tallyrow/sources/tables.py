@@ -103,7 +103,9 @@ def write_copy(df: DataFrame, source: str, target: str, fmt: str = "csv") -> str
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     writer = df.write.mode("overwrite").format(fmt)
     if fmt == "csv":
-        writer = writer.options(header=True, escape='"')
+        writer = writer.options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
     writer.save(path)
 
 
