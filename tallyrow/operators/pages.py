@@ -8,13 +8,13 @@ from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named, strip
 
 
-def _lines(text: Column) -> Column:
+def lines_of(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda line: strip(line) != "")
 
 
 def page_lines(pages: DataFrame, key: str = "page", text: str = "text") -> DataFrame:
     """(key, pos, line): non-blank lines, numbered from 0."""
-    return pages.select(named(key), F.posexplode(_lines(named(text))).alias("pos", "line"))
+    return pages.select(named(key), F.posexplode(lines_of(named(text))).alias("pos", "line"))
 
 
 def page_headings(pages: DataFrame, key: str = "page", text: str = "text") -> DataFrame:
@@ -62,7 +62,7 @@ def carry_forward(df: DataFrame, key: str, lines: Column, is_header) -> DataFram
 def conjugation_lines(pages: DataFrame) -> DataFrame:
     """(page, verb, meaning, pos, header, line) of the pages with a heading."""
     known = list(v.TENSE_HEADERS)
-    headed = with_heading(pages).withColumn("__lines", _lines(F.col("text")))
+    headed = with_heading(pages).withColumn("__lines", lines_of(F.col("text")))
     split = headed.select(
         "page", "verb", "meaning",
         F.explode(sections(F.col("__lines"), lambda line, i: line.isin(known))).alias("s"),

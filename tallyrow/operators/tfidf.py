@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
 from tallyrow.operators.sizing import staged
 
+# fixed values: the English list of pyspark.ml's StopWordsRemover, so that plans and
+# oracle SQL can name it without a session
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her "
+    "hers herself it its itself they them their theirs themselves what which who whom this that these "
+    "those am is are was were be been being have has had having do does did doing a an the and but if or "
+    "because as until while of at by for with about against between into through during before after "
+    "above below to from up down in out on off over under again further then once here there when where "
+    "why how all any both each few more most other some such no nor not only own same so than too very s "
+    "t can will just don should now i'll you'll he'll she'll we'll they'll i'd you'd he'd she'd we'd "
+    "they'd i'm you're he's she's it's we're they're i've we've you've they've isn't aren't wasn't "
+    "weren't haven't hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't can't "
+    "couldn't cannot could here's how's let's ought that's there's what's when's where's who's why's "
+    "would "
+).split()
+
 # largest vocabulary whose idf table is sent whole to every executor
 BROADCAST_TERMS = 2_000_000
 # a term in more than one of this many documents is joined on its own
 HOT_TERM_SHARE = 1_000
 
 
-def english_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("english")
-
-
 def terms(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, term): every occurrence. Lower-cased runs of two or more word characters."""
     found = F.regexp_extract_all(F.lower(named(text)), F.lit(v.TERM), F.lit(0))
@@ -57,7 +68,7 @@ def tfidf(
     term, except for the few terms found in a large share of the documents: these
     would make skewed partitions and are joined by broadcast instead.
     """
-    words = english_stop_words() if stop_words is None else stop_words
+    words = STOP_WORDS if stop_words is None else stop_words
     learn = df if fit_on is None else fit_on
     n_docs = learn.count()
     # tokenised once; the vocabulary and the weights are two passes over the counts
