@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrow.catalog import sql
-from tallyrow.catalog.quality import POS
+from tallyrow.catalog.quality import POS, messy_table
 from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import checks, fixes
@@ -147,7 +147,7 @@ cleaned AS (
 
 def cleaned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(dirty orders, cleaned and tidied copy, log)."""
-    messy = fx.messy_orders(spark, sf)
+    messy = messy_table(spark, sf)
     done, log = fixes.apply_plan(messy, CLEANUP, POS)
     return messy, fixes.tidy(done), log
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyrow.catalog import sql
-from tallyrow.catalog.quality import POS
+from tallyrow.catalog.quality import POS, messy_table
 from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import checks, profile
@@ -16,7 +16,7 @@ from tallyrow.sources.tables import FIX_SCHEMA
 
 def proposed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(dirty orders, issues, plan proposed from them)."""
-    messy = fx.messy_orders(spark, sf)
+    messy = messy_table(spark, sf)
     issues = checks.scan(messy, POS)
     known = profile.text_class(profile.pinned_counters(messy, POS)).collect()
     return messy, issues, fp.propose_fixes(issues, checks.category_histogram(messy, known, POS))

@@ -20,8 +20,7 @@ def flagged(spark: SparkSession, sf: str) -> DataFrame:
 def _register_column(name: str) -> None:
     @query(name, f"WITH {sql.FLAGGED} SELECT job_id, {name} FROM flagged_postings")
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        raw = fx.job_postings(spark, sf)
-        return raw.select("job_id", postings.flag_columns(raw)[name].alias(name))
+        return flagged(spark, sf).select("job_id", name)
 
 
 for _name in [*v.FLAGS, "description_word_count"]:

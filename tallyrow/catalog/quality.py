@@ -8,12 +8,19 @@ from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.operators import checks, profile, slices
+from tallyrow.operators.sizing import staged
 from tallyrow.session import scratch_path
 from tallyrow.sources import fixtures as fx, tables
 
 POS = "row_pos"
 
 
+def messy_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The dirty orders as a written table: a scan reads it several times, a few
+    columns at a time, and should not repeat the join behind it."""
+    return staged(fx.messy_orders(spark, sf), "messy")
+
+
 def flat(issues: DataFrame) -> DataFrame:
     return issues.withColumn("examples", F.concat_ws(" | ", "examples"))
 
@@ -101,7 +108,7 @@ def _register_kind(name: str, kinds: list[str]) -> None:
 
     @query(name, oracle)
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        found = checks.scan(fx.messy_orders(spark, sf), POS, kinds)
+        found = checks.scan(messy_table(spark, sf), POS, kinds)
         return flat(found).drop("id")
 
 
@@ -187,17 +194,17 @@ def dq_numeric_text_share(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {sql.MESSY_SCAN} SELECT id, kind, "column", severity, affected FROM issues""",
 )
 def dq_issue_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    return checks.scan(fx.messy_orders(spark, sf), POS).select("id", "kind", "column", "severity", "affected")
+    return checks.scan(messy_table(spark, sf), POS).select("id", "kind", "column", "severity", "affected")
 
 
 @query("dq_examples", f"""WITH {sql.MESSY_SCAN} SELECT id, kind, "column", examples FROM issues""")
 def dq_examples(spark: SparkSession, sf: str) -> DataFrame:
-    return flat(checks.scan(fx.messy_orders(spark, sf), POS)).select("id", "kind", "column", "examples")
+    return flat(checks.scan(messy_table(spark, sf), POS)).select("id", "kind", "column", "examples")
 
 
 @query("dq_scan", f"WITH {sql.MESSY_SCAN} SELECT * FROM issues")
 def dq_scan(spark: SparkSession, sf: str) -> DataFrame:
-    return flat(checks.scan(fx.messy_orders(spark, sf), POS))
+    return flat(checks.scan(messy_table(spark, sf), POS))
 
 
 @query(
@@ -212,7 +219,7 @@ def dq_scan(spark: SparkSession, sf: str) -> DataFrame:
     FROM issues""",
 )
 def dq_report_lines(spark: SparkSession, sf: str) -> DataFrame:
-    messy = fx.messy_orders(spark, sf)
+    messy = messy_table(spark, sf)
     return checks.report_lines(checks.scan(messy, POS), messy.count(), len(messy.columns) - 1)
 
 
@@ -227,7 +234,7 @@ def dq_report_lines(spark: SparkSession, sf: str) -> DataFrame:
     UNION ALL SELECT 'quantity', 'numeric', min(quantity), max(quantity), NULL, NULL, NULL FROM messy""",
 )
 def column_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.column_profile(fx.messy_orders(spark, sf), POS)
+    return profile.column_profile(messy_table(spark, sf), POS)
 
 
 @query(

@@ -278,7 +278,7 @@ questions AS (
 entities AS (SELECT DISTINCT 'verb_' || label AS entity FROM embeddings),
 entity_hits AS (
   SELECT question_id, entity FROM questions, entities
-  WHERE regexp_matches(lower(question), '(^|[^\\p{{L}}\\p{{N}}_])' || entity || '($|[^\\p{{L}}\\p{{N}}_])')
+  WHERE list_contains(regexp_extract_all(lower(question), '[\\p{{L}}\\p{{M}}\\p{{N}}_]+'), entity)
   QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY length(entity) DESC, entity) = 1),
 asked AS (
   SELECT q.question_id, q.question, h.entity AS verb,

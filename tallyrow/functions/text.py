@@ -24,8 +24,10 @@ def named(name: str) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Unicode strip without a regex: only the two ends of the value are read."""
-    return F.btrim(c, F.lit(WHITESPACE))
+    """Unicode strip without a regex; a value without edge space is passed through."""
+    space = F.lit(WHITESPACE)
+    edges = F.contains(space, F.substring(c, 1, 1)) | F.contains(space, F.substring(c, -1, 1))
+    return F.when(edges, F.btrim(c, space)).otherwise(c)
 
 
 # The functions ending in _of expect a stripped value, so that a caller who needs
@@ -97,9 +99,19 @@ def word_count(c: Column) -> Column:
     return F.when(strip(c) == "", 0).otherwise(F.size(words)).cast("int")
 
 
-def matches(c: Column, pattern: str) -> Column:
-    """Unicode, case-blind search."""
-    return c.rlike("(?iuU)" + pattern)
+def folded(c: Column) -> Column:
+    """Case-folded text: letters a case-blind search takes as equal become equal."""
+    return F.lower(F.upper(c))
+
+
+def matches(c: Column, pattern: str, fold: Column | None = None, anchors: list[str] | None = None) -> Column:
+    """Unicode, case-blind search.
+
+    Every match contains one of ``anchors`` in the folded text, so a plain substring
+    test, many times faster than the regex, settles most long texts.
+    """
+    found = c.rlike("(?iuU)" + pattern)
+    return contains_any(fold, anchors) & found if anchors else found
 
 
 def contains_any(c: Column, words: list[str]) -> Column:

@@ -123,6 +123,17 @@ VAGUE_TITLE = (
     r"\b(work from home|earn \$?\d+|no experience needed|easy money|"
     r"be your own boss)\b"
 )
+# substrings of which every match of a pattern holds at least one
+URGENCY_ANCHORS = [
+    "urgent", "immediate", "act now", "limited spots", "hiring fast", "don't wait", "start today",
+]
+PERSONAL_INFO_ANCHORS = [
+    "ssn", "social security", "bank account", "routing number", "credit card", "passport number",
+    "date of birth", "wire transfer",
+]
+OFF_PLATFORM_ANCHORS = [
+    "gmail.com", "yahoo.com", "hotmail.com", "whatsapp", "telegram", "text me at", "call me at", "+",
+]
 SHORT_DESCRIPTION_WORDS = 30
 
 FLAGS = [

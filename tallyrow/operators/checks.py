@@ -9,6 +9,7 @@ from tallyrow.functions.text import named
 from tallyrow.operators.profile import (
     audited,
     few_valued,
+    is_text,
     pinned_counters,
     shown,
     text_class,
@@ -157,23 +158,18 @@ def category_findings(groups: DataFrame, counters: DataFrame) -> DataFrame:
     )
 
 
-def _condition(kind: str, c: Column, limits: dict, column: str) -> Column:
-    real = c.isNotNull() & ~tx.is_placeholder(c) if kind not in ("outliers", "negative_values") else None
-    if kind == "outliers":
-        return outside(c, limits[column])
-    if kind == "negative_values":
-        return c.cast("double") < 0
-    if kind == "placeholder_missing":
-        return tx.is_placeholder(c)
-    if kind == "whitespace":
-        return real & (c != tx.strip(c))
-    if kind == "numeric_formatting":
-        return real & tx.loose_number(c).isNotNull() & tx.plain_number(c).isNull()
-    if kind == "non_numeric_in_numeric":
-        return real & tx.loose_number(c).isNull()
-    if kind == "invalid_dates":
-        return real & tx.any_date(c).isNull()
-    raise KeyError(kind)
+def _conditions(kind: str, c: Column, s: Column, placeholder: Column, limits: tuple | None) -> Column:
+    """Whether a cell is a bad value of this kind; s is the stripped cell."""
+    real = c.isNotNull() & ~placeholder
+    return {
+        "outliers": lambda: outside(c, limits),
+        "negative_values": lambda: c.cast("double") < 0,
+        "placeholder_missing": lambda: placeholder,
+        "whitespace": lambda: real & (c != s),
+        "numeric_formatting": lambda: real & tx.plain_number_of(s).isNull() & tx.loose_number_of(s).isNotNull(),
+        "non_numeric_in_numeric": lambda: real & tx.plain_number_of(s).isNull() & tx.loose_number_of(s).isNull(),
+        "invalid_dates": lambda: real & tx.any_date_of(s).isNull(),
+    }[kind]()
 
 
 def value_examples(
@@ -189,20 +185,27 @@ def value_examples(
     if not flagged:
         return df.sparkSession.createDataFrame([], schema)
     position = named(order_by).cast("bigint") if order_by else F.lit(None).cast("bigint")
+    columns = sorted({column for _, column in flagged})
+    texts = [c for c in columns if is_text(fields[c])]
+    narrow = df.select(position.alias("__pos"), *[named(c) for c in columns])
+    # every text column is stripped and tested for placeholders once
+    narrow = narrow.withColumns({f"__s_{c}": tx.strip(named(c)) for c in texts})
+    narrow = narrow.withColumns({f"__p_{c}": tx.placeholder_of(named(f"__s_{c}")) for c in texts})
     marks = []
     for kind, column in flagged:
         c = named(column)
+        s, placeholder = (named(f"__s_{column}"), named(f"__p_{column}")) if column in texts else (c, F.lit(False))
         size = c.cast("double") if kind == "outliers" else F.lit(None).cast("double")
         marks.append(
             F.when(
-                _condition(kind, c, limits, column),
+                _conditions(kind, c, s, placeholder, limits.get(column)),
                 F.struct(
                     F.lit(kind).alias("kind"), F.lit(column).alias("column"),
                     shown(fields[column]).alias("value"), size.alias("size"),
                 ),
             )
         )
-    bad = df.select(position.alias("pos"), F.explode(F.array_compact(F.array(*marks))).alias("m"))
+    bad = narrow.select(F.col("__pos").alias("pos"), F.explode(F.array_compact(F.array(*marks))).alias("m"))
     values = bad.groupBy("m.kind", "m.column", "m.value").agg(
         F.min("m.size").alias("size"), F.min("pos").alias("pos"), F.count(F.lit(1)).alias("n")
     )
@@ -224,7 +227,7 @@ def variant_examples(groups: DataFrame) -> DataFrame:
     )
 
 
-def _detail(limits: DataFrame | None) -> Column:
+def _detail() -> Column:
     kind, affected, n, first = F.col("kind"), F.col("affected"), F.col("n"), F.col("first_example")
     count = affected.cast("string")
     say = lambda *parts: F.concat(*[p if isinstance(p, Column) else F.lit(p) for p in parts])
@@ -290,7 +293,7 @@ def scan(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = N
         .join(notes, "column", "left")
         .join(groups_per_column, "column", "left")
         .withColumn("first_example", F.try_element_at("examples", F.lit(1)))
-        .withColumn("detail", _detail(None))
+        .withColumn("detail", _detail())
         .withColumn("severity", severity(F.col("kind"), F.col("affected"), F.col("n")))
         .withColumn(
             "examples",

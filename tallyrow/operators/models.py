@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     IDF,
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
 from tallyrow.operators.evaluation import require_labels, with_class_weights
-from tallyrow.operators.tfidf import term_counts
+from tallyrow.operators.tfidf import STOP_WORDS
 
 # Largest vocabulary that gets one coefficient per term; the model itself is a
 # driver-side vector, so beyond this the terms are hashed into as many slots.
@@ -72,33 +73,40 @@ def predict(model: LogisticRegressionModel, rows: DataFrame, key: str = "job_id"
     )
 
 
-def tfidf_pipeline(train: DataFrame, text: str = "text", model_terms: int = MODEL_TERMS) -> PipelineModel:
-    """Tokens, stop words, term counts with the document-share cut, idf + 1, unit length."""
+def fit_text_classifier(train: DataFrame, text: str, label: str, positive: str, max_iter: int = 20):
+    """(features, model): hinge-loss linear classifier on TF-IDF vectors.
+
+    Features: tokens without stop words, term counts with the document-share cut,
+    idf + 1, unit length. The texts are tokenised once; token lists and vectors are
+    cached (spilling to disk) because the fits read them many times.
+    """
     tokens = RegexTokenizer(inputCol=text, outputCol="__tokens", pattern=v.TERM, gaps=False, toLowercase=True)
-    kept = StopWordsRemover(inputCol="__tokens", outputCol="__kept", locale="en_US")
-    texts = train.select(F.monotonically_increasing_id().alias("__id"), named(text))
-    size = term_counts(texts, "__id", text).select("term").distinct().count()
+    kept = StopWordsRemover(inputCol="__tokens", outputCol="__kept", stopWords=STOP_WORDS, locale="en_US")
+    front = PipelineModel(stages=[tokens, kept])
+    target = (named(label) == positive).cast("double").alias("label")
+    listed = front.transform(train).select("__kept", target).persist(StorageLevel.MEMORY_AND_DISK)
+    back = _vectorizer(listed)
+    rows = back.transform(listed).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    model = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter, tol=1e-4, regParam=1e-4).fit(rows)
+    rows.unpersist()
+    listed.unpersist()
+    return PipelineModel(stages=[*front.stages, *back.stages]), model
+
+
+def _vectorizer(listed: DataFrame, model_terms: int = MODEL_TERMS) -> PipelineModel:
+    size = listed.select(F.explode("__kept").alias("term")).distinct().count()
     if size <= model_terms:
         counts = CountVectorizer(
             inputCol="__kept", outputCol="__tf", vocabSize=max(size, 1), maxDF=v.MAX_DOCUMENT_SHARE, minDF=1.0
-        )
+        ).fit(listed)
     else:
         counts = HashingTF(inputCol="__kept", outputCol="__tf", numFeatures=model_terms)
-    front = Pipeline(stages=[tokens, kept, counts]).fit(train)
-    idf = IDF(inputCol="__tf", outputCol="__unused").fit(front.transform(train)).idf
+    idf = IDF(inputCol="__tf", outputCol="__unused").fit(counts.transform(listed)).idf
     scale = ElementwiseProduct(
-        scalingVec=Vectors.dense([x + 1.0 for x in idf.toArray()]), inputCol="__tf", outputCol="__weighted"
+        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="__tf", outputCol="__weighted"
     )
     unit = Normalizer(p=2.0, inputCol="__weighted", outputCol="features")
-    return PipelineModel(stages=[*front.stages, scale, unit])
-
-
-def fit_text_classifier(train: DataFrame, text: str, label: str, positive: str, max_iter: int = 50):
-    """(features, model): hinge-loss linear classifier on TF-IDF vectors."""
-    features = tfidf_pipeline(train, text)
-    rows = features.transform(train).select("features", (named(label) == positive).cast("double").alias("label"))
-    model = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=1e-4).fit(rows)
-    return features, model
+    return PipelineModel(stages=[counts, scale, unit])
 
 
 def classify_text(features: PipelineModel, model, df: DataFrame, labels: tuple[str, str]) -> DataFrame:

@@ -29,27 +29,38 @@ def _contact(fixed_phone: bool) -> str:
     return v.OFF_PLATFORM if not fixed_phone else v.OFF_PLATFORM + r"|\+\d{1,3}[\s-]?\d{6,}\b"
 
 
-def flag_columns(df: DataFrame, fixed_phone: bool = False) -> dict[str, Column]:
-    """The eight flags and the word count as column expressions, by name."""
-    body = combined_text(df)
+_BODY, _FOLDED = "__body", "__folded"
+
+
+def _with_body(df: DataFrame) -> DataFrame:
+    """The combined text and its case-folded form, made once for all searches."""
+    return df.withColumn(_BODY, combined_text(df)).withColumn(_FOLDED, tx.folded(F.col(_BODY)))
+
+
+def _flag_columns(df: DataFrame, fixed_phone: bool) -> dict[str, Column]:
+    search = lambda pattern, anchors: tx.matches(F.col(_BODY), pattern, F.col(_FOLDED), anchors)
     words = tx.word_count(_text(df, "description"))
     return {
         "flag_no_salary": _any(df, "salary_range").isNull(),
         "flag_no_company_logo": F.coalesce(_any(df, "has_company_logo").cast("double"), F.lit(0.0)) == 0,
         "flag_no_company_profile": tx.strip(_text(df, "company_profile")) == "",
-        "flag_urgency_language": tx.matches(body, v.URGENCY),
-        "flag_requests_personal_info": tx.matches(body, v.PERSONAL_INFO),
-        "flag_off_platform_contact": tx.matches(body, _contact(fixed_phone)),
+        "flag_urgency_language": search(v.URGENCY, v.URGENCY_ANCHORS),
+        "flag_requests_personal_info": search(v.PERSONAL_INFO, v.PERSONAL_INFO_ANCHORS),
+        "flag_off_platform_contact": search(_contact(fixed_phone), v.OFF_PLATFORM_ANCHORS),
         "flag_vague_title_language": tx.matches(_text(df, "title"), v.VAGUE_TITLE),
         "description_word_count": words,
-        "flag_short_description": words < v.SHORT_DESCRIPTION_WORDS,
     }
 
 
 def with_flags(df: DataFrame, fixed_phone: bool = False) -> DataFrame:
     """Adds flags, word count and signal count; also works on a stream."""
-    flagged = df.withColumns(flag_columns(df, fixed_phone))
-    return flagged.withColumn("fraud_signal_count", signal_count())
+    flagged = _with_body(df).withColumns(_flag_columns(df, fixed_phone))
+    short = F.col("description_word_count") < v.SHORT_DESCRIPTION_WORDS
+    return (
+        flagged.withColumn("flag_short_description", short)
+        .withColumn("fraud_signal_count", signal_count())
+        .drop(_BODY, _FOLDED)
+    )
 
 
 def signal_count() -> Column:

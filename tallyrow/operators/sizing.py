@@ -15,8 +15,8 @@ def pin_if_small(df: DataFrame, max_rows: int = SMALL_TABLE) -> DataFrame:
     A larger table is returned as it is and joined by shuffle, where adaptive
     execution splits skewed partitions.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
@@ -24,7 +24,7 @@ def pin_if_small(df: DataFrame, max_rows: int = SMALL_TABLE) -> DataFrame:
 def pin(df: DataFrame) -> DataFrame:
     """A local copy of a table whose size is set by a schema or a plan, not by data:
     counters, issues, fixes. Never for rows of an audited table."""
-    return df.sparkSession.createDataFrame(df.collect(), df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

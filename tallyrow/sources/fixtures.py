@@ -9,12 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyrow.functions import vocabulary as v
+from tallyrow.sources.tables import spread
 
 COPY_OFFSET = 1 << 40
 
+# tables whose rows are costly to work on
+_SPREAD = {"orders", "documents", "conversations"}
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in _SPREAD else df
 
 
 def _every(key: str, m: int, r: int = 0) -> Column:
