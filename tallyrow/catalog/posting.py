@@ -92,7 +92,7 @@ def load_relational(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "pk_violations",
-    f"""WITH {sql.POSTINGS} SELECT job_id AS key, 2 AS rows FROM raw_postings WHERE job_id%10=0""",
+    f"""WITH {sql.POSTINGS} SELECT job_id AS key, 2::BIGINT AS rows FROM raw_postings WHERE job_id%10=0""",
 )
 def pk_violations(spark: SparkSession, sf: str) -> DataFrame:
     return keys.pk_violations(fx.repeated_postings(fx.job_postings(spark, sf)), "job_id")

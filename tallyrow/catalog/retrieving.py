@@ -181,7 +181,7 @@ def _rounded(hits: DataFrame) -> DataFrame:
     return hits.withColumn("score", F.round("score", 6))
 
 
-_TOP = "SELECT query_id, rank, vec_id, round(score, 6) AS score FROM top"
+_TOP = "SELECT query_id, rank::INTEGER AS rank, vec_id, round(score, 6) AS score FROM top"
 
 
 @query("knn_topk", f"WITH {sql.topk(5, False)} {_TOP}")
@@ -276,6 +276,18 @@ def context_assembly(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.context(_hits(spark, sf)[1])
 
 
+def _encode(df: DataFrame, key: str, text: str, prefix: str) -> DataFrame:
+    return encoding.encode_hashed(df, key, text, prefix=prefix)
+
+
+@query("answer_questions")
+def answer_questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every question encoded, filtered, matched, routed and answered."""
+    cv = fx.chunk_vectors(spark, sf).drop("embedding")
+    asked, hits = retrieval.retrieve(fx.questions(spark, sf), cv, _encode, 3)
+    return retrieval.answer_questions(asked, hits)
+
+
 # --- accuracy ----------------------------------------------------------------
 
 _JUDGED = sql.topk(1, True) + """,

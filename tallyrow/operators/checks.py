@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
@@ -43,7 +43,7 @@ def duplicate_rows(df: DataFrame, order_by: str | None = None) -> DataFrame:
     """
     fields = audited(df, order_by)
     copies = (
-        df.select(row_digest([f.name for f in fields]).alias("digest"))
+        df.select(row_digest(fields).alias("digest"))
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("c"))
         .agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("affected"))
@@ -54,8 +54,14 @@ def duplicate_rows(df: DataFrame, order_by: str | None = None) -> DataFrame:
     )
 
 
-def row_digest(columns: list[str]) -> Column:
-    packed = F.to_json(F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(columns)]))
+def row_digest(fields: list[T.StructField]) -> Column:
+    def plain(f: T.StructField) -> Column:
+        c = named(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            return F.when(~F.isnan(c), F.when(c == 0, F.lit(0.0)).otherwise(c))  # -0.0 is 0.0, NaN is missing
+        return c
+
+    packed = F.to_json(F.struct(*[plain(f).alias(f"c{i}") for i, f in enumerate(fields)]))
     return F.unhex(F.sha2(packed, 256))
 
 

@@ -32,10 +32,12 @@ def stratified_split(
     quota = F.ceil(F.round(F.sum("c").over(W.partitionBy("cls")) * test_share, 9))
     reached = counted.select("cls", "prefix", "c", F.sum("c").over(so_far).alias("upto"), quota.alias("quota"))
     turning = reached.filter((F.col("upto") >= F.col("quota")) & (F.col("upto") - F.col("c") < F.col("quota")))
-    turning = turning.select("cls", "prefix", (F.col("quota") - F.col("upto") + F.col("c")).alias("wanted"))
+    turning = pin_if_small(
+        turning.select("cls", "prefix", (F.col("quota") - F.col("upto") + F.col("c")).alias("wanted"))
+    )
     place = F.row_number().over(W.partitionBy("cls").orderBy("digest"))
     edge = (
-        hashed.join(turning, ["cls", "prefix"])
+        hashed.join(turning.toDF("__tc", "__tp", "wanted"), F.col("cls").eqNullSafe(F.col("__tc")) & (F.col("prefix") == F.col("__tp")))
         .withColumn("place", place)
         .filter("place = wanted")
         .select(F.col("cls").alias("__cls"), F.col("digest").alias("__edge"))

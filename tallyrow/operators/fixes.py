@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
-from tallyrow.operators.checks import outside
+from tallyrow.operators.checks import duplicate_rows, outside
 from tallyrow.operators.profile import is_numeric, is_text, shown
 from tallyrow.operators.quantiles import exact_quantiles
 
@@ -246,7 +246,7 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
         except FixError as problem:
             entry["note"] = f"SKIPPED: {problem}"
     counted = before_removal if before_removal is not None else work
-    totals = _totals(counted, _plain(work) if removal else None, order_by)
+    totals = _totals(counted)
     for entry in log:
         sums = {name: totals[c] for name, c in entry.pop("counts").items()}
         if "changed" in sums:
@@ -254,7 +254,8 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
         note = _count_note(sums)
         entry["note"] = note or entry["note"]
     if removal:
-        removal["changed"] = totals["__rows"] - totals["__kept"]
+        copies = duplicate_rows(_plain(before_removal), order_by).first()
+        removal["changed"] = copies["affected"] if copies else 0
     rows = [(e["n"], e["action"], e["column"], int(e["changed"]), e["unit"], e["note"]) for e in log]
     return _plain(work), spark.createDataFrame(sorted(rows), LOG_SCHEMA)
 
@@ -276,13 +277,11 @@ def _with_tallies(df: DataFrame, n: int, column: str, rewrite: Rewrite) -> tuple
     return df.select(*kept, *flags), names
 
 
-def _totals(counted: DataFrame, kept: DataFrame | None, order_by: str | None) -> dict:
+def _totals(counted: DataFrame) -> dict:
     flags = [c for c in counted.columns if c.startswith(_TALLY)]
-    sums = counted.agg(F.count(F.lit(1)).alias("__rows"), *[F.count_if(named(c)).alias(c) for c in flags])
-    row = sums.first().asDict()
-    if kept is not None:
-        row["__kept"] = kept.count()
-    return row
+    if not flags:
+        return {}
+    return counted.agg(*[F.count_if(named(c)).alias(c) for c in flags]).first().asDict()
 
 
 def _count_note(sums: dict[str, int]) -> str:

@@ -79,60 +79,70 @@ def _opens_subjunctive() -> Column:
     return opens
 
 
-_RECORD = ["verb", "meaning", "tense", "pronoun", "form", "page", "pos", "slot"]
-
-
-def grid_records(lines: DataFrame) -> DataFrame:
-    """Pronoun-and-form pairs of the lines under a tense header; the i-th pair of a
-    line belongs to the i-th tense, and an empty form still uses up its tense."""
+def _grid(line: Column, header: Column) -> Column:
+    """Pairs of a line under a tense header: the i-th pair belongs to the i-th tense, and
+    an empty form still uses up its tense."""
     tenses = F.create_map(
-        *[x for header, names in v.TENSE_HEADERS.items() for x in (F.lit(header), F.array(*[F.lit(t) for t in names]))]
+        *[x for h, names in v.TENSE_HEADERS.items() for x in (F.lit(h), F.array(*[F.lit(t) for t in names]))]
     )
-    grid = lines.filter(F.col("header").isNotNull() & ~_opens_subjunctive())
     pattern = F.lit(v.GRID_FORM)
     zipped = F.arrays_zip(
-        F.regexp_extract_all("line", pattern, F.lit(1)).alias("pronoun"),
-        F.regexp_extract_all("line", pattern, F.lit(2)).alias("form"),
-        tenses[F.col("header")].alias("tense"),
-    )
-    return (
-        grid.select("verb", "meaning", "page", "pos", F.posexplode(zipped).alias("slot", "m"))
-        .select("verb", "meaning", "m.tense", "m.pronoun", strip(F.col("m.form")).alias("form"), "page", "pos", "slot")
-        .filter("tense is not null and pronoun is not null and form <> ''")
-        .select(*_RECORD)
+        F.regexp_extract_all(line, pattern, F.lit(1)).alias("pronoun"),
+        F.regexp_extract_all(line, pattern, F.lit(2)).alias("form"),
+        tenses[header].alias("tense"),
     )
+    entry = lambda m, i: F.struct(m["tense"], m["pronoun"], strip(m["form"]).alias("form"), i.alias("slot"))
+    known = lambda m: m["tense"].isNotNull() & m["pronoun"].isNotNull() & (m["form"] != "")
+    return F.filter(F.transform(zipped, entry), known)
 
 
-def _paired(lines: DataFrame, pattern: str, pronoun_group: int, tense: str, offset: int) -> DataFrame:
+def _paired(line: Column, pattern: str, pronoun_group: int, tense: str, first_slot: int) -> Column:
     found = F.lit("(?U)" + pattern)
     zipped = F.arrays_zip(
-        F.regexp_extract_all("line", found, F.lit(pronoun_group)).alias("pronoun"),
-        F.regexp_extract_all("line", found, F.lit(3 - pronoun_group)).alias("form"),
+        F.regexp_extract_all(line, found, F.lit(pronoun_group)).alias("pronoun"),
+        F.regexp_extract_all(line, found, F.lit(3 - pronoun_group)).alias("form"),
     )
-    return (
-        lines.filter(_opens_subjunctive())
-        .select("verb", "meaning", "page", "pos", F.posexplode(zipped).alias("slot", "m"))
-        .select(
-            "verb", "meaning", F.lit(tense).alias("tense"), "m.pronoun", "m.form", "page", "pos",
-            (F.col("slot") + offset).alias("slot"),
-        )
-        .select(*_RECORD)
+    entry = lambda m, i: F.struct(
+        F.lit(tense).alias("tense"), m["pronoun"], m["form"], (i + first_slot).alias("slot")
+    )
+    return F.transform(zipped, entry)
+
+
+def _records(lines: DataFrame, entries: Column) -> DataFrame:
+    return lines.select("verb", "meaning", "page", "pos", F.explode(entries).alias("r")).select(
+        "verb", "meaning", "r.tense", "r.pronoun", "r.form", "page", "pos", "r.slot"
     )
 
 
+def _subjunctive(line: Column) -> Column:
+    return _paired(line, v.SUBJUNCTIVE_FORM, 1, v.SUBJUNCTIVE_TENSE, 0)
+
+
+def _imperative(line: Column) -> Column:
+    return _paired(line, v.IMPERATIVE_FORM, 2, v.IMPERATIVE_TENSE, 1000)
+
+
+def grid_records(lines: DataFrame) -> DataFrame:
+    grid = lines.filter(F.col("header").isNotNull() & ~_opens_subjunctive())
+    return _records(grid, _grid(F.col("line"), F.col("header")))
+
+
 def subjunctive_records(lines: DataFrame) -> DataFrame:
-    return _paired(lines, v.SUBJUNCTIVE_FORM, 1, v.SUBJUNCTIVE_TENSE, 0)
+    return _records(lines.filter(_opens_subjunctive()), _subjunctive(F.col("line")))
 
 
 def imperative_records(lines: DataFrame) -> DataFrame:
     """Imperatives stand on the lines that open with a subjunctive pronoun."""
-    return _paired(lines, v.IMPERATIVE_FORM, 2, v.IMPERATIVE_TENSE, 1000)
+    return _records(lines.filter(_opens_subjunctive()), _imperative(F.col("line")))
 
 
 def conjugation_records(pages: DataFrame) -> DataFrame:
-    """All records of all pages; ``pos`` and ``slot`` give their order on the page."""
-    lines = conjugation_lines(pages)
-    return grid_records(lines).unionByName(subjunctive_records(lines)).unionByName(imperative_records(lines))
+    """All records of all pages in one pass; ``pos`` and ``slot`` give their order."""
+    line, header = F.col("line"), F.col("header")
+    entries = F.when(_opens_subjunctive(), F.concat(_subjunctive(line), _imperative(line))).when(
+        header.isNotNull(), _grid(line, header)
+    )
+    return _records(conjugation_lines(pages), entries)
 
 
 def parse_summary(records: DataFrame) -> DataFrame:

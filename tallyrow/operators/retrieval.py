@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,9 +16,9 @@ from tallyrow.functions.text import named
 from tallyrow.operators.sizing import pin_if_small
 
 # queries scored per pass over the vectors; they travel to every task
-QUERY_BATCH = 1_024
-# vectors per matrix product: 1024 x 2048 scores are 16 MB
-VECTOR_BLOCK = 2_048
+QUERY_BATCH = 16_384
+# scores per matrix product: 16 MB of doubles
+BLOCK_SCORES = 1 << 21
 
 
 # --- what a question asks for ------------------------------------------------
@@ -118,8 +118,8 @@ def knn_topk(
     for b in range(batches):
         chosen = queries if batches == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == b)
         # a batch holds about query_batch rows: checked by the count above
-        rows = chosen.orderBy("query_id").collect()
-        if rows:
+        rows = chosen.orderBy("query_id").toArrow()
+        if rows.num_rows:
             parts.append(_score_batch(rows, chunks, k, filters, exclude_self, buckets))
     if not parts:
         return queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
@@ -141,6 +141,10 @@ def _codes(values: list) -> tuple[np.ndarray, pa.Array]:
     return np.array([-1 if x is None else place[x] for x in values]), pa.array(known, pa.string())
 
 
+def _matrix(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
 def _first_k(owner: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
     """The k best of every owner: by score, then by id."""
     order = np.lexsort((ids, -score, owner))
@@ -150,20 +154,20 @@ def _first_k(owner: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
     return owner[kept], ids[kept], score[kept]
 
 
-def _score_batch(rows: list, chunks: DataFrame, k: int, filters: bool, exclude_self: bool, buckets: str | None) -> DataFrame:
-    ids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-    matrix = np.array([r["embedding"] for r in rows], dtype=np.float64)
+def _score_batch(rows: pa.Table, chunks: DataFrame, k: int, filters: bool, exclude_self: bool, buckets: str | None) -> DataFrame:
+    ids = rows.column("query_id").to_numpy().astype(np.int64)
+    matrix = _matrix(rows.column("embedding").combine_chunks()).astype(np.float64)
     columns, source = ["vec_id", "embedding"], chunks
     asked = {}
     if filters:
         for name, column in (("verb", "verb_lower"), ("tense", "tense")):
-            values = [r[name] for r in rows]
+            values = rows.column(name).to_pylist()
             asked[column] = _codes(values)
             if all(x is not None for x in values):
                 # every query names one, so the filter goes into the scan
                 source = source.filter(F.col(column).isin(sorted(set(values))))
         columns += list(asked)
-    probes = np.array([r[buckets] for r in rows], dtype=np.int64) if buckets else None
+    probes = _matrix(rows.column(buckets).combine_chunks()) if buckets else None
     if buckets:
         columns.append(buckets)
 
@@ -174,7 +178,7 @@ def _score_batch(rows: list, chunks: DataFrame, k: int, filters: bool, exclude_s
             have = have.to_numpy(zero_copy_only=False)
             ok &= (codes[:, None] < 0) | (codes[:, None] == have[None, :])
         if probes is not None:
-            have = batch.column(buckets).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            have = _matrix(batch.column(buckets))
             near = np.zeros_like(ok)
             for t in range(probes.shape[1]):
                 near |= probes[:, t][:, None] == have[:, t][None, :]
@@ -185,12 +189,12 @@ def _score_batch(rows: list, chunks: DataFrame, k: int, filters: bool, exclude_s
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        step = max(BLOCK_SCORES // len(ids), 64)
         for whole in batches:
-            for start in range(0, whole.num_rows, VECTOR_BLOCK):
-                batch = whole.slice(start, VECTOR_BLOCK)
+            for start in range(0, whole.num_rows, step):
+                batch = whole.slice(start, step)
                 vec_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-                flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-                block = flat.reshape(batch.num_rows, -1).astype(np.float64)
+                block = _matrix(batch.column("embedding")).astype(np.float64)
                 # rounded, so that equal vectors tie whatever block they are in
                 scores = np.round(matrix @ block.T, 9)
                 scores[~admitted(batch, vec_ids)] = -np.inf
@@ -242,9 +246,48 @@ def knn_approx(
 # --- answers -----------------------------------------------------------------
 
 
-def retrieve(questions: DataFrame, hits: DataFrame, chunks: DataFrame, key: str = "question_id") -> DataFrame:
-    """Long result: one row per question and rank with the chunk's text and metadata."""
-    return hits.join(chunks.select("vec_id", "text", "verb", "tense", "page"), "vec_id").withColumnRenamed("query_id", key)
+def retrieve(
+    questions: DataFrame,
+    chunks: DataFrame,
+    encode: Callable[[DataFrame, str, str, str], DataFrame],
+    k: int = 5,
+    key: str = "question_id",
+) -> tuple[DataFrame, DataFrame]:
+    """(questions with their filters, long result).
+
+    The long result has one row per question and rank with the chunk's text and
+    metadata. ``encode(df, key, text column, prefix)`` gives (key, embedding);
+    ``chunks`` has (vec_id, text, verb, verb_lower, tense, page).
+    """
+    asked = with_filters(questions, known_entities(chunks), key)
+    q = asked.join(encode(questions, key, "question", v.QUERY_PREFIX), key)
+    q = q.select(named(key).alias("query_id"), "embedding", "verb", "tense")
+    c = chunks.drop("embedding").join(encode(chunks, "vec_id", "text", v.PASSAGE_PREFIX), "vec_id")
+    hits = knn_topk(q, c.select("vec_id", "embedding", "verb_lower", "tense"), k)
+    found = hits.join(chunks.select("vec_id", "text", "verb", "tense", "page"), "vec_id")
+    return asked, found.withColumnRenamed("query_id", key)
+
+
+def answer_questions(asked: DataFrame, hits: DataFrame, key: str = "question_id") -> DataFrame:
+    """(key, route, answer, sources, context): the verbatim answer of a lookup, or the
+    context from which an explanation is to be written."""
+    place = F.struct("rank", direct_answer(F.col("text"), F.col("tense")).alias("x"))
+    source = F.struct("rank", source_line(F.col("verb"), F.col("tense"), F.col("page")).alias("x"))
+    document = F.struct("rank", F.col("text").alias("x"))
+    # at most k rows per question
+    listed = lambda s: F.transform(F.array_sort(F.collect_list(s)), lambda e: e["x"])
+    per = hits.groupBy(named(key)).agg(
+        F.count(F.lit(1)).alias("hits"), listed(place).alias("answers"),
+        listed(source).alias("lines"), listed(document).alias("documents"),
+    )
+    lookup = F.col("verb").isNotNull() & ~is_explanatory(F.col("question")) & (F.coalesce("hits", F.lit(0)) > 0)
+    return asked.join(per, key, "left").select(
+        named(key),
+        F.when(lookup, "lookup").otherwise("explain").alias("route"),
+        F.when(lookup, F.get("answers", F.lit(0))).alias("answer"),
+        F.when(lookup, F.get("lines", F.lit(0))).otherwise(F.concat_ws("; ", "lines")).alias("sources"),
+        F.when(~lookup, F.concat_ws(v.CONTEXT_SEPARATOR, "documents")).alias("context"),
+    )
 
 
 def question_route(questions: DataFrame, hits_per_question: DataFrame, key: str = "question_id", text: str = "question") -> DataFrame:

@@ -12,13 +12,13 @@ _BOOLEANS = ["True", "False", "TRUE", "FALSE", "true", "false"]
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores, when the source has fewer files than there are cores.
+    """Rows over all cores, when the source splits into fewer tasks than there are cores.
 
     A single small file is one task however many cores wait; a large table has
-    enough files and is returned as it is.
+    enough splits and is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def strip_headers(df: DataFrame) -> DataFrame:
