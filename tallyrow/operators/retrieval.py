@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
-from tallyrow.operators.sizing import pin_if_small
+from tallyrow.operators.sizing import pin_if_small, staged
 
 # queries scored per pass over the vectors; they travel to every task
 QUERY_BATCH = 16_384
@@ -114,6 +114,8 @@ def knn_topk(
     queries = queries.select(*wanted)
     total = queries.count()
     batches = max(-(-total // query_batch), 1)
+    if batches > 1:
+        queries = staged(queries, "queries")
     parts = []
     for b in range(batches):
         chosen = queries if batches == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == b)
