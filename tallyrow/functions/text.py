@@ -11,6 +11,7 @@ from tallyrow.functions import vocabulary as v
 # every white-space character of the Basic Multilingual Plane
 WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
+_LIKE_ASCII = "ſıİ"
 _LONGEST_PLACEHOLDER_BYTES = 3 * max(len(p) for p in v.PLACEHOLDERS)
 _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 _NUMBER_CHARACTERS = rf"(?U)^[0-9eE+\-.{v.NUMBER_DECORATION}\s]*+$"
@@ -100,8 +101,9 @@ def word_count(c: Column) -> Column:
 
 
 def folded(c: Column) -> Column:
-    """Case-folded text: letters a case-blind search takes as equal become equal."""
-    return F.lower(F.upper(c))
+    """Lower case, with the letters that a case-blind search also takes for s and i."""
+    plain = F.when(contains_any(c, list(_LIKE_ASCII)), F.translate(c, _LIKE_ASCII, "sii")).otherwise(c)
+    return F.lower(plain)
 
 
 def matches(c: Column, pattern: str, fold: Column | None = None, anchors: list[str] | None = None) -> Column:
