@@ -8,6 +8,7 @@ from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import evaluation, models, postings, tfidf
+from tallyrow.operators.sizing import staged
 from tallyrow.sources import fixtures as fx
 
 
@@ -49,7 +50,7 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
 
 def _split_features(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(train, test), the flags being computed once for all that follows."""
-    kept = features(spark, sf).persist()
+    kept = staged(features(spark, sf), "features")
     split = evaluation.stratified_split(kept, "job_id", "label")
     return split.filter("not is_test"), split.filter("is_test")
 

@@ -8,6 +8,7 @@ from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import keys, postings
+from tallyrow.operators.sizing import staged
 from tallyrow.session import scratch_path
 from tallyrow.sources import fixtures as fx, tables
 from tallyrow.streaming import dedupe
@@ -111,7 +112,9 @@ def fk_violations(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("postings_by_signal", f"WITH {sql.FLAGGED} SELECT job_id, title, fraud_signal_count FROM clean_postings WHERE fraud_signal_count >= 4")
 def postings_by_signal(spark: SparkSession, sf: str) -> DataFrame:
-    return postings.by_signal(flagged(spark, sf), 4).select("job_id", "title", "fraud_signal_count")
+    """A look-up in the stored table: the filter reaches its files, not the searches."""
+    table = staged(postings.clean(flagged(spark, sf)), "postings")
+    return postings.by_signal(table, 4).select("job_id", "title", "fraud_signal_count")
 
 
 @query("postings_by_industry", f"WITH {sql.FLAGGED} SELECT job_id, title, industry FROM clean_postings WHERE industry = 'src1'")

@@ -53,7 +53,11 @@ def _flag_columns(df: DataFrame, fixed_phone: bool) -> dict[str, Column]:
 
 
 def with_flags(df: DataFrame, fixed_phone: bool = False) -> DataFrame:
-    """Adds flags, word count and signal count; also works on a stream."""
+    """Adds flags, word count and signal count; also works on a stream.
+
+    Write the result before filtering on it: a filter on a flag would be pushed below
+    this projection and repeat the searches it is made of.
+    """
     flagged = _with_body(df).withColumns(_flag_columns(df, fixed_phone))
     short = F.col("description_word_count") < v.SHORT_DESCRIPTION_WORDS
     return (

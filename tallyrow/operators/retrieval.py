@@ -264,8 +264,10 @@ def retrieve(
     asked = with_filters(questions, known_entities(chunks), key)
     q = asked.join(encode(questions, key, "question", v.QUERY_PREFIX), key)
     q = q.select(named(key).alias("query_id"), "embedding", "verb", "tense")
-    c = chunks.drop("embedding").join(encode(chunks, "vec_id", "text", v.PASSAGE_PREFIX), "vec_id")
-    hits = knn_topk(q, c.select("vec_id", "embedding", "verb_lower", "tense"), k)
+    encoded = encode(chunks, "vec_id", "text", v.PASSAGE_PREFIX)
+    c = chunks.select("vec_id", "verb_lower", "tense").join(encoded, "vec_id")
+    # chunks are encoded once, however many batches of questions are scored
+    hits = knn_topk(q, staged(c, "vectors"), k)
     found = hits.join(chunks.select("vec_id", "text", "verb", "tense", "page"), "vec_id")
     return asked, found.withColumnRenamed("query_id", key)
 
