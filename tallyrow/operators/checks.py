@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
@@ -19,6 +21,8 @@ from tallyrow.operators.quantiles import exact_quantiles
 from tallyrow.operators.sizing import pin
 
 EXAMPLES = 5
+# findings whose bad values are collected in one pass; more would outgrow generated code
+EXAMPLE_GROUP = 24
 
 _FINDING = "kind string, column string, seq int, n bigint, affected bigint"
 
@@ -187,9 +191,15 @@ def value_examples(
     Only bad cells are exchanged, and the rank filter is a top-k per task.
     """
     schema = "kind string, column string, examples array<string>"
-    fields = {f.name: f for f in df.schema}
     if not flagged:
         return df.sparkSession.createDataFrame([], schema)
+    by_column = sorted(flagged, key=lambda pair: pair[1])
+    groups = [by_column[i : i + EXAMPLE_GROUP] for i in range(0, len(by_column), EXAMPLE_GROUP)]
+    return reduce(DataFrame.unionByName, [_group_examples(df, g, limits, order_by) for g in groups])
+
+
+def _group_examples(df: DataFrame, flagged: list[tuple[str, str]], limits: dict, order_by: str | None) -> DataFrame:
+    fields = {f.name: f for f in df.schema}
     position = named(order_by).cast("bigint") if order_by else F.lit(None).cast("bigint")
     columns = sorted({column for _, column in flagged})
     texts = [c for c in columns if is_text(fields[c])]

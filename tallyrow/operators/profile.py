@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
@@ -15,6 +17,8 @@ from tallyrow.operators.sizing import pin
 _SKETCH_ERROR = 0.05
 FEW_VALUES_ESTIMATE = 100
 
+COLUMN_GROUP = 40
+
 
 def is_text(field: T.StructField) -> bool:
     return isinstance(field.dataType, (T.StringType, T.VarcharType, T.CharType))
@@ -76,6 +80,25 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
     fields = audited(df, order_by)
     if not fields:
         return df.sparkSession.createDataFrame([], COUNTER_SCHEMA)
+    # wide tables in groups of columns, each read on its own: together they read every
+    # column once, and the generated code of a group stays within the compiler's limits
+    groups = [fields[i : i + COLUMN_GROUP] for i in range(0, len(fields), COLUMN_GROUP)]
+    counted = reduce(DataFrame.unionByName, [_group_counters(df, g) for g in groups])
+    names = F.array(*[F.lit(f.name) for f in fields])
+    texts = [f.name for f in fields if is_text(f)]
+    numbers = [f.name for f in fields if is_numeric(f)]
+    column = F.col("column")
+    return counted.select(
+        "column",
+        F.array_position(names, column).cast("int").alias("seq"),
+        (column.isin(texts) if texts else F.lit(False)).alias("is_text"),
+        (column.isin(numbers) if numbers else F.lit(False)).alias("is_number"),
+        *[c for c in counted.columns if c not in ("column", "one_mark")],
+        F.coalesce("one_mark", F.lit(True)).alias("one_mark"),
+    )
+
+
+def _group_counters(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     text, s = F.col("text"), F.col("s")
     filled = F.col("filled")
     judged = (
@@ -97,10 +120,7 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
             F.when(filled & ~F.col("plain"), tx.any_date_of(s)).isNotNull().alias("date"),
         )
     )
-    names = F.array(*[F.lit(f.name) for f in fields])
-    texts = [f.name for f in fields if is_text(f)]
-    numbers = [f.name for f in fields if is_numeric(f)]
-    counted = judged.groupBy("column").agg(
+    return judged.groupBy("column").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("mark").alias("present"),
         F.count_if("placeholder").alias("placeholders"),
@@ -113,15 +133,6 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
         F.count_if(F.col("number") < 0).alias("negatives"),
         (F.min("mark") == F.max("mark")).alias("one_mark"),
     )
-    column = F.col("column")
-    return counted.select(
-        "column",
-        F.array_position(names, column).cast("int").alias("seq"),
-        (column.isin(texts) if texts else F.lit(False)).alias("is_text"),
-        (column.isin(numbers) if numbers else F.lit(False)).alias("is_number"),
-        *[c for c in counted.columns if c not in ("column", "one_mark")],
-        F.coalesce("one_mark", F.lit(True)).alias("one_mark"),
-    )
 
 
 def pinned_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:

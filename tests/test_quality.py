@@ -185,3 +185,14 @@ def test_report_lines(spark):
     lines = [r["line"] for r in checks.report_lines(issues, 1234, 1).orderBy("line_no").collect()]
     assert lines[0] == "Scanned 1,234 rows x 1 columns: 1 issues found"
     assert lines[1].startswith("[I01] HIGH   placeholder_missing      c | 1 placeholder values")
+
+
+def test_wide_table(spark):
+    """More columns than one group of counters or examples holds."""
+    names = [f"c{i}" for i in range(100)]
+    rows = [(p, *[("N/A" if (p + i) % 10 == 0 else f" v{p}") for i in range(100)]) for p in range(30)]
+    df = spark.createDataFrame(rows, "pos bigint, " + ", ".join(f"{n} string" for n in names))
+    issues = checks.scan(df, "pos", ["placeholder_missing", "whitespace"]).collect()
+    assert len(issues) == 200 and {r["affected"] for r in issues if r["kind"] == "placeholder_missing"} == {3}
+    assert all(len(r["examples"]) == (1 if r["kind"] == "placeholder_missing" else 5) for r in issues)
+    assert len({r["id"] for r in issues}) == 200
