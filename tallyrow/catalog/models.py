@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
-from tallyrow.functions import vocabulary as v
 from tallyrow.operators import evaluation, models, postings, tfidf
 from tallyrow.operators.sizing import staged
 from tallyrow.sources import fixtures as fx

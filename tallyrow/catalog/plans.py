@@ -10,7 +10,6 @@ from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import checks, profile
 from tallyrow.plans import fixplan as fp
-from tallyrow.sources import fixtures as fx
 from tallyrow.sources.tables import FIX_SCHEMA
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
@@ -227,8 +227,6 @@ def _hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(questions with filters, their first three admitted chunks by id)."""
     cv = fx.chunk_vectors(spark, sf).drop("embedding")
     asked = retrieval.with_filters(fx.questions(spark, sf), retrieval.known_entities(cv))
-    from pyspark.sql import Window as W
-
     first = F.row_number().over(W.partitionBy("verb_lower", "tense").orderBy("vec_id"))
     placed = cv.withColumn("rank", first).filter("rank <= 3").drop("verb")
     hits = asked.select("question_id", F.col("verb").alias("verb_lower"), "tense").join(placed, ["verb_lower", "tense"])

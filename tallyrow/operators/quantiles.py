@@ -94,22 +94,16 @@ def _resolve(df: DataFrame, ranks: list[_Rank], small_rows: int) -> dict[tuple[s
     while open_ranks:
         few = [r for r in open_ranks if r.inside <= small_rows]
         many = [r for r in open_ranks if r.inside > small_rows]
-        exact = [
-            F.percentile(
-                F.when(r.within(), _number(r.column)),
-                F.lit((r.rank - r.below) / max(r.inside - 1, 1)),
-            ).alias(f"e{i}")
-            for i, r in enumerate(few)
-        ]
-        near = [
-            F.percentile_approx(
-                F.when(r.within(), _number(r.column)), _around(r), F.lit(_ACCURACY)
-            ).alias(f"a{i}")
-            for i, r in enumerate(many)
-        ]
-        row = df.agg(*exact, *near).first()
+        held = df.select(
+            *[F.when(r.within(), _number(r.column)).alias(f"e{i}") for i, r in enumerate(few)],
+            *[F.when(r.within(), _number(r.column)).alias(f"a{i}") for i, r in enumerate(many)],
+        )
+        row = held.agg(
+            *[F.expr(_element(r, f"e{i}")).alias(f"e{i}") for i, r in enumerate(few)],
+            *[F.percentile_approx(f"a{i}", _around(r), F.lit(_ACCURACY)).alias(f"a{i}") for i, r in enumerate(many)],
+        ).first()
         for i, r in enumerate(few):
-            r.value = _snap(row[f"e{i}"])
+            r.value = row[f"e{i}"]
         pivots = {i: sorted(set(row[f"a{i}"])) for i in range(len(many))}
         if many:
             tallies = []
@@ -125,8 +119,10 @@ def _resolve(df: DataFrame, ranks: list[_Rank], small_rows: int) -> dict[tuple[s
     return {(r.column, r.rank): r.value for r in ranks}
 
 
-def _snap(x: float) -> float:
-    return float(x)
+def _element(r: _Rank, name: str) -> str:
+    """The value of this rank itself: half a row below its cumulative share."""
+    share = (r.rank - r.below + 0.5) / r.inside
+    return f"percentile_disc({share!r}D) WITHIN GROUP (ORDER BY {name})"
 
 
 def _around(r: _Rank) -> Column:
