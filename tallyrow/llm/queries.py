@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrow.llm import decontaminate, exactdedup, mixing, sharding, simhash
+from tallyrow.llm import backoff, decontaminate, exactdedup, linededup, mixing, quality, sharding, simhash, tokenstore, urltree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,16 @@ def op2(spark, sf_dir):
     return sharding.assign(_read(spark, sf_dir, "documents"))
 
 
+@query("op3_url_template_tree", urltree.ORACLE)
+def op3(spark, sf_dir):
+    return urltree.judge(_read(spark, sf_dir, "pages"), _read(spark, sf_dir, "labels"))
+
+
+@query("op4_line_dedup")
+def op4(spark, sf_dir):
+    return linededup.report(_read(spark, sf_dir, "documents"))
+
+
 @query("op5_curriculum_mix", mixing.ORACLE)
 def op5(spark, sf_dir):
     return mixing.shares(_read(spark, sf_dir, "documents"))
@@ -51,6 +61,23 @@ def op7(spark, sf_dir):
     return exactdedup.resolve(_read(spark, sf_dir, "documents"))
 
 
+@query("op8_quality_classifier")
+def op8(spark, sf_dir):
+    return quality.classify(_read(spark, sf_dir, "documents"))
+
+
+@query("op9_token_store")
+def op9(spark, sf_dir):
+    import public_tokenizers
+
+    return tokenstore.stored(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op10_backoff_scores")
+def op10(spark, sf_dir):
+    return backoff.held_out_scores(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
