@@ -1,12 +1,17 @@
 """Quality classifier from weak labels.
 
-For each aspect (junk, toxic) several overlapping heuristics vote on every document: bad, good
+For each aspect (junk, toxic, stems) several overlapping heuristics vote on every document: bad, good
 or no opinion. Expectation-maximisation over the counts of the vote patterns, of which there
 are at most 3 to the number of heuristics, estimates how often each heuristic is right on
 either class and gives every pattern a posterior. The posteriors of a bounded sample of
 documents train a linear scorer over hashed words and signals, and the scorer judges every
 document by its whole text.
 
+Word lists know few languages. Where ``labels`` are given, the aspect ``stems`` has heuristics
+that look for word stems which a bounded sample of labelled documents shows almost only in
+toxic ones; they vote like the others, and EM decides what they are worth. Without labels the
+aspect is left out.
+
 A document is rejected when its probability of being bad reaches ``threshold`` in any aspect.
 A null or empty text gets no votes; the scorer sees no words and judges by its intercept.
 """
@@ -15,7 +20,7 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -28,7 +33,13 @@ from tallyrow.llm.common import cut
 BAD, GOOD, NONE = 1, 0, -1
 #: Documents the scorer is trained on, at most about.
 TRAIN_ROWS = 10_000
-FEATURES = 1 << 17
+#: Labelled documents that word stems are learnt from, at most about.
+LABEL_ROWS = 40_000
+#: Lengths of stems in bytes, by heuristic; a stem must be in this share of the toxic
+#: documents, and may be in this many others for each toxic one.
+STEMS = ((5, 6), (7, 8), (9, 10))
+STEM_SHARE, STEM_IMPURITY = 0.005, 0.03
+FEATURES = 1 << 16
 THRESHOLD = 0.5
 
 #: Abusive words by kind; the kinds overlap.
@@ -36,10 +47,11 @@ INSULTS = {
     "mind": "clown dumb fool idiot imbecile moron stupid",
     "worth": "garbage loser pathetic scum trash worthless",
     "name": "clown fool idiot imbecile loser moron scum",
-    "scorn": "disgusting dumb filthy pathetic stupid vile worthless",
+    "scorn": "disgusting dumb filthy pathetic stupid worthless",
 }
 _KINDS = {kind: frozenset(w.encode() for w in words.split()) for kind, words in INSULTS.items()}
 _ABUSE = frozenset().union(*_KINDS.values())
+_STEMS = tuple(sorted(_ABUSE))
 _UPPER = bytes(range(65, 91))
 _LETTERS = _UPPER + bytes(range(97, 123))
 _SIGNS = b"*#$%&^~|<>{}[]\\=+_@"
@@ -106,21 +118,35 @@ def _insult(kind: str) -> Callable[[Seen], int]:
     return lambda d: (BAD if d.bare & _KINDS[kind] else GOOD) if d.words else NONE
 
 
-def several_insults(d: Seen) -> int:
-    n = len(d.bare & _ABUSE)
-    return NONE if n == 1 or not d.words else BAD if n else GOOD
+def abusive_word(d: Seen) -> int:
+    return (BAD if d.bare & _ABUSE else GOOD) if d.words else NONE
+
+
+def abusive_stem(d: Seen) -> int:
+    return (BAD if any(w.startswith(_STEMS) for w in d.bare) else GOOD) if d.words else NONE
 
 
 #: Heuristics by aspect.
 LABELLERS: dict[str, list[Callable[[Seen], int]]] = {
     "junk": [caps, shouting, signs, marked, fragments, stutter, variety, word_length],
-    "toxic": [*(_insult(kind) for kind in INSULTS), several_insults],
+    "toxic": [abusive_word, abusive_stem, *(_insult(kind) for kind in INSULTS)],
 }
-ASPECTS = list(LABELLERS)
+ASPECTS = [*LABELLERS, "stems"]
+
+
+Stems = dict[tuple[int, ...], frozenset[bytes]]
+
+
+def _stem_vote(d: Seen, lengths: tuple[int, ...], stems: frozenset[bytes]) -> int:
+    if not d.words:
+        return NONE
+    return GOOD if all(stems.isdisjoint([w[:k] for w in d.bare]) for k in lengths) else BAD
 
 
-def votes(d: Seen) -> dict[str, tuple[int, ...]]:
-    return {a: tuple(f(d) for f in fs) for a, fs in LABELLERS.items()}
+def votes(d: Seen, stems: Stems) -> dict[str, tuple[int, ...]]:
+    """Votes by aspect."""
+    cast = {a: tuple(f(d) for f in fs) for a, fs in LABELLERS.items()}
+    return cast | {"stems": tuple(_stem_vote(d, *s) for s in stems.items())}
 
 
 def _code(pattern: tuple[int, ...]) -> str:
@@ -143,8 +169,8 @@ class Labelled:
 
 def estimate(patterns: dict[str, int], rounds: int = 200) -> Labelled:
     """EM for two classes and independent heuristics, from the counts of vote patterns."""
-    if not patterns:
-        return Labelled(0.0, [], [], {})
+    if not any(patterns):  # no documents, or no heuristics
+        return Labelled(0.0, [], [], dict.fromkeys(patterns, 0.0))
     codes = sorted(patterns)
     v = np.array([_decode(c) for c in codes])
     n = np.array([patterns[c] for c in codes], float)
@@ -183,15 +209,49 @@ def features(d: Seen, cast: dict[str, tuple[int, ...]]) -> np.ndarray:
     return np.fromiter(own, np.int64, len(own))
 
 
-def label(docs: DataFrame, text: str = "text") -> dict[str, Labelled]:
+def learn_stems(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_rows: int = LABEL_ROWS) -> Stems:
+    """Stems of words that occur in enough toxic documents and hardly in others,
+    from at most about ``label_rows`` labelled documents with different texts."""
+    marked = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy(F.col("doc_id").alias("labelled")).agg(F.max("toxic").alias("toxic"))
+    share = min(1.0, label_rows / max(marked.count(), 1))
+    own = docs.select(F.col(doc_id).alias("labelled"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+    own = own.filter(F.pmod("h", F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    sample = cut(own.join(marked, "labelled").dropDuplicates(["h", "toxic"]).select("text", "toxic"))
+
+    def stems_of(d: Seen) -> set[bytes]:
+        return {w[:k] for w in d.bare for group in STEMS for k in group if len(w) >= k}
+
+    def in_toxic(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"stem": [s for t in batch["text"] for s in stems_of(look(t))]})
+
+    bad = sample.filter("toxic = 1")
+    need = max(4, int(STEM_SHARE * bad.count()))
+    seen = bad.select("text").mapInPandas(in_toxic, "stem binary").groupBy("stem").agg(F.count(F.lit(1)).alias("n"))
+    # bounded by the sample's words
+    often = {bytes(r["stem"]): r["n"] for r in seen.filter(F.col("n") >= need).collect()}
+    wanted = frozenset(often)
+
+    def in_others(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [s for t in batch["text"] for s in stems_of(look(t)) & wanted]
+            yield pd.DataFrame({"stem": rows})
+
+    clean = sample.filter("toxic = 0").select("text").mapInPandas(in_others, "stem binary").groupBy("stem").count().collect()
+    others = {bytes(r["stem"]): r["count"] for r in clean}
+    pure = [s for s, n in often.items() if others.get(s, 0) <= STEM_IMPURITY * n]
+    return {group: frozenset(s for s in pure if len(s) in group) for group in STEMS}
+
+
+def label(docs: DataFrame, stems: Stems, text: str = "text") -> dict[str, Labelled]:
     """The weak-label models, from the votes on all documents."""
 
-    @F.pandas_udf("struct<junk: string, toxic: string>")
+    @F.pandas_udf("struct<junk: string, toxic: string, stems: string>")
     def patterns(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([{a: _code(v) for a, v in votes(look(t)).items()} for t in texts], columns=ASPECTS)
+        return pd.DataFrame([{a: _code(v) for a, v in votes(look(t), stems).items()} for t in texts], columns=ASPECTS)
 
-    # votes only, so at most 3 ** 13 rows whatever the input; a few hundred as a rule
-    counts = docs.select(patterns(F.col(text)).alias("p")).groupBy("p.junk", "p.toxic").count().collect()
+    # votes only, so at most 3 ** 17 rows whatever the input; a few hundred as a rule
+    counts = docs.select(patterns(F.col(text)).alias("p")).groupBy(*[f"p.{a}" for a in ASPECTS]).count().collect()
     found = {}
     for aspect in ASPECTS:
         sums: dict[str, int] = {}
@@ -205,20 +265,22 @@ def label(docs: DataFrame, text: str = "text") -> dict[str, Labelled]:
 class Scorer:
     weights: np.ndarray  # aspects x features
     intercepts: np.ndarray
+    stems: Stems
 
     def probabilities(self, text: str | None) -> np.ndarray:
         d = look(text)
-        margin = self.weights[:, features(d, votes(d))].sum(axis=1) + self.intercepts
+        margin = self.weights[:, features(d, votes(d, self.stems))].sum(axis=1) + self.intercepts
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
+def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
     """Weak labels of all documents; the scorer on those of a bounded sample by text hash."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.linalg import Vectors, VectorUDT
     from pyspark.sql import types as T
 
-    found = label(docs, text)
+    stems = learn_stems(docs, labels, doc_id, text) if labels is not None else {}
+    found = label(docs, stems, text)
     total = docs.count()
     share = min(1.0, train_rows / max(total, 1))
     sample = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text).alias("text"))
@@ -227,11 +289,11 @@ def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
     @F.udf(schema)
     def example(words):
         d = look(words)
-        cast = votes(d)
+        cast = votes(d, stems)
         at = np.sort(features(d, cast))
         return (Vectors.sparse(FEATURES, at.tolist(), np.ones(len(at)).tolist()), *[found[a].posterior.get(_code(cast[a]), found[a].prior) for a in ASPECTS])
 
-    examples = cut(sample.select(example("text").alias("e")).select("e.*"))
+    examples = cut(sample.select(example("text").alias("e")).select("e.*").coalesce(8))
     weights, intercepts = np.zeros((len(ASPECTS), FEATURES)), np.zeros(len(ASPECTS))
     for k, aspect in enumerate(ASPECTS):
         sides = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col(aspect).alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col(aspect)).alias("w"))))
@@ -240,32 +302,32 @@ def train(docs: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
             prior = min(max(found[aspect].prior, 1e-6), 1 - 1e-6)
             intercepts[k] = math.log(prior / (1 - prior))
             continue
-        fit = LogisticRegression(featuresCol="x", weightCol="w", regParam=2e-4, elasticNetParam=1.0, maxIter=60, standardization=False, tol=1e-5).fit(rows)
+        fit = LogisticRegression(featuresCol="x", weightCol="w", regParam=2e-4, elasticNetParam=1.0, maxIter=30, standardization=False, tol=1e-5).fit(rows)
         weights[k], intercepts[k] = fit.coefficients.toArray(), fit.intercept
-    return Scorer(weights, intercepts)
+    return Scorer(weights, intercepts, stems)
 
 
 def judge(scorer: Scorer, docs: DataFrame, text: Column) -> Column:
-    """struct(junk, toxic): probabilities of being bad."""
+    """struct(junk, toxic, stems): probabilities of being bad."""
     shared = docs.sparkSession.sparkContext.broadcast(scorer)
 
-    @F.pandas_udf("struct<junk: double, toxic: double>")
+    @F.pandas_udf("struct<junk: double, toxic: double, stems: double>")
     def column(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([shared.value.probabilities(t) for t in texts], columns=ASPECTS)
 
     return column(text)
 
 
-def classify(docs: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: doc_id, p_junk, p_toxic, kept."""
-    p = judge(train(docs, text, train_rows), docs, F.col(text))
+def classify(docs: DataFrame, labels: DataFrame | None = None, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per document: doc_id, p_junk, p_toxic (the larger of both toxic aspects), kept."""
+    p = judge(train(docs, labels, doc_id, text, train_rows), docs, F.col(text))
     judged = docs.select(F.col(doc_id), p.alias("p"))
     return judged.select(
-        doc_id, F.col("p.junk").alias("p_junk"), F.col("p.toxic").alias("p_toxic"), (F.greatest("p.junk", "p.toxic") < threshold).alias("kept")
+        doc_id, F.col("p.junk").alias("p_junk"), F.greatest("p.toxic", "p.stems").alias("p_toxic"), (F.greatest(*[f"p.{a}" for a in ASPECTS]) < threshold).alias("kept")
     )
 
 
-def keep_good(docs: DataFrame, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, text: str = "text") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame | None = None, threshold: float = THRESHOLD, train_rows: int = TRAIN_ROWS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that are not rejected, with all their columns."""
-    p = judge(train(docs, text, train_rows), docs, F.col(text))
-    return docs.filter(F.greatest(p["junk"], p["toxic"]) < threshold)
+    p = judge(train(docs, labels, doc_id, text, train_rows), docs, F.col(text))
+    return docs.filter(F.greatest(*[p[a] for a in ASPECTS]) < threshold)

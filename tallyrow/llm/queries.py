@@ -63,7 +63,7 @@ def op7(spark, sf_dir):
 
 @query("op8_quality_classifier")
 def op8(spark, sf_dir):
-    return quality.classify(_read(spark, sf_dir, "documents"))
+    return quality.classify(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
 @query("op9_token_store")
