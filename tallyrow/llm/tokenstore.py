@@ -298,7 +298,8 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
                     n = np.full(len(open_), copy)
                     found, start, count = locate(shard, keys_of(open_, n, np.zeros(len(open_), bool)))
                     open_ = open_[found]
-                    yield pd.DataFrame({"doc_id": open_, "copy": copy, "ids": [ids[a : a + c].astype(np.int64) for a, c in zip(start[found], count[found])]})
+                    own = [ids[a : a + c].tolist() for a, c in zip(start[found].tolist(), count[found].tolist())]
+                    yield pd.DataFrame({"doc_id": open_, "copy": copy, "ids": pd.Series(own, dtype=object)})
                     copy += 1
 
     listed = F.array(*[F.lit(int(i)) for i in wanted]).cast("array<bigint>")
