@@ -1,15 +1,18 @@
-"""SimHash near-dedup with a vantage-point tree.
-
-A tree built from a bounded sample cuts the space of fingerprints into leaves: each node has
-a vantage point and a median distance, and a fingerprint goes inside or outside. Every
-distinct fingerprint lives in one leaf and is also sent, as a query, to each later leaf whose
-region its ball of ``max_bits`` may cross by the triangle inequality; branches that it cannot
-cross are pruned. Inside a leaf all pairs are compared exactly. Leaves that hold more than
+"""SimHash near-dedup with vantage-point trees.
+
+Two fingerprints within ``max_bits`` of each other are within half of that in one of their
+halves. So there is a tree for each half: built from a bounded sample, it cuts the space into
+leaves, each node having a vantage point and a median distance, and a fingerprint goes inside
+or outside. Every distinct fingerprint lives in one leaf of each tree and is also sent, as a
+query, to each later leaf whose region the ball around it may cross by the triangle
+inequality; branches that it cannot cross are pruned. With the smaller ball of a half, far
+fewer leaves are crossed than with whole fingerprints. Inside a leaf all pairs are compared
+exactly, over all 64 bits. Leaves that hold more than
 their share are cut into blocks, so a task holds a bounded number of homes and queries. A
 task returns a spanning forest of the links it found, never the pairs themselves; components
 are then merged by star contraction.
 
-The sample only shapes the tree; the result is exact whatever the tree looks like.
+The sample only shapes the trees; the result is exact whatever they look like.
 
 A text without words (null and empty ones too) has fingerprint zero and is linked like any
 other. Equal fingerprints are one node. Null ids are ignored when the smallest id of a group
@@ -32,7 +35,9 @@ from tallyrow.session import scratch_path
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-#: Fingerprints the tree is built from, at most about.
+#: The bits that each tree looks at.
+PARTS = (0xFFFFFFFF, 0xFFFFFFFF00000000)
+#: Fingerprints the trees are built from, at most about.
 SAMPLE = 16_384
 #: Homes and queries that one task compares.
 HOMES, QUERIES = 4_096, 262_144
@@ -76,8 +81,9 @@ def _distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b)
 
 
-def build_tree(points: np.ndarray, leaf: int, seed: int = 7):
-    """Nodes (vantage, radius, inside, outside); a leaf is its number."""
+def build_tree(points: np.ndarray, leaf: int, reach: int, seed: int = 7):
+    """Nodes (vantage, radius, inside, outside); a leaf is its number. Of some candidates the
+    vantage point is taken whose border the fewest balls of radius ``reach`` cross."""
     rng, numbers = np.random.default_rng(seed), iter(range(len(points) + 1))
 
     def grow(own: np.ndarray):
@@ -87,7 +93,7 @@ def build_tree(points: np.ndarray, leaf: int, seed: int = 7):
                 d = _distance(own, v).astype(np.int64)
                 radius = int(np.median(d))
                 if d.max() > radius:
-                    crossing = int((np.abs(d - radius) <= MAX_BITS).sum())
+                    crossing = int(((d > radius - reach) & (d <= radius + reach)).sum())
                     if best is None or crossing < best[0]:
                         best = crossing, v, radius, d
             if best:
@@ -98,7 +104,7 @@ def build_tree(points: np.ndarray, leaf: int, seed: int = 7):
     return grow(points)
 
 
-def route(tree, points: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def route(tree, points: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(index of the point, leaf, is it the point's home) for each leaf its ball may reach."""
     found: list[tuple[np.ndarray, int, np.ndarray]] = []
 
@@ -110,7 +116,7 @@ def route(tree, points: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarr
             return
         vantage, radius, inside, outside = node
         d = _distance(points[at], vantage).astype(np.int64)
-        near, far = d - max_bits <= radius, d + max_bits > radius
+        near, far = d - reach <= radius, d + reach > radius
         go(inside, at[near], (home & (d <= radius))[near])
         go(outside, at[far], (home & (d > radius))[far])
 
@@ -165,20 +171,23 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, homes: int = HOMES, queri
     share = min(1.0, sample / max(n, 1))
     picked = prints.filter(F.pmod(F.xxhash64("fp"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select("fp")
     points = np.sort(np.array([r[0] for r in picked.collect()], np.int64)).view(np.uint64)
-    tree = build_tree(points, max(8, int(homes * len(points) / max(n, 1))))
+    reach = max_bits // len(PARTS)
+    share_of_leaf = max(8, int(homes * len(points) / max(n, 1)))
+    trees = [(np.uint64(mask), build_tree(points & np.uint64(mask), share_of_leaf, reach)) for mask in PARTS]
 
     def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fps = batch["fp"].to_numpy()
-            at, leaf, home = route(tree, fps.view(np.uint64), max_bits)
-            own = np.zeros(len(fps), np.int64)
-            own[at[home]] = leaf[home]
-            later = leaf >= own[at]  # a pair across two leaves is found in the later one
-            yield pd.DataFrame({"leaf": leaf[later], "home": home[later], "fp": fps[at[later]]})
+            for part, (mask, tree) in enumerate(trees):
+                at, leaf, home = route(tree, fps.view(np.uint64) & mask, reach)
+                own = np.zeros(len(fps), np.int64)
+                own[at[home]] = leaf[home]
+                later = leaf >= own[at]  # a pair across two leaves is found in the later one
+                yield pd.DataFrame({"leaf": leaf[later] * len(PARTS) + part, "home": home[later], "fp": fps[at[later]]})
 
     routed = prints.select("fp").mapInPandas(leaves, "leaf long, home boolean, fp long")
     sizes = routed.groupBy("leaf").agg(F.sum(F.col("home").cast("long")).alias("h"), F.count(F.lit(1)).alias("q")).collect()
-    blocks = {r["leaf"]: (-(-r["h"] // (2 * homes)) or 1, -(-r["q"] // queries)) for r in sizes}  # one entry a leaf of the tree
+    blocks = {r["leaf"]: (-(-r["h"] // (2 * homes)) or 1, -(-r["q"] // queries)) for r in sizes}  # one entry a leaf of the trees
     blocked = {k: v for k, v in blocks.items() if v != (1, 1)}
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
