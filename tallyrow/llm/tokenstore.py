@@ -30,6 +30,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -39,21 +41,23 @@ from tallyrow.session import scratch_path
 END_ID = 1
 #: A shard is closed at this many ids or documents; a longer document has a shard of its own.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 15
+#: Bytes of text that are encoded at once.
+BLOCK_BYTES = 16 << 20
 #: Words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 SHARD_SCHEMA = (
     "part long, number long, n_docs long, n_ids long, first long, last long, width int, payload binary, doc_ids binary, "
     "no_id long, levels binary, sizes binary, prints binary, starts binary, counts binary"
 )
 
-_SPACE = re.compile(rb"[\t-\r ]")
+SHARD_ARROW = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in SHARD_SCHEMA.split(", "))])
+
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
-_SLICE = 1 << 20
 
 
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and never joins what lies on its
-    two sides. Ids are kept by word, so a word is encoded once. Words of plain letters and
+    two sides. Ids are kept by word, so a word is encoded once and then taken by number. Words of plain letters and
     closing signs go to the vocabulary's merges in bulk: every piece ends in an id that
     carries the word end, which shows where the pieces part. All others are encoded as they are.
     """
@@ -74,7 +78,7 @@ class WordEncoder:
         self.bulk = bool(suffix)
         if self.bulk:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of lower-case letter or sign runs."""
@@ -86,10 +90,10 @@ class WordEncoder:
         raw, bounds = ids.tobytes(), [0, *(stops * self.width).tolist()]
         return {p: raw[a:b] for p, a, b in zip(pieces, bounds, bounds[1:])}
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[str]) -> None:
         plain, other = {}, []
         for word in words:
-            match = _PLAIN.fullmatch(word.decode()) if self.bulk else None
+            match = _PLAIN.fullmatch(word) if self.bulk else None
             if match:
                 plain[word] = match[1].lower(), match[2]
             else:
@@ -100,22 +104,37 @@ class WordEncoder:
             for word, (letters, signs) in plain.items():
                 self.words[word] = ids[letters] + ids[signs]
         if other:
-            for word, e in zip(other, self.full.encode_batch_fast([w.decode() for w in other], add_special_tokens=False)):
+            for word, e in zip(other, self.full.encode_batch_fast(other, add_special_tokens=False)):
                 self.words[word] = np.array(e.ids, self.dtype).tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        data, out, at = (text or "").encode(), [], 0
-        while at < len(data):
-            stop = _SPACE.search(data, min(len(data), at + _SLICE))
-            stop = stop.end() if stop else len(data)
-            words = data[at:stop].split()
-            if len(self.words) > CACHE_WORDS:
-                self.words.clear()
-            if new := set(words).difference(self.words):
-                self._learn(new)
-            out.append(b"".join(map(self.words.__getitem__, words)))
+    def _encode_block(self, texts: pa.Array) -> list[bytes]:
+        split = pc.ascii_split_whitespace(texts)
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        if new := [w for w in distinct if w not in self.words]:
+            self._learn(new)
+        ids = [self.words[w] for w in distinct]
+        ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]) // self.width
+        known = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), self.dtype)))
+        taken = known.take(words.indices)
+        raw = taken.flatten().to_numpy(zero_copy_only=False).astype(self.dtype, copy=False).tobytes()
+        bounds = (taken.offsets.to_numpy()[split.offsets.to_numpy()].astype(np.int64) * self.width).tolist()
+        return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text, as raw bytes; a null text has none. Texts go in blocks of
+        at most ``BLOCK_BYTES``, or of one text."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        total = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        out, at = [], 0
+        while at < len(texts):
+            stop = max(at + 1, int(np.searchsorted(total, total[at] + BLOCK_BYTES, side="right")) - 1)
+            # a copy of the slice alone: its offsets start at 0
+            out += self._encode_block(pa.concat_arrays([texts.slice(at, stop - at)]))
             at = stop
-        return b"".join(out)
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -224,27 +243,30 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, doc_
     Texts are dealt by id range before they are encoded, so ids are never shuffled; rows of
     one id may lie in several ranges.
     """
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], enc.dtype).tobytes()
         ids, payloads, held, number = [], [], 0, 0
+
+        def shard() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([pack(part, number, ids, payloads, enc.width)], SHARD_ARROW)
+
         for batch in batches:
-            for own, null, words in zip(batch["id"].tolist(), batch["none"].tolist(), batch["text"]):
-                data = enc.encode(words) + end
+            for own, data in zip(batch["id"].to_pylist(), enc.encode(batch["text"])):
+                data += end
                 if ids and (held + len(data) // enc.width > SHARD_IDS or len(ids) >= SHARD_DOCS):
-                    yield pd.DataFrame([pack(part, number, ids, payloads, enc.width)])
+                    yield shard()
                     ids, payloads, held, number = [], [], 0, number + 1
-                ids.append(None if null else own)
+                ids.append(own)
                 payloads.append(data)
                 held += len(data) // enc.width
         if ids:
-            yield pd.DataFrame([pack(part, number, ids, payloads, enc.width)])
+            yield shard()
 
-    key, content = F.col(doc_id).cast("long"), F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(key.isNull().alias("none"), F.coalesce(key, F.lit(0)).alias("id"), content.alias("text"))
-    order = [F.col("none").desc(), F.col("id"), F.xxhash64("text")]
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.withColumn("salt", F.monotonically_increasing_id()).repartitionByRange(*order, "salt").sortWithinPartitions(*order)
-    dealt.select("id", "none", "text").mapInPandas(encode, SHARD_SCHEMA).write.parquet(path)
+    dealt.select("id", "text").mapInArrow(encode, SHARD_SCHEMA).write.parquet(path)
 
 
 def bases(shards: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from oracle import compare, connect
@@ -438,13 +439,16 @@ def tokenizer():
     return path, Tokenizer.from_file(path)
 
 
-def test_words_encode_as_the_whole_text(messy, documents):
+def test_words_encode_as_the_whole_text(messy, documents, monkeypatch):
     path, full = tokenizer()
     enc = tokenstore.WordEncoder(path)
     texts = [t for _, t, _ in as_list(messy)] + [t for _, t, _ in as_list(documents)]
     texts += ["a\x1cb \x85c\u2028d", "ΟΔΟΣ ΟΔΟΣ. İstanbul ẞ e\u0301 A\u030a", "<|startoftext|>x <|endoftext|>", "don't'll 'S x'", "1,234.5% (a)b", "`~!@#$%^&*()_+-=[]{}|;:\",./<>?"]
-    for t in texts:
-        assert np.frombuffer(enc.encode(t), enc.dtype).tolist() == full.encode(t or "", add_special_tokens=False).ids, t
+    for block in (tokenstore.BLOCK_BYTES, 1000):
+        monkeypatch.setattr(tokenstore, "BLOCK_BYTES", block)
+        for t, ids in zip(texts, enc.encode(pa.array(texts))):
+            assert np.frombuffer(ids, enc.dtype).tolist() == full.encode(t or "", add_special_tokens=False).ids, t
+    assert enc.encode(pa.array([], pa.string())) == []
 
 
 def check_store(spark, docs, path):
