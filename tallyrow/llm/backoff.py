@@ -3,8 +3,9 @@
 The model is an n-gram model with absolute discounting. Single words are counted exactly,
 whatever their number. Longer n-grams enter when they make up at least ``gram_share`` of all
 training tokens: each block of tokens names those that reach the share inside the block (an
-n-gram that reaches it overall must do so in some block), and a second pass counts exactly
-these. The share bounds the automaton by order / gram_share arcs, so every task can hold it.
+n-gram that reaches it overall must do so in some block) and says how often any other can
+occur in it at most. Those whose named counts and possible rest reach the share are counted
+exactly in a second pass. The share bounds the automaton by order / gram_share arcs, so every task can hold it.
 
 States are the contexts that some kept n-gram continues. A state's arcs carry the log
 probabilities of its kept continuations; a word without an arc follows the failure arc to the
@@ -41,9 +42,9 @@ WORD_SHARE = 1e-6
 GRAM_SHARE = 1e-5
 DISCOUNT = 0.5
 #: Tokens of a block.
-BLOCK = 4_000_000
+BLOCK = 3_000_000
 #: Candidate n-grams counted in one pass over the texts.
-CANDIDATES = 2_000_000
+CANDIDATES = 200_000
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -74,45 +75,59 @@ def _runs(ids: np.ndarray, ok: np.ndarray, order: int, end: int) -> np.ndarray:
     return np.flatnonzero(fine)
 
 
-def count_block(words: list[list[bytes]], gram_share: float) -> list[tuple[int, str, int]]:
-    """(1, word, count) for all words; (2 or 3, n-gram, count) for those that reach the share."""
-    number = defaultdict(counter().__next__)
-    end = number[END.encode()]
-    ids = np.fromiter((i for line in words for i in map(number.__getitem__, line)), np.int64)
-    names = [w.decode() for w in number]
-    counts = np.bincount(ids, minlength=len(names))
-    out = [(1, w, int(c)) for w, c in zip(names, counts) if c]
-    least = max(1, math.ceil(gram_share * len(ids)))
-    two = _runs(ids, counts >= least, 2, end)
-    pairs, of, n = np.unique(ids[two] * len(names) + ids[two + 1], return_inverse=True, return_counts=True)
-    out += [(2, f"{names[p // len(names)]} {names[p % len(names)]}", int(c)) for p, c in zip(pairs[n >= least].tolist(), n[n >= least])]
-    pair_at = np.full(len(ids) + 1, -1, np.int64)
-    often = n[of] >= least
-    pair_at[two[often]] = of[often]
-    three = np.flatnonzero((pair_at[:-2] >= 0) & (pair_at[1:-1] >= 0)) if len(ids) > 2 else np.zeros(0, np.int64)
-    triples, n = np.unique(pair_at[three] * len(names) + ids[three + 2], return_counts=True)
-    for t, c in zip(triples[n >= least].tolist(), n[n >= least]):
-        p, w = pairs[t // len(names)], t % len(names)
-        out.append((3, f"{names[p // len(names)]} {names[p % len(names)]} {names[w]}", int(c)))
-    return out
+class Block:
+    """Tokens of consecutive texts, as numbers."""
+
+    def __init__(self) -> None:
+        self.number = defaultdict(counter().__next__)
+        self.end = self.number[END.encode()]
+        self.lines: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, line: list[bytes]) -> None:
+        self.lines.append(np.fromiter(map(self.number.__getitem__, line), np.int32, len(line)))
+        self.size += len(line)
+
+    def counts(self, gram_share: float) -> pd.DataFrame:
+        """(n, gram, count, slack): all words; n-grams of 2 and 3 words that reach the share
+        here; and, as n = 0, the block's slack: an n-gram left out occurs at most that often."""
+        ids = np.concatenate(self.lines).astype(np.int64)
+        names = [w.decode() for w in self.number]
+        counts = np.bincount(ids, minlength=len(names))
+        least = max(1, math.ceil(gram_share * len(ids)))
+        grams = [(0, "", 0)] + [(1, w, c) for w, c in zip(names, counts.tolist()) if c]
+        two = _runs(ids, counts >= least, 2, self.end)
+        pairs, of, n = np.unique(ids[two] * len(names) + ids[two + 1], return_inverse=True, return_counts=True)
+        grams += [(2, f"{names[p // len(names)]} {names[p % len(names)]}", c) for p, c in zip(pairs[n >= least].tolist(), n[n >= least].tolist())]
+        pair_at = np.full(len(ids) + 1, -1, np.int64)
+        often = n[of] >= least
+        pair_at[two[often]] = of[often]
+        three = np.flatnonzero((pair_at[:-2] >= 0) & (pair_at[1:-1] >= 0)) if len(ids) > 2 else np.zeros(0, np.int64)
+        triples, n = np.unique(pair_at[three] * len(names) + ids[three + 2], return_counts=True)
+        for t, c in zip(triples[n >= least].tolist(), n[n >= least].tolist()):
+            p, w = pairs[t // len(names)], t % len(names)
+            grams.append((3, f"{names[p // len(names)]} {names[p % len(names)]} {names[w]}", c))
+        out = pd.DataFrame(grams, columns=["n", "gram", "count"])
+        out["slack"] = np.where(out["n"] == 1, 0, least - 1)
+        return out
 
 
 def counts(training: DataFrame, gram_share: float = GRAM_SHARE, block: int = BLOCK) -> DataFrame:
-    """(n, gram, count): exact counts of all words, and the candidates of length 2 and 3."""
+    """(n, gram, count, slack), summed: the counts of all words are exact; those of n-grams
+    lack the blocks that left them out, whose slack is not in their own."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lines, held = [], 0
+        held = Block()
         for line in _texts(batches):
-            lines.append(line)
-            held += len(line)
-            if held >= block:
-                yield pd.DataFrame(count_block(lines, gram_share), columns=["n", "gram", "count"])
-                lines, held = [], 0
-        if lines:
-            yield pd.DataFrame(count_block(lines, gram_share), columns=["n", "gram", "count"])
+            held.add(line)
+            if held.size >= block:
+                yield held.counts(gram_share)
+                held = Block()
+        if held.size:
+            yield held.counts(gram_share)
 
-    found = training.mapInPandas(count, "n int, gram string, count long")
-    return staged(found.groupBy("n", "gram").agg(F.sum("count").alias("count")), "ngrams")
+    found = training.mapInPandas(count, "n int, gram string, count long, slack long")
+    return staged(found.groupBy("n", "gram").agg(F.sum("count").alias("count"), F.sum("slack").alias("slack")), "ngrams")
 
 
 def exact_counts(training: DataFrame, grams: list[str]) -> dict[str, int]:
@@ -122,7 +137,7 @@ def exact_counts(training: DataFrame, grams: list[str]) -> dict[str, int]:
     sets = training.sparkSession.sparkContext.broadcast(frozenset(grams))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = [tuple((w or END).encode() for w in g.split(" ")) for g in sets.value]
+        wanted = [tuple(w.encode() for w in g.split(" ")) for g in sets.value]
         firsts, number = {g[:2] for g in wanted}, Counter()
         triples = {g for g in wanted if len(g) == 3}
         for line in _texts(batches):
@@ -223,10 +238,12 @@ def fit(training: DataFrame, word_share: float = WORD_SHARE, gram_share: float =
     discount = once / (once + 2 * twice) if once and twice else DISCOUNT
     # at most 1 / word_share rows
     frequent = {r["gram"]: r["count"] for r in sorted(words.filter(F.col("count") >= word_share * n).collect(), key=lambda r: (-r["count"], r["gram"]))}
-    slices = -(-found.filter("n > 1").count() // CANDIDATES)
+    slack = found.filter("n = 0").agg(F.sum("slack")).first()[0] or 0
+    likely = found.filter("n > 1").filter(F.col("count") + slack - F.col("slack") >= gram_share * n).select("gram")
+    slices = -(-likely.count() // CANDIDATES)
     kept: dict[str, int] = {}
     for k in range(slices):
-        part = found.filter("n > 1").filter(F.pmod(F.xxhash64("gram"), F.lit(slices)) == k).select("gram")
+        part = likely.filter(F.pmod(F.xxhash64("gram"), F.lit(slices)) == k)
         exact = exact_counts(training, [r[0] for r in part.collect()])
         kept |= {g: c for g, c in exact.items() if c >= gram_share * n}  # at most 2 / gram_share in all
     return Model(n, types, frequent, discount, kept), words
