@@ -52,6 +52,42 @@ def fix_parse_dates(spark: SparkSession, sf: str) -> DataFrame:
     return _fixed(spark, sf, "order_date", "parse_dates").withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
 
 
+# one order in SPELLINGS each; the last one is no date
+SPELLINGS = [
+    "yyyy-MM-dd", "yyyy-M-d H:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/M/d", "yyyy.MM.dd", "yyyyMMdd", "M/d/yyyy", "MM-dd-yyyy", "MM/dd/yyyy HH:mm:ss",
+    "M/d/yy", "MMM d yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "dd-MMM-yyyy", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+]
+
+
+def _spelled(spark: SparkSession, sf: str) -> DataFrame:
+    orders = fx.read(spark, sf, "orders")
+    text = F.lit("31/02/2024")
+    for i, fmt in enumerate(SPELLINGS):
+        text = F.when(F.col("o_orderkey") % (len(SPELLINGS) + 1) == i, F.date_format("o_orderdate", fmt)).otherwise(text)
+    return orders.select("o_orderkey", text.alias("spelled"))
+
+
+@query(
+    "fix_parse_date_spellings",
+    f"SELECT o_orderkey, CASE WHEN o_orderkey % {len(SPELLINGS) + 1} < {len(SPELLINGS)} THEN strftime(o_orderdate, '%Y-%m-%d') END AS parsed FROM orders",
+)
+def fix_parse_date_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """Order dates written in every spelling come back as they were."""
+    done = fixes.apply_fix(_spelled(spark, sf), {"action": "parse_dates", "column": "spelled"})
+    return done.select("o_orderkey", F.date_format("spelled", "yyyy-MM-dd").alias("parsed"))
+
+
+@query(
+    "dq_invalid_date_spellings",
+    f"SELECT 'invalid_dates' AS kind, count(*) AS affected FROM orders WHERE o_orderkey % {len(SPELLINGS) + 1} = {len(SPELLINGS)}",
+)
+def dq_invalid_date_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """The scan finds the column of all spellings to hold dates, and only the impossible one wrong."""
+    spelled = _spelled(spark, sf).withColumnRenamed("spelled", "order_date")
+    found = checks.scan(spelled.withColumnRenamed("o_orderkey", "pos"), "pos", ["invalid_dates"])
+    return found.select("kind", "affected")
+
+
 @query("fix_nullify_negative", "SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_acctbal END AS c_acctbal FROM customer")
 def fix_nullify_negative(spark: SparkSession, sf: str) -> DataFrame:
     df = fx.read(spark, sf, "customer").select("c_custkey", "c_acctbal")

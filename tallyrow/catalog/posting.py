@@ -130,10 +130,12 @@ def postings_by_industry(spark: SparkSession, sf: str) -> DataFrame:
     "SELECT event_id, user_id, event_type, value FROM events",
 )
 def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
-    """Events read as a stream, every fifth sent twice, deduplicated by key."""
-    schema = fx.read(spark, sf, "events").schema
-    stream = dedupe.file_stream(spark, f"{sf}/events.parquet*", schema)
+    """Events in several files out of time order, read file by file as a stream, every
+    fifth sent twice, deduplicated by key."""
+    events, path = fx.read(spark, sf, "events"), scratch_path(spark, "event_files")
+    events.repartition(4, "event_id").write.parquet(path)
+    stream = dedupe.file_stream(spark, path, events.schema, max_files=1)
     copies = F.when(F.col("event_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     twice = stream.withColumn("copy", F.explode(copies)).drop("copy")
-    once = dedupe.dedupe_stream(twice, "event_id", "ts", "1 hour")
+    once = dedupe.dedupe_stream(twice, "event_id", "ts", None)
     return dedupe.run_to_table(once.select("event_id", "user_id", "event_type", "value"), "events")

@@ -182,8 +182,11 @@ def dq_scan_events(spark: SparkSession, sf: str) -> DataFrame:
     f"""WITH {sql.MESSY_SCAN} SELECT col AS "column", class, round(nl / nf, 6) AS numeric_share FROM classed WHERE is_text AND nf > 0""",
 )
 def dq_numeric_text_share(spark: SparkSession, sf: str) -> DataFrame:
-    c = profile.text_class(profile.column_counters(fx.messy_orders(spark, sf), POS))
-    wide = F.when((F.col("class") == "category") & F.col("column").isin("customer_name", "email"), "wide").otherwise(F.col("class"))
+    messy = fx.messy_orders(spark, sf)
+    c = profile.text_class(profile.pinned_counters(messy, POS))
+    categories = [r["column"] for r in c.filter("class = 'category'").collect()]
+    over = profile.wide_columns(messy, categories, POS)
+    wide = F.when((F.col("class") == "category") & F.col("column").isin(over), "wide").otherwise(F.col("class"))
     return c.filter("is_text and filled > 0").select(
         "column", wide.alias("class"), F.round(F.col("loose_numbers") / F.col("filled"), 6).alias("numeric_share")
     )

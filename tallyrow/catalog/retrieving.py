@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyrow.catalog import sql
 from tallyrow.catalog.registry import query
@@ -163,6 +163,14 @@ def encode_batch(spark: SparkSession, sf: str) -> DataFrame:
     return encoding.encode_hashed(fx.read(spark, sf, "documents"), "doc_id")
 
 
+@query("encode_batch_shape", "SELECT doc_id, 256 AS dimensions, true AS unit FROM documents")
+def encode_batch_shape(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document has a vector of the declared length and of unit norm."""
+    encoded = encoding.encode_hashed(fx.read(spark, sf, "documents"), "doc_id", dimensions=256)
+    norm = F.sqrt(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x))
+    return encoded.select("doc_id", F.size("embedding").alias("dimensions"), (F.abs(norm - 1) < 1e-6).alias("unit"))
+
+
 @query("known_entities", "SELECT DISTINCT 'verb_' || label AS entity FROM embeddings")
 def known_entities(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.known_entities(fx.chunk_vectors(spark, sf))
@@ -202,6 +210,23 @@ def knn_approx(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(retrieval.knn_approx(q, c, 5, exclude_self=True))
 
 
+@query(
+    "knn_approx_quality",
+    f"""WITH {sql.topk(5, False)} SELECT count(*) AS exact_rows, (SELECT count(*) FROM qv) * (SELECT count(*) FROM cv) AS exact_pairs,
+    true AS enough_found, true AS fewer_pairs FROM top""",
+)
+def knn_approx_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """The approximate search against the exact one: recall of 0.9 with fewer scored pairs."""
+    q, c = fx.query_vectors(spark, sf), fx.chunk_vectors(spark, sf)
+    exact = retrieval.knn_topk(q, c, 5, filtered=False, exclude_self=True).select("query_id", "vec_id")
+    near = retrieval.knn_approx(q, c, 5, exclude_self=True).select("query_id", "vec_id", F.lit(1).alias("found"))
+    recall = exact.join(near, ["query_id", "vec_id"], "left").agg(F.count(F.lit(1)).alias("n"), F.count("found").alias("hits"))
+    return recall.join(retrieval.scored_pairs(q, c)).select(
+        F.col("n").alias("exact_rows"), F.col("exact").alias("exact_pairs"),
+        (F.col("hits") >= 0.9 * F.col("n")).alias("enough_found"), (F.col("approximate") < F.col("exact")).alias("fewer_pairs"),
+    )
+
+
 # --- questions ---------------------------------------------------------------
 
 
@@ -216,21 +241,26 @@ def detect_keyword(spark: SparkSession, sf: str) -> DataFrame:
     return fx.questions(spark, sf).select("question_id", retrieval.detect_tense(F.col("question")).alias("tense"))
 
 
-# the question table matched to chunks by its filters: (verb, tense) -> smallest vec_ids
+# a question's vector is that of a chunk chosen by rule, so that the search can be stated
+# in SQL: the three nearest of the chunks that its filters admit
 _HITS = sql.QUESTIONS + "," + sql.VECTORS + """,
-placed AS (SELECT *, row_number() OVER (PARTITION BY verb_lower, tense ORDER BY vec_id) AS rank FROM cv),
-hits AS (SELECT a.question_id, p.rank, p.vec_id, p.verb_lower AS verb, p.tense, p.page, p.vec_id AS v
-  FROM asked a JOIN placed p ON a.verb = p.verb_lower AND a.tense = p.tense WHERE p.rank <= 3)"""
+asked_vectors AS (SELECT a.*, c.e FROM asked a JOIN cv c ON c.vec_id = a.question_id % (SELECT count(*) FROM cv)),
+near AS (SELECT a.question_id, c.vec_id, c.verb_lower AS verb, c.tense, c.page, round(list_dot_product(a.e, c.e), 9) AS score
+  FROM asked_vectors a JOIN cv c ON (a.verb IS NULL OR a.verb = c.verb_lower) AND (a.tense IS NULL OR a.tense = c.tense)),
+hits AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) AS rank FROM near
+  QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY score DESC, vec_id) <= 3)"""
 
 
 def _hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """(questions with filters, their first three admitted chunks by id)."""
-    cv = fx.chunk_vectors(spark, sf).drop("embedding")
-    asked = retrieval.with_filters(fx.questions(spark, sf), retrieval.known_entities(cv))
-    first = F.row_number().over(W.partitionBy("verb_lower", "tense").orderBy("vec_id"))
-    placed = cv.withColumn("rank", first).filter("rank <= 3").drop("verb")
-    hits = asked.select("question_id", F.col("verb").alias("verb_lower"), "tense").join(placed, ["verb_lower", "tense"])
-    return asked, hits.withColumnRenamed("verb_lower", "verb")
+    """(questions with filters, the chunks retrieved for them)."""
+    vectors_ = fx.chunk_vectors(spark, sf)
+
+    def encode(df: DataFrame, key: str, text: str, prefix: str) -> DataFrame:
+        n = F.broadcast(vectors_.agg(F.count(F.lit(1)).alias("n")))
+        keyed = df.select(key).join(n).select(key, (F.col(key) % F.col("n")).alias("nth"))
+        return keyed.join(vectors_.select(F.col("vec_id").alias("nth"), "embedding"), "nth").select(key, "embedding")
+
+    return retrieval.retrieve(fx.questions(spark, sf), vectors_.drop("embedding"), encode, 3)
 
 
 @query(
@@ -274,16 +304,24 @@ def context_assembly(spark: SparkSession, sf: str) -> DataFrame:
     return retrieval.context(_hits(spark, sf)[1])
 
 
-def _encode(df: DataFrame, key: str, text: str, prefix: str) -> DataFrame:
-    return encoding.encode_hashed(df, key, text, prefix=prefix)
-
-
-@query("answer_questions")
+@query(
+    "answer_questions",
+    f"""WITH {_HITS}, per AS (SELECT question_id, count(*) AS n,
+      max('(' || tense || ')' || chr(10) || {_FORMS}) FILTER (rank = 1) AS answer,
+      max(verb || ' (' || tense || '), p.' || page) FILTER (rank = 1) AS line,
+      string_agg(verb || ' (' || tense || '), p.' || page, '; ' ORDER BY rank) AS lines,
+      string_agg('Verb: ' || verb || ' (to ' || vec_id || ')' || chr(10) || 'Tense: ' || tense || chr(10) || {_FORMS},
+        chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY rank) AS documents FROM hits GROUP BY question_id),
+    routed AS (SELECT question_id, verb IS NOT NULL AND coalesce(n, 0) > 0
+      AND NOT ({' OR '.join(f'contains(lower(question), {sql.lit(t)})' for t in v.EXPLANATION_TRIGGERS)}) AS found, answer, line, lines, documents
+      FROM asked LEFT JOIN per USING (question_id))
+    SELECT question_id, CASE WHEN found THEN 'lookup' ELSE 'explain' END AS route, CASE WHEN found THEN answer END AS answer,
+      CASE WHEN found THEN line ELSE coalesce(lines, '') END AS sources, CASE WHEN NOT found THEN coalesce(documents, '') END AS context
+    FROM routed""",
+)
 def answer_questions(spark: SparkSession, sf: str) -> DataFrame:
     """Every question encoded, filtered, matched, routed and answered."""
-    cv = fx.chunk_vectors(spark, sf).drop("embedding")
-    asked, hits = retrieval.retrieve(fx.questions(spark, sf), cv, _encode, 3)
-    return retrieval.answer_questions(asked, hits)
+    return retrieval.answer_questions(*_hits(spark, sf))
 
 
 # --- accuracy ----------------------------------------------------------------

@@ -39,7 +39,10 @@ def iso_date(x: str) -> str:
 
 
 def any_date(x: str) -> str:
-    formats = ["%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%m/%d/%Y", "%d/%m/%Y", "%b %d %Y", "%Y/%m/%d"]
+    formats = [
+        "%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M", "%Y/%m/%d", "%Y.%m.%d", "%m/%d/%Y", "%d/%m/%Y",
+        "%m-%d-%Y", "%d-%m-%Y", "%b %d %Y", "%b %d, %Y", "%B %d, %Y", "%d %b %Y", "%d %B %Y",
+    ]
     return "coalesce(" + ", ".join(f"try_strptime({strip(x)}, '{f}')" for f in formats) + ")"
 
 

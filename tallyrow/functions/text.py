@@ -15,8 +15,6 @@ _LIKE_ASCII = "ſıİ"
 _LONGEST_PLACEHOLDER_BYTES = 3 * max(len(p) for p in v.PLACEHOLDERS)
 _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 _NUMBER_CHARACTERS = rf"(?U)^[0-9eE+\-.{v.NUMBER_DECORATION}\s]*+$"
-_LONGEST_DATE_BYTES = 32
-_DATE_START = r"^(?:\d{1,4}[-/]\d|[A-Za-z]{3} \d)"
 
 
 def named(name: str) -> Column:
@@ -67,20 +65,24 @@ def has_digit(c: Column) -> Column:
     return c.rlike(r"(?U)\d")
 
 
-def _dates(s: Column, formats) -> Column:
-    # the shape tests keep the (slow) parse failures rare
-    tries = [F.when(s.rlike(shape), F.try_to_timestamp(s, F.lit(fmt))) for shape, fmt in formats]
-    date_like = (F.octet_length(s) <= _LONGEST_DATE_BYTES) & s.rlike(_DATE_START)
-    return F.when(date_like, F.coalesce(*tries)).cast("timestamp_ntz")
+def _date(s: Column, shape: str, fmt: str) -> Column:
+    read = F.try_to_timestamp(s, F.lit(fmt + v.TIME_FORMAT))
+    if "yyyy" not in fmt:
+        read = F.when(F.year(read) >= v.PIVOT_YEAR, read - F.expr("INTERVAL 100 YEARS")).otherwise(read)
+    # the shape keeps the (slow) parse failures rare
+    return F.when(s.rlike(f"^{shape}{v.TIME_SHAPE}$"), read)
 
 
 def iso_date_of(s: Column) -> Column:
-    return _dates(s, v.DATE_FORMATS[:1])
+    return F.when(s.rlike(f"^{v.ISO_DATE[0]}$"), F.try_to_timestamp(s, F.lit(v.ISO_DATE[1]))).cast("timestamp_ntz")
 
 
 def any_date_of(s: Column) -> Column:
-    """First format of the fixed list that reads the value; month before day."""
-    return _dates(s, v.DATE_FORMATS)
+    """First spelling of the fixed list that reads the value; month before day. A time
+    with an offset becomes the session's time."""
+    shapes = "|".join(dict.fromkeys(shape for shape, _ in v.DATE_FORMATS))
+    tries = [_date(s, shape, fmt) for shape, fmt in v.DATE_FORMATS]
+    return F.when(s.rlike(f"^(?:{shapes}){v.TIME_SHAPE}$"), F.coalesce(*tries)).cast("timestamp_ntz")
 
 
 def iso_date(c: Column) -> Column:

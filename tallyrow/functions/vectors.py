@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def dot(a: Column, b: Column) -> Column:
-    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda s, x: s + x)
-
-
 def l2_normalize(a: Column) -> Column:
     norm = F.sqrt(F.aggregate(a, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     return F.when(norm > 0, F.transform(a, lambda x: x.cast("double") / norm)).otherwise(

@@ -14,15 +14,35 @@ NON_NEGATIVE_HINTS = ["qty", "quantity", "price", "amount", "count", "age", "uni
 # characters ignored when a text value is read as a number (plus white space)
 NUMBER_DECORATION = ",$€£₹¥%"
 
-# date formats in the order they are tried: (shape, Spark format)
+# the one form that is not a guess
+ISO_DATE = (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d")
+# date spellings in the order they are tried, month before day: (shape, Spark format)
 DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    ISO_DATE,
+    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
+    (r"\d{8}", "yyyyMMdd"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"),
+    (r"\d{1,2}/\d{1,2}/\d{2}", "M/d/yy"),
+    (r"\d{1,2}/\d{1,2}/\d{2}", "d/M/yy"),
+    (r"\d{1,2}-\d{1,2}-\d{2}", "M-d-yy"),
+    (r"\d{1,2}-\d{1,2}-\d{2}", "d-M-yy"),
+    (r"[A-Za-z]{3} \d{1,2},? \d{4}", "MMM d[,] yyyy"),
+    (r"[A-Za-z]{4,9} \d{1,2},? \d{4}", "MMMM d[,] yyyy"),
+    (r"\d{1,2} [A-Za-z]{3},? \d{4}", "d MMM[,] yyyy"),
+    (r"\d{1,2} [A-Za-z]{4,9},? \d{4}", "d MMMM[,] yyyy"),
+    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", "d-MMM-yyyy"),
 ]
+# a time may follow any of them, with an offset or without
+TIME_SHAPE = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?"
+TIME_FORMAT = "[['T'][' ']H:mm[:ss[.SSSSSS]][XXX]]"
+# two-digit years from here on belong to the 20th century
+PIVOT_YEAR = 2069
 
 MAX_CATEGORIES = 60
 MAX_PROFILE_VALUES = 40

@@ -65,7 +65,9 @@ def row_digest(fields: list[T.StructField]) -> Column:
             return F.when(~F.isnan(c), F.when(c == 0, F.lit(0.0)).otherwise(c))  # -0.0 is 0.0, NaN is missing
         return c
 
-    packed = F.to_json(F.struct(*[plain(f).alias(f"c{i}") for i, f in enumerate(fields)]))
+    # whole microseconds; the default format stops at milliseconds
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    packed = F.to_json(F.struct(*[plain(f).alias(f"c{i}") for i, f in enumerate(fields)]), options)
     return F.unhex(F.sha2(packed, 256))
 
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
 
-# A (verb, tense) with more forms than this is built in parts.
-FORMS_PER_PART = 10_000
+# Forms gathered at once; the pieces of a (verb, tense) are then joined in order.
+FORMS_PER_PIECE = 10_000
 
 
 def custom_rank(c: Column, order: list[str] | None = None) -> Column:
@@ -30,70 +30,40 @@ def _listed() -> Column:
     return F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["line"])
 
 
-def build_chunks(records: DataFrame, pos: str = "pos", forms_per_part: int = FORMS_PER_PART) -> DataFrame:
-    """(id, part, text, metadata): one row per (verb, tense).
+def build_chunks(records: DataFrame, pos: str = "pos", forms_per_piece: int = FORMS_PER_PIECE) -> DataFrame:
+    """(id, text, metadata): one row per (verb, tense), whatever its size.
 
-    Groups above ``forms_per_part`` are never gathered in one task: their forms are cut
-    into parts along the same sort order (pronoun rank, then position), numbered from
-    1. Joining the parts of an id by line feeds, in order, gives the whole text; part 0
-    is a group that fits into one row. ``pos`` is an integer, unique within a group.
+    Forms are sorted and joined in pieces along the sort order (pronoun rank, then ranges
+    of the position), so a frequent key is spread over many tasks; the pieces' texts are
+    then joined in order. ``pos`` is an integer, unique within a group.
     """
     rows = records.select(
         "verb", "tense", "meaning", "pronoun", "form", "page",
         named(pos).cast("bigint").alias("pos"), custom_rank(F.col("pronoun")).alias("rank"),
     )
-    # counted by key alone, so a frequent key crosses the exchange once per task
-    sizes = rows.groupBy("verb", "tense").agg(F.count(F.lit(1)).alias("num_forms"))
-    large = sizes.filter(F.col("num_forms") > forms_per_part)
-    first_row = F.min(F.struct("pos", "meaning", "page"))
-    small = (
-        rows.join(large, ["verb", "tense"], "left_anti")
-        .groupBy("verb", "tense")
-        .agg(first_row.alias("f"), F.count(F.lit(1)).alias("num_forms"), _listed().alias("lines"))
-        .select(
-            "verb", "tense", "f.meaning", "f.page", "num_forms", F.lit(0).alias("part"),
-            F.concat_ws("\n", _title(F.col("verb"), F.col("f.meaning"), F.col("tense")), F.concat_ws("\n", "lines")).alias("text"),
-        )
-    )
-    return small.unionByName(_in_parts(rows, large, forms_per_part)).select(
-        chunk_id(F.col("verb"), F.col("tense")).alias("id"),
-        "part",
-        "text",
-        F.struct(
-            "verb", F.lower("verb").alias("verb_lower"), "meaning", "tense",
-            F.col("page").cast("bigint").alias("page"), F.col("num_forms").cast("bigint").alias("num_forms"),
-        ).alias("metadata"),
-    )
-
-
-def _in_parts(rows: DataFrame, large: DataFrame, forms_per_part: int) -> DataFrame:
-    """The large groups, cut by pronoun rank and ranges of ``pos``: a part holds at most
-    forms_per_part forms because positions are unique within a group."""
-    span = F.floor(F.col("pos") / forms_per_part)
+    span = F.floor(F.col("pos") / forms_per_piece)
     pieces = (
-        rows.join(large.select("verb", "tense"), ["verb", "tense"], "left_semi")
-        .groupBy("verb", "tense", "rank", span.alias("span"))
+        rows.groupBy("verb", "tense", "rank", span.alias("span"))
         .agg(F.min(F.struct("pos", "meaning", "page")).alias("f"), F.count(F.lit(1)).alias("n"), _listed().alias("lines"))
-        .select("verb", "tense", "rank", "span", "f", "n", F.concat_ws("\n", "lines").alias("body"))
+        .select("verb", "tense", "f", "n", F.struct("rank", "span", F.concat_ws("\n", "lines").alias("body")).alias("piece"))
     )
-    # without the bodies: one short row per part
-    outline = pieces.select("verb", "tense", "rank", "span", "f", "n")
-    whole = W.partitionBy("verb", "tense")
-    numbered = outline.select(
-        "verb", "tense", "rank", "span",
-        F.row_number().over(whole.orderBy("rank", "span")).alias("part"),
-        F.min("f").over(whole).alias("first"),
-        F.sum("n").over(whole).alias("num_forms"),
+    bodies = F.transform(F.array_sort(F.collect_list("piece")), lambda p: p["body"])
+    whole = pieces.groupBy("verb", "tense").agg(
+        F.min("f").alias("f"), F.sum("n").alias("num_forms"), F.concat_ws("\n", bodies).alias("body")
     )
-    joined = pieces.join(numbered, ["verb", "tense", "rank", "span"])
-    head = F.when(F.col("part") == 1, F.concat(_title(F.col("verb"), F.col("first.meaning"), F.col("tense")), F.lit("\n"))).otherwise("")
-    return joined.select(
-        "verb", "tense", "first.meaning", "first.page", "num_forms", "part", F.concat(head, "body").alias("text")
+    title = _title(F.col("verb"), F.col("f.meaning"), F.col("tense"))
+    return whole.select(
+        chunk_id(F.col("verb"), F.col("tense")).alias("id"),
+        F.concat_ws("\n", title, "body").alias("text"),
+        F.struct(
+            "verb", F.lower("verb").alias("verb_lower"), F.col("f.meaning").alias("meaning"), "tense",
+            F.col("f.page").cast("bigint").alias("page"), F.col("num_forms").cast("bigint").alias("num_forms"),
+        ).alias("metadata"),
     )
 
 
 def chunk_statistics(chunks: DataFrame) -> DataFrame:
-    return chunks.filter("part <= 1").agg(
+    return chunks.agg(
         F.count(F.lit(1)).alias("chunks"),
         F.count_distinct("metadata.verb").alias("verbs"),
         F.count_distinct("metadata.tense").alias("tenses"),

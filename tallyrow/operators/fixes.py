@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field as dc_field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
 from tallyrow.operators.checks import duplicate_rows, outside
-from tallyrow.operators.profile import is_numeric, is_text, shown
+from tallyrow.operators.profile import is_numeric, is_text
 from tallyrow.operators.quantiles import exact_quantiles
 
 LOG_SCHEMA = "n int, action string, column string, changed bigint, unit string, note string"
@@ -77,7 +78,9 @@ def convert_numeric(df: DataFrame, fix: dict) -> Rewrite:
     c = named(f.name)
     if is_numeric(f):
         return Rewrite(c, "already numeric")
-    new = tx.loose_number(c) if is_text(f) else c.try_cast("double")
+    if not is_text(f) and not isinstance(f.dataType, T.BooleanType):
+        raise FixError(f"column '{f.name}' holds {f.dataType.simpleString()} values, which are no numbers")
+    new = tx.loose_number(c) if is_text(f) else c.cast("double")
     return Rewrite(new, counts={"lost_numbers": c.isNotNull() & new.isNull()})
 
 
@@ -85,8 +88,10 @@ def parse_dates(df: DataFrame, fix: dict) -> Rewrite:
     """ISO dates first, other formats as month/day/year; guesses are counted."""
     f = _field(df, fix["column"])
     c = named(f.name)
+    if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return Rewrite(c.cast("timestamp_ntz"))
     if not is_text(f):
-        return Rewrite(c.try_cast("timestamp_ntz"))
+        raise FixError(f"column '{f.name}' holds {f.dataType.simpleString()} values, which are no dates")
     iso, new = tx.iso_date(c), tx.any_date(c)
     return Rewrite(
         new,
@@ -136,7 +141,12 @@ def fill_missing(df: DataFrame, fix: dict) -> Rewrite:
                 return Rewrite(c, f"{constant!r} is not a number; skipped")
             whole = isinstance(f.dataType, T.IntegralType) and number.is_integer()
             return Rewrite(F.coalesce(c, F.lit(number).cast(f.dataType if whole else "double")))
-        return Rewrite(F.coalesce(shown(f), F.lit(constant)))
+        if is_text(f):
+            return Rewrite(F.coalesce(c, F.lit(constant)))
+        filled = F.lit(constant).try_cast(f.dataType)
+        if df.sparkSession.range(1).select(filled.isNull()).first()[0]:
+            return Rewrite(c, f"{constant!r} is no {f.dataType.simpleString()}; skipped")
+        return Rewrite(F.coalesce(c, filled))
     return Rewrite(c, "no fill method given; skipped")
 
 
@@ -245,6 +255,8 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
                 raise FixError(f"unknown action '{action}'")
         except FixError as problem:
             entry["note"] = f"SKIPPED: {problem}"
+        except AnalysisException as problem:
+            entry["note"] = f"SKIPPED: {str(problem).splitlines()[0]}"
     counted = before_removal if before_removal is not None else work
     totals = _totals(counted)
     for entry in log:

@@ -7,7 +7,6 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
     IDF,
-    CountVectorizer,
     ElementwiseProduct,
     HashingTF,
     Normalizer,
@@ -24,9 +23,9 @@ from tallyrow.functions.text import named
 from tallyrow.operators.evaluation import require_labels, with_class_weights
 from tallyrow.operators.tfidf import STOP_WORDS
 
-# Largest vocabulary that gets one coefficient per term; the model itself is a
-# driver-side vector, so beyond this the terms are hashed into as many slots.
-MODEL_TERMS = 1 << 20
+# Slots that terms are hashed into. The model is a driver-side vector of this length,
+# whatever the vocabulary; a caller who wants fewer collisions sets more.
+MODEL_FEATURES = 1 << 20
 
 
 def feature_matrix(df: DataFrame, key: str = "job_id", label: str = "fraudulent") -> DataFrame:
@@ -73,19 +72,24 @@ def predict(model: LogisticRegressionModel, rows: DataFrame, key: str = "job_id"
     )
 
 
-def fit_text_classifier(train: DataFrame, text: str, label: str, positive: str, max_iter: int = 20):
+def fit_text_classifier(
+    train: DataFrame, text: str, label: str, positive: str, max_iter: int = 20, features: int = MODEL_FEATURES
+):
     """(features, model): hinge-loss linear classifier on TF-IDF vectors.
 
-    Features: tokens without stop words, term counts with the document-share cut,
-    idf + 1, unit length. The texts are tokenised once; token lists and vectors are
-    cached (spilling to disk) because the fits read them many times.
+    Features: tokens without stop words and without terms above the document-share cut,
+    term counts hashed into ``features`` slots, idf + 1, unit length. The texts are
+    tokenised once; token lists and vectors are cached (spilling to disk) because the fits
+    read them many times.
     """
     tokens = RegexTokenizer(inputCol=text, outputCol="__tokens", pattern=v.TERM, gaps=False, toLowercase=True)
-    kept = StopWordsRemover(inputCol="__tokens", outputCol="__kept", stopWords=STOP_WORDS, locale="en_US")
-    front = PipelineModel(stages=[tokens, kept])
     target = (named(label) == positive).cast("double").alias("label")
-    listed = front.transform(train).select("__kept", target).persist(StorageLevel.MEMORY_AND_DISK)
-    back = _vectorizer(listed)
+    split = tokens.transform(train).select("__tokens", target)
+    dropped = [*STOP_WORDS, *common_terms(split, "__tokens", v.MAX_DOCUMENT_SHARE)]
+    kept = StopWordsRemover(inputCol="__tokens", outputCol="__kept", stopWords=dropped, locale="en_US")
+    front = PipelineModel(stages=[tokens, kept])
+    listed = kept.transform(split).select("__kept", "label").persist(StorageLevel.MEMORY_AND_DISK)
+    back = _vectorizer(listed, features)
     rows = back.transform(listed).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
     model = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter, tol=1e-4, regParam=1e-4).fit(rows)
     rows.unpersist()
@@ -93,14 +97,16 @@ def fit_text_classifier(train: DataFrame, text: str, label: str, positive: str,
     return PipelineModel(stages=[*front.stages, *back.stages]), model
 
 
-def _vectorizer(listed: DataFrame, model_terms: int = MODEL_TERMS) -> PipelineModel:
-    size = listed.select(F.explode("__kept").alias("term")).distinct().count()
-    if size <= model_terms:
-        counts = CountVectorizer(
-            inputCol="__kept", outputCol="__tf", vocabSize=max(size, 1), maxDF=v.MAX_DOCUMENT_SHARE, minDF=1.0
-        ).fit(listed)
-    else:
-        counts = HashingTF(inputCol="__kept", outputCol="__tf", numFeatures=model_terms)
+def common_terms(listed: DataFrame, tokens: str, share: float) -> list[str]:
+    """Terms in more than ``share`` of the rows: at most the mean number of distinct terms
+    of a row divided by ``share``."""
+    rows = listed.count()
+    held = listed.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").count()
+    return sorted(r["term"] for r in held.filter(F.col("count") > share * rows).collect())
+
+
+def _vectorizer(listed: DataFrame, features: int) -> PipelineModel:
+    counts = HashingTF(inputCol="__kept", outputCol="__tf", numFeatures=features)
     idf = IDF(inputCol="__tf", outputCol="__unused").fit(counts.transform(listed)).idf
     scale = ElementwiseProduct(
         scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="__tf", outputCol="__weighted"

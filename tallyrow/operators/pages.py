@@ -85,7 +85,7 @@ def _grid(line: Column, header: Column) -> Column:
     tenses = F.create_map(
         *[x for h, names in v.TENSE_HEADERS.items() for x in (F.lit(h), F.array(*[F.lit(t) for t in names]))]
     )
-    pattern = F.lit(v.GRID_FORM)
+    pattern = F.lit("(?U)" + v.GRID_FORM)
     zipped = F.arrays_zip(
         F.regexp_extract_all(line, pattern, F.lit(1)).alias("pronoun"),
         F.regexp_extract_all(line, pattern, F.lit(2)).alias("form"),

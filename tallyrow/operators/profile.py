@@ -117,7 +117,7 @@ def _group_counters(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
             (filled & (text != s)).alias("padded"),
             (F.col("plain") | F.when(filled & ~F.col("plain"), tx.loose_number_of(s)).isNotNull()).alias("loose"),
             (filled & tx.has_digit(text)).alias("digit"),
-            F.when(filled & ~F.col("plain"), tx.any_date_of(s)).isNotNull().alias("date"),
+            F.when(filled, tx.any_date_of(s)).isNotNull().alias("date"),
         )
     )
     return judged.groupBy("column").agg(
@@ -149,6 +149,14 @@ def few_valued(df: DataFrame, columns: list[str]) -> list[str]:
     return [c for i, c in enumerate(columns) if row[f"d{i}"] <= FEW_VALUES_ESTIMATE]
 
 
+def wide_columns(df: DataFrame, columns: list[str], order_by: str | None = None) -> list[str]:
+    """Those of the text columns with more than MAX_CATEGORIES distinct filled values."""
+    few = few_valued(df, columns)
+    filled = value_histogram(df, few, order_by).filter(~tx.is_placeholder(F.col("value")))
+    over = filled.groupBy("column").count().filter(F.col("count") > v.MAX_CATEGORIES).collect()
+    return [c for c in columns if c not in few or c in {r["column"] for r in over}]
+
+
 def text_class(counters: DataFrame) -> DataFrame:
     """Adds ``class``: which branch of the text checks a column takes."""
     filled = F.col("filled")

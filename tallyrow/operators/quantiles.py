@@ -1,10 +1,9 @@
 """Exact quantiles of whole columns with bounded state per task.
 
-Spark's exact ``percentile`` keeps every distinct value of a column in one
-buffer. That is right for columns below a checked size; beyond it the wanted
-ranks are bracketed by approximate pivots, counted exactly, and the brackets
-narrowed until each holds few rows. Every round is one scan with a map-side
-aggregate: no row is shuffled and none is dropped.
+The wanted ranks are bracketed by approximate pivots, counted exactly, and the brackets
+narrowed until each holds few rows, whose value at the rank is then taken as it is. Every
+round is one scan with a map-side aggregate: no row is shuffled and none is dropped. A small
+column starts as a bracket of few rows. Ranks are interpolated by one formula at every size.
 """
 
 from __future__ import annotations
@@ -16,7 +15,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyrow.functions.text import named
 
-SMALL_ROWS = 1_000_000
+# Rows of a bracket that one exact aggregate settles.
+BRACKET_ROWS = 1_000_000
 _ACCURACY = 10_000
 
 
@@ -52,7 +52,7 @@ def exact_quantiles(
     columns: list[str],
     probabilities: list[float],
     counts: dict[str, int] | None = None,
-    small_rows: int = SMALL_ROWS,
+    bracket_rows: int = BRACKET_ROWS,
 ) -> dict[str, list[float] | None]:
     """Linearly interpolated quantiles per column; None for a column without values.
 
@@ -66,34 +66,32 @@ def exact_quantiles(
         counts = {c: row[f"n{i}"] for i, c in enumerate(columns)}
     result: dict[str, list[float] | None] = {c: None for c in columns}
     filled = [c for c in columns if counts[c]]
-    small = [c for c in filled if counts[c] <= small_rows]
-    if small:
-        at = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = narrow.agg(*[F.percentile(_number(c), at).alias(f"q{i}") for i, c in enumerate(small)]).first()
-        result.update({c: list(row[f"q{i}"]) for i, c in enumerate(small)})
-    large = [c for c in filled if counts[c] > small_rows]
-    if large:
-        wanted = {
-            (c, k)
-            for c in large
-            for p in probabilities
-            for k in (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
-        }
-        found = _resolve(narrow, [_Rank(c, k, 0, counts[c]) for c, k in sorted(wanted)], small_rows)
-        for c in large:
-            result[c] = []
-            for p in probabilities:
-                at = p * (counts[c] - 1)
-                low, high = found[(c, math.floor(at))], found[(c, math.ceil(at))]
-                result[c].append(low + (high - low) * (at - math.floor(at)))
+    if not filled:
+        return result
+    wanted = {
+        (c, k)
+        for c in filled
+        for p in probabilities
+        for k in (math.floor(p * (counts[c] - 1)), math.ceil(p * (counts[c] - 1)))
+    }
+    found = _resolve(narrow, [_Rank(c, k, 0, counts[c]) for c, k in sorted(wanted)], bracket_rows)
+    for c in filled:
+        result[c] = [_between(found, c, p * (counts[c] - 1)) for p in probabilities]
     return result
 
 
-def _resolve(df: DataFrame, ranks: list[_Rank], small_rows: int) -> dict[tuple[str, int], float]:
+def _between(found: dict[tuple[str, int], float], column: str, at: float) -> float:
+    low, high = math.floor(at), math.ceil(at)
+    if low == high:
+        return found[(column, low)]
+    return (high - at) * found[(column, low)] + (at - low) * found[(column, high)]
+
+
+def _resolve(df: DataFrame, ranks: list[_Rank], bracket_rows: int) -> dict[tuple[str, int], float]:
     open_ranks = ranks
     while open_ranks:
-        few = [r for r in open_ranks if r.inside <= small_rows]
-        many = [r for r in open_ranks if r.inside > small_rows]
+        few = [r for r in open_ranks if r.inside <= bracket_rows]
+        many = [r for r in open_ranks if r.inside > bracket_rows]
         held = df.select(
             *[F.when(r.within(), _number(r.column)).alias(f"e{i}") for i, r in enumerate(few)],
             *[F.when(r.within(), _number(r.column)).alias(f"a{i}") for i, r in enumerate(many)],

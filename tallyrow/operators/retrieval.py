@@ -6,17 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyrow.functions import text as tx, vocabulary as v
 from tallyrow.functions.text import named
 from tallyrow.operators.sizing import pin_if_small, staged
 
-# queries scored per pass over the vectors; they travel to every task
-QUERY_BATCH = 16_384
+# queries, or chunks, of a cell that one group holds
+BLOCK_ROWS = 8_192
 # scores per matrix product: 16 MB of doubles
 BLOCK_SCORES = 1 << 21
 
@@ -89,58 +88,47 @@ def metadata_filter(filters: DataFrame, chunks: DataFrame, key: str = "query_id"
 _TOP = "query_id bigint, vec_id bigint, score double"
 
 
+def _cell(kind: Column, verb: Column, tense: Column) -> Column:
+    """The filter as one key; queries and chunks that agree in it belong together."""
+    return F.to_json(F.struct(kind.alias("k"), verb.alias("v"), tense.alias("t")))
+
+
 def knn_topk(
     queries: DataFrame,
     chunks: DataFrame,
     k: int = 5,
     filtered: bool = True,
     exclude_self: bool = False,
-    query_batch: int = QUERY_BATCH,
-    buckets: str | None = None,
+    block: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest chunks of each query, exactly.
 
     Vectors are unit length, so nearest means largest dot product; ties go to the
-    smaller id. A batch of queries is a bounded matrix that travels to the tasks; every
-    task scores its vectors block by block with one matrix product and keeps k per
-    query, so what is exchanged is tasks * queries * k rows, never the pairs. More
-    queries than ``query_batch`` mean more passes.
+    smaller id. ``queries`` has (query_id, embedding, verb, tense), NULL meaning no
+    filter; ``chunks`` has (vec_id, embedding, verb_lower, tense).
 
-    ``queries`` has (query_id, embedding, verb, tense), NULL meaning no filter;
-    ``chunks`` has (vec_id, embedding, verb_lower, tense).
+    A query's filter names its cell: a verb and a tense, one of them, or everything. A
+    chunk lies in the cells that some query asks for, so a query meets only chunks that
+    pass its filter. See ``score_cells`` for the rest.
     """
+    none = F.lit(None).cast("string")
     filters = filtered and {"verb", "tense"} <= set(queries.columns)
-    wanted = ["query_id", "embedding"] + (["verb", "tense"] if filters else []) + ([buckets] if buckets else [])
-    queries = queries.select(*wanted)
-    total = queries.count()
-    batches = max(-(-total // query_batch), 1)
-    if batches > 1:
-        queries = staged(queries, "queries")
-    parts = []
-    for b in range(batches):
-        chosen = queries if batches == 1 else queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(batches)) == b)
-        # a batch holds about query_batch rows: checked by the count above
-        rows = chosen.orderBy("query_id").toArrow()
-        if rows.num_rows:
-            parts.append(_score_batch(rows, chunks, k, filters, exclude_self, buckets))
-    if not parts:
-        return queries.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    local = parts[0]
-    for p in parts[1:]:
-        local = local.unionByName(p)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        local.withColumn("rank", F.row_number().over(best))
-        .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    verb, tense = (F.col("verb"), F.col("tense")) if filters else (none, none)
+    kind = F.when(verb.isNull(), 0).otherwise(2) + F.when(tense.isNull(), 0).otherwise(1)
+    q = queries.select("query_id", "embedding", _cell(kind, verb, tense).alias("cell"))
+    v, t = F.col("verb_lower"), F.col("tense")
+    cells = [_cell(F.lit(0), none, none)]
+    if filters:
+        cells += [F.when(v.isNotNull(), _cell(F.lit(2), v, none)), F.when(t.isNotNull(), _cell(F.lit(1), none, t)),
+                  F.when(v.isNotNull() & t.isNotNull(), _cell(F.lit(3), v, t))]
+    c = chunks.select("vec_id", "embedding", F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+    return _best(score_cells(q, c, k, exclude_self, block), k)
 
 
-def _codes(values: list) -> tuple[np.ndarray, pa.Array]:
-    """Small integers for filter values, -1 for no filter, and the set they index."""
-    known = sorted({x for x in values if x is not None})
-    place = {x: i for i, x in enumerate(known)}
-    return np.array([-1 if x is None else place[x] for x in values]), pa.array(known, pa.string())
+def _best(scored: DataFrame, k: int) -> DataFrame:
+    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = scored.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:
@@ -156,93 +144,107 @@ def _first_k(owner: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
     return owner[kept], ids[kept], score[kept]
 
 
-def _score_batch(rows: pa.Table, chunks: DataFrame, k: int, filters: bool, exclude_self: bool, buckets: str | None) -> DataFrame:
-    ids = rows.column("query_id").to_numpy().astype(np.int64)
-    matrix = _matrix(rows.column("embedding").combine_chunks()).astype(np.float64)
-    columns, source = ["vec_id", "embedding"], chunks
-    asked = {}
-    if filters:
-        for name, column in (("verb", "verb_lower"), ("tense", "tense")):
-            values = rows.column(name).to_pylist()
-            asked[column] = _codes(values)
-            if all(x is not None for x in values):
-                # every query names one, so the filter goes into the scan
-                source = source.filter(F.col(column).isin(sorted(set(values))))
-        columns += list(asked)
-    probes = _matrix(rows.column(buckets).combine_chunks()) if buckets else None
-    if buckets:
-        columns.append(buckets)
-
-    def admitted(batch: pa.RecordBatch, vec_ids: np.ndarray) -> np.ndarray:
-        ok = np.ones((len(ids), batch.num_rows), dtype=bool)
-        for column, (codes, known) in asked.items():
-            have = pc.fill_null(pc.index_in(batch.column(column), value_set=known), -2)
-            have = have.to_numpy(zero_copy_only=False)
-            ok &= (codes[:, None] < 0) | (codes[:, None] == have[None, :])
-        if probes is not None:
-            have = _matrix(batch.column(buckets))
-            near = np.zeros_like(ok)
-            for t in range(probes.shape[1]):
-                near |= probes[:, t][:, None] == have[:, t][None, :]
-            ok &= near
-        if exclude_self:
-            ok &= ids[:, None] != vec_ids[None, :]
-        return ok
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def score_cells(queries: DataFrame, chunks: DataFrame, k: int, exclude_self: bool = False, block: int = BLOCK_ROWS) -> DataFrame:
+    """(query_id, vec_id, score): for each query (query_id, embedding, cell) the k best
+    chunks (vec_id, embedding, cell) of its cell, from each block of the cell.
+
+    Everything stays in the cluster: the queries and the chunks of a cell are cut into
+    blocks of about ``block`` rows, and every pair of blocks is one group, scored by matrix
+    products. A frequent cell is therefore many groups, no group is larger than two
+    blocks, and k rows per query leave a group, never the pairs.
+    """
+    size = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / block).alias(name))
+    cells = pin_if_small(size(queries, "q_blocks").join(size(chunks, "c_blocks"), "cell"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    own = lambda key, n: F.pmod(F.xxhash64(key), F.col(n))
+    q = queries.join(cells, "cell").select("cell", own("query_id", "q_blocks").alias("qb"), every("c_blocks").alias("cb"), "query_id", "embedding")
+    c = chunks.join(cells, "cell").select("cell", own("vec_id", "c_blocks").alias("cb"), every("q_blocks").alias("qb"), "vec_id", "embedding")
+
+    def score(asked: pa.Table, held: pa.Table) -> pa.Table:
         best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        step = max(BLOCK_SCORES // len(ids), 64)
-        for whole in batches:
-            for start in range(0, whole.num_rows, step):
-                batch = whole.slice(start, step)
-                vec_ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
-                block = _matrix(batch.column("embedding")).astype(np.float64)
+        if asked.num_rows and held.num_rows:
+            ids = asked.column("query_id").to_numpy()
+            vec_ids = held.column("vec_id").to_numpy()
+            matrix = _matrix(asked.column("embedding").combine_chunks()).astype(np.float64)
+            block_rows = _matrix(held.column("embedding").combine_chunks()).astype(np.float64)
+            step = max(BLOCK_SCORES // len(ids), 64)
+            for start in range(0, len(vec_ids), step):
+                there = vec_ids[start : start + step]
                 # rounded, so that equal vectors tie whatever block they are in
-                scores = np.round(matrix @ block.T, 9)
-                scores[~admitted(batch, vec_ids)] = -np.inf
-                if batch.num_rows > k:
+                scores = np.round(matrix @ block_rows[start : start + step].T, 9)
+                if exclude_self:
+                    scores[ids[:, None] == there[None, :]] = -np.inf
+                if len(there) > k:
                     bar = np.partition(scores, -k, axis=1)[:, -k][:, None]
-                    q, c = np.nonzero((scores >= bar) & np.isfinite(scores))
+                    i, j = np.nonzero((scores >= bar) & np.isfinite(scores))
                 else:
-                    q, c = np.nonzero(np.isfinite(scores))
+                    i, j = np.nonzero(np.isfinite(scores))
                 best = _first_k(
-                    np.concatenate([best[0], ids[q]]),
-                    np.concatenate([best[1], vec_ids[c]]),
-                    np.concatenate([best[2], scores[q, c]]),
-                    k,
+                    np.concatenate([best[0], ids[i]]), np.concatenate([best[1], there[j]]), np.concatenate([best[2], scores[i, j]]), k
                 )
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["query_id", "vec_id", "score"])
+        return pa.table([pa.array(x) for x in best], names=["query_id", "vec_id", "score"])
+
+    groups = ["cell", "qb", "cb"]
+    return q.groupBy(*groups).cogroup(c.groupBy(*groups)).applyInArrow(score, _TOP)
+
+
+def _centres(chunks: DataFrame, lists: int, sample: int, seed: int) -> np.ndarray:
+    """Centres of at most ``lists`` groups, fitted on about ``sample`` vectors by id hash."""
+    share = min(1.0, sample / max(chunks.count(), 1))
+    picked = chunks.filter(F.pmod(F.xxhash64("vec_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    rows = picked.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    n = rows.count()
+    if n <= lists:
+        return np.array([r[0].toArray() for r in rows.collect()])
+    fit = KMeans(k=lists, distanceMeasure="cosine", maxIter=10, seed=seed, initMode="random").fit(rows)
+    return np.array(fit.clusterCenters())
+
+
+def _listed(df: DataFrame, key: str, centres: np.ndarray, n: int) -> DataFrame:
+    """(key, embedding, cell): a row for each of the ``n`` nearest centres."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            near = np.argsort(-(_matrix(batch.column("embedding")) @ centres.T), axis=1, kind="stable")[:, :n]
+            taken = batch.take(pa.array(np.repeat(np.arange(batch.num_rows), near.shape[1])))
+            cell = pa.array([str(c) for c in near.ravel()])
+            yield pa.RecordBatch.from_arrays([*taken.columns, cell], names=[key, "embedding", "cell"])
+
+    return df.select(F.col(key).cast("bigint"), F.col("embedding").cast("array<float>")).mapInArrow(
+        place, f"{key} bigint, embedding array<float>, cell string"
+    )
 
-    return source.select(*columns).mapInArrow(score, _TOP)
 
+def inverted_lists(
+    queries: DataFrame, chunks: DataFrame, lists: int = 64, probes: int = 36, sample: int = 16_384, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """Chunks with the list of their nearest centre, queries with a row per list to search.
 
-def knn_approx(
-    queries: DataFrame,
-    chunks: DataFrame,
-    k: int = 5,
-    tables: int = 4,
-    bucket_length: float = 0.5,
-    seed: int = 42,
-    exclude_self: bool = False,
-) -> DataFrame:
-    """As knn_topk without filters, over only the vectors that share a random-projection
-    bucket with the query in at least one hash table."""
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="__v", outputCol="__h", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
+    Only the centres are fitted on a sample; every vector is put into its list.
+    """
+    centres = _centres(chunks, lists, sample, seed)
+    return _listed(queries, "query_id", centres, probes), _listed(chunks, "vec_id", centres, 1)
 
-    def hashed(df: DataFrame) -> DataFrame:
-        return df.withColumn("__v", array_to_vector(F.col("embedding").cast("array<double>")))
 
-    # the projections depend on the seed and the dimension only, not on the data
-    model = lsh.fit(hashed(chunks).limit(1))
-    codes = F.array(*[vector_to_array(F.col("__h")[t])[0].cast("bigint") for t in range(tables)])
+def knn_approx(
+    queries: DataFrame, chunks: DataFrame, k: int = 5, lists: int = 64, probes: int = 36, exclude_self: bool = False
+) -> DataFrame:
+    """As knn_topk without filters, over only the vectors in the ``probes`` lists nearest to
+    the query. Other vectors are never scored, and none twice; a frequent list is cut into
+    blocks like any cell. More probes find more; as many as lists make the search exact."""
+    q, c = inverted_lists(queries, chunks, lists, probes)
+    return _best(score_cells(q, c, k, exclude_self), k)
 
-    def bucketed(df: DataFrame) -> DataFrame:
-        return model.transform(hashed(df)).withColumn("__codes", codes)
 
-    q, c = bucketed(queries), bucketed(chunks)
-    return knn_topk(q, c, k, filtered=False, exclude_self=exclude_self, buckets="__codes")
+def scored_pairs(queries: DataFrame, chunks: DataFrame, lists: int = 64, probes: int = 36) -> DataFrame:
+    """(approximate, exact): how many pairs of query and vector either search scores."""
+    q, c = inverted_lists(queries, chunks, lists, probes)
+    count = lambda df, name: df.groupBy("cell").agg(F.count(F.lit(1)).alias(name))
+    near = count(q, "q").join(count(c, "c"), "cell").agg(F.sum(F.col("q") * F.col("c")).alias("approximate"))
+    every = queries.agg(F.count(F.lit(1)).alias("q")).join(chunks.agg(F.count(F.lit(1)).alias("c"))).select((F.col("q") * F.col("c")).alias("exact"))
+    return near.join(every)
 
 
 # --- answers -----------------------------------------------------------------
@@ -266,7 +268,6 @@ def retrieve(
     q = q.select(named(key).alias("query_id"), "embedding", "verb", "tense")
     encoded = encode(chunks, "vec_id", "text", v.PASSAGE_PREFIX)
     c = chunks.select("vec_id", "verb_lower", "tense").join(encoded, "vec_id")
-    # chunks are encoded once, however many batches of questions are scored
     hits = knn_topk(q, staged(c, "vectors"), k)
     found = hits.join(chunks.select("vec_id", "text", "verb", "tense", "page"), "vec_id")
     return asked, found.withColumnRenamed("query_id", key)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tallyrow.functions.text import named, strip
 
-_INTEGER = r"^[+-]?[0-9]{1,18}$"
+_INTEGER = r"^[+-]?[0-9]+$"
 _NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?$"
 _BOOLEANS = ["True", "False", "TRUE", "FALSE", "true", "false"]
 
@@ -67,9 +67,11 @@ def load_table(
 
 
 def infer_text_types(df: DataFrame) -> DataFrame:
-    """bigint, double or boolean where every non-null text reads as such.
+    """bigint, decimal, double or boolean where every non-null text reads as such.
 
-    One pass with constant-size state per column; dates stay text.
+    Whole numbers are never rounded: they become bigint where all fit, else decimal(38,0)
+    where all fit, else they stay text. One pass with constant-size state per column; dates
+    stay text.
     """
     texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
     if not texts:
@@ -80,6 +82,8 @@ def infer_text_types(df: DataFrame) -> DataFrame:
         checks += [
             F.count(c).alias(f"n{i}"),
             F.count_if(strip(c).rlike(_INTEGER)).alias(f"i{i}"),
+            F.count_if(strip(c).rlike(_INTEGER) & strip(c).try_cast("bigint").isNotNull()).alias(f"l{i}"),
+            F.count_if(strip(c).rlike(_INTEGER) & strip(c).try_cast("decimal(38,0)").isNotNull()).alias(f"x{i}"),
             F.count_if(strip(c).rlike(_NUMBER)).alias(f"d{i}"),
             F.count_if(c.isin(_BOOLEANS)).alias(f"b{i}"),
         ]
@@ -88,7 +92,10 @@ def infer_text_types(df: DataFrame) -> DataFrame:
     for i, name in enumerate(texts):
         n = seen[f"n{i}"]
         if n and seen[f"i{i}"] == n:
-            target[name] = "bigint"
+            if seen[f"l{i}"] == n:
+                target[name] = "bigint"
+            elif seen[f"x{i}"] == n:
+                target[name] = "decimal(38,0)"
         elif n and seen[f"d{i}"] == n:
             target[name] = "double"
         elif n and seen[f"b{i}"] == n:
@@ -146,7 +153,6 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
 CHUNK_SCHEMA = T.StructType(
     [
         T.StructField("id", T.StringType()),
-        T.StructField("part", T.IntegerType()),
         T.StructField("text", T.StringType()),
         T.StructField(
             "metadata",

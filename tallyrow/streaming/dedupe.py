@@ -12,15 +12,24 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
 
 
-def dedupe_stream(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
-    """First event per key; keys older than the watermark are forgotten, so the state
-    is bounded by the events within ``delay``."""
+def dedupe_stream(stream: DataFrame, key: str, event_time: str, delay: str | None) -> DataFrame:
+    """First event per key.
+
+    ``delay`` is the late-data rule. With one, keys older than the watermark are forgotten,
+    so the state is bounded by the events within ``delay``; an event that comes later than
+    that is left out, and ``run_available`` says how many were. With None every key is
+    remembered and no event is left out, in whatever order files arrive; the state then
+    grows with the keys, so a large finished table is better deduplicated as a batch.
+    """
+    if delay is None:
+        return stream.dropDuplicates([key])
     timed = stream.withColumn(event_time, named(event_time).cast("timestamp"))
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Process what is there, append it to Parquet files and stop."""
+def run_available(stream: DataFrame, path: str, checkpoint: str) -> int:
+    """Process what is there, append it to Parquet files and stop. Returns the number of
+    rows left out because they came later than the watermark allows."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -29,6 +38,8 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
         .start(path)
     )
     query.awaitTermination()
+    operators = [o for p in query.recentProgress for o in p["stateOperators"]]
+    return sum(o["numRowsDroppedByWatermark"] for o in operators)
 
 
 def run_to_table(stream: DataFrame, name: str) -> DataFrame:

@@ -165,15 +165,15 @@ def test_sketch_never_hides_a_narrow_column(spark):
     assert profile.few_valued(df, df.columns) == df.columns
 
 
-@pytest.mark.parametrize("small_rows", [1_000_000, 50, 1])
-def test_exact_quantiles_equal_numpy(spark, small_rows):
+@pytest.mark.parametrize("bracket_rows", [1_000_000, 50, 1])
+def test_exact_quantiles_equal_numpy(spark, bracket_rows):
     rng = np.random.default_rng(1)
     a = rng.normal(0, 100, 3000)
     b = np.where(np.arange(3000) % 3 == 0, 7.0, np.round(rng.exponential(10, 3000), 1))  # hot value
     rows = [(float(x), float(y), None if i % 5 else float(i), None) for i, (x, y) in enumerate(zip(a, b))]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double").repartition(4)
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    got = quantiles.exact_quantiles(df, ["a", "b", "c", "d"], probabilities, small_rows=small_rows)
+    got = quantiles.exact_quantiles(df, ["a", "b", "c", "d"], probabilities, bracket_rows=bracket_rows)
     c = np.arange(0, 3000, 5, dtype=float)
     for name, values in (("a", a), ("b", b), ("c", c)):
         assert np.allclose(got[name], np.quantile(values, probabilities), rtol=0, atol=1e-9)

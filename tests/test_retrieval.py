@@ -81,19 +81,26 @@ def test_chunks(spark, tmp_path):
     assert sorted(map(repr, back.collect())) == sorted(map(repr, built.collect()))
 
 
-def test_a_large_group_is_built_in_parts(spark):
-    """A third of all rows in one group: its parts, joined in order, are the whole text."""
+def test_grid_with_unbreakable_spaces(spark):
+    """White space is Unicode white space, inside forms and between pairs."""
+    text = "• Être To be\nPrésent Passé composé Imparfait Plus-que-parfait\nJe suis\u00a0allé\u00a0vite Tu\u00a0es venu"
+    pages_ = spark.createDataFrame([(1, text), (2, text.replace("\u00a0", " "))], "page bigint, text string")
+    got = {}
+    for r in pages.grid_records(pages.carry_forward(pages.page_lines(pages_, "page"))).collect():
+        got.setdefault(r["page"], []).append((r["tense"], r["pronoun"], r["form"].replace("\u00a0", " ")))
+    assert sorted(got[1]) == sorted(got[2]) and got[1]
+
+
+def test_a_large_group_is_one_chunk(spark):
+    """A third of all rows in one group: gathered in pieces, it is still one row with one id."""
     rows = RECORDS + [("Hot", "to run", "présent", v.PRONOUN_ORDER[i % 13] if i % 5 else "On", f"f{i}", 1, 7 * i) for i in range(300)]
     df = spark.createDataFrame(rows, SCHEMA)
-    whole = {r["id"]: r["text"] for r in chunks.build_chunks(df).collect()}
-    parts = chunks.build_chunks(df, forms_per_part=40).collect()
-    hot = sorted((r for r in parts if r["id"] == "hot_présent"), key=lambda r: r["part"])
-    assert len(hot) > 5 and [r["part"] for r in hot] == list(range(1, len(hot) + 1))
-    assert "\n".join(r["text"] for r in hot) == whole["hot_présent"]
-    assert all(r["metadata"]["num_forms"] == 300 for r in hot)
-    assert all(r["text"].count("\n") <= 42 for r in hot)
-    assert {r["id"]: r["text"] for r in parts if r["part"] == 0} == {k: t for k, t in whole.items() if k != "hot_présent"}
-    assert tuple(chunks.chunk_statistics(chunks.build_chunks(df, forms_per_part=40)).first()) == (3, 3, 2)
+    whole = sorted(map(repr, chunks.build_chunks(df).collect()))
+    for pieces in (1, 40, 1_000):
+        assert sorted(map(repr, chunks.build_chunks(df, forms_per_piece=pieces).collect())) == whole
+    hot = chunks.build_chunks(df, forms_per_piece=40).filter("id = 'hot_présent'").collect()
+    assert len(hot) == 1 and hot[0]["metadata"]["num_forms"] == 300 and hot[0]["text"].count("\n") == 301
+    assert tuple(chunks.chunk_statistics(chunks.build_chunks(df, forms_per_piece=40)).first()) == (3, 3, 2)
 
 
 def test_encoders(spark):
@@ -129,11 +136,11 @@ def vector_tables(spark, n=400, dim=16, copies=True):
     return spark.createDataFrame(q, "query_id bigint, embedding array<float>, verb string, tense string"), c, x.astype(np.float64), rows, q
 
 
-@pytest.mark.parametrize("batch", [16_384, 7])
-def test_topk_equals_brute_force(spark, batch):
+@pytest.mark.parametrize("block", [8_192, 7])
+def test_topk_equals_brute_force(spark, block):
     q, c, x, rows, asked = vector_tables(spark)
     got = {}
-    for r in retrieval.knn_topk(q, c, 5, exclude_self=True, query_batch=batch).orderBy("query_id", "rank").collect():
+    for r in retrieval.knn_topk(q, c, 5, exclude_self=True, block=block).orderBy("query_id", "rank").collect():
         got.setdefault(r["query_id"], []).append(r["vec_id"])
     for qid, _, verb, tense in asked:
         s = np.round(x @ x[qid], 9)
@@ -151,7 +158,11 @@ def test_topk_with_few_vectors(spark):
 def test_approximate_search_finds_most(spark):
     q, c, *_ = vector_tables(spark, 400, copies=False)
     exact = retrieval.knn_topk(q, c, 3, filtered=False).select("query_id", "vec_id")
-    near = retrieval.knn_approx(q, c, 3, tables=6, bucket_length=0.5).select("query_id", "vec_id")
+    near = retrieval.knn_approx(q, c, 3, lists=16, probes=10).select("query_id", "vec_id")
+    pairs = retrieval.scored_pairs(q, c, lists=16, probes=10).first()
+    assert pairs["approximate"] < 0.8 * pairs["exact"] and pairs["exact"] == q.count() * c.count()
+    every = retrieval.knn_approx(q, c, 3, lists=16, probes=16).select("query_id", "vec_id")
+    assert sorted(every.collect()) == sorted(exact.collect())
     assert exact.intersect(near).count() >= 0.8 * exact.count()
     scores = near.join(retrieval.knn_topk(q, c, 400, filtered=False), ["query_id", "vec_id"])
     assert scores.count() == near.count()  # every candidate is a real pair

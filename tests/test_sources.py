@@ -27,6 +27,21 @@ def test_dates_stay_text_and_long_integers_stay_exact(spark, tmp_path):
     assert df.agg(F.max("n")).first()[0] == 900719925474099301
 
 
+def test_whole_numbers_are_never_rounded(spark, tmp_path):
+    rows = [("9223372036854775807", "9223372036854775808", "1" * 38, "1" * 39), ("9223372036854775806", "-5", "2", "3")]
+    (tmp_path / "n.csv").write_text("a,b,c,d\n" + "\n".join(",".join(r) for r in rows) + "\n")
+    df = tables.load_table(spark, str(tmp_path / "n.csv"))
+    assert [t for _, t in df.dtypes] == ["bigint", "decimal(38,0)", "decimal(38,0)", "string"]
+    assert sorted(tuple(map(str, r)) for r in df.collect()) == sorted(rows)
+
+
+def test_news_table(spark, tmp_path):
+    (tmp_path / "news.csv").write_text(',title,text,label\n1,"A, b","line one\nline two",FAKE\n2,C,"quoted ""word""",REAL\n')
+    df = tables.load_table(spark, str(tmp_path / "news.csv"))
+    got = sorted(tuple(r) for r in df.select("text", "label").collect())
+    assert got == [("line one\nline two", "FAKE"), ('quoted "word"', "REAL")]
+
+
 def test_json_and_parquet(spark, tmp_path):
     (tmp_path / "t.json").write_text('[{"a": 1, "b": "x"},\n {"a": null, "b": "N/A"}]')
     assert sorted(map(tuple, tables.load_table(spark, str(tmp_path / "t.json")).collect()), key=repr) == [(1, "x"), (None, "N/A")]

@@ -94,6 +94,22 @@ def test_dedupe_stream(spark, tmp_path):
     assert out.count() == 7
 
 
+def test_unordered_files_lose_nothing_or_are_counted(spark, tmp_path):
+    """Four files out of time order, without repeated keys."""
+    from tallyrow.session import scratch_path
+    from tallyrow.streaming import dedupe
+
+    df = spark.range(230).selectExpr("id AS key", "timestamp_seconds(1700000000 + ((id * 37) % 230) * 600) AS ts")
+    df.repartition(4, "key").write.parquet(str(tmp_path / "in"))
+    for files in (1, 1000):
+        stream = dedupe.file_stream(spark, str(tmp_path / "in"), df.schema, max_files=files)
+        assert dedupe.run_to_table(dedupe.dedupe_stream(stream, "key", "ts", None).select("key"), "keys").count() == 230
+        target = scratch_path(spark, "late")
+        late = dedupe.run_available(dedupe.dedupe_stream(stream, "key", "ts", "1 hour").select("key"), target + "/data", target + "/checkpoint")
+        kept = spark.read.parquet(target + "/data").count()
+        assert kept + late == 230 and (late > 0) == (files == 1)
+
+
 def test_split_is_exact_and_stable(spark):
     df = spark.range(1003).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("label"))
     a = evaluation.stratified_split(df, "id", "label").persist()
@@ -212,6 +228,16 @@ def test_text_classifier_learns(spark):
     assert evaluation.accuracy(scored, "label", "predicted").first()["accuracy"] > 0.9
 
 
+def test_classifier_features_do_not_depend_on_the_vocabulary(spark):
+    """One path whatever the number of terms: common terms are cut, all others hashed."""
+    df = spark.createDataFrame([(i, f"everywhere term{i} other{i % 7}", "ab"[i % 2]) for i in range(60)], "id bigint, text string, label string")
+    small, _ = models.fit_text_classifier(df, "text", "label", "a", features=64)
+    large, _ = models.fit_text_classifier(df, "text", "label", "a")
+    assert [type(s) for s in small.stages] == [type(s) for s in large.stages]
+    counts = large.transform(df).select("features").collect()
+    assert all(len(r["features"].indices) == 2 for r in counts)  # without "everywhere"
+
+
 def test_vectors_equal_the_weight_table(spark):
     """The ML features and the TF-IDF table are the same numbers."""
     df = spark.createDataFrame([(1, "alpha beta beta", 1.0), (2, "beta gamma", 0.0), (3, "delta", 0.0), (4, "delta alpha", 1.0)], "id bigint, text string, label double")
