@@ -26,6 +26,7 @@ from operator import eq
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyrow.llm.common import cut
@@ -33,6 +34,8 @@ from tallyrow.llm.common import cut
 BAD, GOOD, NONE = 1, 0, -1
 #: Documents the scorer is trained on, at most about.
 TRAIN_ROWS = 10_000
+#: Of the scorer: L1 penalty and rounds of its solver.
+PENALTY, ROUNDS = 2e-4, 300
 #: Labelled documents that word stems are learnt from, at most about.
 LABEL_ROWS = 40_000
 #: Lengths of stems in bytes, by heuristic; a stem must be in this share of the toxic
@@ -273,37 +276,61 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
-    """Weak labels of all documents; the scorer on those of a bounded sample by text hash."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.linalg import Vectors, VectorUDT
-    from pyspark.sql import types as T
+def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Weights and intercept of a logistic regression with an L1 penalty on soft labels ``p``,
+    by accelerated proximal gradient. ``rows`` and ``at`` are the example and the feature of
+    each set feature."""
+    n = len(p)
+    prior = min(max(float(p.mean()) if n else 0.0, 1e-6), 1 - 1e-6)
+    w, v, b, c, t = np.zeros(FEATURES), np.zeros(FEATURES), math.log(prior / (1 - prior)), math.log(prior / (1 - prior)), 1.0
+    if p.max(initial=0.0) < 0.5:  # nothing to learn
+        return w, b
+    # the largest eigenvalue of the Gram matrix bounds the step
+    x = np.ones(FEATURES)
+    for _ in range(15):
+        x = np.bincount(at, np.bincount(rows, x[at], n)[rows], FEATURES) + 1e-12
+        largest = float(np.linalg.norm(x))
+        x /= largest
+    step = 4 * n / (largest + n)
+    for _ in range(rounds):
+        margin = np.bincount(rows, v[at], n) + c
+        off = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - p) / n
+        new = v - step * np.bincount(at, off[rows], FEATURES)
+        new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
+        new_b, new_t = c - step * off.sum(), (1 + math.sqrt(1 + 4 * t * t)) / 2
+        v, c = new + (t - 1) / new_t * (new - w), new_b + (t - 1) / new_t * (new_b - b)
+        w, b, t = new, new_b, new_t
+    return w, float(b)
+
 
+def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
+    """Weak labels of all documents; the scorer on those of a bounded sample by text hash,
+    whose features (numbers of hashed words) come to the driver."""
     stems = learn_stems(docs, labels, doc_id, text) if labels is not None else {}
     found = label(docs, stems, text)
     total = docs.count()
     share = min(1.0, train_rows / max(total, 1))
     sample = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text).alias("text"))
-    schema = T.StructType([T.StructField("x", VectorUDT()), *[T.StructField(a, T.DoubleType()) for a in ASPECTS]])
-
-    @F.udf(schema)
-    def example(words):
-        d = look(words)
-        cast = votes(d, stems)
-        at = np.sort(features(d, cast))
-        return (Vectors.sparse(FEATURES, at.tolist(), np.ones(len(at)).tolist()), *[found[a].posterior.get(_code(cast[a]), found[a].prior) for a in ASPECTS])
 
-    examples = cut(sample.select(example("text").alias("e")).select("e.*").coalesce(8))
+    def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for t in batch["text"]:
+                d = look(t)
+                cast = votes(d, stems)
+                at = np.sort(features(d, cast))
+                rows.append((xxhash.xxh64_intdigest(d.raw) >> 1, at.astype("<i4").tobytes(), *[_code(cast[a]) for a in ASPECTS]))
+            yield pd.DataFrame(rows, columns=["h", "at", *ASPECTS])
+
+    schema = "h long, at binary, " + ", ".join(f"{a} string" for a in ASPECTS)
+    got = sorted(sample.mapInPandas(examples, schema).collect())
+    each = [np.frombuffer(r["at"], "<i4") for r in got]
+    at = np.concatenate(each or [np.zeros(0, np.int32)]).astype(np.int64)
+    rows = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)
     weights, intercepts = np.zeros((len(ASPECTS), FEATURES)), np.zeros(len(ASPECTS))
     for k, aspect in enumerate(ASPECTS):
-        sides = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col(aspect).alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col(aspect)).alias("w"))))
-        rows = examples.select("x", sides.alias("s")).select("x", "s.label", "s.w").filter("w > 1e-4")
-        if rows.select("label").distinct().count() < 2:
-            prior = min(max(found[aspect].prior, 1e-6), 1 - 1e-6)
-            intercepts[k] = math.log(prior / (1 - prior))
-            continue
-        fit = LogisticRegression(featuresCol="x", weightCol="w", regParam=2e-4, elasticNetParam=1.0, maxIter=30, standardization=False, tol=1e-5).fit(rows)
-        weights[k], intercepts[k] = fit.coefficients.toArray(), fit.intercept
+        p = np.array([found[aspect].posterior.get(r[aspect], found[aspect].prior) for r in got], float)
+        weights[k], intercepts[k] = fit_linear(rows, at, p)
     return Scorer(weights, intercepts, stems)
 
 
