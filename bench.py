@@ -24,7 +24,7 @@ HEADLINE = [
     "postings_clean", "postings_dedup", "flag_rates_by_label", "load_relational", "fk_violations", "stream_dedupe",
     "stratified_split", "classification_report", "lr_fit", "tfidf_weights", "linear_text_classifier",
     "section_carry_forward", "grid_records", "chunk_build", "encode_batch",
-    "detect_entity", "knn_topk", "knn_topk_filtered", "knn_approx", "direct_answer", "retrieval_accuracy",
+    "detect_entity", "knn_topk", "knn_topk_filtered", "knn_approx", "direct_answer", "answer_questions", "retrieval_accuracy",
 ]
 
 

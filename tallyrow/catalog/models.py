@@ -64,6 +64,38 @@ def lr_fit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("lr_fit_optimum", "SELECT 10 AS parameters, true AS vanishing")
+def lr_fit_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """The objective's gradient is zero at the fitted model."""
+    train, _ = _split_features(spark, sf)
+    gradient = models.objective_gradient(models.fit_logistic(train), train)
+    return gradient.agg(F.count(F.lit(1)).cast("int").alias("parameters"), (F.max(F.abs("gradient")) < 1e-5).alias("vanishing"))
+
+
+@query("lr_coefficients_ranked", "SELECT unnest(range(1, 10))::INTEGER AS place, true AS ranked")
+def lr_coefficients_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """Every feature once, the largest absolute value first."""
+    train, _ = _split_features(spark, sf)
+    found = models.coefficients(models.fit_logistic(train), train)
+    smaller = found.select((F.col("place") + 1).alias("place"), F.abs("coefficient").alias("above"))
+    ranked = F.coalesce(F.abs("coefficient") <= F.col("above"), F.lit(True))
+    return found.join(smaller, "place", "left").select("place", ranked.alias("ranked"))
+
+
+@query(
+    "model_predictions_table",
+    f"WITH {_SPLIT} SELECT doc_id AS job_id, true AS probability, true AS label_agrees, 'lr-1' AS model_version FROM split WHERE is_test",
+)
+def model_predictions_table(spark: SparkSession, sf: str) -> DataFrame:
+    """One prediction per test row, with a probability and the label that follows from it."""
+    train, test = _split_features(spark, sf)
+    p = models.predict(models.fit_logistic(train), test)
+    return p.select(
+        "job_id", F.col("predicted_prob").between(0, 1).alias("probability"),
+        ((F.col("predicted_prob") > 0.5) == F.col("predicted_label")).alias("label_agrees"), "model_version",
+    )
+
+
 @query("lr_coefficients")
 def lr_coefficients(spark: SparkSession, sf: str) -> DataFrame:
     train, _ = _split_features(spark, sf)
@@ -158,3 +190,14 @@ def linear_text_classifier(spark: SparkSession, sf: str) -> DataFrame:
     vectors, model = models.fit_text_classifier(train, "text", "label", "REAL")
     predicted = models.classify_text(vectors, model, test, ("FAKE", "REAL"))
     return evaluation.confusion_matrix(predicted, "label", "predicted", ["FAKE", "REAL"])
+
+
+@query(
+    "linear_text_classifier_totals",
+    """SELECT CASE quality WHEN 1 THEN 'REAL' ELSE 'FAKE' END AS truth, CAST(ceil(round(count(*) * 0.2, 9)) AS BIGINT) AS rows
+    FROM labels JOIN documents USING (doc_id) GROUP BY 1""",
+)
+def linear_text_classifier_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Every held-out row of a class is predicted once."""
+    matrix = linear_text_classifier(spark, sf)
+    return matrix.select("truth", (F.col("predicted_FAKE") + F.col("predicted_REAL")).alias("rows"))

@@ -25,7 +25,7 @@ from tallyrow.operators.tfidf import STOP_WORDS
 
 # Slots that terms are hashed into. The model is a driver-side vector of this length,
 # whatever the vocabulary; a caller who wants fewer collisions sets more.
-MODEL_FEATURES = 1 << 20
+MODEL_FEATURES = 1 << 16
 
 
 def feature_matrix(df: DataFrame, key: str = "job_id", label: str = "fraudulent") -> DataFrame:
@@ -52,6 +52,23 @@ def fit_logistic(train: DataFrame, c: float = 1.0, max_iter: int = 1000) -> Logi
     return solver.fit(assembled)
 
 
+def objective_gradient(model: LogisticRegressionModel, train: DataFrame, c: float = 1.0) -> DataFrame:
+    """(parameter, gradient) of the penalised objective at the fitted model; at the optimum
+    all are zero."""
+    weighted = with_class_weights(train, "label")
+    margin = F.lit(float(model.intercept))
+    for name, x in zip(v.FEATURES, model.coefficients):
+        margin = margin + named(name) * float(x)
+    off = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col("label"))
+    rows = train.count()
+    penalty = {name: float(x) / (c * rows) for name, x in zip(v.FEATURES, model.coefficients)}
+    sums = weighted.agg(
+        *[(F.sum(off * named(n)) / F.sum("weight") + F.lit(penalty[n])).alias(n) for n in v.FEATURES],
+        (F.sum(off) / F.sum("weight")).alias("intercept"),
+    )
+    return sums.unpivot([], sums.columns, "parameter", "gradient")
+
+
 def coefficients(model: LogisticRegressionModel, df: DataFrame) -> DataFrame:
     """(place, feature, coefficient), largest absolute value first."""
     pairs = sorted(zip(v.FEATURES, (float(x) for x in model.coefficients)), key=lambda p: -abs(p[1]))
