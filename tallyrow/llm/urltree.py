@@ -80,7 +80,7 @@ def templates(rows: DataFrame) -> DataFrame:
         sums = [F.sum(c).alias(c) for c in ("pages", "seen", "bad")]
         children = here.withColumn("pages", F.lit(1)).groupBy("host", "node", "seg").agg(*sums)
         parents = children.groupBy("host", "node").agg(*[F.sum(c).alias(f"all_{c}") for c in ("pages", "seen", "bad")])
-        children = children.join(parents, ["host", "node"])
+        children = children.join(small_side(parents, BROADCAST_ROWS), ["host", "node"])
         stays = (F.col("pages") >= MIN_PAGES) & (F.col("pages") >= MIN_SHARE * F.col("all_pages")) & (F.lit(level) <= MAX_DEPTH)
         branches = (
             children.withColumn("name", F.when(stays, F.col("seg")).otherwise(F.lit("*")))
