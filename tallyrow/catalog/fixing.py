@@ -29,13 +29,13 @@ def fix_placeholders(spark: SparkSession, sf: str) -> DataFrame:
     return _fixed(spark, sf, "email", "placeholders_to_null")
 
 
-_CITY_PAIRS = [("MUMBAI", "mumbai"), ("bangalore", "Bengaluru"), ("Bengaluru", "Bengaluru City"), (" MUMBAI", "Mumbai")]
+_CITY_PAIRS = [("GENEVA", "geneva"), ("lisboa", "Lisbon"), ("Lisbon", "Lisbon City"), (" GENEVA", "Geneva")]
 
 
 @query(
     "fix_standardize",
-    f"""WITH {sql.MESSY} SELECT row_pos, CASE {sql.strip('city')} WHEN 'MUMBAI' THEN 'Mumbai' WHEN 'bangalore' THEN 'Bengaluru'
-    WHEN 'Bengaluru' THEN 'Bengaluru City' ELSE city END AS city FROM messy""",
+    f"""WITH {sql.MESSY} SELECT row_pos, CASE {sql.strip('city')} WHEN 'GENEVA' THEN 'Geneva' WHEN 'lisboa' THEN 'Lisbon'
+    WHEN 'Lisbon' THEN 'Lisbon City' ELSE city END AS city FROM messy""",
 )
 def fix_standardize(spark: SparkSession, sf: str) -> DataFrame:
     pairs = [{"from_value": a, "to_value": b} for a, b in _CITY_PAIRS]
@@ -159,7 +159,7 @@ CLEANUP = [
     {"action": "placeholders_to_null", "column": "order_date"},
     {"action": "strip_whitespace", "column": "city"},
     {"action": "strip_whitespace", "column": "customer_name"},
-    {"action": "standardize_values", "column": "city", "replacements": [{"from_value": "MUMBAI", "to_value": "Mumbai"}, {"from_value": "bangalore", "to_value": "Bengaluru"}]},
+    {"action": "standardize_values", "column": "city", "replacements": [{"from_value": "GENEVA", "to_value": "Geneva"}, {"from_value": "lisboa", "to_value": "Lisbon"}]},
     {"action": "nullify_values", "column": "quantity", "rule": "outlier"},
     {"action": "nullify_values", "column": "quantity", "rule": "negative"},
     {"action": "no_action", "column": "email"},
@@ -171,7 +171,7 @@ CLEANUP = [
 CLEANED = sql.MESSY + f""",
 s1 AS (SELECT row_pos, order_id, {sql.strip('customer_name')} AS customer_name, {sql.strip('city')} AS c1, order_date, quantity, amount, email, city, customer_name AS name0 FROM messy),
 s2 AS (SELECT *, CASE WHEN NOT {sql.placeholder('email')} THEN email END AS email2, CASE WHEN NOT {sql.placeholder('order_date')} THEN order_date END AS date2,
-  CASE c1 WHEN 'MUMBAI' THEN 'Mumbai' WHEN 'bangalore' THEN 'Bengaluru' ELSE c1 END AS city2, {sql.loose_number('amount')} AS amount2 FROM s1),
+  CASE c1 WHEN 'GENEVA' THEN 'Geneva' WHEN 'lisboa' THEN 'Lisbon' ELSE c1 END AS city2, {sql.loose_number('amount')} AS amount2 FROM s1),
 s3 AS (SELECT *, {sql.any_date('date2')} AS date3 FROM s2),
 lim AS (SELECT quantile_cont(quantity, 0.25) AS q1, quantile_cont(quantity, 0.75) AS q3 FROM messy),
 s4 AS (SELECT *, CASE WHEN quantity BETWEEN q1 - 3*(q3-q1) AND q3 + 3*(q3-q1) THEN quantity END AS quantity3 FROM s3, lim),

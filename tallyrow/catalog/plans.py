@@ -32,7 +32,7 @@ _MISTAKES = [
     (102, ["I03"], "fill_missing", None, None, None, "median", None, "no column", "safe"),
     (103, ["I03"], "drop_column", "no_such", None, None, None, None, "bad column", "safe"),
     (104, ["I03"], "standardize_values", "city", [], None, None, None, "no pairs", "safe"),
-    (105, ["I03"], "standardize_values", "city", [("Atlantis", "Mumbai"), ("MUMBAI", "Mumbai")], None, None, None, "absent value", "safe"),
+    (105, ["I03"], "standardize_values", "city", [("Atlantis", "Geneva"), ("GENEVA", "Geneva")], None, None, None, "absent value", "safe"),
     (106, ["I03"], "nullify_values", "quantity", None, None, None, None, "no rule", "safe"),
     (107, ["I03"], "fill_missing", "email", None, None, None, None, "no fill", "safe"),
     (108, ["I03"], "fill_missing", "email", None, None, "constant", None, "no constant", "safe"),

@@ -53,15 +53,15 @@ base AS (
 dirty AS (
   SELECT k AS order_id,
     CASE WHEN k%41=0 THEN c_name || '  ' ELSE c_name END AS customer_name,
-    CASE WHEN k%25=0 THEN 'bangalore' WHEN k%40=1 THEN 'Bengaluru ' WHEN k%50=2 THEN 'MUMBAI'
-         ELSE ['Bengaluru','Mumbai','Delhi','Chennai','Hyderabad'][k%5+1] END AS city,
+    CASE WHEN k%25=0 THEN 'lisboa' WHEN k%40=1 THEN 'Lisbon ' WHEN k%50=2 THEN 'GENEVA'
+         ELSE ['Lisbon','Geneva','Turin','Basel','Krakow'][k%5+1] END AS city,
     CASE WHEN k%67=0 THEN 'not recorded' WHEN k%83=0 THEN '31/02/2024'
          ELSE strftime(o_orderdate, '%Y-%m-%d') END AS order_date,
     CAST(CASE WHEN k%167=0 THEN 900 WHEN k%251=0 THEN -3 ELSE k%9+1 END AS BIGINT) AS quantity,
-    CASE WHEN k%29=0 THEN 'N/A' WHEN k%50=0 THEN '₹1,999'
+    CASE WHEN k%29=0 THEN 'N/A' WHEN k%50=0 THEN '€2,750'
          ELSE CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS VARCHAR) END AS amount,
     CASE WHEN k%17=0 THEN NULL WHEN k%33=0 THEN 'N/A' ELSE 'user' || k || '@example.com' END AS email,
-    'INR' AS currency
+    'CHF' AS currency
   FROM base),
 messy AS (
   SELECT *, order_id AS row_pos FROM dirty

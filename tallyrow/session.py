@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,7 +38,8 @@ _LOCAL_ROOTS: dict[str, str] = {}
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by spark.checkpoint.dir.
 
-    Only a local session may run without one; it then gets a folder of its own.
+    Only a local session may run without one; it then gets a folder of its own, which goes
+    when the process ends. What is written to a named folder is the session owner's to remove.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -46,6 +49,7 @@ def scratch_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     if context.applicationId not in _LOCAL_ROOTS:
         folder = tempfile.mkdtemp(prefix="tallyrow-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         context.setCheckpointDir(folder)
         _LOCAL_ROOTS[context.applicationId] = folder
     return _LOCAL_ROOTS[context.applicationId]

@@ -38,15 +38,15 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = orders.join(customers, orders.o_custkey == customers.c_custkey)
     k = F.col("k")
     city = F.element_at(
-        F.array(*[F.lit(c) for c in ("Bengaluru", "Mumbai", "Delhi", "Chennai", "Hyderabad")]),
+        F.array(*[F.lit(c) for c in ("Lisbon", "Geneva", "Turin", "Basel", "Krakow")]),
         (k % 5 + 1).cast("int"),
     )
     rows = base.select(
         k.alias("order_id"),
         F.when(_every("k", 41), F.concat("c_name", F.lit("  "))).otherwise(F.col("c_name")).alias("customer_name"),
-        F.when(_every("k", 25), "bangalore")
-        .when(_every("k", 40, 1), "Bengaluru ")
-        .when(_every("k", 50, 2), "MUMBAI")
+        F.when(_every("k", 25), "lisboa")
+        .when(_every("k", 40, 1), "Lisbon ")
+        .when(_every("k", 50, 2), "GENEVA")
         .otherwise(city)
         .alias("city"),
         F.when(_every("k", 67), "not recorded")
@@ -55,14 +55,14 @@ def messy_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("order_date"),
         F.when(_every("k", 167), 900).when(_every("k", 251), -3).otherwise(k % 9 + 1).cast("bigint").alias("quantity"),
         F.when(_every("k", 29), "N/A")
-        .when(_every("k", 50), "₹1,999")
+        .when(_every("k", 50), "€2,750")
         .otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
         .alias("amount"),
         F.when(_every("k", 17), F.lit(None))
         .when(_every("k", 33), "N/A")
         .otherwise(F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")))
         .alias("email"),
-        F.lit("INR").alias("currency"),
+        F.lit("CHF").alias("currency"),
     )
     # every copied row follows all original rows
     copies = F.when(_every("order_id", 33, 5), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
