@@ -35,7 +35,7 @@ BAD, GOOD, NONE = 1, 0, -1
 #: Documents the scorer is trained on, at most about.
 TRAIN_ROWS = 10_000
 #: Of the scorer: L1 penalty and rounds of its solver.
-PENALTY, ROUNDS = 2e-4, 300
+PENALTY, ROUNDS = 2e-4, 200
 #: Labelled documents that word stems are learnt from, at most about.
 LABEL_ROWS = 40_000
 #: Lengths of stems in bytes, by heuristic; a stem must be in this share of the toxic
@@ -278,29 +278,34 @@ class Scorer:
 
 def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression with an L1 penalty on soft labels ``p``,
-    by accelerated proximal gradient. ``rows`` and ``at`` are the example and the feature of
-    each set feature."""
+    by accelerated proximal gradient with restarts. ``rows`` and ``at`` are the example and the
+    feature of each set feature."""
     n = len(p)
     prior = min(max(float(p.mean()) if n else 0.0, 1e-6), 1 - 1e-6)
-    w, v, b, c, t = np.zeros(FEATURES), np.zeros(FEATURES), math.log(prior / (1 - prior)), math.log(prior / (1 - prior)), 1.0
+    weights, b = np.zeros(FEATURES), math.log(prior / (1 - prior))
     if p.max(initial=0.0) < 0.5:  # nothing to learn
-        return w, b
-    # the largest eigenvalue of the Gram matrix bounds the step
-    x = np.ones(FEATURES)
-    for _ in range(15):
-        x = np.bincount(at, np.bincount(rows, x[at], n)[rows], FEATURES) + 1e-12
-        largest = float(np.linalg.norm(x))
-        x /= largest
-    step = 4 * n / (largest + n)
+        return weights, b
+    used, at = np.unique(at, return_inverse=True)
+    m = len(used)
+    w, v, c, t = np.zeros(m), np.zeros(m), b, 1.0
+    # a step for each feature: the Gram matrix is bounded by its row sums
+    length = np.bincount(rows, minlength=n) + 1.0
+    step, step_b = 4 * n / np.bincount(at, length[rows], m), 4 * n / length.sum()
     for _ in range(rounds):
         margin = np.bincount(rows, v[at], n) + c
         off = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - p) / n
-        new = v - step * np.bincount(at, off[rows], FEATURES)
+        new = v - step * np.bincount(at, off[rows], m)
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
-        new_b, new_t = c - step * off.sum(), (1 + math.sqrt(1 + 4 * t * t)) / 2
+        new_b, new_t = c - step_b * off.sum(), (1 + math.sqrt(1 + 4 * t * t)) / 2
+        if ((v - new) / step) @ (new - w) + (c - new_b) / step_b * (new_b - b) > 0:  # the momentum points uphill
+            new_t = t = 1.0
+        moved = max(float(np.abs(new - w).max(initial=0.0)), abs(new_b - b))
         v, c = new + (t - 1) / new_t * (new - w), new_b + (t - 1) / new_t * (new_b - b)
         w, b, t = new, new_b, new_t
-    return w, float(b)
+        if moved < 1e-5:
+            break
+    weights[used] = w
+    return weights, float(b)
 
 
 def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
