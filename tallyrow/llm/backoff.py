@@ -1,21 +1,21 @@
-"""Language-model scoring with a weighted backoff automaton.
+"""Language-model scoring with a backoff model of up to three words.
 
-The model is an n-gram model with absolute discounting. Single words are counted exactly,
-whatever their number. Longer n-grams enter when they make up at least ``gram_share`` of all
-training tokens: each block of tokens names those that reach the share inside the block (an
-n-gram that reaches it overall must do so in some block) and says how often any other can
-occur in it at most. Those whose named counts and possible rest reach the share are counted
-exactly in a second pass. The share bounds the automaton by order / gram_share arcs, so every task can hold it.
+The model is an n-gram model with absolute discounting. Words are counted exactly, whatever
+their number; an n-gram of 2 or 3 words enters when it occurs at least ``min_count`` times in
+the training tokens, so the model grows with the text. Blocks of tokens count their n-grams,
+and a shuffle adds them up. A caller who sets ``gram_share`` lets n-grams enter from that share
+of all tokens instead.
 
-States are the contexts that some kept n-gram continues. A state's arcs carry the log
-probabilities of its kept continuations; a word without an arc follows the failure arc to the
-next shorter context at the price of the backoff weight, down to the root. One traversal from
-left to right carries the state and adds up.
+A word after a context costs the log probability of its arc, or the context's backoff weight
+and what the word costs after the next shorter context. That is a sum over the n-grams of a
+text: each word brings its unigram log probability and the weight of the context it opens, each
+kept n-gram what its arc saves against the shorter context and the weight of the context it
+opens, any other n-gram nothing. So a text's score is the sum of the values of its n-grams.
 
-Words below ``word_share`` of the tokens are not sent to the tasks: they can occur in no kept
-n-gram, so the traversal pays the failure arcs to the root, and a join with the counts adds
-their unigram probabilities. A word unseen in training gets the probability of the unknown
-class, the mass that discounting took from the known words.
+Every task holds the values of words from ``word_share`` and of n-grams from ``held_share`` of
+the tokens, which are bounded in number and hold every hot key; all other words and n-grams of a
+text are joined with the table of values. A word unseen in training gets the probability of the
+unknown class, the mass that discounting took from the known words.
 
 A null text is empty and consists of the end token only. A null id counts as an empty id text.
 Without training tokens every token is unknown, with probability one.
@@ -24,27 +24,30 @@ Without training tokens every token is unknown, with probability one.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import count as counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tallyrow.llm.common import cut
 from tallyrow.operators.sizing import staged
 
 #: No word holds a line end, so it names the end of a text.
 END = "\n"
-WORD_SHARE = 1e-6
-GRAM_SHARE = 1e-5
+#: An n-gram of 2 or 3 words enters the model when it occurs so often.
+MIN_COUNT = 2
+#: Tasks hold the values of words and of n-grams from these shares of all tokens.
+WORD_SHARE, HELD_SHARE = 1e-6, 1e-5
 DISCOUNT = 0.5
-#: Tokens of a block.
-BLOCK = 3_000_000
-#: Candidate n-grams counted in one pass over the texts.
-CANDIDATES = 200_000
+#: Tokens of a block that is counted, and of one that is scored.
+BLOCK, SCORED = 1_000_000, 300_000
+#: Rows handed to Spark at a time.
+ROWS = 50_000
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -56,25 +59,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END.encode()]
 
 
-def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[list[bytes]]:
-    for batch in batches:
-        for text in batch["text"]:
-            yield tokens(text)
-
-
-def _runs(ids: np.ndarray, ok: np.ndarray, order: int, end: int) -> np.ndarray:
-    """Starts of n-grams of allowed words that do not cross an end."""
-    n = len(ids) - order + 1
-    if n <= 0:
-        return np.zeros(0, np.int64)
-    fine = np.ones(n, bool)
-    for k in range(order):
-        fine &= ok[ids[k : k + n]]
-        if k < order - 1:
-            fine &= ids[k : k + n] != end
-    return np.flatnonzero(fine)
-
-
 class Block:
     """Tokens of consecutive texts, as numbers."""
 
@@ -88,205 +72,167 @@ class Block:
         self.lines.append(np.fromiter(map(self.number.__getitem__, line), np.int32, len(line)))
         self.size += len(line)
 
-    def counts(self, gram_share: float) -> pd.DataFrame:
-        """(n, gram, count, slack): all words; n-grams of 2 and 3 words that reach the share
-        here; and, as n = 0, the block's slack: an n-gram left out occurs at most that often."""
+    def grams(self, of: np.ndarray | None = None) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+        """For n = 1 to 3: n, the distinct n-grams, and for each pair of a group and an n-gram
+        in it: the group, the n-gram's place, its count. ``of`` is the group of each token;
+        without it all are one group. No n-gram crosses an end."""
         ids = np.concatenate(self.lines).astype(np.int64)
-        names = [w.decode() for w in self.number]
-        counts = np.bincount(ids, minlength=len(names))
-        least = max(1, math.ceil(gram_share * len(ids)))
-        grams = [(0, "", 0)] + [(1, w, c) for w, c in zip(names, counts.tolist()) if c]
-        two = _runs(ids, counts >= least, 2, self.end)
-        pairs, of, n = np.unique(ids[two] * len(names) + ids[two + 1], return_inverse=True, return_counts=True)
-        grams += [(2, f"{names[p // len(names)]} {names[p % len(names)]}", c) for p, c in zip(pairs[n >= least].tolist(), n[n >= least].tolist())]
-        pair_at = np.full(len(ids) + 1, -1, np.int64)
-        often = n[of] >= least
-        pair_at[two[often]] = of[often]
-        three = np.flatnonzero((pair_at[:-2] >= 0) & (pair_at[1:-1] >= 0)) if len(ids) > 2 else np.zeros(0, np.int64)
-        triples, n = np.unique(pair_at[three] * len(names) + ids[three + 2], return_counts=True)
-        for t, c in zip(triples[n >= least].tolist(), n[n >= least].tolist()):
-            p, w = pairs[t // len(names)], t % len(names)
-            grams.append((3, f"{names[p // len(names)]} {names[p % len(names)]} {names[w]}", c))
-        out = pd.DataFrame(grams, columns=["n", "gram", "count"])
-        out["slack"] = np.where(out["n"] == 1, 0, least - 1)
-        return out
-
-
-def counts(training: DataFrame, gram_share: float = GRAM_SHARE, block: int = BLOCK) -> DataFrame:
-    """(n, gram, count, slack), summed: the counts of all words are exact; those of n-grams
-    lack the blocks that left them out, whose slack is not in their own."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = Block()
-        for line in _texts(batches):
-            held.add(line)
+        of = np.zeros(len(ids), np.int64) if of is None else of
+        names = pa.array([w.decode() for w in self.number], pa.string())
+        held, at, which = names, np.arange(len(ids)), ids
+        for n in (1, 2, 3):
+            if n > 1:  # longer by the next word
+                on = ids[at + n - 2] != self.end
+                at = at[on]
+                longer, which = np.unique(which[on] * len(names) + ids[at + n - 1], return_inverse=True)
+                held = pc.binary_join_element_wise(held.take(pa.array(longer // len(names))), names.take(pa.array(longer % len(names))), " ")
+            pairs, times = np.unique(of[at] * max(len(held), 1) + which, return_counts=True)
+            yield n, held, pairs // max(len(held), 1), pairs % max(len(held), 1), times
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[Block, list[pa.RecordBatch]]]:
+    """Blocks of about ``block`` tokens, each with the rows its texts come from."""
+    held, rows = Block(), []
+    for batch in batches:
+        start = 0
+        for i, text in enumerate(batch["text"]):
+            held.add(tokens(text.as_py()))
             if held.size >= block:
-                yield held.counts(gram_share)
-                held = Block()
-        if held.size:
-            yield held.counts(gram_share)
+                yield held, [*rows, batch.slice(start, i + 1 - start)]
+                held, rows, start = Block(), [], i + 1
+        if start < len(batch):
+            rows.append(batch.slice(start))
+    if held.lines:
+        yield held, rows
 
-    found = training.mapInPandas(count, "n int, gram string, count long, slack long")
-    return staged(found.groupBy("n", "gram").agg(F.sum("count").alias("count"), F.sum("slack").alias("slack")), "ngrams")
 
+def counts(training: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
+    """(n, gram, count) of all words, and of the n-grams of 2 and 3 words that occur at least
+    ``min_count`` times: counted in each block, added up by a shuffle, and written."""
 
-def exact_counts(training: DataFrame, grams: list[str]) -> dict[str, int]:
-    """How often each of at most ``CANDIDATES`` n-grams occurs."""
-    if not grams:
-        return {}
-    sets = training.sparkSession.sparkContext.broadcast(frozenset(grams))
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for held, _ in _blocks(batches, block):
+            for n, grams, _, which, times in held.grams():
+                for k in range(0, len(which), ROWS):
+                    some = grams.take(pa.array(which[k : k + ROWS]))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), n, np.int32)), some, pa.array(times[k : k + ROWS])], ["n", "gram", "count"])
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wanted = [tuple(w.encode() for w in g.split(" ")) for g in sets.value]
-        firsts, number = {g[:2] for g in wanted}, Counter()
-        triples = {g for g in wanted if len(g) == 3}
-        for line in _texts(batches):
-            number.update(p for p in zip(line, line[1:]) if p in firsts)
-            if triples:
-                number.update(t for t in zip(line, line[1:], line[2:]) if t in triples)
-        known = [(b" ".join(g).decode(), number[g]) for g in wanted if number[g]]
-        yield pd.DataFrame(known, columns=["gram", "count"])
-
-    rows = training.mapInPandas(count, "gram string, count long").groupBy("gram").agg(F.sum("count").alias("count")).collect()
-    return {r["gram"]: r["count"] for r in rows}
+    found = training.mapInArrow(count, "n int, gram string, count long").groupBy("n", "gram").agg(F.sum("count").alias("count"))
+    return staged(found.filter((F.col("n") == 1) | (F.col("count") >= min_count)), "ngrams")
 
 
 @dataclass
 class Model:
-    """What every task holds: frequent words and the automaton over them."""
+    """What the driver knows of the model, and its table of values."""
 
     tokens: int
     types: int
-    word_counts: dict[str, int]
+    #: (n, gram, count, value): all words and all kept n-grams.
+    values: DataFrame
+    #: What every task holds: the most frequent rows of the table, by n.
+    held: dict[int, pd.DataFrame]
+    #: Those the table is joined for.
+    joined: DataFrame
     discount: float
-    grams: dict[str, int]
-
-    def __post_init__(self) -> None:
-        self.number = {w.encode(): i for i, w in enumerate(self.word_counts)}
-        self.names = list(self.word_counts)
-        total = max(self.tokens, 1)
-        self.word_prob = [(c - self.discount) / total for c in self.word_counts.values()]
-        self._states()
 
     def unknown(self) -> float:
         return self.discount * self.types / self.tokens if self.tokens else 1.0
 
-    def _states(self) -> None:
-        size, ids = len(self.names), {w: i for i, w in enumerate(self.names)}
-        follow: dict[tuple, dict[int, int]] = defaultdict(dict)
-        seen = {(i,): c for i, c in enumerate(self.word_counts.values())}
-        for gram, c in sorted(self.grams.items()):
-            key = tuple(ids[w] for w in gram.split(" "))
-            follow[key[:-1]][key[-1]] = c
-            seen[key] = c
-        contexts = [(), *sorted(follow, key=lambda h: (len(h), h))]
-        state = {h: i for i, h in enumerate(contexts)}
-        suffix = lambda h: next(h[k:] for k in range(len(h) + 1) if h[k:] in state)
-        self.fail = [state[suffix(h[1:])] if h else 0 for h in contexts]
-        self.weight, self.to_root = [0.0] * len(contexts), [0.0] * len(contexts)
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.root = [(math.log10(p), state[suffix((i,))]) for i, p in enumerate(self.word_prob)]
-        self.size = size
-        for h in contexts[1:]:  # shorter contexts first
-            s, n = state[h], seen[h]
-            own = {w: (c - DISCOUNT) / n for w, c in follow[h].items()}
-            lower = sum(10 ** self.step(self.fail[s], w)[0] for w in own)
-            self.weight[s] = math.log10(max(1e-300, 1 - sum(own.values())) / max(1e-12, 1 - lower))
-            self.to_root[s] = self.weight[s] + self.to_root[self.fail[s]]
-            for w, p in own.items():
-                self.arcs[s * size + w] = math.log10(p), state[suffix((*h, w))]
-
-    def step(self, s: int, w: int) -> tuple[float, int]:
-        """(log probability, next state) of word ``w`` in state ``s``."""
-        paid = 0.0
-        while s:
-            arc = self.arcs.get(s * self.size + w)
-            if arc is not None:
-                return paid + arc[0], arc[1]
-            paid += self.weight[s]
-            s = self.fail[s]
-        return paid + self.root[w][0], self.root[w][1]
-
-    def traverse(self, line: list[int | None]) -> float:
-        """Log probability of the words, without the unigram part of the rare ones (None)."""
-        total, s = 0.0, 0
-        root, arcs, size, weight, fail = self.root, self.arcs, self.size, self.weight, self.fail
-        for w in line:
-            if w is None:
-                total += self.to_root[s]
-                s = 0
-                continue
-            while s:
-                arc = arcs.get(s * size + w)
-                if arc is not None:
-                    break
-                total += weight[s]
-                s = fail[s]
-            else:
-                arc = root[w]
-            total += arc[0]
-            s = arc[1]
-        return total
-
-
-def fit(training: DataFrame, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, block: int = BLOCK) -> tuple[Model, DataFrame]:
-    """The automaton, and the counts of all words (gram, count) it was built from."""
-    found = counts(training, gram_share, block)
+
+def _weight(own: str, lower: str) -> Column:
+    """Backoff weight of a context: the mass its own arcs leave, over that of the same words below."""
+    return F.log10(F.greatest(F.lit(1e-300), 1 - F.sum(own)) / F.greatest(F.lit(1e-12), 1 - F.sum(lower)))
+
+
+def _values(words: DataFrame, two: DataFrame, three: DataFrame) -> DataFrame:
+    """(n, gram, count, value) from (gram, count, p) of words and (gram, count) of n-grams."""
+    part = lambda a, b: F.array_join(F.slice(F.split("gram", " "), a, b), " ")
+    name = lambda df, **to: df.select(*[F.col(c).alias(a) for a, c in to.items()])
+    two = two.withColumn("head", part(1, 1)).withColumn("tail", part(2, 1))
+    two = two.join(name(words, head="gram", c="count"), "head").join(name(words, tail="gram", lower="p"), "tail")
+    two = staged(two.select("gram", "count", "head", ((F.col("count") - DISCOUNT) / F.col("c")).alias("own"), "lower"), "arcs")
+    three = three.withColumn("head", part(1, 2)).withColumn("tail", part(2, 2))
+    three = three.join(name(two, head="gram", c="count"), "head").join(name(two, tail="gram", lower="own"), "tail")
+    three = staged(three.select("gram", "count", "head", ((F.col("count") - DISCOUNT) / F.col("c")).alias("own"), "lower"), "arcs")
+    weights = [arcs.groupBy("head").agg(_weight("own", "lower").alias("weight")) for arcs in (two, three)]
+    gain = F.log10("own") - F.log10("lower")
+    paid = [name(w, gram="head", weight="weight") for w in weights]
+    own = F.coalesce("weight", F.lit(0.0))
+    parts = [
+        words.join(paid[0], "gram", "left").select(F.lit(1).alias("n"), "gram", "count", (F.log10("p") + own).alias("value")),
+        two.join(weights[0].withColumnRenamed("weight", "saved"), "head").join(paid[1], "gram", "left").select(F.lit(2).alias("n"), "gram", "count", (gain - F.col("saved") + own).alias("value")),
+        three.join(weights[1], "head").select(F.lit(3).alias("n"), "gram", "count", (gain - F.col("weight")).alias("value")),
+    ]
+    return staged(parts[0].unionByName(parts[1]).unionByName(parts[2]), "values")
+
+
+def fit(
+    training: DataFrame, word_share: float = WORD_SHARE, gram_share: float | None = None, block: int = BLOCK, min_count: int = MIN_COUNT, held_share: float = HELD_SHARE
+) -> Model:
+    """The table of values, and the part of it that every task holds."""
+    found = counts(training, 1 if gram_share else min_count, block)
     words = found.filter("n = 1").select("gram", "count")
     total = words.agg(F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)).first()
     n, types, once, twice = (x or 0 for x in total)
     discount = once / (once + 2 * twice) if once and twice else DISCOUNT
-    # at most 1 / word_share rows
-    frequent = {r["gram"]: r["count"] for r in sorted(words.filter(F.col("count") >= word_share * n).collect(), key=lambda r: (-r["count"], r["gram"]))}
-    slack = found.filter("n = 0").agg(F.sum("slack")).first()[0] or 0
-    likely = found.filter("n > 1").filter(F.col("count") + slack - F.col("slack") >= gram_share * n).select("gram")
-    slices = -(-likely.count() // CANDIDATES)
-    kept: dict[str, int] = {}
-    for k in range(slices):
-        part = likely.filter(F.pmod(F.xxhash64("gram"), F.lit(slices)) == k)
-        exact = exact_counts(training, [r[0] for r in part.collect()])
-        kept |= {g: c for g, c in exact.items() if c >= gram_share * n}  # at most 2 / gram_share in all
-    return Model(n, types, frequent, discount, kept), words
-
-
-def score(docs: DataFrame, training: Column, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, block: int = BLOCK, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    words = words.withColumn("p", (F.col("count") - discount) / F.lit(float(max(n, 1))))
+    enough = found.filter(F.col("count") >= F.lit((gram_share or 0.0) * n))
+    values = _values(words, *[enough.filter(F.col("n") == k).select("gram", "count") for k in (2, 3)])
+    frequent = F.col("count") >= F.when(F.col("n") == 1, F.lit(word_share * n)).otherwise(F.lit(held_share * n))
+    # at most 1 / word_share words and 2 / held_share n-grams
+    rows = values.filter(frequent).toArrow().to_pandas()
+    held = {k: rows[rows["n"] == k][["gram", "count", "value"]].reset_index(drop=True) for k in (1, 2, 3)}
+    return Model(n, types, values, held, values.filter(~frequent), discount)
+
+
+def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, **shares: float) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score; the
-    rows where ``training`` holds are learnt from."""
+    rows where ``training`` holds are learnt from. ``shares`` are those of ``fit``."""
     content = F.coalesce(F.col(text), F.lit("")).alias("text")
-    model, words = fit(docs.filter(training).select(content), word_share, gram_share, block)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    model = fit(docs.filter(training).select(content), block=block, **shares)
+    shared = docs.sparkSession.sparkContext.broadcast({k: (pa.array(t["gram"], pa.string()), t["count"].to_numpy(np.int64), t["value"].to_numpy(float)) for k, t in model.held.items()})
     log_space = math.log10(model.tokens + model.types + 1)
-    schema = "id long, n_tokens long, n_known long, base double, score double, rare array<string>, times array<long>"
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
-        log_count = [math.log10(c + 1) for c in m.word_counts.values()]
-        for batch in batches:
-            rows = []
-            for own, line in zip(batch["id"], _texts(iter([batch]))):
-                ids = list(map(m.number.get, line))
-                known = [w for w in ids if w is not None]
-                rare = Counter(w for w, i in zip(line, ids) if i is None) if len(known) < len(ids) else {}
-                base = sum(map(log_count.__getitem__, known)) - len(ids) * log_space
-                rows.append((own, len(ids), len(known), base, m.traverse(ids), [w.decode() for w in rare], list(rare.values())))
-            out = pd.DataFrame(rows, columns=["id", "n_tokens", "n_known", "base", "score", "rare", "times"])
-            out["id"] = out["id"].astype("Int64")
-            yield out
-
-    scored = docs.select(F.col(doc_id).cast("long").alias("id"), content).mapInPandas(run, schema).withColumn("rid", F.monotonically_increasing_id())
-    # a document's own numbers travel as one more row, under a name that no word has
-    own_row = F.struct(F.concat(F.lit(END), F.col("rid").cast("string")).alias("word"), F.lit(0).cast("long").alias("times"))
-    pairs = F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("times"))
-    mine = F.array(own_row)
-    rows = scored.select("rid", F.explode(F.concat(mine, pairs)).alias("r"), F.struct("id", "n_tokens", "n_known", "base", "score").alias("doc"))
-    rows = rows.select("rid", F.col("r.word").alias("word"), F.col("r.times").alias("times"), F.when(F.col("r.times") == 0, F.col("doc")).alias("doc"))
-    rare_words = words.filter(F.col("count") < F.lit(word_share) * model.tokens)
-    joined = rows.join(rare_words, F.col("word") == F.col("gram"), "left")
-    c, known = F.col("count"), F.col("count").isNotNull()
-    unigram = F.when(known, F.log10((c - model.discount) / F.lit(float(max(model.tokens, 1))))).otherwise(F.lit(math.log10(model.unknown())))
+    schema = "rid long, n int, word string, times long, id long, n_tokens long, n_known long, base double, score double"
+    names = [c.split(" ")[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for texts, rows in _blocks(batches, min(block, SCORED)):
+            rid, own = (pa.concat_arrays([r[c] for r in rows]) for c in ("rid", "id"))
+            sizes = np.array([len(line) for line in texts.lines], np.int64)
+            known, base, total = np.zeros(len(sizes), np.int64), -log_space * sizes, np.zeros(len(sizes))
+            for n, grams, doc, which, times in texts.grams(np.repeat(np.arange(len(sizes)), sizes)):
+                keys, count, value = shared.value[n]
+                place = pc.fill_null(pc.index_in(grams, value_set=keys), -1).to_numpy(zero_copy_only=False)[which]
+                here = place >= 0
+                at, t = place[here], times[here]
+                total += np.bincount(doc[here], value[at] * t, len(sizes))
+                if n == 1:
+                    base += np.bincount(doc[here], np.log10(count[at] + 1.0) * t, len(sizes))
+                    known += np.bincount(doc[here], t, len(sizes)).astype(np.int64)
+                doc, which, times = doc[~here], which[~here], times[~here]
+                for k in range(0, len(doc), ROWS):
+                    some = slice(k, k + ROWS)
+                    columns = [rid.take(pa.array(doc[some])), pa.array(np.full(len(doc[some]), n, np.int32)), grams.take(pa.array(which[some])), pa.array(times[some])]
+                    empty = [pa.nulls(len(columns[0]), pa.int64())] * 3 + [pa.nulls(len(columns[0]), pa.float64())] * 2
+                    yield pa.RecordBatch.from_arrays(columns + empty, names)
+            # a document's own numbers travel as one more row, whose word is missing
+            yield pa.RecordBatch.from_arrays(
+                [rid, pa.array(np.zeros(len(sizes), np.int32)), pa.nulls(len(sizes), pa.string()), pa.array(np.zeros(len(sizes), np.int64)), own, pa.array(sizes), pa.array(known), pa.array(base), pa.array(total)],
+                names,
+            )
+
+    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("id"), content)
+    scored = numbered.mapInArrow(run, schema)
+    # own rows and n-grams meet in the sum only; a missing word would gather all own rows in one task
+    own = F.when(F.col("n") == 0, F.struct("id", "n_tokens", "n_known", "base", "score")).alias("doc")
+    rows = scored.select("rid", "n", F.coalesce("word", F.concat(F.lit(END), F.col("rid").cast("string"))).alias("word"), "times", own)
+    joined = rows.join(model.joined.select(F.col("n").alias("m"), "gram", "count", "value"), (F.col("n") == F.col("m")) & (F.col("word") == F.col("gram")), "left")
+    word, found = F.col("n") == 1, F.col("count").isNotNull()
+    missing = F.when(word, F.lit(math.log10(model.unknown()))).otherwise(F.lit(0.0))
     summed = joined.groupBy("rid").agg(
-        F.max("doc").alias("doc"), F.sum(F.when(known, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.when(known, F.log10(c + F.lit(1.0)) * F.col("times")).otherwise(0.0)).alias("base"), F.sum(unigram * F.col("times")).alias("score"),
+        F.max("doc").alias("doc"), F.sum(F.when(word & found, F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.when(word & found, F.log10(F.col("count") + F.lit(1.0)) * F.col("times")).otherwise(0.0)).alias("base"),
+        F.sum(F.coalesce("value", missing) * F.col("times")).alias("score"),
     )
     return summed.select(
         F.col("doc.id").alias(doc_id), F.col("doc.n_tokens").alias("n_tokens"), (F.col("doc.n_known") + F.col("known")).alias("n_known"),

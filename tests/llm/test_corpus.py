@@ -549,6 +549,29 @@ def test_backoff_scores(messy, documents, frame, share):
         assert math.isclose(sum(prob(h, w) for (w,) in words) + prob(h, "never seen"), 1, abs_tol=1e-9)
 
 
+@pytest.mark.parametrize("held_share", [1e-9, 2.0])
+def test_ngrams_enter_by_count_at_any_size(messy, frame, held_share):
+    """Twice seen is enough, however many other tokens there are; with and without the join."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 40) + (" rare pair here" if i % 30 == 0 else ""), "a") for i in range(120)]
+    rows += [(1000 + i, " ".join(f"only{i}x{k}" for k in range(400)), "a") for i in range(20)] + [(i, t, s) for i, t, s in as_list(messy)][:12]
+    small = frame(rows)
+    total = sum(len(toks(t)) for i, t, _ in as_list(small) if not is_held(i))
+    expected, _, words = slow_scores(as_list(small), backoff.MIN_COUNT / total)
+    assert words[("rare",)] >= 2
+    got = backoff.held_out_scores(small, held_share=held_share, word_share=min(held_share, 1.0), block=500).collect()
+    assert sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got), key=repr) == sorted(expected, key=repr)
+
+
+def test_kept_ngrams_grow_with_the_text(spark):
+    """Counted on the given tables: ten times the text holds more n-grams, not fewer."""
+    kept = []
+    for size in ("sf0.001", "sf0.01"):
+        docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("text")
+        kept.append(backoff.counts(docs).filter("n > 1").count())
+    assert kept[1] > 3 * kept[0]
+
+
 def test_model_beats_the_base_on_held_out_text(documents):
     rows = [r for r in backoff.held_out_scores(documents).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
