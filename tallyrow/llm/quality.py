@@ -13,7 +13,8 @@ toxic ones; they vote like the others, and EM decides what they are worth. Witho
 aspect is left out.
 
 A document is rejected when its probability of being bad reaches ``threshold`` in any aspect.
-A null or empty text gets no votes; the scorer sees no words and judges by its intercept.
+A null or empty text gets no votes; the scorer sees no words and judges by its intercept. The
+scorer's sample is one of different texts: copies count once, null texts not at all.
 """
 
 from __future__ import annotations
@@ -309,26 +310,32 @@ def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float =
 
 
 def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_id", text: str = "text", train_rows: int = TRAIN_ROWS) -> Scorer:
-    """Weak labels of all documents; the scorer on those of a bounded sample by text hash,
-    whose features (numbers of hashed words) come to the driver."""
+    """Weak labels of all documents; the scorer on those of a bounded sample of different texts
+    by text hash, whose features (numbers of hashed words) come to the driver."""
     stems = learn_stems(docs, labels, doc_id, text) if labels is not None else {}
     found = label(docs, stems, text)
-    total = docs.count()
+    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"))
+    total = texts.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
     share = min(1.0, train_rows / max(total, 1))
-    sample = docs.filter(F.pmod(F.xxhash64(F.col(text)), F.lit(1 << 20)) < int(share * (1 << 20)) + 1).select(F.col(text).alias("text"))
+    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = set()
         for batch in batches:
             rows = []
             for t in batch["text"]:
+                h = xxhash.xxh64_intdigest(t.encode()) >> 1
+                if h in seen:
+                    continue
+                seen.add(h)
                 d = look(t)
                 cast = votes(d, stems)
                 at = np.sort(features(d, cast))
-                rows.append((xxhash.xxh64_intdigest(d.raw) >> 1, at.astype("<i4").tobytes(), *[_code(cast[a]) for a in ASPECTS]))
+                rows.append((h, at.astype("<i4").tobytes(), *[_code(cast[a]) for a in ASPECTS]))
             yield pd.DataFrame(rows, columns=["h", "at", *ASPECTS])
 
     schema = "h long, at binary, " + ", ".join(f"{a} string" for a in ASPECTS)
-    got = sorted(sample.mapInPandas(examples, schema).collect())
+    got = sorted(sample.mapInPandas(examples, schema).dropDuplicates(["h"]).collect())
     each = [np.frombuffer(r["at"], "<i4") for r in got]
     at = np.concatenate(each or [np.zeros(0, np.int32)]).astype(np.int64)
     rows = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)

@@ -428,6 +428,17 @@ def test_quality_awkward(messy):
     assert quality.classify(messy).count() == messy.count()
 
 
+def test_scorer_learns_from_different_texts(spark, frame, monkeypatch):
+    """A third of the rows without text and a third with one text that the sample takes."""
+    own = frame([(i, f"the report number {i} is about {i * 7919 % 101} things" + " \U0001f600!! ## $$" * (i % 10 == 0), "a") for i in range(1000)])
+    hot = own.orderBy(F.pmod(F.xxhash64("text"), F.lit(1 << 20))).first().text
+    docs = own.union(frame([(i, None, "a") for i in range(1000)] + [(i, hot, "a") for i in range(1000)])).repartition(4)
+    sizes, fit = [], quality.fit_linear
+    monkeypatch.setattr(quality, "fit_linear", lambda rows, at, p, *a, **b: sizes.append(len(p)) or fit(rows, at, p, *a, **b))
+    assert quality.classify(docs, train_rows=200).count() == 3000
+    assert 100 <= min(sizes) and max(sizes) <= 400
+
+
 # 9
 
 
