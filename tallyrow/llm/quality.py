@@ -13,6 +13,9 @@ toxic ones; they vote like the others, and EM decides what they are worth. Witho
 aspect is left out.
 
 A document is rejected when its probability of being bad reaches ``threshold`` in any aspect.
+Documents with a vote pattern that EM finds bad are sampled at a higher rate, so that rare bad
+documents are learnt as well, and weighted back; each class counts for at least ``CLASS_SHARE``
+of the loss, whatever its share of the documents.
 A null or empty text gets no votes; the scorer sees no words and judges by its intercept. The
 scorer's sample is one of different texts: copies count once, null texts not at all.
 """
@@ -31,10 +34,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyrow.llm.common import cut
+from tallyrow.operators.sizing import staged
 
 BAD, GOOD, NONE = 1, 0, -1
-#: Documents the scorer is trained on, at most about.
+#: Documents the scorer is trained on, at most about; ``BAD_ROWS`` for each aspect come on top.
 TRAIN_ROWS = 10_000
+#: Further documents of an aspect's bad vote patterns, at most about.
+BAD_ROWS = 1_000
+#: The least share of the loss that the bad documents of an aspect stand for, if there are any.
+CLASS_SHARE = 0.01
 #: Of the scorer: L1 penalty and rounds of its solver.
 PENALTY, ROUNDS = 2e-4, 200
 #: Labelled documents that word stems are learnt from, at most about.
@@ -247,22 +255,39 @@ def learn_stems(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text
     return {group: frozenset(s for s in pure if len(s) in group) for group in STEMS}
 
 
-def label(docs: DataFrame, stems: Stems, text: str = "text") -> dict[str, Labelled]:
-    """The weak-label models, from the votes on all documents."""
+def cast_votes(docs: DataFrame, stems: Stems, text: str = "text") -> DataFrame:
+    """(h, junk, toxic, stems, n): the hash of each different text, its vote patterns, its rows."""
 
     @F.pandas_udf("struct<junk: string, toxic: string, stems: string>")
     def patterns(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([{a: _code(v) for a, v in votes(look(t), stems).items()} for t in texts], columns=ASPECTS)
 
+    h = F.when(F.col(text).isNotNull(), F.xxhash64(F.col(text))).alias("h")
+    cast = docs.select(h, patterns(F.col(text)).alias("p")).groupBy("h", *[F.col(f"p.{a}").alias(a) for a in ASPECTS])
+    return staged(cast.agg(F.count(F.lit(1)).alias("n")), "votes")
+
+
+def label(cast: DataFrame) -> tuple[dict[str, Labelled], list[tuple]]:
+    """The weak-label models, from the votes on all documents; and (pattern of each aspect,
+    different texts) of all patterns."""
     # votes only, so at most 3 ** 17 rows whatever the input; a few hundred as a rule
-    counts = docs.select(patterns(F.col(text)).alias("p")).groupBy(*[f"p.{a}" for a in ASPECTS]).count().collect()
+    counts = cast.groupBy(*ASPECTS).agg(F.sum("n").alias("n"), F.count("h").alias("texts")).collect()
     found = {}
     for aspect in ASPECTS:
         sums: dict[str, int] = {}
         for r in counts:
-            sums[r[aspect]] = sums.get(r[aspect], 0) + r["count"]
+            sums[r[aspect]] = sums.get(r[aspect], 0) + r["n"]
         found[aspect] = estimate(sums)
-    return found
+    return found, [(*[r[a] for a in ASPECTS], r["texts"]) for r in counts]
+
+
+def sampling_rates(found: dict[str, Labelled], patterns: list[tuple], train_rows: int, bad_rows: int = BAD_ROWS) -> list[tuple]:
+    """(pattern of each aspect, rate): the same rate for all texts, and a higher one for those
+    that an aspect holds for bad while they are few."""
+    share = min(1.0, train_rows / max(sum(p[-1] for p in patterns), 1))
+    is_bad = [[found[a].posterior[p[k]] >= 0.5 for p in patterns] for k, a in enumerate(ASPECTS)]
+    of_bad = [min(1.0, bad_rows / max(sum(p[-1] for p, b in zip(patterns, bad) if b), 1)) for bad in is_bad]
+    return [(*p[:-1], max([share, *[r for r, bad in zip(of_bad, is_bad) if bad[i]]])) for i, p in enumerate(patterns)]
 
 
 @dataclass
@@ -277,12 +302,18 @@ class Scorer:
         return 1 / (1 + np.exp(-np.clip(margin, -50, 50)))
 
 
-def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS, counted: np.ndarray | None = None) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic regression with an L1 penalty on soft labels ``p``,
     by accelerated proximal gradient with restarts. ``rows`` and ``at`` are the example and the
-    feature of each set feature."""
+    feature of each set feature, ``counted`` is how many documents each example stands for."""
     n = len(p)
-    prior = min(max(float(p.mean()) if n else 0.0, 1e-6), 1 - 1e-6)
+    share = np.ones(n) if counted is None else counted.astype(float)
+    bad = p >= 0.5
+    rare = share[bad].sum() < CLASS_SHARE * share.sum()
+    if bad.any() and rare:
+        share[bad] *= CLASS_SHARE / (1 - CLASS_SHARE) * share[~bad].sum() / share[bad].sum()
+    share /= max(share.sum(), 1e-300)
+    prior = min(max(float(share @ p), 1e-6), 1 - 1e-6)
     weights, b = np.zeros(FEATURES), math.log(prior / (1 - prior))
     if p.max(initial=0.0) < 0.5:  # nothing to learn
         return weights, b
@@ -291,10 +322,10 @@ def fit_linear(rows: np.ndarray, at: np.ndarray, p: np.ndarray, penalty: float =
     w, v, c, t = np.zeros(m), np.zeros(m), b, 1.0
     # a step for each feature: the Gram matrix is bounded by its row sums
     length = np.bincount(rows, minlength=n) + 1.0
-    step, step_b = 4 * n / np.bincount(at, length[rows], m), 4 * n / length.sum()
+    step, step_b = 4 / np.bincount(at, (share * length)[rows], m), 4 / (share @ length)
     for _ in range(rounds):
         margin = np.bincount(rows, v[at], n) + c
-        off = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - p) / n
+        off = (1 / (1 + np.exp(-np.clip(margin, -50, 50))) - p) * share
         new = v - step * np.bincount(at, off[rows], m)
         new = np.sign(new) * np.maximum(np.abs(new) - step * penalty, 0)
         new_b, new_t = c - step_b * off.sum(), (1 + math.sqrt(1 + 4 * t * t)) / 2
@@ -313,17 +344,20 @@ def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_i
     """Weak labels of all documents; the scorer on those of a bounded sample of different texts
     by text hash, whose features (numbers of hashed words) come to the driver."""
     stems = learn_stems(docs, labels, doc_id, text) if labels is not None else {}
-    found = label(docs, stems, text)
-    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"))
-    total = texts.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0]
-    share = min(1.0, train_rows / max(total, 1))
-    sample = texts.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
+    cast = cast_votes(docs, stems, text)
+    found, patterns = label(cast)
+    rates = docs.sparkSession.createDataFrame(sampling_rates(found, patterns, train_rows), ", ".join(f"{a} string" for a in ASPECTS) + ", rate double")
+    drawn = F.pmod("h", F.lit(1 << 40)) < F.col("rate") * (1 << 40)
+    chosen = cast.filter("h IS NOT NULL").join(F.broadcast(rates), ASPECTS).filter(drawn).select("h", "rate").dropDuplicates(["h"])
+    texts = docs.filter(F.col(text).isNotNull()).select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("h"))
+    # at most about train_rows and bad_rows for each aspect
+    sample = texts.join(F.broadcast(chosen), "h").select("text", "rate")
 
     def examples(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = set()
         for batch in batches:
             rows = []
-            for t in batch["text"]:
+            for t, rate in zip(batch["text"], batch["rate"]):
                 h = xxhash.xxh64_intdigest(t.encode()) >> 1
                 if h in seen:
                     continue
@@ -331,18 +365,19 @@ def train(docs: DataFrame, labels: DataFrame | None = None, doc_id: str = "doc_i
                 d = look(t)
                 cast = votes(d, stems)
                 at = np.sort(features(d, cast))
-                rows.append((h, at.astype("<i4").tobytes(), *[_code(cast[a]) for a in ASPECTS]))
-            yield pd.DataFrame(rows, columns=["h", "at", *ASPECTS])
+                rows.append((h, rate, at.astype("<i4").tobytes(), *[_code(cast[a]) for a in ASPECTS]))
+            yield pd.DataFrame(rows, columns=["h", "rate", "at", *ASPECTS])
 
-    schema = "h long, at binary, " + ", ".join(f"{a} string" for a in ASPECTS)
+    schema = "h long, rate double, at binary, " + ", ".join(f"{a} string" for a in ASPECTS)
     got = sorted(sample.mapInPandas(examples, schema).dropDuplicates(["h"]).collect())
     each = [np.frombuffer(r["at"], "<i4") for r in got]
     at = np.concatenate(each or [np.zeros(0, np.int32)]).astype(np.int64)
     rows = np.repeat(np.arange(len(each)), [len(x) for x in each]).astype(np.int64)
+    counted = 1 / np.array([r["rate"] for r in got], float)
     weights, intercepts = np.zeros((len(ASPECTS), FEATURES)), np.zeros(len(ASPECTS))
     for k, aspect in enumerate(ASPECTS):
         p = np.array([found[aspect].posterior.get(r[aspect], found[aspect].prior) for r in got], float)
-        weights[k], intercepts[k] = fit_linear(rows, at, p)
+        weights[k], intercepts[k] = fit_linear(rows, at, p, counted=counted)
     return Scorer(weights, intercepts, stems)
 
 

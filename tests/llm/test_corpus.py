@@ -439,6 +439,18 @@ def test_scorer_learns_from_different_texts(spark, frame, monkeypatch):
     assert 100 <= min(sizes) and max(sizes) <= 400
 
 
+def test_rare_bad_documents_are_rejected(frame):
+    """One in five hundred, far fewer than the uniform sample would show."""
+    words = "senate report budget river music garden window letter market engine".split()
+    rng = np.random.default_rng(6)
+    say = lambda: " ".join(rng.choice(words, 12))
+    docs = frame([(i, f"{say()} {i} " + ("you stupid worthless moron idiot " if i % 500 == 7 else "") + say(), "a") for i in range(20_000)])
+    rows = quality.classify(docs, train_rows=400).collect()
+    bad = [r for r in rows if r.doc_id % 500 == 7]
+    assert len(bad) == 40 and not any(r.kept for r in bad)
+    assert sum(not r.kept for r in rows) <= len(bad) + 20
+
+
 # 9
 
 
