@@ -2,7 +2,8 @@
 
 The classifier drops what it rejects, SimHash keeps one document of each group, documents
 that hold a benchmark passage go, the sources are mixed to their target weights (a document
-may then come up to three times), and every row gets its shard.
+may then come up to three times), and every row gets its shard, in ``shard`` or, if the
+documents have such a column in any case, under a fresh name (``_shard``).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyrow.llm import decontaminate, mixing, quality, sharding, simhash
+from tallyrow.llm.common import fresh
 from tallyrow.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,7 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sharding.with_shard(docs)
+    return sharding.with_shard(docs, name=fresh(docs, "shard"))
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -74,7 +74,8 @@ def assign(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text:
 
 
 def with_shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", name: str = "shard") -> DataFrame:
-    """The documents with their shard; decided row by row, without a shuffle."""
-    if name in docs.columns:
+    """The documents with their shard; decided row by row, without a shuffle. ``name`` must be
+    free in any case of letters; ``common.fresh`` finds such a name."""
+    if name.lower() in {c.lower() for c in docs.columns}:
         raise ValueError(f"there is already a column {name!r}")
     return docs.withColumn(name, shard_of(stable_key(F.col(doc_id)), shards))

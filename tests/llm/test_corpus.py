@@ -121,6 +121,16 @@ def test_sharding(messy, documents, frame):
         sharding.with_shard(sharding.with_shard(messy))
 
 
+@pytest.mark.parametrize("name", ["shard", "Shard"])
+def test_shard_stage_keeps_a_column_of_that_name(spark, messy, name):
+    import corpus_pipeline
+
+    own = messy.withColumn(name, F.lit("mine"))
+    rows = corpus_pipeline.shard(spark, own, "")
+    assert rows.columns == [*own.columns, "_shard"]
+    assert {(r[name], 0 <= r["_shard"] < 16) for r in rows.collect()} == {("mine", True)}
+
+
 def test_running_total_is_the_same_for_all_bucket_sizes(frame):
     rows = frame([(i, f"t{i * 7919 % 101}", "ab"[i % 2]) for i in range(100)]).withColumn("key", F.md5("text"))
     expected = {}
