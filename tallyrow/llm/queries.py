@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrow.llm import backoff, decontaminate, exactdedup, linededup, mixing, quality, sharding, simhash, tokenstore, urltree
+from tallyrow.llm import backoff, decontaminate, exactdedup, filteraudit, linededup, merkle, mixing, quality, sharding, simhash, tokenstore, urltree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,6 +78,16 @@ def op10(spark, sf_dir):
     return backoff.held_out_scores(_read(spark, sf_dir, "documents"))
 
 
+@query("op11_filter_audit", filteraudit.ORACLE)
+def op11(spark, sf_dir):
+    return filteraudit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query("op12_merkle_manifest", merkle.ORACLE)
+def op12(spark, sf_dir):
+    return merkle.tamper_check(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
