@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyrow.llm import backoff, decontaminate, exactdedup, filteraudit, linededup, merkle, mixing, quality, sharding, simhash, tokenstore, urltree
+from tallyrow.llm import backoff, decontaminate, exactdedup, filteraudit, linededup, merkle, mixing, ngramjoin, quality, sharding, simhash, tokenstore, urltree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -88,6 +88,11 @@ def op12(spark, sf_dir):
     return merkle.tamper_check(_read(spark, sf_dir, "documents"))
 
 
+@query("op13_ngram_jaccard_join")
+def op13(spark, sf_dir):
+    return ngramjoin.linked(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
