@@ -9,14 +9,16 @@ one shard of consecutive documents in ascending id order:
     width          bytes of an id: 2 while the vocabulary has at most 65,536 ids, else 4
     payload        the ids of all its documents, raw little-endian
     doc_ids        int64 a document, in payload order;  no_id: the number of leading null ids
-    levels, sizes  the hash: one bit map a level, packed, and its bits
+    levels, sizes  the hash: one bit map a level, packed one after the other, and its bits
+    ranks          uint32 for each 512 bits of them: the set bits before
     prints         uint32 a slot: the key's fingerprint
     starts, counts uint64 a slot: where the document's ids begin in the payload, and how many
 
 A key is (document id, number of the row among equal ids in the shard). It takes the first
-level at whose bit map its hash meets a set bit; the number of set bits before is its slot.
-The slot's fingerprint tells a key of the shard from any other. Each access touches a few
-bits and one slot, whatever the shard's size.
+level at whose bit map its hash meets a set bit; the number of set bits before, a stored rank and
+the bits of one block, is its slot. The slot's fingerprint tells a key of the shard from any
+other. Each access touches one block a level, on average under two, and one slot, whatever the
+shard's size.
 
 A null or empty text has only the end id. Null ids come first. Repeated rows are stored as
 often as they come.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -42,12 +45,12 @@ END_ID = 1
 #: A shard is closed at this many ids or documents; a longer document has a shard of its own.
 SHARD_IDS, SHARD_DOCS = 1 << 20, 1 << 15
 #: Bytes of text that are encoded at once.
-BLOCK_BYTES = 16 << 20
-#: Words whose ids a worker keeps.
-CACHE_WORDS = 700_000
+BLOCK_BYTES = 4 << 20
+#: Bytes of words and ids that a task keeps, and what an entry takes beside its own bytes.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 220
 SHARD_SCHEMA = (
     "part long, number long, n_docs long, n_ids long, first long, last long, width int, payload binary, doc_ids binary, "
-    "no_id long, levels binary, sizes binary, prints binary, starts binary, counts binary"
+    "no_id long, levels binary, sizes binary, ranks binary, prints binary, starts binary, counts binary"
 )
 
 SHARD_ARROW = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[t]) for n, t in (c.split() for c in SHARD_SCHEMA.split(", "))])
@@ -78,7 +81,12 @@ class WordEncoder:
         self.bulk = bool(suffix)
         if self.bulk:
             self.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words that were kept."""
         self.words: dict[str, bytes] = {}
+        self.held = 0
 
     def _encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
         """Ids of lower-case letter or sign runs."""
@@ -90,8 +98,8 @@ class WordEncoder:
         raw, bounds = ids.tobytes(), [0, *(stops * self.width).tolist()]
         return {p: raw[a:b] for p, a, b in zip(pieces, bounds, bounds[1:])}
 
-    def _learn(self, words: list[str]) -> None:
-        plain, other = {}, []
+    def _learn(self, words: list[str]) -> dict[str, bytes]:
+        plain, other, found = {}, [], {}
         for word in words:
             match = _PLAIN.fullmatch(word) if self.bulk else None
             if match:
@@ -102,20 +110,25 @@ class WordEncoder:
             ids = self._encode_pieces([p for p in {p for pair in plain.values() for p in pair} if p])
             ids[""] = b""
             for word, (letters, signs) in plain.items():
-                self.words[word] = ids[letters] + ids[signs]
+                found[word] = ids[letters] + ids[signs]
         if other:
             for word, e in zip(other, self.full.encode_batch_fast(other, add_special_tokens=False)):
-                self.words[word] = np.array(e.ids, self.dtype).tobytes()
+                found[word] = np.array(e.ids, self.dtype).tobytes()
+        return found
 
     def _encode_block(self, texts: pa.Array) -> list[bytes]:
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        if new := [w for w in distinct if w not in self.words]:
-            self._learn(new)
-        ids = [self.words[w] for w in distinct]
+        known = self.words
+        new = self._learn([w for w in distinct if w not in known])
+        ids = [known[w] if w in known else new[w] for w in distinct]
+        size = sum(len(w) + len(b) + ENTRY_BYTES for w, b in new.items())
+        if self.held + size > CACHE_BYTES:
+            self.forget()
+        if size <= CACHE_BYTES:
+            self.words.update(new)
+            self.held += size
         ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))]) // self.width
         known = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), self.dtype)))
         taken = known.take(words.indices)
@@ -123,18 +136,17 @@ class WordEncoder:
         bounds = (taken.offsets.to_numpy()[split.offsets.to_numpy()].astype(np.int64) * self.width).tolist()
         return [raw[a:b] for a, b in zip(bounds, bounds[1:])]
 
-    def encode(self, texts: pa.Array) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text, as raw bytes; a null text has none. Texts go in blocks of
         at most ``BLOCK_BYTES``, or of one text."""
         texts = pc.fill_null(texts.cast(pa.string()), "")
         total = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)])
-        out, at = [], 0
+        at = 0
         while at < len(texts):
             stop = max(at + 1, int(np.searchsorted(total, total[at] + BLOCK_BYTES, side="right")) - 1)
             # a copy of the slice alone: its offsets start at 0
-            out += self._encode_block(pa.concat_arrays([texts.slice(at, stop - at)]))
+            yield from self._encode_block(pa.concat_arrays([texts.slice(at, stop - at)]))
             at = stop
-        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -164,35 +176,48 @@ def keys_of(doc_ids: np.ndarray, copies: np.ndarray, nulls: np.ndarray) -> np.nd
     return np.where(nulls, _mix(copies.astype(np.uint64), 20_001), np.where(copies == 0, keys, _mix(keys + copies.astype(np.uint64), 20_002)))
 
 
-def build_hash(keys: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """Levels of a minimal perfect hash of distinct keys, packed, and their bits."""
+#: Bits of a block.
+_BITS = 512
+
+
+def build_hash(keys: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """Levels of a minimal perfect hash of distinct keys, packed, their bits, and the set bits
+    before each block."""
     maps, sizes, left = [], [], keys
     while len(left):
         size = 2 * len(left)
         place = (_mix(left, len(sizes)) % np.uint64(size)).astype(np.int64)
         alone = np.bincount(place, minlength=size) == 1
-        maps.append(np.packbits(alone).tobytes())
+        maps.append(alone)
         sizes.append(size)
         left = left[~alone[place]]
         if len(sizes) > 200:
             raise ValueError("two documents have one key")
-    return b"".join(maps), np.array(sizes, "<u8")
+    bits = np.concatenate(maps or [np.zeros(0, bool)])
+    levels = np.packbits(np.pad(bits, (0, -len(bits) % _BITS)))
+    ones = np.bitwise_count(levels.reshape(-1, _BITS // 8)).sum(axis=1, dtype=np.int64)
+    return levels.tobytes(), np.array(sizes, "<u8"), (np.cumsum(ones) - ones).astype("<u4")
 
 
-def slots(keys: np.ndarray, levels: bytes, sizes: np.ndarray) -> np.ndarray:
+def slots(keys: np.ndarray, levels: bytes, sizes: np.ndarray, ranks: np.ndarray) -> np.ndarray:
     """Slots of the keys; -1 for a key that meets no level. Other keys than those the hash was
-    built from may get any slot."""
-    found, open_, start, before = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0, 0
+    built from may get any slot. Of each level a key reads the one block it falls into."""
+    blocks = np.frombuffer(levels, np.uint8).reshape(-1, _BITS // 8)
+    found, open_, first = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
     for level, size in enumerate(sizes.tolist()):
-        raw = np.frombuffer(levels, np.uint8, -(-size // 8), start)
-        bits = np.unpackbits(raw, count=size)
-        ranks = np.cumsum(bits, dtype=np.int64)
+        if not len(open_):
+            break
         place = (_mix(keys[open_], level) % np.uint64(size)).astype(np.int64)
-        hit = bits[place] == 1
-        found[open_[hit]] = before + ranks[place[hit]] - 1
+        block, bit = (first + place) // _BITS, (first + place) % _BITS
+        own = blocks[block]
+        hit = own[np.arange(len(own)), bit >> 3] >> (7 - (bit & 7)).astype(np.uint8) & 1 == 1
+        at, own, bit = block[hit], own[hit], bit[hit]
+        # set bits in the block before the key's: whole bytes, and the high bits of its own
+        earlier = np.where(np.arange(_BITS // 8) < (bit >> 3)[:, None], own, 0)
+        part = own[np.arange(len(own)), bit >> 3] >> (8 - (bit & 7)).astype(np.uint8)
+        found[open_[hit]] = ranks[at].astype(np.int64) + np.bitwise_count(earlier).sum(axis=1, dtype=np.int64) + np.bitwise_count(part)
         open_ = open_[~hit]
-        start += len(raw)
-        before += int(ranks[-1]) if size else 0
+        first += size
     return found
 
 
@@ -216,21 +241,21 @@ def pack(part: int, number: int, ids: list, payloads: list[bytes], width: int) -
     counts = np.array([len(p) // width for p in payloads], np.uint64)
     starts = np.cumsum(counts, dtype=np.uint64) - counts
     keys = keys_of(doc_ids, _copies(doc_ids, nulls), nulls)
-    levels, sizes = build_hash(keys)
-    order = np.argsort(slots(keys, levels, sizes))
+    levels, sizes, ranks = build_hash(keys)
+    order = np.argsort(slots(keys, levels, sizes, ranks))
     known = doc_ids[~nulls]
     return {
         "part": part, "number": number, "n_docs": len(ids), "n_ids": int(counts.sum()),
         "first": int(known[0]) if len(known) else None, "last": int(known[-1]) if len(known) else None,
         "width": width, "payload": b"".join(payloads), "doc_ids": doc_ids.astype("<i8").tobytes(), "no_id": int(nulls.sum()),
-        "levels": levels, "sizes": sizes.tobytes(), "prints": prints_of(keys)[order].tobytes(),
+        "levels": levels, "sizes": sizes.tobytes(), "ranks": ranks.tobytes(), "prints": prints_of(keys)[order].tobytes(),
         "starts": starts[order].astype("<u8").tobytes(), "counts": counts[order].astype("<u8").tobytes(),
     }
 
 
 def locate(shard, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(found, start, count) of the keys in a shard, by its index alone."""
-    slot = slots(keys, shard.levels, np.frombuffer(shard.sizes, "<u8"))
+    slot = slots(keys, shard.levels, np.frombuffer(shard.sizes, "<u8"), np.frombuffer(shard.ranks, "<u4"))
     found = slot >= 0
     at = np.where(found, slot, 0)
     found &= np.frombuffer(shard.prints, "<u4")[at] == prints_of(keys)
@@ -251,17 +276,20 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_ID, doc_
         def shard() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([pack(part, number, ids, payloads, enc.width)], SHARD_ARROW)
 
-        for batch in batches:
-            for own, data in zip(batch["id"].to_pylist(), enc.encode(batch["text"])):
-                data += end
-                if ids and (held + len(data) // enc.width > SHARD_IDS or len(ids) >= SHARD_DOCS):
-                    yield shard()
-                    ids, payloads, held, number = [], [], 0, number + 1
-                ids.append(own)
-                payloads.append(data)
-                held += len(data) // enc.width
-        if ids:
-            yield shard()
+        try:
+            for batch in batches:
+                for own, data in zip(batch["id"].to_pylist(), enc.encode(batch["text"])):
+                    data += end
+                    if ids and (held + len(data) // enc.width > SHARD_IDS or len(ids) >= SHARD_DOCS):
+                        yield shard()
+                        ids, payloads, held, number = [], [], 0, number + 1
+                    ids.append(own)
+                    payloads.append(data)
+                    held += len(data) // enc.width
+            if ids:
+                yield shard()
+        finally:
+            enc.forget()  # the worker outlives the task
 
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
@@ -283,24 +311,26 @@ def read_back(spark: SparkSession, path: str) -> DataFrame:
     """One row per stored document, found through the index: doc_id, start (ids of all
     documents before it), n_tokens, ids_crc32 (of its ids as little-endian uint32)."""
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard in batch.itertuples():
+            for i in range(len(batch)):  # one shard at a time
+                shard = SimpleNamespace(**batch.slice(i, 1).to_pylist()[0])
                 doc_ids = np.frombuffer(shard.doc_ids, "<i8")
                 nulls = np.arange(len(doc_ids)) < shard.no_id
                 found, start, count = locate(shard, keys_of(doc_ids, _copies(doc_ids, nulls), nulls))
                 if not found.all():
                     raise ValueError(f"shard {shard.part}-{shard.number}: its index misses {int((~found).sum())} documents")
-                raw = np.frombuffer(shard.payload, f"<u{shard.width}").astype("<u4").tobytes()
-                crc = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(start.tolist(), count.tolist())]
-                yield pd.DataFrame({
-                    "id": pd.Series(doc_ids).astype("Int64").mask(nulls), "part": shard.part, "number": shard.number,
-                    "own": start, "n_tokens": count, "ids_crc32": crc,
-                })
+                ids = np.frombuffer(shard.payload, f"<u{shard.width}")
+                crc = [zlib.crc32(ids[a : a + n].astype("<u4")) for a, n in zip(start.tolist(), count.tolist())]
+                same = lambda x: pa.array(np.full(len(doc_ids), x))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc_ids, mask=nulls), same(shard.part), same(shard.number), pa.array(start), pa.array(count), pa.array(crc, pa.int64())],
+                    ["id", "part", "number", "own", "n_tokens", "ids_crc32"],
+                )
 
     shards = spark.read.parquet(path)
     columns = shards.drop("first", "last", "n_docs", "n_ids")
-    found = columns.mapInPandas(scan, "id long, part long, number long, own long, n_tokens long, ids_crc32 long")
+    found = columns.mapInArrow(scan, "id long, part long, number long, own long, n_tokens long, ids_crc32 long")
     return found.join(small_side(bases(shards), 100_000), ["part", "number"]).select(
         F.col("id").alias("doc_id"), (F.col("base") + F.col("own")).alias("start"), "n_tokens", "ids_crc32"
     )
