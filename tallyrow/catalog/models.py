@@ -182,13 +182,49 @@ def tfidf_weights(spark: SparkSession, sf: str) -> DataFrame:
     return weights.withColumn("weight", F.round("weight", 6))
 
 
+def _news_split(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    news = evaluation.stratified_split(fx.news(spark, sf), "doc_id", "label")
+    return news.filter("not is_test").drop("is_test"), news.filter("is_test").drop("is_test")
+
+
+_NEWS = """
+news AS (SELECT doc_id, text, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR)))
+  <= ceil(round(count(*) OVER (PARTITION BY quality) * 0.2, 9)) AS is_test FROM labels JOIN documents USING (doc_id)),
+words AS (SELECT doc_id, is_test, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{N}\\p{Pc}]{2,}')) AS term FROM news),
+bag AS (SELECT doc_id, is_test, term, count(*) AS tf FROM words WHERE term NOT IN """ + sql.in_list(tfidf.STOP_WORDS) + """ GROUP BY ALL),
+held AS (SELECT count(*) AS n FROM news WHERE NOT is_test),
+dictionary AS (SELECT term, df, ln((1.0+n)/(1.0+df))+1 AS idf, row_number() OVER (ORDER BY term) - 1 AS index
+  FROM (SELECT term, count(*) AS df FROM bag WHERE NOT is_test GROUP BY term), held WHERE df <= 0.7 * n)"""
+
+
+@query("term_dictionary", f"WITH {_NEWS} SELECT term, df, round(idf, 6) AS idf, index FROM dictionary")
+def term_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    """The training terms with dense indices: one coefficient for each."""
+    train, _ = _news_split(spark, sf)
+    held = tfidf.bags(train, "doc_id", stop_words=tfidf.STOP_WORDS)
+    return tfidf.dictionary(held.select(F.inline("bag")), train.count()).withColumn("idf", F.round("idf", 6))
+
+
+@query(
+    "text_vectors",
+    f"""WITH {_NEWS}, raw AS (SELECT doc_id, index, tf * idf AS w FROM bag JOIN dictionary USING (term) WHERE is_test)
+    SELECT doc_id, index, round(w / sqrt(sum(w*w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
+)
+def text_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """The held-out news as vectors over the training dictionary."""
+    train, test = _news_split(spark, sf)
+    n = train.count()
+    known = staged(tfidf.dictionary(tfidf.bags(train, "doc_id", stop_words=tfidf.STOP_WORDS).select(F.inline("bag")), n), "dictionary")
+    vectors = models.text_vectors(test, "doc_id", "text", known, n).select("doc_id", F.inline("vector"))
+    return vectors.withColumn("weight", F.round("weight", 6))
+
+
 @query("linear_text_classifier")
 def linear_text_classifier(spark: SparkSession, sf: str) -> DataFrame:
     """Confusion matrix of the TF-IDF classifier on the held-out news."""
-    news = evaluation.stratified_split(fx.news(spark, sf), "doc_id", "label")
-    train, test = news.filter("not is_test").drop("is_test"), news.filter("is_test").drop("is_test")
-    vectors, model = models.fit_text_classifier(train, "text", "label", "REAL")
-    predicted = models.classify_text(vectors, model, test, ("FAKE", "REAL"))
+    train, test = _news_split(spark, sf)
+    model = models.fit_text_classifier(train, "doc_id", "text", "label", "REAL")
+    predicted = models.classify_text(model, test, "doc_id", "text", ("FAKE", "REAL"))
     return evaluation.confusion_matrix(predicted, "label", "predicted", ["FAKE", "REAL"])
 
 
@@ -201,3 +237,32 @@ def linear_text_classifier_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Every held-out row of a class is predicted once."""
     matrix = linear_text_classifier(spark, sf)
     return matrix.select("truth", (F.col("predicted_FAKE") + F.col("predicted_REAL")).alias("rows"))
+
+
+@query(
+    "linear_text_classifier_facts",
+    f"""WITH {_NEWS}, classes AS (SELECT count(*) AS rows FROM news WHERE is_test GROUP BY quality)
+    SELECT (SELECT count(*) FROM dictionary) AS coefficients, (SELECT sum(rows)::BIGINT FROM classes) AS predicted,
+    true AS loss_below_zero_model, true AS fits_training, true AS same_on_rerun, true AS no_worse_than_majority""",
+)
+def linear_text_classifier_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the fitted model: one coefficient a term (fewer if terms shared one),
+    less hinge loss on the training rows than weights of zero and 95 % of them right, equal
+    predictions when it is fitted again, and no fewer held-out rows right than by naming the
+    larger class."""
+    train, test = _news_split(spark, sf)
+    first, again = (models.fit_text_classifier(train, "doc_id", "text", "label", "REAL") for _ in range(2))
+    side = F.when(F.col("label") == "REAL", 1.0).otherwise(-1.0)
+    margin = side * F.col("margin")
+    trained = models.text_margins(first, train, "doc_id", "text").join(train, "doc_id").agg(
+        (F.avg(F.greatest(F.lit(0.0), 1 - margin)) < 1).alias("loss_below_zero_model"), (F.avg((margin > 0).cast("int")) > 0.95).alias("fits_training")
+    )
+    judged = models.classify_text(first, test, "doc_id", "text", ("FAKE", "REAL"))
+    other = models.classify_text(again, test, "doc_id", "text", ("FAKE", "REAL")).select("doc_id", F.col("predicted").alias("other"))
+    right = F.count_if(F.col("label") == F.col("predicted"))
+    majority = F.greatest(F.count_if(F.col("label") == "REAL"), F.count_if(F.col("label") == "FAKE"))
+    facts = judged.join(other, "doc_id").agg(
+        F.count(F.lit(1)).alias("predicted"), (F.count_if(F.col("predicted") != F.col("other")) == 0).alias("same_on_rerun"), (right >= majority).alias("no_worse_than_majority")
+    )
+    size = first.weights.filter(F.col("index") != models.BIAS).agg(F.count_distinct("index").alias("coefficients"))
+    return size.crossJoin(facts).crossJoin(trained)  # one row each

@@ -1,31 +1,28 @@
-"""Class-balanced linear models on pyspark.ml."""
+"""Class-balanced logistic regression and an online text classifier."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import (
-    IDF,
-    ElementwiseProduct,
-    HashingTF,
-    Normalizer,
-    RegexTokenizer,
-    StopWordsRemover,
-    VectorAssembler,
-)
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
+from tallyrow.operators import tfidf
 from tallyrow.operators.evaluation import require_labels, with_class_weights
-from tallyrow.operators.tfidf import STOP_WORDS
+from tallyrow.operators.sizing import staged
 
-# Slots that terms are hashed into. The model is a driver-side vector of this length,
-# whatever the vocabulary; a caller who wants fewer collisions sets more.
-MODEL_FEATURES = 1 << 16
+# index of the constant feature
+BIAS = -1
+# documents of a part, one part being learned from in one task
+PART_ROWS = 8_192
+# rounds, and passes over a part's documents in each
+ROUNDS, PASSES = 5, 4
 
 
 def feature_matrix(df: DataFrame, key: str = "job_id", label: str = "fraudulent") -> DataFrame:
@@ -89,51 +86,96 @@ def predict(model: LogisticRegressionModel, rows: DataFrame, key: str = "job_id"
     )
 
 
-def fit_text_classifier(
-    train: DataFrame, text: str, label: str, positive: str, max_iter: int = 20, features: int = MODEL_FEATURES
-):
-    """(features, model): hinge-loss linear classifier on TF-IDF vectors.
-
-    Features: tokens without stop words and without terms above the document-share cut,
-    term counts hashed into ``features`` slots, idf + 1, unit length. The texts are
-    tokenised once; token lists and vectors are cached (spilling to disk) because the fits
-    read them many times.
-    """
-    tokens = RegexTokenizer(inputCol=text, outputCol="__tokens", pattern=v.TERM, gaps=False, toLowercase=True)
-    target = (named(label) == positive).cast("double").alias("label")
-    split = tokens.transform(train).select("__tokens", target)
-    dropped = [*STOP_WORDS, *common_terms(split, "__tokens", v.MAX_DOCUMENT_SHARE)]
-    kept = StopWordsRemover(inputCol="__tokens", outputCol="__kept", stopWords=dropped, locale="en_US")
-    front = PipelineModel(stages=[tokens, kept])
-    listed = kept.transform(split).select("__kept", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    back = _vectorizer(listed, features)
-    rows = back.transform(listed).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
-    model = LinearSVC(featuresCol="features", labelCol="label", maxIter=max_iter, tol=1e-4, regParam=1e-4).fit(rows)
-    rows.unpersist()
-    listed.unpersist()
-    return PipelineModel(stages=[*front.stages, *back.stages]), model
-
-
-def common_terms(listed: DataFrame, tokens: str, share: float) -> list[str]:
-    """Terms in more than ``share`` of the rows: at most the mean number of distinct terms
-    of a row divided by ``share``."""
-    rows = listed.count()
-    held = listed.select(F.explode(F.array_distinct(tokens)).alias("term")).groupBy("term").count()
-    return sorted(r["term"] for r in held.filter(F.col("count") > share * rows).collect())
-
-
-def _vectorizer(listed: DataFrame, features: int) -> PipelineModel:
-    counts = HashingTF(inputCol="__kept", outputCol="__tf", numFeatures=features)
-    idf = IDF(inputCol="__tf", outputCol="__unused").fit(counts.transform(listed)).idf
-    scale = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="__tf", outputCol="__weighted"
-    )
-    unit = Normalizer(p=2.0, inputCol="__weighted", outputCol="features")
-    return PipelineModel(stages=[counts, scale, unit])
+@dataclass
+class TextModel:
+    """A linear text classifier as tables: a coefficient for every term of the dictionary."""
+
+    #: (term, df, idf, index)
+    dictionary: DataFrame
+    #: (index, weight) of every term, and of BIAS
+    weights: DataFrame
+    #: documents the dictionary was learned from
+    n_docs: int
 
 
-def classify_text(features: PipelineModel, model, df: DataFrame, labels: tuple[str, str]) -> DataFrame:
-    """``df`` with ``predicted``; labels are (negative, positive)."""
-    scored = model.transform(features.transform(df))
-    predicted = F.when(F.col("prediction") == 1.0, labels[1]).otherwise(labels[0])
-    return scored.select(*[named(c) for c in df.columns], predicted.alias("predicted"))
+def text_vectors(df: DataFrame, key: str, text: str, dictionary: DataFrame, n_docs: int) -> DataFrame:
+    """(key, vector): the TF-IDF vector as an array of (index, weight), of the rows with at
+    least one term of the dictionary."""
+    return tfidf.weighed(tfidf.bags(df, key, text, tfidf.STOP_WORDS), key, dictionary, n_docs, "index")
+
+
+def fit_text_classifier(
+    train: DataFrame, key: str, text: str, label: str, positive: str, c: float = 1.0, rounds: int = ROUNDS, passes: int = PASSES, part_rows: int = PART_ROWS
+) -> TextModel:
+    """Passive-aggressive learner (hinge loss, step at most ``c``) on TF-IDF vectors.
+
+    Documents are dealt into parts of about ``part_rows``. In each round a part gets the weights
+    of its own terms, goes ``passes`` times over its documents in a fixed order, and a term's new
+    weight is the mean over the parts that hold it. With one part this is the plain learner.
+    The weights are a table, so the vocabulary may have any size. Rows without a known term are
+    not learned from.
+    """
+    require_labels(train, label)
+    n_docs = train.count()
+    held = tfidf.bags(train, key, text, tfidf.STOP_WORDS)
+    terms = staged(tfidf.dictionary(held.select(F.inline("bag")), n_docs), "dictionary")
+    vectors = tfidf.weighed(held, key, terms, n_docs, "index")
+    side = F.when(named(label) == positive, 1.0).otherwise(-1.0)
+    place = F.xxhash64(named(key).cast("string"))
+    parts = max(1, -(-n_docs // part_rows))
+    labelled = vectors.join(train.select(named(key), side.alias("y")), key).select(
+        F.pmod(place, F.lit(parts)).cast("int").alias("part"), place.alias("place"), "y",
+        F.concat(F.col("vector.index"), F.array(F.lit(BIAS).cast("bigint"))).alias("index"), F.concat(F.col("vector.weight"), F.array(F.lit(1.0))).alias("value"),
+    )
+    rows = staged(labelled, "vectors")
+    holds = staged(rows.select("part", F.explode("index").alias("index")).distinct(), "holds")
+    names = terms.select("index").unionByName(train.sparkSession.createDataFrame([(BIAS,)], "index bigint"))
+    weights = names.withColumn("weight", F.lit(0.0))
+    learn = _learner(c, passes)
+    for _ in range(rounds):
+        given = holds.join(weights, "index").groupBy("part")
+        learned = rows.groupBy("part").cogroup(given).applyInPandas(learn, "index bigint, weight double")
+        mean = learned.groupBy("index").agg(F.avg("weight").alias("weight"))
+        weights = staged(names.join(mean, "index", "left").select("index", F.coalesce("weight", F.lit(0.0)).alias("weight")), "weights")
+    return TextModel(terms, weights, n_docs)
+
+
+def _learner(c: float, passes: int):
+    def learn(docs: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
+        docs = docs.sort_values("place", kind="stable")
+        own, where = np.unique(np.concatenate(docs["index"].to_numpy()), return_inverse=True)
+        values = np.concatenate(docs["value"].to_numpy())
+        stops = np.cumsum(docs["index"].map(len).to_numpy())
+        w = np.zeros(len(own))
+        w[np.searchsorted(own, given["index"].to_numpy())] = given["weight"].to_numpy()
+        lines = [(y, where[a:b], values[a:b]) for y, a, b in zip(docs["y"], np.r_[0, stops[:-1]], stops)]
+        for _ in range(passes):
+            missed = 0
+            for y, at, x in lines:
+                loss = 1.0 - y * (w[at] @ x)
+                if loss > 0:
+                    missed += 1
+                    w[at] += min(c, loss / (x @ x)) * y * x
+            if not missed:
+                break
+        return pd.DataFrame({"index": own, "weight": w})
+
+    return learn
+
+
+def text_margins(model: TextModel, df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, margin) of every row; one without a known term has the bias as margin."""
+    entries = text_vectors(df, key, text, model.dictionary, model.n_docs).select(named(key), F.inline("vector").alias("index", "value"))
+    bias = model.weights.filter(F.col("index") == BIAS).first()["weight"]
+    # terms without weight add nothing, and the others are at most those of the training rows
+    used = model.weights.filter((F.col("weight") != 0) & (F.col("index") != BIAS))
+    used = F.broadcast(used) if used.count() <= tfidf.BROADCAST_TERMS else used
+    sums = entries.join(used, "index").groupBy(named(key)).agg(F.sum(F.col("value") * F.col("weight")).alias("margin"))
+    return df.select(named(key)).join(sums, key, "left").select(named(key), (F.coalesce("margin", F.lit(0.0)) + F.lit(bias)).alias("margin"))
+
+
+def classify_text(model: TextModel, df: DataFrame, key: str, text: str, labels: tuple[str, str]) -> DataFrame:
+    """``df`` with ``predicted``; labels are (negative, positive). ``key`` must be unique."""
+    predicted = F.when(F.col("margin") > 0, labels[1]).otherwise(labels[0])
+    margins = text_margins(model, df, key, text).select(named(key).alias("__key"), predicted.alias("predicted"))
+    return df.join(margins, named(key) == F.col("__key")).drop("__key")

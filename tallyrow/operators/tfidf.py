@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
+from tallyrow.operators.ordinals import ordinals
 from tallyrow.operators.sizing import staged
 
 # fixed values: the English list of pyspark.ml's StopWordsRemover, so that plans and
@@ -37,21 +38,76 @@ def terms(df: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def term_counts(df: DataFrame, key: str, text: str = "text", stop_words: list[str] | None = None) -> DataFrame:
-    """(key, term, tf). The raw texts are exchanged once by key; all that follows
-    per document keeps that partitioning."""
-    found = terms(df.select(named(key), named(text)).repartition(named(key)), key, text)
+    """(key, term, tf). Occurrences are counted in the tasks that read the texts; what is
+    exchanged is one row for each term of a document."""
+    found = terms(df, key, text)
     if stop_words:
         found = found.filter(~F.col("term").isin(stop_words))
     return found.groupBy(named(key), "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def bags(df: DataFrame, key: str, text: str = "text", stop_words: list[str] | None = None) -> DataFrame:
+    """(key, bag): the terms of each key as one array of (term, tf), written once. No term is
+    exchanged: a row's sorted tokens are cut into runs. Only rows that share a key meet."""
+    found = F.regexp_extract_all(F.lower(named(text)), F.lit(v.TERM), F.lit(0))
+    if stop_words:
+        found = F.filter(found, lambda t: ~t.isin(stop_words))
+    # written before it is cut: an array that is not a stored column would be built anew for each element
+    tokens = staged(df.select(named(key), F.array_sort(F.coalesce(found, F.array().cast("array<string>"))).alias("tokens")), "tokens")
+    s, last = F.col("tokens"), F.size("tokens") - 1
+    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    firsts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
+    lasts = F.filter(places, lambda i: (i == last) | (F.get(s, i) != F.get(s, i + 1)))
+    runs = F.arrays_zip(firsts.alias("a"), lasts.alias("b"))
+    bag = F.transform(runs, lambda x: F.struct(F.get(s, x["a"]).alias("term"), (x["b"] - x["a"] + 1).cast("bigint").alias("tf")))
+    held = tokens.select(named(key), bag.alias("bag"))
+    if not tokens.groupBy(named(key)).count().filter("count > 1").limit(1).count():
+        return held
+    merged = held.select(named(key), F.inline("bag")).groupBy(named(key), "term").agg(F.sum("tf").alias("tf"))
+    return staged(merged.groupBy(named(key)).agg(F.collect_list(F.struct("term", "tf")).alias("bag")), "bags")
+
+
 def vocabulary(counts: DataFrame, n_docs: int, max_share: float = v.MAX_DOCUMENT_SHARE) -> DataFrame:
-    """(term, df, idf) of the terms in at most max_share of the documents."""
+    """(term, df, idf) of the terms in at most max_share of the documents; ``counts`` has a row
+    for each term of a document."""
     used = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0
     return used.filter(F.col("df") <= max_share * n_docs).withColumn("idf", idf)
 
 
+def dictionary(counts: DataFrame, n_docs: int, max_share: float = v.MAX_DOCUMENT_SHARE) -> DataFrame:
+    """(term, df, idf, index): the vocabulary with dense indices from 0 in term order, of any
+    size: terms are counted in ranges, and ranges by their totals."""
+    return ordinals(vocabulary(counts, n_docs, max_share), "term", "index")
+
+
+def weighed(held: DataFrame, key: str, known: DataFrame, n_docs: int, name: str = "term", broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+    """(key, vector): the bag of each key with at least one known term as an array of
+    (``name``, weight), tf * idf scaled to unit length. ``known`` has term, df, idf and ``name``.
+
+    Terms are exchanged once, in the arrays of their document. A vocabulary too large to be
+    sent whole is joined by term, except for the few terms found in a large share of the
+    documents: these would make skewed partitions and are joined by broadcast instead.
+    """
+    counts = held.select(named(key), F.inline("bag"))
+    extra = [] if name == "term" else [name]
+    if known.count() <= broadcast_terms:
+        found = counts.join(F.broadcast(known.select("term", "idf", *extra)), "term")
+    else:
+        # the sum of df is the number of (document, term) pairs, so there are at most
+        # HOT_TERM_SHARE * (terms per document) hot terms, whatever the corpus size
+        hot_from = max(n_docs // HOT_TERM_SHARE, 1)
+        hot = known.filter(F.col("df") > hot_from).select("term", "idf", *extra)
+        cold = known.filter(F.col("df") <= hot_from).select("term", "idf", *extra)
+        found = counts.join(F.broadcast(hot), "term").unionByName(
+            counts.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term")
+        )
+    raw = F.struct(F.col(name), (F.col("tf") * F.col("idf")).alias("raw"))
+    listed = found.groupBy(named(key)).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"), F.collect_list(raw).alias("raw"))
+    vector = F.transform("raw", lambda x: F.struct(x[name].alias(name), (x["raw"] / F.col("norm")).alias("weight")))
+    return listed.select(named(key), vector.alias("vector"))
+
+
 def tfidf(
     df: DataFrame,
     key: str,
@@ -64,31 +120,10 @@ def tfidf(
     """(key, term, weight): tf * idf, scaled to unit length per document.
 
     ``fit_on`` limits the rows idf is learned from (default: all of ``df``).
-    The vocabulary is counted before it is broadcast. A larger one is joined by
-    term, except for the few terms found in a large share of the documents: these
-    would make skewed partitions and are joined by broadcast instead.
     """
     words = STOP_WORDS if stop_words is None else stop_words
-    learn = df if fit_on is None else fit_on
-    n_docs = learn.count()
-    # tokenised once; the vocabulary and the weights are two passes over the counts
-    counts = staged(term_counts(df, key, text, words), "terms")
-    learned = counts if fit_on is None else staged(term_counts(fit_on, key, text, words), "terms")
-    known = vocabulary(learned, n_docs, max_share).select("term", "df", "idf")
-    if known.count() <= broadcast_terms:
-        weighed = counts.join(F.broadcast(known.drop("df")), "term")
-    else:
-        # the sum of df is the number of (document, term) pairs, so there are at most
-        # HOT_TERM_SHARE * (terms per document) hot terms, whatever the corpus size
-        hot_from = max(n_docs // HOT_TERM_SHARE, 1)
-        hot = known.filter(F.col("df") > hot_from).select("term", "idf")
-        cold = known.filter(F.col("df") <= hot_from).select("term", "idf")
-        hot_words = hot.select("term")
-        weighed = counts.join(F.broadcast(hot), "term").unionByName(
-            counts.join(F.broadcast(hot_words), "term", "left_anti").join(cold, "term")
-        )
-    weight = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy(named(key))))
-    return weighed.select(named(key), "term", weight.alias("raw")).select(
-        named(key), "term", (F.col("raw") / norm).alias("weight")
-    )
+    n_docs = (df if fit_on is None else fit_on).count()
+    held = bags(df, key, text, words)
+    learned = held if fit_on is None else bags(fit_on, key, text, words)
+    known = staged(vocabulary(learned.select(F.inline("bag")), n_docs, max_share), "vocabulary")
+    return weighed(held, key, known, n_docs, "term", broadcast_terms).select(named(key), F.inline("vector"))

@@ -86,7 +86,7 @@ def test_grid_with_unbreakable_spaces(spark):
     text = "• Être To be\nPrésent Passé composé Imparfait Plus-que-parfait\nJe suis\u00a0allé\u00a0vite Tu\u00a0es venu"
     pages_ = spark.createDataFrame([(1, text), (2, text.replace("\u00a0", " "))], "page bigint, text string")
     got = {}
-    for r in pages.grid_records(pages.carry_forward(pages.page_lines(pages_, "page"))).collect():
+    for r in pages.grid_records(pages.conjugation_lines(pages_)).collect():
         got.setdefault(r["page"], []).append((r["tense"], r["pronoun"], r["form"].replace("\u00a0", " ")))
     assert sorted(got[1]) == sorted(got[2]) and got[1]
 

@@ -218,35 +218,65 @@ def test_prediction_table(spark):
     assert p.filter("predicted_label <> (predicted_prob > 0.5)").count() == 0
 
 
-def test_text_classifier_learns(spark):
+@pytest.mark.parametrize("part_rows", [1000, 30])
+def test_text_classifier_learns(spark, part_rows):
+    """In one part, and as the mean of several."""
     rng = random.Random(1)
     word = {"REAL": ["senate", "report", "budget"], "FAKE": ["aliens", "miracle", "shocking"]}
     rows = [(i, " ".join(rng.choice(word[l] + ["today", "people"]) for _ in range(12)), l) for i in range(200) for l in (["REAL", "FAKE"][i % 2],)]
-    df = spark.createDataFrame(rows, "id bigint, text string, label string")
-    vectors, model = models.fit_text_classifier(df.filter("id < 160"), "text", "label", "REAL")
-    scored = models.classify_text(vectors, model, df.filter("id >= 160"), ("FAKE", "REAL"))
-    assert evaluation.accuracy(scored, "label", "predicted").first()["accuracy"] > 0.9
+    df = spark.createDataFrame([*rows, (500, "", "FAKE"), (501, None, "REAL")], "id bigint, text string, label string")
+    model = models.fit_text_classifier(df.filter("id < 160"), "id", "text", "label", "REAL", part_rows=part_rows)
+    scored = models.classify_text(model, df.filter("id >= 160"), "id", "text", ("FAKE", "REAL"))
+    assert scored.columns == [*df.columns, "predicted"] and scored.count() == 42
+    assert evaluation.accuracy(scored.filter("id < 500"), "label", "predicted").first()["accuracy"] > 0.9
+    assert len({r["predicted"] for r in scored.filter("id >= 500").collect()}) == 1  # no known term: the bias decides
+    with pytest.raises(ValueError):
+        models.fit_text_classifier(df.withColumn("label", F.lit(None).cast("string")), "id", "text", "label", "REAL")
 
 
-def test_classifier_features_do_not_depend_on_the_vocabulary(spark):
-    """One path whatever the number of terms: common terms are cut, all others hashed."""
-    df = spark.createDataFrame([(i, f"everywhere term{i} other{i % 7}", "ab"[i % 2]) for i in range(60)], "id bigint, text string, label string")
-    small, _ = models.fit_text_classifier(df, "text", "label", "a", features=64)
-    large, _ = models.fit_text_classifier(df, "text", "label", "a")
-    assert [type(s) for s in small.stages] == [type(s) for s in large.stages]
-    counts = large.transform(df).select("features").collect()
-    assert all(len(r["features"].indices) == 2 for r in counts)  # without "everywhere"
+def test_one_part_is_the_plain_learner(spark):
+    """Weights equal those of the passive-aggressive rule, document by document."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"t{rng.randrange(12)}x" for _ in range(6)), rng.choice("ab")) for i in range(40)]
+    df = spark.createDataFrame(rows, "id bigint, text string, label string")
+    model = models.fit_text_classifier(df, "id", "text", "label", "a", rounds=1, passes=3)
+    names = {r["index"]: r["term"] for r in model.dictionary.collect()}
+    got = {names.get(r["index"]): r["weight"] for r in model.weights.collect()}
+    vectors = {}
+    for r in tfidf.tfidf(df, "id").collect():
+        vectors.setdefault(r["id"], {})[r["term"]] = r["weight"]
+    order = [r["id"] for r in df.orderBy(F.xxhash64(F.col("id").cast("string"))).collect()]
+    w, label = {}, {i: 1.0 if l == "a" else -1.0 for i, _, l in rows}
+    for _ in range(3):
+        for i in order:
+            x = {**vectors[i], None: 1.0}
+            loss = 1 - label[i] * sum(w.get(t, 0.0) * z for t, z in x.items())
+            if loss > 0:
+                step = min(1.0, loss / sum(z * z for z in x.values())) * label[i]
+                for t, z in x.items():
+                    w[t] = w.get(t, 0.0) + step * z
+    assert got.keys() >= w.keys() and all(math.isclose(got[t], w[t], abs_tol=1e-9) for t in w)
+
+
+def test_every_term_has_a_coefficient(spark):
+    """Dense indices in term order, however ranges are cut; no two terms share one."""
+    rows = [(i, f"everywhere term{i} other{i % 7} Ünï{i % 3}", "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id bigint, text string, label string")
+    model = models.fit_text_classifier(df.repartition(5), "id", "text", "label", "a")
+    terms = [r["term"] for r in model.dictionary.orderBy("index").collect()]
+    assert terms == sorted(terms, key=str.encode) and "everywhere" not in terms and len(terms) == 70
+    assert [r["index"] for r in model.weights.orderBy("index").collect()] == list(range(-1, 70))
 
 
 def test_vectors_equal_the_weight_table(spark):
-    """The ML features and the TF-IDF table are the same numbers."""
-    df = spark.createDataFrame([(1, "alpha beta beta", 1.0), (2, "beta gamma", 0.0), (3, "delta", 0.0), (4, "delta alpha", 1.0)], "id bigint, text string, label double")
-    vectors, _ = models.fit_text_classifier(df.withColumn("l", F.col("label").cast("string")).drop("label").withColumnRenamed("l", "label"), "text", "label", "1.0")
-    table = {}
-    for r in tfidf.tfidf(df, "id").collect():
-        table.setdefault(r["id"], []).append(r["weight"])
-    for r in vectors.transform(df.drop("label")).collect():
-        assert np.allclose(sorted(r["features"].values), sorted(table[r["id"]]))
+    """Two rows of one key are one document; a term looked up by join weighs the same."""
+    df = spark.createDataFrame([(1, "alpha beta"), (1, "beta"), (2, "beta gamma"), (3, "delta"), (4, "delta alpha"), (5, None)], "id bigint, text string")
+    counts = {(r["id"], r["term"]): r["tf"] for r in tfidf.term_counts(df, "id").collect()}
+    bags = {(r["id"], t["term"]): t["tf"] for r in tfidf.bags(df, "id").collect() for t in r["bag"]}
+    assert bags == counts and bags[1, "beta"] == 2
+    known = tfidf.dictionary(tfidf.bags(df, "id").select(F.inline("bag")), 5).persist()
+    whole, joined = (tfidf.weighed(tfidf.bags(df, "id"), "id", known, 5, "index", n).select("id", F.inline("vector")).collect() for n in (10, 0))
+    assert sorted(map(tuple, whole)) == sorted(map(tuple, joined)) and len(whole) == 7
 
 
 def test_fixture_counts(spark):
