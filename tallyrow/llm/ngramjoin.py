@@ -12,8 +12,10 @@ thousand agree by chance once in 10^13 sets). Equal sets are one node, named by
 3. *Homes.* Sets meet first where their rarest shared shingle is, with all shingles. Pairs pass
    the length, the positional and the suffix filter and are then counted exactly. A pair that is
    already connected is not compared.
-4. *Other prefix shingles.* Where a prefix shingle holds sets of several components, pairs with
-   different homes go through the same filters, and those left are verified once each.
+4. *Meetings.* Where another prefix shingle holds sets of several components that have not met,
+   the same filters tell which sets still have a possible partner. Each of these goes, with all
+   its shingles, to its fullest such places, and so on until no set is left; sets that met are
+   never compared again.
 
 The suffix filter bounds the difference of two sets from below: shingles fall into 512 cells,
 and each cell where one set holds an odd and the other an even number holds a difference.
@@ -36,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tallyrow.llm.common import cut, small_side
 from tallyrow.llm.simhash import components
@@ -47,8 +49,13 @@ SHINGLE = 5
 PERCENT = 80
 #: Shingles of a block, of a bucket (about), and those on each side of a compared group.
 BLOCK, BUCKET, GROUP = 1 << 20, 1 << 21, 1 << 21
-#: Sets on each side of a group in which only sketches are compared.
-SKETCHED = 4_096
+#: Sets on each side of a group in which only sketches are compared, and rows of such groups
+#: that are handled together.
+SKETCHED, BUNDLE = 2_048, 4_096
+#: Places that a set goes to in a round; in the last round it goes to all.
+PLACES, ROUNDS = 2, 6
+#: Groups up to which all pairs are laid out at once.
+SMALL = 64
 #: Names (8 or 16 bytes) up to which a list of them is broadcast.
 NAMES = 500_000
 #: Words whose hashes a task keeps.
@@ -294,14 +301,19 @@ class Forest:
         return old
 
 
-def _possible(i: int, rest: np.ndarray, n: np.ndarray, m: np.ndarray, left: np.ndarray, sketch: np.ndarray) -> np.ndarray:
-    """The sets of ``rest`` that the length, the positional and the suffix filter let pass for
-    set i; ``left`` is how many shingles of a set come no earlier than the common one."""
-    a, b = n[i], n[rest]
-    rest = rest[(100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)) & (np.minimum(left[i], left[rest]) >= _overlap(a, b))]
-    once = n - m
-    apart = np.bitwise_count(sketch[rest] ^ sketch[i]).sum(axis=1, dtype=np.int64) + once[i] + once[rest]
-    return rest[apart <= a + n[rest] - 2 * _overlap(a, n[rest])]
+def _apart(i, j, n: np.ndarray, m: np.ndarray, left: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) the length, the positional and the suffix filter let pass;
+    ``left`` is how many shingles of a set come no earlier than the common one."""
+    a, b = n[i], n[j]
+    need = _overlap(a, b)
+    close = (100 * np.minimum(a, b) >= PERCENT * np.maximum(a, b)) & (np.minimum(left[i], left[j]) >= need)
+    at = np.flatnonzero(close)
+    if len(at):
+        i, j = (x[at] if np.ndim(x) else x for x in (i, j))
+        once = n - m
+        least = np.bitwise_count(sketch[j] ^ sketch[i]).sum(axis=1, dtype=np.int64) + once[i] + once[j]
+        close[at] = least <= n[i] + n[j] - 2 * _overlap(n[i], n[j])
+    return close
 
 
 def _ordered(table: pa.Table):
@@ -317,20 +329,23 @@ def _two(table: pa.Table) -> bool:
 
 
 def _compare_home(table: pa.Table) -> pa.Table:
-    """One home, or two blocks of one: connecting links among its sets, counted exactly."""
+    """One place, or two blocks of one: connecting links among its sets, counted exactly. Sets
+    that were connected before (``root``) are not compared."""
     nodes, at = _ordered(table)
     toks = [np.frombuffer(table["toks"][int(i)].as_py(), "<u8") for i in at]
     n, side = (table[c].to_numpy()[at].astype(np.int64) for c in ("n", "side"))
     m = np.array([len(t) for t in toks], np.int64)
     sketch = np.array([_sketch(t) for t in toks])
     two, forest, u, v = _two(table), Forest(len(nodes)), [], []
+    if "root" in table.column_names:
+        forest.label = _numbers(table["root"])[at]
     for i in range(len(nodes) - 1):
         rest = np.arange(i + 1, len(nodes))
         rest = rest[forest.label[rest] != forest.label[i]]
         if two:
             rest = rest[side[rest] != side[i]]
-        # every shared shingle comes no earlier than the home's, the rarest
-        for j in _possible(i, rest, n, m, m, sketch).tolist():
+        # no common shingle is known to be the first, so all may be common
+        for j in rest[_apart(i, rest, n, m, m, sketch)].tolist():
             if forest.label[i] != forest.label[j]:
                 common = len(np.intersect1d(toks[i], toks[j], assume_unique=True))
                 if 100 * common >= PERCENT * (n[i] + n[j] - common):
@@ -340,6 +355,11 @@ def _compare_home(table: pa.Table) -> pa.Table:
     return pa.table([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
 
 
+def _numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """A number for each distinct value."""
+    return column.combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+
+
 def _dealt(rows: DataFrame, key: str, weight: str, most: int) -> DataFrame:
     """``rows`` with (i, j, side): the pair of blocks that a row goes to, one in most groups; a
     row of a too large group goes to as many as the group has blocks."""
@@ -382,48 +402,114 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _PREFIX = "tok long, node binary, n int, m int, left int, home long"
 
 
-def _compare_prefix(table: pa.Table) -> pa.Table:
-    """One shingle, or two blocks of its sets: pairs of different components and homes that
-    the filters let pass."""
-    nodes, at = _ordered(table)
-    n, m, left, home, side = (table[c].to_numpy()[at].astype(np.int64) for c in ("n", "m", "left", "home", "side"))
-    roots = np.unique(np.array([x.as_py().hex() for x in table["root"]])[at], return_inverse=True)[1]
-    sketch = np.frombuffer(b"".join(x.as_py() for x in table["sketch"]), np.uint64).reshape(-1, CELLS)[at]
-    two, u, v = _two(table), [], []
-    for i in range(len(nodes) - 1):
-        rest = np.arange(i + 1, len(nodes))
-        rest = rest[(roots[rest] != roots[i]) & (home[rest] != home[i])]
-        if two:
-            rest = rest[side[rest] != side[i]]
-        close = _possible(i, rest, n, m, left, sketch)
-        u += [min(nodes[i], nodes[j]) for j in close]
-        v += [max(nodes[i], nodes[j]) for j in close]
-    return pa.table([pa.array(u, pa.binary()), pa.array(v, pa.binary())], ["u", "v"])
-
-
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for row in batch.to_pylist():
-            common = len(np.intersect1d(np.frombuffer(row["a"], "<u8"), np.frombuffer(row["b"], "<u8"), assume_unique=True))
-            keep.append(100 * common >= PERCENT * (row["n"] + row["o"] - common))
-        yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
-
-
-def other_links(found: DataFrame, roots: DataFrame, most: int = SKETCHED) -> DataFrame:
-    """Links (u, v) between components, from all prefix shingles but a set's home."""
-    rows = found.filter("toks IS NOT NULL")
-    spread = rows.select("node", "n", "m", "prefix").mapInArrow(_prefix_rows, _PREFIX)
-    label = roots.select(F.col("node").alias("of"), "root")
-    labelled = staged(spread.join(label, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node")).drop("of"), "prefixes")
+def _met(i, j, met: np.ndarray) -> np.ndarray:
+    """Which of the pairs (i, j) share a place they went to in the same round."""
+    a, b = met[i], met[j]
+    if a.ndim == 1:
+        a = np.broadcast_to(a, b.shape)
+    found = (a[:, 0] == b[:, 0]) & (a[:, 0] != 0)
+    for start in range(1, met.shape[1], PLACES):
+        x, y = a[:, start : start + PLACES], b[:, start : start + PLACES]
+        found |= ((x[:, :, None] == y[:, None, :]) & (x[:, :, None] != 0)).any(axis=(1, 2))
+    return found
+
+
+def _still_open(table: pa.Table) -> pa.Table:
+    """Of the rows of several groups those of sets with a possible partner in their group that
+    is in another component and that they have not met."""
+    group = _numbers(pa.chunked_array([pa.array([f"{t} {i} {j}" for t, i, j in zip(*(table[c].to_pylist() for c in ("tok", "i", "j")))])]))
+    roots, nodes = _numbers(table["root"]), _numbers(table["node"])
+    size = np.bincount(group)[group]
+    # the rows of a group's largest component last
+    per = np.unique(np.stack([group, roots], 1), axis=0, return_inverse=True, return_counts=True)
+    order = np.lexsort((nodes, per[1].reshape(-1), per[2][per[1].reshape(-1)], group))
+    table = table.take(pa.array(order))
+    group, roots, nodes, size = group[order], roots[order], nodes[order], size[order]
+    n, m, left, side = (table[c].to_numpy().astype(np.int64) for c in ("n", "m", "left", "side"))
+    two = table["i"].to_numpy() != table["j"].to_numpy()
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint64).reshape(-1, CELLS)
+    met = np.array(table["met"].to_pylist(), np.int64)
+    found = np.zeros(len(group), bool)
+
+    def check(i, j: np.ndarray) -> None:
+        ok = (roots[i] != roots[j]) & ~(two[j] & (side[i] == side[j]))
+        i, j = (x[ok] if np.ndim(x) else x for x in (i, j))
+        if not len(j):
+            return
+        ok = ~_met(i, j, met)
+        i, j = (x[ok] if np.ndim(x) else x for x in (i, j))
+        ok = _apart(i, j, n, m, left, sketch)
+        found[j[ok]] = True
+        if np.ndim(i):
+            found[i[ok]] = True
+        elif ok.any():
+            found[i] = True
+
+    small = np.flatnonzero(size <= SMALL)
+    for d in range(1, min(SMALL, len(small))):
+        i, j = small[:-d], small[d:]
+        same = group[i] == group[j]
+        if not same.any():
+            break
+        check(i[same], j[same])
+    for g in np.unique(group[size > SMALL]):
+        rows = np.flatnonzero(group == g)
+        last = roots[rows[-1]]
+        for k in range(len(rows)):
+            if roots[rows[k]] == last:
+                break  # among themselves they are connected
+            check(int(rows[k]), rows[k + 1 :])
+    return table.filter(pa.array(found))
+
+
+_OPEN = _PREFIX + ", sketch binary, root binary, met array<bigint>"
+
+
+def open_rows(rows: DataFrame, most: int) -> DataFrame:
+    """The rows of sets that may have a link where they are, to a set they have not met."""
+    mixed = cut(rows.groupBy("tok").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("tok"))
+    dealt = _dealt(rows.join(small_side(mixed, NAMES), "tok", "left_semi").withColumn("one", F.lit(1)), "tok", "one", most).drop("one")
+    bundles = max(1, rows.count() // BUNDLE)
+    bundled = dealt.withColumn("bundle", F.pmod(F.xxhash64("tok", "i", "j"), F.lit(bundles)))
+    columns = [f.split(" ")[0] for f in _OPEN.split(", ")]
+    kept = bundled.groupBy("bundle").applyInArrow(lambda t: _still_open(t).select(columns), _OPEN)
+    return staged(kept.dropDuplicates(["tok", "node"]), "open")
+
+
+def meeting_links(found: DataFrame, near: DataFrame, most: int = SKETCHED, group: int = GROUP, last: int = ROUNDS) -> DataFrame:
+    """``near`` and the further links (u, v) that connect all linked sets."""
+    sets = found.filter("toks IS NOT NULL")
+    spread = sets.select("node", "n", "m", "prefix").mapInArrow(_prefix_rows, _PREFIX)
+    links, roots = near, components(near)
+    labelled = staged(_labelled(spread, roots), "prefixes")
     mixed = cut(labelled.groupBy("tok").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("tok"))
     several = staged(labelled.join(small_side(mixed, NAMES), "tok"), "mixed")
-    sketches = _of(rows, several.select("node")).select("node", "toks").mapInArrow(_sketches, "of binary, sketch binary")
-    full = several.join(sketches, F.col("node") == F.col("of")).drop("of").withColumn("one", F.lit(1))
-    pairs = cut(_dealt(full, "tok", "one", most).groupBy("tok", "i", "j").applyInArrow(_compare_prefix, "u binary, v binary").distinct())
-    sets = cut(_of(rows, pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node")))))
-    left, right = sets.select(F.col("node").alias("u"), "n", F.col("toks").alias("a")), sets.select(F.col("node").alias("v"), F.col("n").alias("o"), F.col("toks").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "n", "o", "a", "b").mapInArrow(_verify, "u binary, v binary")
+    sketches = _of(sets, several.select("node")).select("node", "toks").mapInArrow(_sketches, "of binary, sketch binary")
+    rows = staged(several.join(sketches, F.col("node") == F.col("of")).drop("of").withColumn("met", F.array("home")), "sketched")
+    for number in range(1, last + 1):
+        rows = open_rows(rows, most)
+        if not rows.limit(1).count():
+            break
+        sizes = rows.groupBy("tok").agg(F.count(F.lit(1)).alias("size"))
+        place = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("size"), "tok"))
+        ranked = rows.select("tok", "node", "root").join(sizes, "tok").withColumn("place", place)
+        chosen = staged(ranked if number == last else ranked.filter(F.col("place") <= PLACES), "chosen")
+        full = chosen.select("tok", "node", "root").join(_of(sets, chosen.select("node")), "node").withColumn("m", F.length("toks") / 8)
+        new = cut(_dealt(full, "tok", "m", group).groupBy("tok", "i", "j").applyInArrow(_compare_home, "u binary, v binary"))
+        links = links.unionByName(new)
+        if number == last:
+            break
+        roots = components(links)
+        went = chosen.groupBy("node").agg(*[F.coalesce(F.max(F.when(F.col("place") == k, F.col("tok"))), F.lit(0)).alias(f"p{k}") for k in range(1, PLACES + 1)])
+        went = went.select(F.col("node").alias("of"), F.array(*[f"p{k}" for k in range(1, PLACES + 1)]).alias("new"))
+        again = rows.drop("root").join(went, F.col("node") == F.col("of")).withColumn("met", F.concat("met", "new")).drop("of", "new")
+        rows = staged(_labelled(again, roots), "rows")
+    return links
+
+
+def _labelled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    label = roots.select(F.col("node").alias("of"), "root")
+    return rows.join(label, F.col("node") == F.col("of"), "left").withColumn("root", F.coalesce("root", "node")).drop("of")
 
 
 def _of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -432,12 +518,11 @@ def _of(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     return rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("n").alias("n"), F.first("toks").alias("toks"))
 
 
-def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, sketched: int = SKETCHED, **sizes: int) -> DataFrame:
+def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", group: int = GROUP, sketched: int = SKETCHED, rounds: int = ROUNDS, **sizes: int) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest id reachable)."""
     found = members(docs, doc_id, text, **sizes)
     near = cut(home_links(found, group))
-    far = cut(other_links(found, components(near), sketched))
-    roots = components(near.unionByName(far))
+    roots = components(meeting_links(found, near, sketched, group, rounds))
     nodes = found.filter("n > 0").groupBy("node").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("rows"))
     named = cut(nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     component = named.join(named.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "component_id", "rows")
