@@ -139,3 +139,26 @@ def stream_dedupe(spark: SparkSession, sf: str) -> DataFrame:
     twice = stream.withColumn("copy", F.explode(copies)).drop("copy")
     once = dedupe.dedupe_stream(twice, "event_id", "ts", None)
     return dedupe.run_to_table(once.select("event_id", "user_id", "event_type", "value"), "events")
+
+
+@query(
+    "stream_dedupe_late",
+    """WITH sent AS (SELECT event_id, ts, user_id, event_type, value, event_id % 3 AS step FROM events
+      UNION ALL SELECT event_id, ts, user_id, event_type, value, (event_id + 1) % 3 FROM events WHERE event_id % 5 = 0),
+    marks AS (SELECT step, max(max(epoch_ms(ts))) OVER (ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 10 * 86400000 AS mark FROM sent GROUP BY step),
+    judged AS (SELECT sent.*, coalesce(epoch_ms(ts) < mark, false) AS late FROM sent JOIN marks USING (step))
+    SELECT event_id, user_id, event_type, value, late FROM judged WHERE late
+    UNION ALL SELECT DISTINCT event_id, user_id, event_type, value, late FROM judged WHERE NOT late""",
+)
+def stream_dedupe_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that arrive in three steps out of time order, every fifth once more in another
+    step: the first of each key within ten days, and all that came too late, as rows."""
+    events, path = fx.read(spark, sf, "events"), scratch_path(spark, "late_events")
+    sent = events.withColumn("step", F.col("event_id") % 3)
+    sent = sent.unionByName(events.filter("event_id % 5 = 0").withColumn("step", (F.col("event_id") + 1) % 3))
+    with dedupe.keyed_state(spark):
+        for step in range(3):
+            sent.filter(F.col("step") == step).drop("step").write.mode("append").parquet(path + "/in")
+            told = dedupe.dedupe_with_late(dedupe.file_stream(spark, path + "/in", events.schema), "event_id", "ts", "10 days")
+            dedupe.run_available(told, path + "/data", path + "/checkpoint")
+    return spark.read.schema(told.schema).parquet(path + "/data").select("event_id", "user_id", "event_type", "value", "late")

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tallyrow.functions.text import named
 from tallyrow.session import scratch_path
@@ -27,9 +32,78 @@ def dedupe_stream(stream: DataFrame, key: str, event_time: str, delay: str | Non
     return timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
 
 
+class _FirstInTime(StatefulProcessor):
+    """One key: its first event is passed on and remembered until a timer at event time plus
+    delay; later ones are dropped meanwhile. An event behind the watermark is passed on as late."""
+
+    def __init__(self, delay_ms: int):
+        self.delay_ms = delay_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState("seen", "expires bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        events = pd.concat(rows)
+        late = events["ms"].isna() | (events["ms"] < timerValues.getCurrentWatermarkInMs())
+        if late.any():
+            yield events[late].drop(columns="ms").assign(late=True)
+        timely = events[~late]
+        if len(timely) and not self.seen.exists():
+            first = timely[timely["ms"] == timely["ms"].min()].head(1)
+            expires = int(first["ms"].iloc[0]) + self.delay_ms
+            self.seen.update((expires,))
+            self.handle.registerTimer(expires)
+            yield first.drop(columns="ms").assign(late=False)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.seen.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def dedupe_with_late(stream: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+    """First event per key within ``delay``, and every event that came later than the watermark
+    allows, told apart by the added column ``late``; nothing is left out unseen.
+
+    A key is remembered until its event time plus ``delay`` lies behind the watermark, so the state
+    holds the keys of that span only. The watermark of a micro-batch is the latest event time of
+    the batches before it, less ``delay``. An event without a time is late. Run it with
+    ``run_to_table`` or inside ``keyed_state``.
+    """
+    timed = stream.withColumn(event_time, named(event_time).cast("timestamp")).withWatermark(event_time, delay)
+    # the operator would drop late rows by the marked column, so its value is passed on unmarked;
+    # the processor's rows keep no names that are not identifiers, so columns go by number
+    plain = F.timestamp_micros(F.unix_micros(named(event_time)))
+    names = {c: f"c{i}" for i, c in enumerate(stream.columns)}
+    rows = timed.select(*[(plain if c == event_time else named(c)).alias(n) for c, n in names.items()], F.unix_millis(plain).alias("ms"))
+    out = T.StructType([*rows.drop("ms").schema.fields, T.StructField("late", T.BooleanType())])
+    delay_ms = stream.sparkSession.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {delay})").first()[0]
+    told = rows.groupBy(names[key]).transformWithStateInPandas(_FirstInTime(delay_ms), out, "Append", "EventTime")
+    return told.select(*[F.col(n).alias(c) for c, n in names.items()], "late")
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def keyed_state(spark: SparkSession):
+    """The state store that keyed processors need; the session's own setting comes back after."""
+    before = spark.conf.get(_PROVIDER)
+    spark.conf.set(_PROVIDER, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        yield
+    finally:
+        spark.conf.set(_PROVIDER, before)
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Process what is there, append it to Parquet files and stop. Returns the number of
-    rows left out because they came later than the watermark allows."""
+    rows that Spark's own operators left out because they came later than the watermark allows,
+    in the micro-batches that the session remembers (100 by default); ``dedupe_with_late`` gives
+    all of them back as rows."""
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -46,5 +120,6 @@ def run_to_table(stream: DataFrame, name: str) -> DataFrame:
     """As run_available into the shared folder; returns what was written."""
     spark = stream.sparkSession
     target = scratch_path(spark, name)
-    run_available(stream, target + "/data", target + "/checkpoint")
+    with keyed_state(spark):
+        run_available(stream, target + "/data", target + "/checkpoint")
     return spark.read.schema(stream.schema).parquet(target + "/data")

@@ -110,6 +110,35 @@ def test_unordered_files_lose_nothing_or_are_counted(spark, tmp_path):
         assert kept + late == 230 and (late > 0) == (files == 1)
 
 
+def test_late_rows_come_back(spark, tmp_path):
+    """Three steps: what is late by the watermark of the steps before comes out as rows, the
+    first of each key is kept, keys are forgotten when their span is over, reruns agree."""
+    from tallyrow.streaming import dedupe
+
+    steps = [
+        [(1, 0), (1, 5), (2, 100), (None, 50), (3, None)],  # watermark of step 2: 100 - 30 = 70
+        [(2, 101), (4, 69), (5, 70), (5, 69), (6, 400)],  # of step 3: 370
+        [(1, 380), (6, 401), (7, 10), (7, 390), (7, 391)],
+    ]
+    kept = {(1, 0), (2, 100), (None, 50), (5, 70), (6, 400), (1, 380), (7, 390)}
+    late = {(3, None), (4, 69), (5, 69), (7, 10)}
+    runs = []
+    for run in "ab":
+        base = str(tmp_path / run)
+        with dedupe.keyed_state(spark):
+            for rows in steps:
+                made = spark.createDataFrame(rows, "k bigint, t bigint").selectExpr("k AS `the key`", "timestamp_seconds(1700000000 + t * 60)::timestamp_ntz AS _at")
+                made.repartition(3).write.mode("append").parquet(base + "/in")
+                told = dedupe.dedupe_with_late(dedupe.file_stream(spark, base + "/in", made.schema), "the key", "_at", "30 minutes")
+                query = told.writeStream.format("parquet").option("checkpointLocation", base + "/cp").trigger(availableNow=True).start(base + "/out")
+                query.awaitTermination()
+        state = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+        out = spark.read.parquet(base + "/out").selectExpr("`the key` AS k", "(unix_seconds(_at::timestamp) - 1700000000) / 60 AS t", "late").collect()
+        runs.append({(r["k"], None if r["t"] is None else int(r["t"]), r["late"]) for r in out})
+        assert len(out) == len(runs[-1]) and state <= 2 * 3  # keys 1, 6 and 7, each with its timer
+    assert runs[0] == runs[1] == {(*r, False) for r in kept} | {(*r, True) for r in late}
+
+
 def test_split_is_exact_and_stable(spark):
     df = spark.range(1003).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("label"))
     a = evaluation.stratified_split(df, "id", "label").persist()
