@@ -56,6 +56,8 @@ def fix_parse_dates(spark: SparkSession, sf: str) -> DataFrame:
 SPELLINGS = [
     "yyyy-MM-dd", "yyyy-M-d H:mm", "yyyy-MM-dd'T'HH:mm:ss", "yyyy/M/d", "yyyy.MM.dd", "yyyyMMdd", "M/d/yyyy", "MM-dd-yyyy", "MM/dd/yyyy HH:mm:ss",
     "M/d/yy", "MMM d yyyy", "MMM d, yyyy", "MMMM d, yyyy", "d MMM yyyy", "d MMMM yyyy", "dd-MMM-yyyy", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    "M/d/yyyy h:mm a", "yyyy-MM-dd hh:mm:ss a", "EEEE, MMMM d, yyyy", "EEE MMM d yyyy", "d'th' MMMM yyyy", "MMMM d'th', yyyy", "yyyyMMdd'T'HHmmss",
+    "d'th of' MMMM yyyy", "yyyy-MMM-dd", "d-MMM-yy", "MM/dd/yy h:mma", "yyyy-MM-dd HH:mm:ss'+00:00'", "yyyy MMM d",
 ]
 
 
@@ -77,6 +79,20 @@ def fix_parse_date_spellings(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("o_orderkey", F.date_format("spelled", "yyyy-MM-dd").alias("parsed"))
 
 
+MONTH_SPELLINGS = ["MMM yyyy", "MMMM yyyy", "yyyy-MM", "yyyy/M", "M/yyyy"]
+
+
+@query("fix_parse_month_spellings", "SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS parsed FROM orders")
+def fix_parse_month_spellings(spark: SparkSession, sf: str) -> DataFrame:
+    """A month without a day is its first day."""
+    text = F.lit(None)
+    for i, fmt in enumerate(MONTH_SPELLINGS):
+        text = F.when(F.col("o_orderkey") % len(MONTH_SPELLINGS) == i, F.date_format("o_orderdate", fmt)).otherwise(text)
+    months = fx.read(spark, sf, "orders").select("o_orderkey", text.alias("month"))
+    done = fixes.apply_fix(months, {"action": "parse_dates", "column": "month"})
+    return done.select("o_orderkey", F.date_format("month", "yyyy-MM-dd").alias("parsed"))
+
+
 @query(
     "dq_invalid_date_spellings",
     f"SELECT 'invalid_dates' AS kind, count(*) AS affected FROM orders WHERE o_orderkey % {len(SPELLINGS) + 1} = {len(SPELLINGS)}",

@@ -65,24 +65,37 @@ def has_digit(c: Column) -> Column:
     return c.rlike(r"(?U)\d")
 
 
-def _date(s: Column, shape: str, fmt: str) -> Column:
-    read = F.try_to_timestamp(s, F.lit(fmt + v.TIME_FORMAT))
-    if "yyyy" not in fmt:
-        read = F.when(F.year(read) >= v.PIVOT_YEAR, read - F.expr("INTERVAL 100 YEARS")).otherwise(read)
-    # the shape keeps the (slow) parse failures rare
-    return F.when(s.rlike(f"^{shape}{v.TIME_SHAPE}$"), read)
-
-
 def iso_date_of(s: Column) -> Column:
     return F.when(s.rlike(f"^{v.ISO_DATE[0]}$"), F.try_to_timestamp(s, F.lit(v.ISO_DATE[1]))).cast("timestamp_ntz")
 
 
 def any_date_of(s: Column) -> Column:
-    """First spelling of the fixed list that reads the value; month before day. A time
-    with an offset becomes the session's time."""
-    shapes = "|".join(dict.fromkeys(shape for shape, _ in v.DATE_FORMATS))
-    tries = [_date(s, shape, fmt) for shape, fmt in v.DATE_FORMATS]
-    return F.when(s.rlike(f"^(?:{shapes}){v.TIME_SHAPE}$"), F.coalesce(*tries)).cast("timestamp_ntz")
+    """A date in any spelling of the grammar, with a time or without; month before day. The
+    text is brought to one form, cut into fields and made a timestamp once. A time with an
+    offset becomes the session's time."""
+    form = s
+    for pattern, becomes in [*v.DATE_GRAMMAR, *v.TIME_GRAMMAR]:
+        form = F.regexp_replace(form, pattern, becomes)
+    # a lambda's variable is computed once, however often it is used
+    made = F.transform(F.array(F.split(form, r"\|")), _timestamp)[0]
+    return F.when((F.octet_length(s) <= v.LONGEST_DATE) & s.rlike(v.DATE_START), made)
+
+
+def _timestamp(fields: Column) -> Column:
+    """From year, month (number or name), day, hour, minute, second, fraction, half, offset."""
+    text = lambda i: F.get(fields, F.lit(i))
+    number = lambda i: text(i).try_cast("int")
+    short = number(0)
+    year = F.when(F.length(text(0)) > 2, short).when(short >= v.PIVOT_YEAR, short + 1900).otherwise(short + 2000)
+    name = F.array_position(F.array(*[F.lit(m) for m in v.MONTHS]), F.lower(F.substring(text(1), 1, 3))).cast("int")
+    month = F.coalesce(number(1), name)
+    hour, late = F.coalesce(number(3), F.lit(0)), F.lower(text(7)) == "p"
+    clock = F.when(text(7) == "", hour).when(hour <= 12, hour % 12 + F.when(late, 12).otherwise(0))
+    second = F.concat(F.when(text(5) == "", "0").otherwise(text(5)), F.lit("."), text(6), F.lit("0")).try_cast("decimal(16,6)")
+    parts = [year, month, number(2), clock, F.coalesce(number(4), F.lit(0)), second]
+    zone = F.when(text(8).rlike("^[+-]"), F.regexp_replace(text(8), r"^([+-]\d{2}):?", "$1:")).otherwise(F.lit("UTC"))
+    made = F.when(text(8) == "", F.try_make_timestamp_ntz(*parts)).otherwise(F.try_make_timestamp(*parts, zone).cast("timestamp_ntz"))
+    return F.when(F.size(fields) == 10, made)
 
 
 def iso_date(c: Column) -> Column:

@@ -16,33 +16,41 @@ NUMBER_DECORATION = ",$€£₹¥%"
 
 # the one form that is not a guess
 ISO_DATE = (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d")
-# date spellings in the order they are tried, month before day: (shape, Spark format)
-DATE_FORMATS = [
-    ISO_DATE,
-    (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
-    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
-    (r"\d{8}", "yyyyMMdd"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
-    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
-    (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
-    (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
-    (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"),
-    (r"\d{1,2}/\d{1,2}/\d{2}", "M/d/yy"),
-    (r"\d{1,2}/\d{1,2}/\d{2}", "d/M/yy"),
-    (r"\d{1,2}-\d{1,2}-\d{2}", "M-d-yy"),
-    (r"\d{1,2}-\d{1,2}-\d{2}", "d-M-yy"),
-    (r"[A-Za-z]{3} \d{1,2},? \d{4}", "MMM d[,] yyyy"),
-    (r"[A-Za-z]{4,9} \d{1,2},? \d{4}", "MMMM d[,] yyyy"),
-    (r"\d{1,2} [A-Za-z]{3},? \d{4}", "d MMM[,] yyyy"),
-    (r"\d{1,2} [A-Za-z]{4,9},? \d{4}", "d MMMM[,] yyyy"),
-    (r"\d{1,2}-[A-Za-z]{3}-\d{4}", "d-MMM-yyyy"),
+MONTHS = "jan feb mar apr may jun jul aug sep oct nov dec".split()
+_MONTH = (
+    r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
+    r"sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)\.?"
+)
+_WEEKDAY = r"(?:mon|tues?|wed(?:nes)?|thu(?:rs?)?|fri|sat(?:ur)?|sun)(?:day)?\.?,?\s+"
+_DAY, _ORDINAL, _YEAR, _NUMBERED = r"(\d{1,2})", r"(?:st|nd|rd|th)?", r"(\d{4}|\d{2})(?![\d:])", r"(0?[1-9]|1[0-2])"
+_END = r"(?=$|[T ,])"
+# what a date may look like at all
+DATE_START = rf"(?i)^(?:\d{{8}}|\d{{1,4}}[-/.]\d|\d{{1,4}}{_ORDINAL}[-. ]*(?:of )?[ ]*[a-z]{{3}}|{_WEEKDAY}|{_MONTH}[-,. \d])"
+LONGEST_DATE = 60
+# spellings in the order they are tried, month before day: (pattern, what it becomes, =year|month|day|)
+DATE_GRAMMAR = [
+    (rf"(?i)^{_WEEKDAY}", ""),
+    (rf"^(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}}){_END}", "=$1|$3|$4|"),
+    (rf"^(\d{{4}})(\d{{2}})(\d{{2}}){_END}", "=$1|$2|$3|"),
+    (rf"^{_NUMBERED}([-/.])(\d{{1,2}})\2{_YEAR}", "=$4|$1|$3|"),
+    (rf"^(\d{{1,2}})([-/.]){_NUMBERED}\2{_YEAR}", "=$4|$3|$1|"),
+    (rf"^(\d{{4}})[-/]{_NUMBERED}$", "=$1|$2|1|"),
+    (rf"^{_NUMBERED}[-/](\d{{4}})$", "=$2|$1|1|"),
+    (rf"(?i)^{_DAY}{_ORDINAL}(?:\s+of)?[\s.-]*{_MONTH},?[\s-]*{_YEAR}", "=$3|$2|$1|"),
+    (rf"(?i)^{_MONTH}[\s-]*{_DAY}{_ORDINAL}(?:,\s*|[\s-]+){_YEAR}", "=$3|$1|$2|"),
+    (rf"(?i)^(\d{{4}})[\s-]+{_MONTH}[\s-]+{_DAY}{_END}", "=$1|$2|$3|"),
+    (rf"(?i)^{_MONTH},?[\s-]+(\d{{4}})$", "=$2|$1|1|"),
+]
+# a time may follow a whole date, with half of the day and an offset or without; the last
+# pattern gives year|month|day|hour|minute|second|fraction|half|offset|
+_CLOCK_END = r"\s*(?:([ap])\.?m\.?)?\s*(Z|UTC|GMT|[+-]\d{2}:?\d{2})?$"
+TIME_GRAMMAR = [
+    (r"(?i)^(=.*\|)[T ]\s*(\d{2})(\d{2})(\d{2})?$", "$1 $2:$3:0$4"),
+    (r"(?i)^(=.*\|),?\s+(\d{1,2})\s*([ap])\.?m\.?$", "$1 $2:00$3m"),
+    (r"(?i)^=([^|]*)\|([^|]*)\|([^|]*)\|(?:(?:T|,?\s+)(\d{1,2}):(\d{1,2})(?::(\d{1,3})(?:\.(\d{1,6})\d*)?)?" + _CLOCK_END[:-1] + r")?$", "$1|$2|$3|$4|$5|$6|$7|$8|$9|"),
 ]
-# a time may follow any of them, with an offset or without
-TIME_SHAPE = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:\d{2})?)?"
-TIME_FORMAT = "[['T'][' ']H:mm[:ss[.SSSSSS]][XXX]]"
 # two-digit years from here on belong to the 20th century
-PIVOT_YEAR = 2069
+PIVOT_YEAR = 69
 
 MAX_CATEGORIES = 60
 MAX_PROFILE_VALUES = 40

@@ -275,7 +275,7 @@ def scan(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = N
     """
     kinds = kinds or v.KINDS
     spark = df.sparkSession
-    counters = text_class(pinned_counters(df, order_by))
+    counters = text_class(pinned_counters(df, order_by, kinds))
     known = counters.collect()
     found = counter_findings(counters.drop("class")).filter(F.col("kind").isin(kinds))
     flagged = [(r["kind"], r["column"]) for r in found.collect()]

@@ -70,9 +70,17 @@ COUNTER_SCHEMA = (
 )
 
 
-def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
+# the kinds that read a text column's class, and so whether its values are numbers or dates
+_BY_CLASS = {"numeric_formatting", "non_numeric_in_numeric", "invalid_dates", "category_variants"}
+# those that look into a text at all
+_BY_TEXT = _BY_CLASS | {"placeholder_missing", "whitespace"}
+
+
+def column_counters(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = None) -> DataFrame:
     """One row of counts per column, from one scan.
 
+    With ``kinds``, only what findings of these kinds need is counted; the other counters are 0.
+
     All aggregate buffers are longs, so the aggregate stays in generated code and
     the map side collapses each task's cells to one row per column before anything
     is exchanged.
@@ -83,7 +91,8 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
     # wide tables in groups of columns, each read on its own: together they read every
     # column once, and the generated code of a group stays within the compiler's limits
     groups = [fields[i : i + COLUMN_GROUP] for i in range(0, len(fields), COLUMN_GROUP)]
-    counted = reduce(DataFrame.unionByName, [_group_counters(df, g) for g in groups])
+    wanted = set(v.KINDS if kinds is None else kinds)
+    counted = reduce(DataFrame.unionByName, [_group_counters(df, g, bool(wanted & _BY_TEXT), bool(wanted & _BY_CLASS)) for g in groups])
     names = F.array(*[F.lit(f.name) for f in fields])
     texts = [f.name for f in fields if is_text(f)]
     numbers = [f.name for f in fields if is_numeric(f)]
@@ -98,15 +107,15 @@ def column_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
     )
 
 
-def _group_counters(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
+def _group_counters(df: DataFrame, fields: list[T.StructField], by_text: bool, by_class: bool) -> DataFrame:
     text, s = F.col("text"), F.col("s")
-    filled = F.col("filled")
+    filled, no = F.col("filled"), F.lit(False)
     judged = (
         cells(df, fields)
-        .withColumn("s", tx.strip(text))
-        .withColumn("placeholder", tx.placeholder_of(s))
-        .withColumn("filled", text.isNotNull() & ~F.col("placeholder"))
-        .withColumn("plain", F.when(filled, tx.plain_number_of(s)).isNotNull())
+        .withColumn("s", tx.strip(text) if by_text else F.lit(None).cast("string"))
+        .withColumn("placeholder", tx.placeholder_of(s) if by_text else no)
+        .withColumn("filled", text.isNotNull() & ~F.col("placeholder") if by_text else no)
+        .withColumn("plain", F.when(filled, tx.plain_number_of(s)).isNotNull() if by_class else no)
         .select(
             "column",
             "mark",
@@ -114,10 +123,10 @@ def _group_counters(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
             "placeholder",
             "filled",
             "plain",
-            (filled & (text != s)).alias("padded"),
-            (F.col("plain") | F.when(filled & ~F.col("plain"), tx.loose_number_of(s)).isNotNull()).alias("loose"),
-            (filled & tx.has_digit(text)).alias("digit"),
-            F.when(filled, tx.any_date_of(s)).isNotNull().alias("date"),
+            (filled & (text != s) if by_text else no).alias("padded"),
+            (F.col("plain") | F.when(filled & ~F.col("plain"), tx.loose_number_of(s)).isNotNull() if by_class else no).alias("loose"),
+            (filled & tx.has_digit(text) if by_class else no).alias("digit"),
+            (F.when(filled, tx.any_date_of(s)).isNotNull() if by_class else no).alias("date"),
         )
     )
     return judged.groupBy("column").agg(
@@ -135,9 +144,9 @@ def _group_counters(df: DataFrame, fields: list[T.StructField]) -> DataFrame:
     )
 
 
-def pinned_counters(df: DataFrame, order_by: str | None = None) -> DataFrame:
+def pinned_counters(df: DataFrame, order_by: str | None = None, kinds: list[str] | None = None) -> DataFrame:
     """The counters as a local table: one row per column, so bounded by the schema."""
-    return pin(column_counters(df, order_by))
+    return pin(column_counters(df, order_by, kinds))
 
 
 def few_valued(df: DataFrame, columns: list[str]) -> list[str]:
