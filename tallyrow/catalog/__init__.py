@@ -6,7 +6,7 @@ import importlib
 
 from tallyrow.catalog.registry import ORACLES, QUERIES
 
-for _module in ("quality", "plans", "fixing", "posting", "models", "retrieving"):
+for _module in ("quality", "plans", "fixing", "posting", "models", "retrieving", "roundtrips"):
     importlib.import_module(f"tallyrow.catalog.{_module}")
 
 

@@ -57,6 +57,16 @@ def table_block(spark: SparkSession, sf: str) -> DataFrame:
     return slices.block(fx.read(spark, sf, "part"), "p_partkey", (1, 11), (1, 6))
 
 
+@query(
+    "table_deep_block",
+    "SELECT ordinal, o_custkey, o_totalprice FROM (SELECT *, row_number() OVER (ORDER BY o_orderkey) AS ordinal FROM orders) WHERE ordinal BETWEEN 1000 AND 1010",
+)
+def table_deep_block(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows found by counts of key ranges, as far into the table as they may be."""
+    orders = fx.read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return slices.block(orders, "o_orderkey", (1000, 1010), (2, 3), direct_rows=0)
+
+
 @query("table_column_range", "SELECT * FROM (SELECT row_number() OVER (ORDER BY p_partkey) AS ordinal, p_name FROM part) WHERE ordinal BETWEEN 2 AND 11")
 def table_column_range(spark: SparkSession, sf: str) -> DataFrame:
     return slices.block(fx.read(spark, sf, "part"), "p_partkey", (2, 11), (2, 2))
