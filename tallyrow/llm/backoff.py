@@ -1,24 +1,30 @@
-"""Language-model scoring with a backoff model of up to three words.
+"""Language-model scoring with a weighted backoff automaton of up to three words.
 
 The model is an n-gram model with absolute discounting. Words are counted exactly, whatever
 their number; an n-gram of 2 or 3 words enters when it occurs at least ``min_count`` times in
-the training tokens, so the model grows with the text. Blocks of tokens count their n-grams,
-and a shuffle adds them up. A caller who sets ``gram_share`` lets n-grams enter from that share
-of all tokens instead.
-
-A word after a context costs the log probability of its arc, or the context's backoff weight
-and what the word costs after the next shorter context. That is a sum over the n-grams of a
-text: each word brings its unigram log probability and the weight of the context it opens, each
-kept n-gram what its arc saves against the shorter context and the weight of the context it
-opens, any other n-gram nothing. So a text's score is the sum of the values of its n-grams.
-
-Every task holds the values of words from ``word_share`` and of n-grams from ``held_share`` of
-the tokens, which are bounded in number and hold every hot key; all other words and n-grams of a
-text are joined with the table of values. A word unseen in training gets the probability of the
-unknown class, the mass that discounting took from the known words.
+the training tokens, so the model grows with the text. A caller who sets ``gram_share`` lets
+n-grams enter from that share of all tokens instead.
+
+Contexts that have arcs are states. An arc leads from a context by a word to the longest state
+that ends the words read, and costs the word's log probability; a state's failure arc leads to
+the context without its first word and costs the backoff weight, the mass its own arcs leave over
+that of the same words below. A text is read once from left to right: at each word failure arcs
+are taken until an arc is found, and what is taken is added up. Long texts are read in pieces,
+each begun two words early, which is all a state remembers.
+
+Nobody holds the model. Texts lie in blocks of about ``block`` tokens, written once in buckets by
+block. Round by round (words, pairs, triples) a block sends its distinct n-grams, packed and with
+their counts, to where their context is settled, and gets back which of them enter, and for each
+of its contexts the three sums that its backoff weight is made of. Pairs are asked only of words
+that occur often enough, triples only of pairs that entered. Then the block has the part of the
+automaton that its texts can reach, and reads them. A frequent context is settled in several
+places, by its next word, and its sums are added up in the block.
 
 A null text is empty and consists of the end token only. A null id counts as an empty id text.
-Without training tokens every token is unknown, with probability one.
+Repeated rows are texts of their own. A text of any length is read whole; one longer than a block
+is a block. A word unseen in training gets the probability of the unknown class, the mass that
+discounting took from the known words. Without training tokens every token is unknown, with
+probability one. An empty table gives no rows. Columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -30,24 +36,27 @@ from dataclasses import dataclass
 from itertools import count as counter
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyrow.llm.ngramjoin import _mix, _pack, _unpack
+from tallyrow.operators.ordinals import ordinals
 from tallyrow.operators.sizing import staged
+from tallyrow.session import scratch_path
 
 #: No word holds a line end, so it names the end of a text.
 END = "\n"
 #: An n-gram of 2 or 3 words enters the model when it occurs so often.
 MIN_COUNT = 2
-#: Tasks hold the values of words and of n-grams from these shares of all tokens.
-WORD_SHARE, HELD_SHARE = 1e-6, 1e-5
 DISCOUNT = 0.5
-#: Tokens of a block that is counted, and of one that is scored.
-BLOCK, SCORED = 1_000_000, 300_000
-#: Rows handed to Spark at a time.
-ROWS = 50_000
+#: Tokens of a block, and of a text's piece that is read at once.
+BLOCK, PIECE = 1_000_000, 256
+#: A context is settled in one place for each so many of its occurrences.
+SPLIT = 4_000_000
+#: Blocks of a bucket of their table, at most so many buckets.
+TOGETHER, BUCKETS = 2, 100_000
+_ID = 32
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -59,188 +68,403 @@ def tokens(text: str | None) -> list[bytes]:
     return [*(text or "").encode().lower().split(), END.encode()]
 
 
-class Block:
-    """Tokens of consecutive texts, as numbers."""
-
-    def __init__(self) -> None:
-        self.number = defaultdict(counter().__next__)
-        self.end = self.number[END.encode()]
-        self.lines: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, line: list[bytes]) -> None:
-        self.lines.append(np.fromiter(map(self.number.__getitem__, line), np.int32, len(line)))
-        self.size += len(line)
-
-    def grams(self, of: np.ndarray | None = None) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-        """For n = 1 to 3: n, the distinct n-grams, and for each pair of a group and an n-gram
-        in it: the group, the n-gram's place, its count. ``of`` is the group of each token;
-        without it all are one group. No n-gram crosses an end."""
-        ids = np.concatenate(self.lines).astype(np.int64)
-        of = np.zeros(len(ids), np.int64) if of is None else of
-        names = pa.array([w.decode() for w in self.number], pa.string())
-        held, at, which = names, np.arange(len(ids)), ids
-        for n in (1, 2, 3):
-            if n > 1:  # longer by the next word
-                on = ids[at + n - 2] != self.end
-                at = at[on]
-                longer, which = np.unique(which[on] * len(names) + ids[at + n - 1], return_inverse=True)
-                held = pc.binary_join_element_wise(held.take(pa.array(longer // len(names))), names.take(pa.array(longer % len(names))), " ")
-            pairs, times = np.unique(of[at] * max(len(held), 1) + which, return_counts=True)
-            yield n, held, pairs // max(len(held), 1), pairs % max(len(held), 1), times
-
-
-def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[tuple[Block, list[pa.RecordBatch]]]:
-    """Blocks of about ``block`` tokens, each with the rows its texts come from."""
-    held, rows = Block(), []
+# --- blocks ------------------------------------------------------------------
+
+_BLOCK = "block long, ids array<long>, train array<boolean>, sizes array<int>, n_tokens int, tokens binary, words array<string>, counts array<long>"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
+    task, number = TaskContext.get().partitionId(), 0
+
+    def row() -> pa.RecordBatch:
+        flat = np.concatenate(lines)
+        own = np.repeat(np.array(train, bool), [len(x) for x in lines])
+        counts = np.bincount(flat[own], minlength=len(local)).astype(np.int64)
+        columns = [
+            pa.array([(task << 32) + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
+            pa.array([[len(x) for x in lines]], pa.list_(pa.int32())), pa.array([len(flat)], pa.int32()),
+            pa.array([_pack(flat.astype(np.uint64), 4)], pa.binary()), pa.array([[w.decode() for w in local]], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
+        ]
+        return pa.RecordBatch.from_arrays(columns, [c.split(" ")[0] for c in _BLOCK.split(", ")])
+
+    fresh = lambda: ([], [], [], defaultdict(counter().__next__))
+    ids, train, lines, local = fresh()
+    held = 0
     for batch in batches:
-        start = 0
-        for i, text in enumerate(batch["text"]):
-            held.add(tokens(text.as_py()))
-            if held.size >= block:
-                yield held, [*rows, batch.slice(start, i + 1 - start)]
-                held, rows, start = Block(), [], i + 1
-        if start < len(batch):
-            rows.append(batch.slice(start))
-    if held.lines:
-        yield held, rows
-
-
-def counts(training: DataFrame, min_count: int = MIN_COUNT, block: int = BLOCK) -> DataFrame:
-    """(n, gram, count) of all words, and of the n-grams of 2 and 3 words that occur at least
-    ``min_count`` times: counted in each block, added up by a shuffle, and written."""
+        for own, learn, text in zip(batch["id"].to_pylist(), batch["train"].to_pylist(), batch["text"]):
+            line = tokens(text.as_py())
+            ids.append(own)
+            train.append(bool(learn))
+            lines.append(np.fromiter(map(local.__getitem__, line), np.int64, len(line)))
+            held += len(line)
+            if held >= block:
+                yield row()
+                (ids, train, lines, local), held, number = fresh(), 0, number + 1
+    if ids:
+        yield row()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held, _ in _blocks(batches, block):
-            for n, grams, _, which, times in held.grams():
-                for k in range(0, len(which), ROWS):
-                    some = grams.take(pa.array(which[k : k + ROWS]))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), n, np.int32)), some, pa.array(times[k : k + ROWS])], ["n", "gram", "count"])
 
-    found = training.mapInArrow(count, "n int, gram string, count long").groupBy("n", "gram").agg(F.sum("count").alias("count"))
-    return staged(found.filter((F.col("n") == 1) | (F.col("count") >= min_count)), "ngrams")
+def _in_buckets(blocks: DataFrame, about: int) -> DataFrame:
+    """A written table with the rows of a block in a known place: groups by block of later
+    rounds read it without an exchange. ``about`` so many blocks are expected."""
+    spark = blocks.sparkSession
+    path = scratch_path(spark, "blocks")
+    name = "blocks_" + path.rsplit("-", 1)[1]
+    blocks.write.bucketBy(max(8, min(BUCKETS, about // TOGETHER)), "block").option("path", path).format("parquet").saveAsTable(name)
+    return spark.table(name)
+
+
+# --- rounds ------------------------------------------------------------------
+
+_ASK = "bucket int, block long, level int, n int, contexts binary, words binary, counts binary, lower binary, k int, asked binary"
+_REPLY = "block long, level int, bucket int, n int, entered binary, counts binary, k int, sums binary"
+#: The level of a reply that holds the block's words.
+_WORDS = 1
+
+
+def _arrow(ddl: str) -> pa.Schema:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    return pa.schema([(n, kinds[t]) for n, t in (c.split() for c in ddl.split(", "))])
+
+
+def _delta(values: np.ndarray) -> bytes:
+    return _pack(np.diff(values.astype(np.uint64), prepend=np.uint64(0)), 8)
+
+
+def _undelta(raw: bytes, n: int) -> np.ndarray:
+    return np.cumsum(_unpack(raw, n, 8), dtype=np.uint64).astype(np.int64)
+
+
+def _place(contexts: np.ndarray, part: np.ndarray, buckets: int) -> np.ndarray:
+    mixed = _mix(contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64))
+    return (mixed % np.uint64(buckets)).astype(np.int64)
 
 
 @dataclass
-class Model:
-    """What the driver knows of the model, and its table of values."""
+class Setting:
+    """What the driver knows of the model."""
 
+    #: training tokens, and distinct ones
     tokens: int
     types: int
-    #: (n, gram, count, value): all words and all kept n-grams.
-    values: DataFrame
-    #: What every task holds: the most frequent rows of the table, by n.
-    held: dict[int, pd.DataFrame]
-    #: Those the table is joined for.
-    joined: DataFrame
+    #: discount of words
     discount: float
+    #: occurrences from which n-grams enter
+    enough: int
+    buckets: int
+    split: int
 
     def unknown(self) -> float:
         return self.discount * self.types / self.tokens if self.tokens else 1.0
 
 
-def _weight(own: str, lower: str) -> Column:
-    """Backoff weight of a context: the mass its own arcs leave, over that of the same words below."""
-    return F.log10(F.greatest(F.lit(1e-300), 1 - F.sum(own)) / F.greatest(F.lit(1e-12), 1 - F.sum(lower)))
-
-
-def _values(words: DataFrame, two: DataFrame, three: DataFrame) -> DataFrame:
-    """(n, gram, count, value) from (gram, count, p) of words and (gram, count) of n-grams."""
-    part = lambda a, b: F.array_join(F.slice(F.split("gram", " "), a, b), " ")
-    name = lambda df, **to: df.select(*[F.col(c).alias(a) for a, c in to.items()])
-    two = two.withColumn("head", part(1, 1)).withColumn("tail", part(2, 1))
-    two = two.join(name(words, head="gram", c="count"), "head").join(name(words, tail="gram", lower="p"), "tail")
-    two = staged(two.select("gram", "count", "head", ((F.col("count") - DISCOUNT) / F.col("c")).alias("own"), "lower"), "arcs")
-    three = three.withColumn("head", part(1, 2)).withColumn("tail", part(2, 2))
-    three = three.join(name(two, head="gram", c="count"), "head").join(name(two, tail="gram", lower="own"), "tail")
-    three = staged(three.select("gram", "count", "head", ((F.col("count") - DISCOUNT) / F.col("c")).alias("own"), "lower"), "arcs")
-    weights = [arcs.groupBy("head").agg(_weight("own", "lower").alias("weight")) for arcs in (two, three)]
-    gain = F.log10("own") - F.log10("lower")
-    paid = [name(w, gram="head", weight="weight") for w in weights]
-    own = F.coalesce("weight", F.lit(0.0))
-    parts = [
-        words.join(paid[0], "gram", "left").select(F.lit(1).alias("n"), "gram", "count", (F.log10("p") + own).alias("value")),
-        two.join(weights[0].withColumnRenamed("weight", "saved"), "head").join(paid[1], "gram", "left").select(F.lit(2).alias("n"), "gram", "count", (gain - F.col("saved") + own).alias("value")),
-        three.join(weights[1], "head").select(F.lit(3).alias("n"), "gram", "count", (gain - F.col("weight")).alias("value")),
-    ]
-    return staged(parts[0].unionByName(parts[1]).unionByName(parts[2]), "values")
-
-
-def fit(
-    training: DataFrame, word_share: float = WORD_SHARE, gram_share: float | None = None, block: int = BLOCK, min_count: int = MIN_COUNT, held_share: float = HELD_SHARE
-) -> Model:
-    """The table of values, and the part of it that every task holds."""
-    found = counts(training, 1 if gram_share else min_count, block)
-    words = found.filter("n = 1").select("gram", "count")
-    total = words.agg(F.sum("count"), F.count(F.lit(1)), F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)).first()
-    n, types, once, twice = (x or 0 for x in total)
-    discount = once / (once + 2 * twice) if once and twice else DISCOUNT
-    words = words.withColumn("p", (F.col("count") - discount) / F.lit(float(max(n, 1))))
-    enough = found.filter(F.col("count") >= F.lit((gram_share or 0.0) * n))
-    values = _values(words, *[enough.filter(F.col("n") == k).select("gram", "count") for k in (2, 3)])
-    frequent = F.col("count") >= F.when(F.col("n") == 1, F.lit(word_share * n)).otherwise(F.lit(held_share * n))
-    # at most 1 / word_share words and 2 / held_share n-grams
-    rows = values.filter(frequent).toArrow().to_pandas()
-    held = {k: rows[rows["n"] == k][["gram", "count", "value"]].reset_index(drop=True) for k in (1, 2, 3)}
-    return Model(n, types, values, held, values.filter(~frequent), discount)
-
-
-def score(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, **shares: float) -> DataFrame:
+class Grams:
+    """The n-grams of a block that one round asks for: distinct (context, word), with the
+    tokens that stand there, and the distinct contexts that something follows."""
+
+    def __init__(self, setting: Setting, contexts: np.ndarray, occurs: np.ndarray, at: np.ndarray, follow: np.ndarray, lower: np.ndarray, train: np.ndarray):
+        """Of each token: the context it opens (-1: none) and how often that occurs; for the
+        places ``at`` the following word (-1: none that can enter), how often the n-gram without
+        its first word occurs, and whether the text is learned from."""
+        self.contexts, first, where = np.unique(contexts[at], return_index=True, return_inverse=True)
+        parts = 1 + occurs[at][first] // setting.split
+        asked = follow >= 0
+        self.at = at[asked]
+        pair = np.stack([where[asked], follow[asked]])
+        order = np.lexsort(pair[::-1])
+        pair = pair[:, order]
+        new = np.ones(pair.shape[1], bool)
+        new[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
+        self.which = np.empty(len(order), np.int64)
+        self.which[order] = np.cumsum(new) - 1
+        self.context, self.word = pair[0][new], pair[1][new]
+        self.lower = lower[asked][order][new]
+        self.counts = np.bincount(self.which, train[asked], minlength=len(self.word)).astype(np.int64)
+        place = _place(self.contexts[self.context], self.word % parts[self.context], setting.buckets)
+        #: n-grams by bucket; contexts by each bucket that settles some of them
+        self.order = np.argsort(place, kind="stable")
+        self.bounds = np.searchsorted(place[self.order], np.arange(setting.buckets + 1))
+        every = np.repeat(np.arange(len(parts)), parts)
+        part = np.arange(len(every)) - np.repeat(np.cumsum(parts) - parts, parts)
+        both = np.unique(_place(self.contexts[every], part, setting.buckets) * (len(parts) + 1) + every)
+        self.asked, own = both % (len(parts) + 1), both // (len(parts) + 1)
+        self.asked_bounds = np.searchsorted(own, np.arange(setting.buckets + 1))
+
+    def ask(self, block: int, level: int) -> list[dict]:
+        out = []
+        for bucket in range(len(self.bounds) - 1):
+            mine = self.order[self.bounds[bucket] : self.bounds[bucket + 1]]
+            asked = self.asked[self.asked_bounds[bucket] : self.asked_bounds[bucket + 1]]
+            if len(mine) or len(asked):
+                out.append(dict(
+                    bucket=bucket, block=block, level=level, n=len(mine), contexts=_delta(self.contexts[self.context[mine]]), words=_pack(self.word[mine].astype(np.uint64), 4),
+                    counts=_pack(self.counts[mine].astype(np.uint64), 4), lower=_pack(self.lower[mine].astype(np.uint64), 6), k=len(asked), asked=_delta(self.contexts[asked]),
+                ))
+        return out
+
+    def hear(self, replies: list[dict]) -> None:
+        """``total`` of each n-gram (0: it does not enter) and of each context its arcs, their
+        occurrences, and those of their words in the shorter context."""
+        self.total = np.zeros(len(self.word), np.int64)
+        self.sums = np.zeros((len(self.contexts), 3), np.int64)
+        for r in replies:
+            mine = self.order[self.bounds[r["bucket"]] : self.bounds[r["bucket"] + 1]]
+            entered = np.unpackbits(np.frombuffer(r["entered"], np.uint8), count=r["n"]).astype(bool)
+            self.total[mine[entered]] = _unpack(r["counts"], int(entered.sum()), 6).astype(np.int64)
+            asked = self.asked[self.asked_bounds[r["bucket"]] : self.asked_bounds[r["bucket"] + 1]]
+            self.sums[asked] += _unpack(r["sums"], 3 * r["k"], 6).astype(np.int64).reshape(3, -1).T
+
+
+def _settle(table: pa.Table, enough: int) -> pa.Table:
+    """One bucket: which n-grams enter, and the sums of each context asked for."""
+    rows = table.to_pylist()
+    sizes = [r["n"] for r in rows]
+    contexts = np.concatenate([_undelta(r["contexts"], r["n"]) for r in rows])
+    words, counts, lower = (np.concatenate([_unpack(r[c], r["n"], w).astype(np.int64) for r in rows]) for c, w in (("words", 4), ("counts", 4), ("lower", 6)))
+    order = np.lexsort((words, contexts))
+    c, w = contexts[order], words[order]
+    new = np.ones(len(c), bool)
+    new[1:] = (c[1:] != c[:-1]) | (w[1:] != w[:-1])
+    run = np.cumsum(new) - 1
+    total = np.bincount(run, counts[order], minlength=int(new.sum())).astype(np.int64)
+    enters = total >= enough
+    own, starts = np.unique(c[new], return_index=True)
+    add = lambda x: np.add.reduceat(np.where(enters, x, 0), starts) if len(starts) else np.zeros(0, np.int64)
+    sums = np.stack([add(np.ones(len(total), np.int64)), add(total), add(lower[order][new])])
+    times = np.empty(len(c), np.int64)
+    times[order] = np.where(enters, total, 0)[run]
+    out, at = [], 0
+    for r, n in zip(rows, sizes):
+        mine, at = times[at : at + n], at + n
+        asked = _undelta(r["asked"], r["k"])
+        found = np.searchsorted(own, asked)
+        there = np.minimum(found, max(len(own) - 1, 0))
+        got = np.where(own[there] == asked, sums[:, there], 0) if len(own) else np.zeros((3, len(asked)), np.int64)
+        out.append(dict(
+            block=r["block"], level=r["level"], bucket=r["bucket"], n=n, entered=np.packbits(mine > 0).tobytes(),
+            counts=_pack(mine[mine > 0].astype(np.uint64), 6), k=r["k"], sums=_pack(got.reshape(-1).astype(np.uint64), 6),
+        ))
+    return pa.Table.from_pylist(out, _arrow(_REPLY))
+
+
+class Reader:
+    """A block between the rounds: its tokens, and what it has heard in the rounds before ``level``."""
+
+    def __init__(self, row: dict, replies: list[dict], setting: Setting, level: int):
+        self.row, self.setting = row, setting
+        heard = defaultdict(list)
+        for r in replies:
+            heard[r["level"]].append(r)
+        (words,) = heard[_WORDS]
+        n = words["n"]
+        self.count = _unpack(words["counts"], n, 6).astype(np.int64)
+        self.id = _unpack(words["sums"], n, 4).astype(np.int64) - 1  # -1: in no n-gram that enters
+        self.local = _unpack(row["tokens"], row["n_tokens"], 4).astype(np.int64)
+        self.sizes = np.array(row["sizes"], np.int64)
+        last = np.zeros(len(self.local), bool)
+        last[np.cumsum(self.sizes) - 1] = True
+        self.train = np.repeat(np.array(row["train"], bool), self.sizes).astype(np.int64)
+        self.next = np.where(last, -1, np.roll(self.local, -1))  # the following token
+        self.levels = {}
+        contexts = np.where(last, -1, self.id[self.local])
+        self.add(2, contexts, self.count[self.local], self.count[self.next], heard[2] if level > 2 else None)
+        if level > 2:
+            two = self.levels[2]
+            entered = np.zeros(len(self.local), np.int64)
+            entered[two.at] = two.total[two.which]
+            # a pair that entered is a context unless it ends its text
+            pair = np.where((entered > 0) & ~np.roll(last, -1), (contexts << _ID) | np.where(self.next >= 0, self.id[self.next], 0), -1)
+            beyond = np.roll(self.next, -1)  # the token after the next
+            shorter = np.roll(entered, -1)
+            self.add(3, pair, entered, shorter, heard[3] if level > 3 else None, beyond, shorter > 0)
+
+    def add(self, level: int, contexts: np.ndarray, occurs: np.ndarray, lower: np.ndarray, replies: list[dict] | None, follow: np.ndarray | None = None, can: np.ndarray | None = None) -> None:
+        at = np.flatnonzero(contexts >= 0)
+        follow = (self.next if follow is None else follow)[at]
+        word = self.id[follow]
+        if can is not None:
+            word = np.where(can[at], word, -1)
+        grams = Grams(self.setting, contexts, occurs, at, word, lower[at], self.train[at])
+        if replies is not None:
+            grams.hear(replies)
+        self.levels[level] = grams
+
+    # --- the automaton
+
+    def automaton(self):
+        """Words: what each costs from no context and the state it leads to. For states of one
+        and two words: weight and target of the failure arc, and sorted arcs."""
+        s, two, three = self.setting, self.levels[2], self.levels[3]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            word_cost = np.where(self.count > 0, np.log10((self.count - s.discount) / max(s.tokens, 1)), math.log10(s.unknown()))
+        by_id = np.full(int(self.id.max(initial=0)) + 2, -1)
+        by_id[self.id[self.id >= 0]] = np.flatnonzero(self.id >= 0)
+        held = lambda own, all_, t: (own - DISCOUNT * t) / np.maximum(all_, 1)
+        # states of one word: 1 + place among the contexts; those of two words follow
+        state1 = np.where(two.sums[:, 0] > 0, 1 + np.arange(len(two.contexts)), 0)
+        state2 = np.where(three.sums[:, 0] > 0, 1 + len(two.contexts) + np.arange(len(three.contexts)), 0)
+        local1 = by_id[two.contexts]
+        arcs, c1, low1 = two.sums.T
+        weight1 = np.log10(np.maximum(1e-300, 1 - held(c1, self.count[local1], arcs)) / np.maximum(1e-12, 1 - (low1 - s.discount * arcs) / max(s.tokens, 1)))
+        of_word = np.zeros(len(self.count), np.int64)  # state of a word
+        of_word[local1] = state1
+        head, tail = three.contexts >> _ID, three.contexts & ((1 << _ID) - 1)
+        key2 = two.contexts[two.context] << _ID | two.word  # sorted: contexts and words are
+        count2 = two.total
+        arcs, c2, low2 = three.sums.T
+        times = count2[np.searchsorted(key2, three.contexts)]
+        weight2 = np.log10(np.maximum(1e-300, 1 - held(c2, times, arcs)) / np.maximum(1e-12, 1 - held(low2, self.count[by_id[tail]], arcs)))
+        weights, fail = np.zeros(1 + len(state1) + len(state2)), np.zeros(1 + len(state1) + len(state2), np.int64)
+        weights[1 : 1 + len(state1)], weights[1 + len(state1) :] = weight1, weight2
+        fail[1 + len(state1) :] = of_word[by_id[tail]]
+
+        def target(pairs: np.ndarray, words: np.ndarray) -> np.ndarray:
+            """State that pairs (and their last words) lead to."""
+            place = np.minimum(np.searchsorted(three.contexts, pairs), max(len(three.contexts) - 1, 0))
+            known = (three.contexts[place] == pairs) if len(three.contexts) else np.zeros(len(pairs), bool)
+            return np.where(known & (state2[place] > 0), state2[place], of_word[words]) if len(three.contexts) else of_word[words]
+
+        own2, own3 = np.flatnonzero(two.total > 0), np.flatnonzero(three.total > 0)
+        word2, word3 = two.word[own2], three.word[own3]
+        first2 = two.contexts[two.context[own2]]
+        cost2 = np.log10((two.total[own2] - DISCOUNT) / self.count[by_id[first2]])
+        cost3 = np.log10((three.total[own3] - DISCOUNT) / times[three.context[own3]])
+        keys = np.concatenate([state1[two.context[own2]] << _ID | word2, state2[three.context[own3]] << _ID | word3])
+        costs = np.concatenate([cost2, cost3])
+        goes = np.concatenate([target(first2 << _ID | word2, by_id[word2]), target(tail[three.context[own3]] << _ID | word3, by_id[word3])])
+        order = np.argsort(keys)
+        return word_cost, of_word, weights, fail, keys[order], costs[order], goes[order]
+
+    def read(self) -> np.ndarray:
+        """Cost of every token, read from left to right, many pieces of texts side by side."""
+        word_cost, of_word, weights, fail, keys, costs, goes = self.automaton()
+        starts = np.cumsum(self.sizes) - self.sizes
+        pieces = -(-self.sizes // PIECE)
+        begin = np.repeat(starts, pieces) + PIECE * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        stop = np.minimum(begin + PIECE, np.repeat(starts + self.sizes, pieces))
+        at = np.maximum(begin - 2, np.repeat(starts, pieces))
+        order = np.argsort(at - stop, kind="stable")  # longest first
+        at, begin, stop = at[order], begin[order], stop[order]
+        state, out = np.zeros(len(at), np.int64), np.zeros(len(self.local))
+        while True:
+            going = int(np.searchsorted(-(stop - at), 0))  # those with tokens left
+            if not going:
+                break
+            at, begin, stop, state = at[:going], begin[:going], stop[:going], state[:going]
+            word = self.local[at]
+            spent, here, goal = np.zeros(going), state.copy(), np.zeros(going, np.int64)
+            open_ = np.arange(going)
+            while len(open_):
+                own = open_[here[open_] > 0]
+                if len(keys) and len(own):
+                    key = here[own] << _ID | self.id[word[own]]
+                    place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    hit = (keys[place] == key) & (self.id[word[own]] >= 0)
+                    spent[own[hit]] += costs[place[hit]]
+                    goal[own[hit]] = goes[place[hit]]
+                    own = own[~hit]
+                done = open_[here[open_] == 0]
+                spent[done] += word_cost[word[done]]
+                goal[done] = of_word[word[done]]
+                spent[own] += weights[here[own]]  # the failure arc
+                here[own] = fail[here[own]]
+                open_ = own
+            counted = at >= begin
+            out[at[counted]] = spent[counted]
+            state, at = goal, at + 1
+        return out
+
+
+def _words(table: pa.Table) -> pa.Table:
+    """The words of one block, packed: how often each occurs, and its id."""
+    table = table.sort_by("local")
+    count, own = table["total"].to_numpy(), table["word_id"].to_numpy()
+    row = dict(block=table["block"][0].as_py(), level=_WORDS, bucket=0, n=len(count), entered=b"", counts=_pack(count.astype(np.uint64), 6), k=0, sums=_pack((own + 1).astype(np.uint64), 4))
+    return pa.Table.from_pylist([row], _arrow(_REPLY))
+
+
+def _round(blocks: DataFrame, replies: DataFrame, step, schema: str) -> DataFrame:
+    """``step(block row, its replies)`` for every block."""
+
+    def run(own: pa.Table, heard: pa.Table) -> pa.Table:
+        parts = [step(row, heard.to_pylist()) for row in own.to_pylist()]
+        return pa.concat_tables(parts) if parts else pa.Table.from_pylist([], _arrow(schema))
+
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+
+
+_SCORES = "id long, n_tokens long, n_known long, base double, score double"
+
+
+def _model(docs: DataFrame, training: Column, doc_id: str, text: str, block: int, min_count: int, gram_share: float | None, split: int) -> tuple[DataFrame, DataFrame, Setting]:
+    """Blocks, the replies of all rounds, and the setting."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(training, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    about = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (6 * block)
+    blocks = _in_buckets(rows.mapInArrow(lambda batches: _blocks(batches, block), _BLOCK), about)
+    spread = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select("block", "local", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
+    vocabulary = staged(spread.groupBy("word").agg(F.sum("n").alias("total")).filter("total > 0"), "vocabulary")
+    facts = vocabulary.agg(F.sum("total"), F.count(F.lit(1)), F.count_if(F.col("total") == 1), F.count_if(F.col("total") == 2)).first()
+    n, types, once, twice = (x or 0 for x in facts)
+    enough = max(1, math.ceil(gram_share * n - 1e-9)) if gram_share else min_count
+    size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
+    setting = Setting(n, types, once / (once + 2 * twice) if once and twice else DISCOUNT, enough, max(1, min(1 << 20, size // block)), split)
+    often = ordinals(vocabulary.filter(F.col("total") >= enough).select("word"), "word", "word_id")
+    numbered = vocabulary.join(often, "word", "left").select("word", "total", F.coalesce("word_id", F.lit(-1)).alias("word_id"))
+    found = spread.join(numbered, "word", "left").select("block", "local", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("word_id", F.lit(-1)).alias("word_id"))
+    replies = staged(found.groupBy("block").applyInArrow(_words, _REPLY), "words")
+    blocks = blocks.drop("words", "counts")
+    for level in (2, 3):
+
+        def ask(row: dict, heard: list[dict], level: int = level) -> pa.Table:
+            return pa.Table.from_pylist(Reader(row, heard, setting, level).levels[level].ask(row["block"], level), _arrow(_ASK))
+
+        asked = _round(blocks, replies, ask, _ASK)
+        settled = asked.groupBy("bucket").applyInArrow(lambda t: _settle(t, setting.enough), _REPLY)
+        replies = replies.unionByName(staged(settled, "replies"))
+    return blocks, replies, setting
+
+
+def entered(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, min_count: int = MIN_COUNT) -> DataFrame:
+    """(level, arcs): how many n-grams of 2 and of 3 words enter, each counted in every block
+    that holds it, all documents being learned from."""
+    _, replies, _ = _model(docs, F.lit(True), doc_id, text, block, min_count, None, SPLIT)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            arcs = [int(np.unpackbits(np.frombuffer(e, np.uint8)).sum()) for e in batch["entered"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["level"], pa.array(arcs, pa.int64())], ["level", "arcs"])
+
+    rows = replies.filter(F.col("level") > _WORDS).select("level", "entered")
+    return rows.mapInArrow(count, "level int, arcs long").groupBy("level").agg(F.sum("arcs").alias("arcs"))
+
+
+def score(
+    docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", block: int = BLOCK, min_count: int = MIN_COUNT, gram_share: float | None = None, split: int = SPLIT
+) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score; the
-    rows where ``training`` holds are learnt from. ``shares`` are those of ``fit``."""
-    content = F.coalesce(F.col(text), F.lit("")).alias("text")
-    model = fit(docs.filter(training).select(content), block=block, **shares)
-    shared = docs.sparkSession.sparkContext.broadcast({k: (pa.array(t["gram"], pa.string()), t["count"].to_numpy(np.int64), t["value"].to_numpy(float)) for k, t in model.held.items()})
-    log_space = math.log10(model.tokens + model.types + 1)
-    schema = "rid long, n int, word string, times long, id long, n_tokens long, n_known long, base double, score double"
-    names = [c.split(" ")[0] for c in schema.split(", ")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts, rows in _blocks(batches, min(block, SCORED)):
-            rid, own = (pa.concat_arrays([r[c] for r in rows]) for c in ("rid", "id"))
-            sizes = np.array([len(line) for line in texts.lines], np.int64)
-            known, base, total = np.zeros(len(sizes), np.int64), -log_space * sizes, np.zeros(len(sizes))
-            for n, grams, doc, which, times in texts.grams(np.repeat(np.arange(len(sizes)), sizes)):
-                keys, count, value = shared.value[n]
-                place = pc.fill_null(pc.index_in(grams, value_set=keys), -1).to_numpy(zero_copy_only=False)[which]
-                here = place >= 0
-                at, t = place[here], times[here]
-                total += np.bincount(doc[here], value[at] * t, len(sizes))
-                if n == 1:
-                    base += np.bincount(doc[here], np.log10(count[at] + 1.0) * t, len(sizes))
-                    known += np.bincount(doc[here], t, len(sizes)).astype(np.int64)
-                doc, which, times = doc[~here], which[~here], times[~here]
-                for k in range(0, len(doc), ROWS):
-                    some = slice(k, k + ROWS)
-                    columns = [rid.take(pa.array(doc[some])), pa.array(np.full(len(doc[some]), n, np.int32)), grams.take(pa.array(which[some])), pa.array(times[some])]
-                    empty = [pa.nulls(len(columns[0]), pa.int64())] * 3 + [pa.nulls(len(columns[0]), pa.float64())] * 2
-                    yield pa.RecordBatch.from_arrays(columns + empty, names)
-            # a document's own numbers travel as one more row, whose word is missing
-            yield pa.RecordBatch.from_arrays(
-                [rid, pa.array(np.zeros(len(sizes), np.int32)), pa.nulls(len(sizes), pa.string()), pa.array(np.zeros(len(sizes), np.int64)), own, pa.array(sizes), pa.array(known), pa.array(base), pa.array(total)],
-                names,
-            )
-
-    numbered = docs.select(F.monotonically_increasing_id().alias("rid"), F.col(doc_id).cast("long").alias("id"), content)
-    scored = numbered.mapInArrow(run, schema)
-    # own rows and n-grams meet in the sum only; a missing word would gather all own rows in one task
-    own = F.when(F.col("n") == 0, F.struct("id", "n_tokens", "n_known", "base", "score")).alias("doc")
-    rows = scored.select("rid", "n", F.coalesce("word", F.concat(F.lit(END), F.col("rid").cast("string"))).alias("word"), "times", own)
-    joined = rows.join(model.joined.select(F.col("n").alias("m"), "gram", "count", "value"), (F.col("n") == F.col("m")) & (F.col("word") == F.col("gram")), "left")
-    word, found = F.col("n") == 1, F.col("count").isNotNull()
-    missing = F.when(word, F.lit(math.log10(model.unknown()))).otherwise(F.lit(0.0))
-    summed = joined.groupBy("rid").agg(
-        F.max("doc").alias("doc"), F.sum(F.when(word & found, F.col("times")).otherwise(0)).alias("known"),
-        F.sum(F.when(word & found, F.log10(F.col("count") + F.lit(1.0)) * F.col("times")).otherwise(0.0)).alias("base"),
-        F.sum(F.coalesce("value", missing) * F.col("times")).alias("score"),
-    )
-    return summed.select(
-        F.col("doc.id").alias(doc_id), F.col("doc.n_tokens").alias("n_tokens"), (F.col("doc.n_known") + F.col("known")).alias("n_known"),
-        F.lit(model.tokens).cast("long").alias("train_tokens"), (F.col("doc.base") + F.col("base")).alias("base_score"), (F.col("doc.score") + F.col("score")).alias("score"),
-    )
-
-
-def held_out_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **shares: float) -> DataFrame:
+    rows where ``training`` holds are learned from."""
+    blocks, replies, setting = _model(docs, training, doc_id, text, block, min_count, gram_share, split)
+    space = math.log10(setting.tokens + setting.types + 1)
+
+    def read(row: dict, heard: list[dict]) -> pa.Table:
+        reader = Reader(row, heard, setting, 4)
+        line = np.repeat(np.arange(len(reader.sizes)), reader.sizes)
+        own = reader.count[reader.local]
+        add = lambda x: np.bincount(line, x, len(reader.sizes))
+        base = add(np.log10(own + 1.0)) - space * reader.sizes
+        columns = [
+            pa.array(row["ids"], pa.int64()), pa.array(reader.sizes),
+            pa.array(add(own > 0).astype(np.int64)), pa.array(base), pa.array(add(reader.read())),
+        ]
+        return pa.Table.from_arrays(columns, [c.split(" ")[0] for c in _SCORES.split(", ")])
+
+    scored = _round(blocks, replies, read, _SCORES)
+    return scored.select(
+        F.col("id").alias(doc_id), "n_tokens", "n_known", F.lit(setting.tokens).cast("long").alias("train_tokens"), F.col("base").alias("base_score"), "score"
+    )
+
+
+def held_out_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings) -> DataFrame:
     """All documents, scored by a model of those outside the held-out fold."""
-    scored = score(docs, ~held_out(F.col(doc_id)), doc_id=doc_id, text=text, **shares)
+    scored = score(docs, ~held_out(F.col(doc_id)), doc_id=doc_id, text=text, **settings)
     return scored.select(doc_id, held_out(F.col(doc_id)).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -575,16 +575,17 @@ def test_backoff_scores(messy, documents, frame, share):
     rng = np.random.default_rng(4)
     small = frame([(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 40), "a") for i in range(60)] + [(i, t, s) for i, t, s in as_list(messy)][:12])
     expected, prob, words = slow_scores(as_list(small), share)
-    for word_share in (1e-9, share):
-        got = backoff.held_out_scores(small, word_share=min(word_share, share), gram_share=share, block=150).collect()
+    for split in (backoff.SPLIT, 7):
+        got = backoff.held_out_scores(small, split=split, gram_share=share, block=150).collect()
         assert sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got), key=repr) == sorted(expected, key=repr)
     for h in [(), ("w1",), ("w1", "w2"), ("nowhere", "w1")]:
         assert math.isclose(sum(prob(h, w) for (w,) in words) + prob(h, "never seen"), 1, abs_tol=1e-9)
 
 
-@pytest.mark.parametrize("held_share", [1e-9, 2.0])
-def test_ngrams_enter_by_count_at_any_size(messy, frame, held_share):
-    """Twice seen is enough, however many other tokens there are; with and without the join."""
+@pytest.mark.parametrize("split, block", [(backoff.SPLIT, backoff.BLOCK), (50, 500)])
+def test_ngrams_enter_by_count_at_any_size(messy, frame, split, block):
+    """Twice seen is enough, however many other tokens there are; in one block, and in many
+    with frequent contexts settled in several places."""
     rng = np.random.default_rng(5)
     rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 40) + (" rare pair here" if i % 30 == 0 else ""), "a") for i in range(120)]
     rows += [(1000 + i, " ".join(f"only{i}x{k}" for k in range(400)), "a") for i in range(20)] + [(i, t, s) for i, t, s in as_list(messy)][:12]
@@ -592,7 +593,7 @@ def test_ngrams_enter_by_count_at_any_size(messy, frame, held_share):
     total = sum(len(toks(t)) for i, t, _ in as_list(small) if not is_held(i))
     expected, _, words = slow_scores(as_list(small), backoff.MIN_COUNT / total)
     assert words[("rare",)] >= 2
-    got = backoff.held_out_scores(small, held_share=held_share, word_share=min(held_share, 1.0), block=500).collect()
+    got = backoff.held_out_scores(small, split=split, block=block).collect()
     assert sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got), key=repr) == sorted(expected, key=repr)
 
 
@@ -601,7 +602,7 @@ def test_kept_ngrams_grow_with_the_text(spark):
     kept = []
     for size in ("sf0.001", "sf0.01"):
         docs = spark.read.parquet(f"/root/testdata/{size}/documents.parquet").select("text")
-        kept.append(backoff.counts(docs).filter("n > 1").count())
+        kept.append(backoff.entered(docs.withColumn("doc_id", F.lit(1))).agg(F.sum("arcs")).first()[0])
     assert kept[1] > 3 * kept[0]
 
 
