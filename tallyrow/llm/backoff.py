@@ -20,6 +20,8 @@ that occur often enough, triples only of pairs that entered. Then the block has
 automaton that its texts can reach, and reads them. A frequent context is settled in several
 places, by its next word, and its sums are added up in the block.
 
+Words are named by 64-bit hashes of their own: two of a billion words agree with a chance of 3 %.
+
 A null text is empty and consists of the end token only. A null id counts as an empty id text.
 Repeated rows are texts of their own. A text of any length is read whole; one longer than a block
 is a block. A word unseen in training gets the probability of the unknown class, the mass that
@@ -37,11 +39,11 @@ from itertools import count as counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyrow.llm.ngramjoin import _mix, _pack, _unpack
-from tallyrow.operators.ordinals import ordinals
 from tallyrow.operators.sizing import staged
 from tallyrow.session import scratch_path
 
@@ -51,7 +53,7 @@ END = "\n"
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Tokens of a block, and of a text's piece that is read at once.
-BLOCK, PIECE = 1_000_000, 256
+BLOCK, PIECE = 400_000, 256
 #: A context is settled in one place for each so many of its occurrences.
 SPLIT = 4_000_000
 #: Blocks of a bucket of their table, at most so many buckets.
@@ -70,20 +72,22 @@ def tokens(text: str | None) -> list[bytes]:
 
 # --- blocks ------------------------------------------------------------------
 
-_BLOCK = "block long, ids array<long>, train array<boolean>, sizes array<int>, n_tokens int, tokens binary, words array<string>, counts array<long>"
+_BLOCK = "block long, ids array<long>, train array<boolean>, sizes array<int>, n_tokens int, tokens binary, n_words int, words binary, counts binary"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], block: int) -> Iterator[pa.RecordBatch]:
     task, number = TaskContext.get().partitionId(), 0
 
     def row() -> pa.RecordBatch:
-        flat = np.concatenate(lines)
+        # a word's number in the block is the place of its hash
+        words, place = np.unique(np.fromiter(map(xxhash.xxh64_intdigest, local), np.uint64, len(local)), return_inverse=True)
+        flat = place[np.concatenate(lines)]
         own = np.repeat(np.array(train, bool), [len(x) for x in lines])
-        counts = np.bincount(flat[own], minlength=len(local)).astype(np.int64)
+        counts = np.bincount(flat[own], minlength=len(words)).astype(np.uint64)
         columns = [
             pa.array([(task << 32) + number]), pa.array([ids], pa.list_(pa.int64())), pa.array([train], pa.list_(pa.bool_())),
             pa.array([[len(x) for x in lines]], pa.list_(pa.int32())), pa.array([len(flat)], pa.int32()),
-            pa.array([_pack(flat.astype(np.uint64), 4)], pa.binary()), pa.array([[w.decode() for w in local]], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())),
+            pa.array([_pack(flat.astype(np.uint64), 4)], pa.binary()), pa.array([len(words)], pa.int32()), pa.array([_delta(words)], pa.binary()), pa.array([_pack(counts, 4)], pa.binary()),
         ]
         return pa.RecordBatch.from_arrays(columns, [c.split(" ")[0] for c in _BLOCK.split(", ")])
 
@@ -118,8 +122,8 @@ def _in_buckets(blocks: DataFrame, about: int) -> DataFrame:
 
 _ASK = "bucket int, block long, level int, n int, contexts binary, words binary, counts binary, lower binary, k int, asked binary"
 _REPLY = "block long, level int, bucket int, n int, entered binary, counts binary, k int, sums binary"
-#: The level of a reply that holds the block's words.
-_WORDS = 1
+#: Levels of the rows that tell of all words of a bucket, and of a block's words.
+_FACTS, _WORDS = 0, 1
 
 
 def _arrow(ddl: str) -> pa.Schema:
@@ -255,10 +259,9 @@ class Reader:
         heard = defaultdict(list)
         for r in replies:
             heard[r["level"]].append(r)
-        (words,) = heard[_WORDS]
-        n = words["n"]
-        self.count = _unpack(words["counts"], n, 6).astype(np.int64)
-        self.id = _unpack(words["sums"], n, 4).astype(np.int64) - 1  # -1: in no n-gram that enters
+        words = sorted(heard[_WORDS], key=lambda r: r["bucket"])  # buckets and numbers have one order
+        self.count, known = (np.concatenate([_unpack(w[c], w["n"], k).astype(np.int64) for w in words]) for c, k in (("counts", 6), ("sums", 4)))
+        self.id = np.where(self.count >= setting.enough, known, -1)  # -1: in no n-gram that enters
         self.local = _unpack(row["tokens"], row["n_tokens"], 4).astype(np.int64)
         self.sizes = np.array(row["sizes"], np.int64)
         last = np.zeros(len(self.local), bool)
@@ -375,12 +378,41 @@ class Reader:
         return out
 
 
-def _words(table: pa.Table) -> pa.Table:
-    """The words of one block, packed: how often each occurs, and its id."""
-    table = table.sort_by("local")
-    count, own = table["total"].to_numpy(), table["word_id"].to_numpy()
-    row = dict(block=table["block"][0].as_py(), level=_WORDS, bucket=0, n=len(count), entered=b"", counts=_pack(count.astype(np.uint64), 6), k=0, sums=_pack((own + 1).astype(np.uint64), 4))
-    return pa.Table.from_pylist([row], _arrow(_REPLY))
+def _ask_words(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The words of each block, cut into ranges of their hashes."""
+    limits = np.array([(i << 64) // buckets for i in range(buckets)], np.uint64)
+    for batch in batches:
+        for row in batch.to_pylist():
+            words, counts = np.cumsum(_unpack(row["words"], row["n_words"], 8), dtype=np.uint64), _unpack(row["counts"], row["n_words"], 4)
+            bounds = [*np.searchsorted(words, limits), len(words)]
+            out = [
+                dict(bucket=i, block=row["block"], level=_WORDS, n=int(b - a), contexts=_delta(words[a:b]), words=b"", counts=_pack(counts[a:b], 4), lower=b"", k=0, asked=b"")
+                for i, (a, b) in enumerate(zip(bounds, bounds[1:])) if a < b
+            ]
+            yield pa.RecordBatch.from_pylist(out, _arrow(_ASK))
+
+
+def _settle_words(table: pa.Table, buckets: int) -> pa.Table:
+    """One range of words: how often each occurs in all blocks, and its id."""
+    rows = table.to_pylist()
+    words, counts = (np.concatenate(x) for x in zip(*((_undelta(r["contexts"], r["n"]), _unpack(r["counts"], r["n"], 4)) for r in rows)))
+    _, where = np.unique(words, return_inverse=True)
+    total = np.bincount(where, counts).astype(np.int64)
+    number = np.cumsum(total > 0) - 1
+    own = np.where(total > 0, number * buckets + rows[0]["bucket"], 0)
+    reply = lambda block, level, n, counts, sums: dict(block=block, level=level, bucket=rows[0]["bucket"], n=n, entered=b"", counts=_pack(counts.astype(np.uint64), 6), k=0, sums=sums)
+    facts = np.array([total.sum(), (total > 0).sum(), (total == 1).sum(), (total == 2).sum()])
+    out, at = [reply(-1, _FACTS, 4, facts, b"")], 0
+    for r in rows:
+        mine, at = where[at : at + r["n"]], at + r["n"]
+        out.append(reply(r["block"], _WORDS, r["n"], total[mine], _pack(own[mine].astype(np.uint64), 4)))
+    return pa.Table.from_pylist(out, _arrow(_REPLY))
+
+
+def _facts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = np.array([_unpack(x, 4, 6) for x in batch["counts"].to_pylist()], np.int64).reshape(-1, 4)
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in found.T], ["tokens", "types", "once", "twice"])
 
 
 def _round(blocks: DataFrame, replies: DataFrame, step, schema: str) -> DataFrame:
@@ -401,18 +433,16 @@ def _model(docs: DataFrame, training: Column, doc_id: str, text: str, block: int
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(training, F.lit(False)).alias("train"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     about = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (6 * block)
     blocks = _in_buckets(rows.mapInArrow(lambda batches: _blocks(batches, block), _BLOCK), about)
-    spread = blocks.select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("local", "w")).select("block", "local", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    vocabulary = staged(spread.groupBy("word").agg(F.sum("n").alias("total")).filter("total > 0"), "vocabulary")
-    facts = vocabulary.agg(F.sum("total"), F.count(F.lit(1)), F.count_if(F.col("total") == 1), F.count_if(F.col("total") == 2)).first()
-    n, types, once, twice = (x or 0 for x in facts)
-    enough = max(1, math.ceil(gram_share * n - 1e-9)) if gram_share else min_count
     size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    setting = Setting(n, types, once / (once + 2 * twice) if once and twice else DISCOUNT, enough, max(1, min(1 << 20, size // block)), split)
-    often = ordinals(vocabulary.filter(F.col("total") >= enough).select("word"), "word", "word_id")
-    numbered = vocabulary.join(often, "word", "left").select("word", "total", F.coalesce("word_id", F.lit(-1)).alias("word_id"))
-    found = spread.join(numbered, "word", "left").select("block", "local", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("word_id", F.lit(-1)).alias("word_id"))
-    replies = staged(found.groupBy("block").applyInArrow(_words, _REPLY), "words")
-    blocks = blocks.drop("words", "counts")
+    buckets = max(1, min(1 << 20, size // block))
+    asked = blocks.select("block", "n_words", "words", "counts").mapInArrow(lambda batches: _ask_words(batches, buckets), _ASK)
+    told = staged(asked.groupBy("bucket").applyInArrow(lambda t: _settle_words(t, buckets), _REPLY), "words")
+    facts = told.filter(F.col("level") == _FACTS).mapInArrow(_facts, "tokens long, types long, once long, twice long")
+    n, types, once, twice = (x or 0 for x in facts.agg(*[F.sum(c) for c in facts.columns]).first())
+    enough = max(1, math.ceil(gram_share * n - 1e-9)) if gram_share else min_count
+    setting = Setting(n, types, once / (once + 2 * twice) if once and twice else DISCOUNT, enough, buckets, split)
+    replies = told.filter(F.col("level") == _WORDS)
+    blocks = blocks.drop("words", "counts", "n_words")
     for level in (2, 3):
 
         def ask(row: dict, heard: list[dict], level: int = level) -> pa.Table:
