@@ -227,6 +227,28 @@ def knn_approx_quality(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("knn_quantised")
+def knn_quantised(spark: SparkSession, sf: str) -> DataFrame:
+    q, c = fx.query_vectors(spark, sf), fx.chunk_vectors(spark, sf)
+    return _rounded(retrieval.knn_quantised(q, c, 5, exclude_self=True))
+
+
+@query(
+    "knn_quantised_quality",
+    f"""WITH {sql.topk(5, False)} SELECT count(*) AS exact_rows, true AS scores_are_exact, true AS enough_found FROM top""",
+)
+def knn_quantised_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Search by codes against the exact one: recall of 0.9 and true scores, with full products
+    for a hundred vectors a query."""
+    q, c = fx.query_vectors(spark, sf), fx.chunk_vectors(spark, sf)
+    exact = retrieval.knn_topk(q, c, 5, filtered=False, exclude_self=True).select("query_id", "vec_id", F.col("score").alias("true"))
+    near = retrieval.knn_quantised(q, c, 5, depth=100, exclude_self=True).select("query_id", "vec_id", "score")
+    return exact.join(near, ["query_id", "vec_id"], "left").agg(
+        F.count(F.lit(1)).alias("exact_rows"), F.coalesce(F.max(F.abs(F.col("score") - F.col("true"))) < 1e-6, F.lit(False)).alias("scores_are_exact"),
+        (F.count("score") >= 0.9 * F.count(F.lit(1))).alias("enough_found"),
+    )
+
+
 # --- questions ---------------------------------------------------------------
 
 

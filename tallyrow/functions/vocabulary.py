@@ -60,6 +60,30 @@ DIGIT_SHARE = 0.8
 DATE_SHARE = 0.7
 FENCE = 3.0
 
+# notes of the apply log
+NOTES = {
+    "not_text": "not a text column; nothing to do",
+    "numeric": "already numeric",
+    "not_numeric": "column is not numeric (convert it first); skipped",
+    "no_median": "median needs a numeric column; skipped",
+    "no_mode": "no most-common value; skipped",
+    "no_number": "{!r} is not a number; skipped",
+    "no_value": "{!r} is no {}; skipped",
+    "no_fill": "no fill method given; skipped",
+    "left": "left as is",
+    "skipped": "SKIPPED: {}",
+    "absent": "column '{}' not found",
+    "dropped": "column '{}' not found (already dropped?)",
+    "other_type": "column '{}' holds {} values, which are no {}",
+    "unknown": "unknown action '{}'",
+}
+# notes that tell a count, in the order they are joined
+COUNT_NOTES = {
+    "lost_numbers": "{} values could not be read as numbers and became empty",
+    "guessed_dates": "WARNING: {} dates were not in YYYY-MM-DD form and were read as month/day/year; check they are right",
+    "lost_dates": "{} values were not valid dates and became empty",
+}
+
 # kind -> (share for high, share for medium); kinds not named have a fixed severity
 SEVERITY_SHARES = {
     "duplicate_rows": (0.1, 0.01),

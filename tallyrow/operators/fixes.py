@@ -33,7 +33,7 @@ def _field(df: DataFrame, column: str) -> T.StructField:
     for f in df.schema:
         if f.name == column:
             return f
-    raise FixError(f"column '{column}' not found (already dropped?)")
+    raise FixError(v.NOTES["dropped"].format(column))
 
 
 # --- one function per action: (df, fix) -> Rewrite ---------------------------
@@ -43,7 +43,7 @@ def strip_whitespace(df: DataFrame, fix: dict) -> Rewrite:
     f = _field(df, fix["column"])
     c = named(f.name)
     if not is_text(f):
-        return Rewrite(c, "not a text column; nothing to do")
+        return Rewrite(c, v.NOTES["not_text"])
     return Rewrite(tx.strip(c))
 
 
@@ -77,9 +77,9 @@ def convert_numeric(df: DataFrame, fix: dict) -> Rewrite:
     f = _field(df, fix["column"])
     c = named(f.name)
     if is_numeric(f):
-        return Rewrite(c, "already numeric")
+        return Rewrite(c, v.NOTES["numeric"])
     if not is_text(f) and not isinstance(f.dataType, T.BooleanType):
-        raise FixError(f"column '{f.name}' holds {f.dataType.simpleString()} values, which are no numbers")
+        raise FixError(v.NOTES["other_type"].format(f.name, f.dataType.simpleString(), "numbers"))
     new = tx.loose_number(c) if is_text(f) else c.cast("double")
     return Rewrite(new, counts={"lost_numbers": c.isNotNull() & new.isNull()})
 
@@ -91,7 +91,7 @@ def parse_dates(df: DataFrame, fix: dict) -> Rewrite:
     if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return Rewrite(c.cast("timestamp_ntz"))
     if not is_text(f):
-        raise FixError(f"column '{f.name}' holds {f.dataType.simpleString()} values, which are no dates")
+        raise FixError(v.NOTES["other_type"].format(f.name, f.dataType.simpleString(), "dates"))
     iso, new = tx.iso_date(c), tx.any_date(c)
     return Rewrite(
         new,
@@ -106,7 +106,7 @@ def nullify_values(df: DataFrame, fix: dict) -> Rewrite:
     f = _field(df, fix["column"])
     c = named(f.name)
     if not is_numeric(f):
-        return Rewrite(c, "column is not numeric (convert it first); skipped")
+        return Rewrite(c, v.NOTES["not_numeric"])
     if fix.get("rule") == "negative":
         return Rewrite(F.when((c >= 0) | F.isnan(c.cast("double")), c))
     quartiles = exact_quantiles(df, [f.name], [0.25, 0.75])[f.name]
@@ -116,38 +116,59 @@ def nullify_values(df: DataFrame, fix: dict) -> Rewrite:
     return Rewrite(F.when(~outside(c, (quartiles[0] - spread, quartiles[1] + spread)), c))
 
 
+def _fill_with_number(f: T.StructField, number: float) -> Column:
+    """The column with gaps filled; whole numbers leave an integer column what it is."""
+    whole = isinstance(f.dataType, T.IntegralType) and float(number).is_integer()
+    return F.coalesce(named(f.name), F.lit(number).cast(f.dataType if whole else "double"))
+
+
+def _median(df: DataFrame, f: T.StructField, _) -> Column | str | None:
+    found = exact_quantiles(df, [f.name], [0.5])[f.name]
+    return None if found is None else _fill_with_number(f, found[0])
+
+
+def _mode(df: DataFrame, f: T.StructField, _) -> Column | str:
+    top = most_common(df, f.name)
+    return v.NOTES["no_mode"] if top is None else F.coalesce(named(f.name), F.lit(top).cast(f.dataType))
+
+
+def _number(df: DataFrame, f: T.StructField, constant) -> Column | str:
+    try:
+        return _fill_with_number(f, float(constant))
+    except (TypeError, ValueError):
+        return v.NOTES["no_number"].format(constant)
+
+
+def _text(df: DataFrame, f: T.StructField, constant) -> Column:
+    return F.coalesce(named(f.name), F.lit(constant))
+
+
+def _other(df: DataFrame, f: T.StructField, constant) -> Column | str:
+    value = F.lit(constant).try_cast(f.dataType)
+    if df.sparkSession.range(1).select(value.isNull()).first()[0]:
+        return v.NOTES["no_value"].format(constant, f.dataType.simpleString())
+    return F.coalesce(named(f.name), value)
+
+
+def _any(_: T.StructField) -> bool:
+    return True
+
+
+# method -> (type of column, how it is filled; a text is the note of a fill that cannot be), first match
+FILLS = {
+    "median": [(is_numeric, _median), (_any, lambda *_: v.NOTES["no_median"])],
+    "mode": [(_any, _mode)],
+    "constant": [(is_numeric, _number), (is_text, _text), (_any, _other)],
+}
+
+
 def fill_missing(df: DataFrame, fix: dict) -> Rewrite:
     f = _field(df, fix["column"])
-    c, how = named(f.name), fix.get("fill")
-    if how == "median":
-        if not is_numeric(f):
-            return Rewrite(c, "median needs a numeric column; skipped")
-        median = exact_quantiles(df, [f.name], [0.5])[f.name]
-        if median is None:
-            return Rewrite(c)
-        whole = isinstance(f.dataType, T.IntegralType) and float(median[0]).is_integer()
-        return Rewrite(F.coalesce(c, F.lit(median[0]).cast(f.dataType if whole else "double")))
-    if how == "mode":
-        top = most_common(df, f.name)
-        if top is None:
-            return Rewrite(c, "no most-common value; skipped")
-        return Rewrite(F.coalesce(c, F.lit(top).cast(f.dataType)))
-    if how == "constant":
-        constant = fix.get("constant")
-        if is_numeric(f):
-            try:
-                number = float(constant)
-            except (TypeError, ValueError):
-                return Rewrite(c, f"{constant!r} is not a number; skipped")
-            whole = isinstance(f.dataType, T.IntegralType) and number.is_integer()
-            return Rewrite(F.coalesce(c, F.lit(number).cast(f.dataType if whole else "double")))
-        if is_text(f):
-            return Rewrite(F.coalesce(c, F.lit(constant)))
-        filled = F.lit(constant).try_cast(f.dataType)
-        if df.sparkSession.range(1).select(filled.isNull()).first()[0]:
-            return Rewrite(c, f"{constant!r} is no {f.dataType.simpleString()}; skipped")
-        return Rewrite(F.coalesce(c, filled))
-    return Rewrite(c, "no fill method given; skipped")
+    ways = FILLS.get(fix.get("fill"), [(_any, lambda *_: v.NOTES["no_fill"])])
+    filled = next(way for fits, way in ways if fits(f))(df, f, fix.get("constant"))
+    if isinstance(filled, Column):
+        return Rewrite(filled)
+    return Rewrite(named(f.name), filled or "")
 
 
 def most_common(df: DataFrame, column: str):
@@ -190,7 +211,7 @@ def drop_duplicate_rows(df: DataFrame, order_by: str | None = None) -> DataFrame
 
 def drop_column(df: DataFrame, column: str) -> DataFrame:
     if column not in df.columns:
-        raise FixError(f"column '{column}' not found")
+        raise FixError(v.NOTES["absent"].format(column))
     return df.drop(named(column))
 
 
@@ -223,10 +244,7 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
     All cell rewrites are chained into one projection and their change counts come
     from one aggregate over it, so the log costs one scan however many fixes run.
     """
-    spark = df.sparkSession
-    work = df  # the table, plus one tally column per count
-    tallies: dict[str, str] = {}
-    log: list[dict] = []
+    work, log = df, []  # the table, plus one tally column per count
     removal: dict | None = None
     before_removal: DataFrame | None = None
     for n, fix in run_order(fixes):
@@ -236,27 +254,15 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
             "unit": v.ACTION_UNITS.get(action, "values changed"), "note": "", "counts": {},
         }
         log.append(entry)
+        if action == "drop_duplicate_rows":  # of several the first one runs
+            if removal is None:
+                removal, before_removal = entry, work
+                work = drop_duplicate_rows(_plain(work), order_by)
+            continue
         try:
-            if action == "drop_duplicate_rows":
-                if removal is None:
-                    removal, before_removal = entry, work
-                    work = drop_duplicate_rows(_plain(work), order_by)
-            elif action == "drop_column":
-                work = drop_column(work, column)
-                entry["changed"] = 1
-            elif action == "no_action":
-                entry["note"] = "left as is"
-            elif action in HANDLERS:
-                rewrite = HANDLERS[action](work, fix)
-                entry["note"] = rewrite.note
-                work, entry["counts"] = _with_tallies(work, n, column, rewrite)
-                tallies.update({c: c for c in entry["counts"].values()})
-            else:
-                raise FixError(f"unknown action '{action}'")
-        except FixError as problem:
-            entry["note"] = f"SKIPPED: {problem}"
-        except AnalysisException as problem:
-            entry["note"] = f"SKIPPED: {str(problem).splitlines()[0]}"
+            work = STEPS.get(action, _rewritten)(work, fix, entry)
+        except (FixError, AnalysisException) as problem:
+            entry["note"] = v.NOTES["skipped"].format(str(problem).splitlines()[0])
     counted = before_removal if before_removal is not None else work
     totals = _totals(counted)
     for entry in log:
@@ -269,7 +275,30 @@ def apply_plan(df: DataFrame, fixes: list[dict], order_by: str | None = None) ->
         copies = duplicate_rows(_plain(before_removal), order_by).first()
         removal["changed"] = copies["affected"] if copies else 0
     rows = [(e["n"], e["action"], e["column"], int(e["changed"]), e["unit"], e["note"]) for e in log]
-    return _plain(work), spark.createDataFrame(sorted(rows), LOG_SCHEMA)
+    return _plain(work), df.sparkSession.createDataFrame(sorted(rows), LOG_SCHEMA)
+
+
+def _rewritten(work: DataFrame, fix: dict, entry: dict) -> DataFrame:
+    if entry["action"] not in HANDLERS:
+        raise FixError(v.NOTES["unknown"].format(entry["action"]))
+    rewrite = HANDLERS[entry["action"]](work, fix)
+    entry["note"] = rewrite.note
+    work, entry["counts"] = _with_tallies(work, entry["n"], entry["column"], rewrite)
+    return work
+
+
+def _without_column(work: DataFrame, fix: dict, entry: dict) -> DataFrame:
+    work, entry["changed"] = drop_column(work, entry["column"]), 1
+    return work
+
+
+def _left(work: DataFrame, fix: dict, entry: dict) -> DataFrame:
+    entry["note"] = v.NOTES["left"]
+    return work
+
+
+# actions that do not rewrite cells
+STEPS = {"drop_column": _without_column, "no_action": _left}
 
 
 _TALLY = "__tally_"
@@ -297,18 +326,7 @@ def _totals(counted: DataFrame) -> dict:
 
 
 def _count_note(sums: dict[str, int]) -> str:
-    # fixed values: message formats
-    parts = []
-    if sums.get("lost_numbers"):
-        parts.append(f"{sums['lost_numbers']} values could not be read as numbers and became empty")
-    if sums.get("guessed_dates"):
-        parts.append(
-            f"WARNING: {sums['guessed_dates']} dates were not in YYYY-MM-DD form "
-            "and were read as month/day/year; check they are right"
-        )
-    if sums.get("lost_dates"):
-        parts.append(f"{sums['lost_dates']} values were not valid dates and became empty")
-    return "; ".join(parts)
+    return "; ".join(note.format(sums[name]) for name, note in v.COUNT_NOTES.items() if sums.get(name))
 
 
 def tidy(df: DataFrame) -> DataFrame:

@@ -222,3 +222,25 @@ def test_accuracy_counts_empty_results_as_wrong(spark):
     j = retrieval.judged(expected, top, "id")
     assert tuple(retrieval.retrieval_accuracy(j).first()) == (3, 1, 33.333333)
     assert sorted(r["id"] for r in retrieval.retrieval_failures(j).collect()) == [2, 3]
+
+
+def test_search_by_codes(spark):
+    """Recall against all products, self excluded, small tables and blocks, odd dimensions."""
+    rng = np.random.default_rng(3)
+    for n, d, block in ((3000, 32, 700), (40, 7, 8192)):
+        x = rng.normal(size=(n, d))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "vec_id bigint, embedding array<double>")
+        asked = df.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+        got = retrieval.knn_quantised(asked, df, 5, depth=60, exclude_self=True, block=block).collect()
+        hits = {}
+        for r in got:
+            hits.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
+            assert abs(r["score"] - x[r["query_id"]] @ x[r["vec_id"]]) < 1e-8
+        found = 0
+        for i in range(0, n, 50):
+            scores = x @ x[i]
+            scores[i] = -np.inf
+            assert sorted(h for h, _ in hits[i]) == [1, 2, 3, 4, 5]
+            found += len(set(np.argsort(-scores)[:5]) & {v for _, v in hits[i]})
+        assert found >= 0.9 * 5 * len(range(0, n, 50))
