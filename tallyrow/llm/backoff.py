@@ -53,7 +53,7 @@ END = "\n"
 MIN_COUNT = 2
 DISCOUNT = 0.5
 #: Tokens of a block, and of a text's piece that is read at once.
-BLOCK, PIECE = 400_000, 256
+BLOCK, PIECE = 800_000, 256
 #: A context is settled in one place for each so many of its occurrences.
 SPLIT = 4_000_000
 #: Blocks of a bucket of their table, at most so many buckets.
@@ -139,6 +139,20 @@ def _undelta(raw: bytes, n: int) -> np.ndarray:
     return np.cumsum(_unpack(raw, n, 8), dtype=np.uint64).astype(np.int64)
 
 
+def _steps(values: np.ndarray, group: np.ndarray) -> bytes:
+    """Values that ascend inside each run of ``group``, by their differences there."""
+    same = np.zeros(len(values), bool)
+    same[1:] = group[1:] == group[:-1]
+    return _pack(np.where(same, values - np.roll(values, 1), values).astype(np.uint64), 4)
+
+
+def _from_steps(raw: bytes, group: np.ndarray) -> np.ndarray:
+    steps = _unpack(raw, len(group), 4).astype(np.int64)
+    total, new = np.cumsum(steps), np.ones(len(group), bool)
+    new[1:] = group[1:] != group[:-1]
+    return total - (total - steps)[new][np.cumsum(new) - 1] if len(group) else steps
+
+
 def _place(contexts: np.ndarray, part: np.ndarray, buckets: int) -> np.ndarray:
     mixed = _mix(contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64))
     return (mixed % np.uint64(buckets)).astype(np.int64)
@@ -166,43 +180,52 @@ class Grams:
     """The n-grams of a block that one round asks for: distinct (context, word), with the
     tokens that stand there, and the distinct contexts that something follows."""
 
-    def __init__(self, setting: Setting, contexts: np.ndarray, occurs: np.ndarray, at: np.ndarray, follow: np.ndarray, lower: np.ndarray, train: np.ndarray):
-        """Of each token: the context it opens (-1: none) and how often that occurs; for the
-        places ``at`` the following word (-1: none that can enter), how often the n-gram without
-        its first word occurs, and whether the text is learned from."""
-        self.contexts, first, where = np.unique(contexts[at], return_index=True, return_inverse=True)
-        parts = 1 + occurs[at][first] // setting.split
+    def __init__(self, setting: Setting, names: np.ndarray, contexts: np.ndarray, occurs: np.ndarray, at: np.ndarray, follow: np.ndarray, lower: np.ndarray, train: np.ndarray):
+        """Of each token: the context it opens, a place in ``names`` (-1: none), which ascend, and
+        how often that occurs; for the places ``at`` the following word (-1: none that can enter),
+        how often the n-gram without its first word occurs, and whether the text is learned from."""
+        used = np.zeros(len(names), bool)
+        used[contexts[at]] = True
+        self.contexts, where = names[used], (np.cumsum(used) - 1)[contexts[at]]
+        times = np.zeros(len(self.contexts), np.int64)
+        times[where] = occurs[at]
+        parts = 1 + times // setting.split
         asked = follow >= 0
         self.at = at[asked]
-        pair = np.stack([where[asked], follow[asked]])
-        order = np.lexsort(pair[::-1])
-        pair = pair[:, order]
-        new = np.ones(pair.shape[1], bool)
-        new[1:] = (pair[:, 1:] != pair[:, :-1]).any(axis=0)
-        self.which = np.empty(len(order), np.int64)
-        self.which[order] = np.cumsum(new) - 1
-        self.context, self.word = pair[0][new], pair[1][new]
-        self.lower = lower[asked][order][new]
-        self.counts = np.bincount(self.which, train[asked], minlength=len(self.word)).astype(np.int64)
+        keys, self.which = np.unique(where[asked] << _ID | follow[asked], return_inverse=True)
+        self.context, self.word = keys >> _ID, keys & ((1 << _ID) - 1)
+        self.lower = np.zeros(len(keys), np.int64)
+        self.lower[self.which] = lower[asked]
+        self.counts = np.bincount(self.which, train[asked], minlength=len(keys)).astype(np.int64)
         place = _place(self.contexts[self.context], self.word % parts[self.context], setting.buckets)
         #: n-grams by bucket; contexts by each bucket that settles some of them
         self.order = np.argsort(place, kind="stable")
         self.bounds = np.searchsorted(place[self.order], np.arange(setting.buckets + 1))
         every = np.repeat(np.arange(len(parts)), parts)
         part = np.arange(len(every)) - np.repeat(np.cumsum(parts) - parts, parts)
-        both = np.unique(_place(self.contexts[every], part, setting.buckets) * (len(parts) + 1) + every)
-        self.asked, own = both % (len(parts) + 1), both // (len(parts) + 1)
-        self.asked_bounds = np.searchsorted(own, np.arange(setting.buckets + 1))
+        width = len(parts) + 1
+        both = np.unique(_place(self.contexts[every], part, setting.buckets) * width + every)
+        # a bucket need not be told of a context that it gets n-grams of
+        told = np.unique(place * width + self.context)
+        extra = np.setdiff1d(both, told, assume_unique=True)
+        buckets = np.arange(setting.buckets + 1) * width
+        self.told, self.told_bounds = told % width, np.searchsorted(told, buckets)
+        self.extra, self.extra_bounds = extra % width, np.searchsorted(extra, buckets)
+
+    def _asked(self, bucket: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of one bucket: the n-grams, the contexts that come with them, and other contexts."""
+        cut = lambda values, bounds: values[bounds[bucket] : bounds[bucket + 1]]
+        return cut(self.order, self.bounds), cut(self.told, self.told_bounds), cut(self.extra, self.extra_bounds)
 
     def ask(self, block: int, level: int) -> list[dict]:
         out = []
         for bucket in range(len(self.bounds) - 1):
-            mine = self.order[self.bounds[bucket] : self.bounds[bucket + 1]]
-            asked = self.asked[self.asked_bounds[bucket] : self.asked_bounds[bucket + 1]]
-            if len(mine) or len(asked):
+            mine, _, extra = self._asked(bucket)
+            if len(mine) or len(extra):
+                contexts = self.contexts[self.context[mine]]
                 out.append(dict(
-                    bucket=bucket, block=block, level=level, n=len(mine), contexts=_delta(self.contexts[self.context[mine]]), words=_pack(self.word[mine].astype(np.uint64), 4),
-                    counts=_pack(self.counts[mine].astype(np.uint64), 4), lower=_pack(self.lower[mine].astype(np.uint64), 6), k=len(asked), asked=_delta(self.contexts[asked]),
+                    bucket=bucket, block=block, level=level, n=len(mine), contexts=_delta(contexts), words=_steps(self.word[mine], contexts),
+                    counts=_pack(self.counts[mine].astype(np.uint64), 4), lower=_pack(self.lower[mine].astype(np.uint64), 6), k=len(extra), asked=_delta(self.contexts[extra]),
                 ))
         return out
 
@@ -212,19 +235,19 @@ class Grams:
         self.total = np.zeros(len(self.word), np.int64)
         self.sums = np.zeros((len(self.contexts), 3), np.int64)
         for r in replies:
-            mine = self.order[self.bounds[r["bucket"]] : self.bounds[r["bucket"] + 1]]
+            mine, told, extra = self._asked(r["bucket"])
             entered = np.unpackbits(np.frombuffer(r["entered"], np.uint8), count=r["n"]).astype(bool)
             self.total[mine[entered]] = _unpack(r["counts"], int(entered.sum()), 6).astype(np.int64)
-            asked = self.asked[self.asked_bounds[r["bucket"]] : self.asked_bounds[r["bucket"] + 1]]
-            self.sums[asked] += _unpack(r["sums"], 3 * r["k"], 6).astype(np.int64).reshape(3, -1).T
+            self.sums[np.concatenate([told, extra])] += _unpack(r["sums"], 3 * r["k"], 6).astype(np.int64).reshape(3, -1).T
 
 
 def _settle(table: pa.Table, enough: int) -> pa.Table:
     """One bucket: which n-grams enter, and the sums of each context asked for."""
     rows = table.to_pylist()
     sizes = [r["n"] for r in rows]
-    contexts = np.concatenate([_undelta(r["contexts"], r["n"]) for r in rows])
-    words, counts, lower = (np.concatenate([_unpack(r[c], r["n"], w).astype(np.int64) for r in rows]) for c, w in (("words", 4), ("counts", 4), ("lower", 6)))
+    sent = [_undelta(r["contexts"], r["n"]) for r in rows]
+    contexts, words = np.concatenate(sent), np.concatenate([_from_steps(r["words"], c) for r, c in zip(rows, sent)])
+    counts, lower = (np.concatenate([_unpack(r[c], r["n"], w).astype(np.int64) for r in rows]) for c, w in (("counts", 4), ("lower", 6)))
     order = np.lexsort((words, contexts))
     c, w = contexts[order], words[order]
     new = np.ones(len(c), bool)
@@ -238,15 +261,15 @@ def _settle(table: pa.Table, enough: int) -> pa.Table:
     times = np.empty(len(c), np.int64)
     times[order] = np.where(enters, total, 0)[run]
     out, at = [], 0
-    for r, n in zip(rows, sizes):
+    for r, n, told in zip(rows, sizes, sent):
         mine, at = times[at : at + n], at + n
-        asked = _undelta(r["asked"], r["k"])
+        asked = np.concatenate([np.unique(told), _undelta(r["asked"], r["k"])])
         found = np.searchsorted(own, asked)
         there = np.minimum(found, max(len(own) - 1, 0))
         got = np.where(own[there] == asked, sums[:, there], 0) if len(own) else np.zeros((3, len(asked)), np.int64)
         out.append(dict(
             block=r["block"], level=r["level"], bucket=r["bucket"], n=n, entered=np.packbits(mine > 0).tobytes(),
-            counts=_pack(mine[mine > 0].astype(np.uint64), 6), k=r["k"], sums=_pack(got.reshape(-1).astype(np.uint64), 6),
+            counts=_pack(mine[mine > 0].astype(np.uint64), 6), k=len(asked), sums=_pack(got.reshape(-1).astype(np.uint64), 6),
         ))
     return pa.Table.from_pylist(out, _arrow(_REPLY))
 
@@ -269,25 +292,31 @@ class Reader:
         self.train = np.repeat(np.array(row["train"], bool), self.sizes).astype(np.int64)
         self.next = np.where(last, -1, np.roll(self.local, -1))  # the following token
         self.levels = {}
-        contexts = np.where(last, -1, self.id[self.local])
-        self.add(2, contexts, self.count[self.local], self.count[self.next], heard[2] if level > 2 else None)
+        # contexts of one word by id, of two words by the place of their pair
+        own = np.flatnonzero(self.id >= 0)
+        own = own[np.argsort(self.id[own])]
+        place = np.full(len(self.id), -1)
+        place[own] = np.arange(len(own))
+        contexts = np.where(last, -1, place[self.local])
+        self.add(2, self.id[own], contexts, self.count[self.local], self.count[self.next], heard[2] if level > 2 else None)
         if level > 2:
             two = self.levels[2]
-            entered = np.zeros(len(self.local), np.int64)
-            entered[two.at] = two.total[two.which]
+            pair, entered = np.full(len(self.local), -1), np.zeros(len(self.local), np.int64)
+            pair[two.at], entered[two.at] = two.which, two.total[two.which]
             # a pair that entered is a context unless it ends its text
-            pair = np.where((entered > 0) & ~np.roll(last, -1), (contexts << _ID) | np.where(self.next >= 0, self.id[self.next], 0), -1)
+            pair = np.where((entered > 0) & ~np.roll(last, -1), pair, -1)
             beyond = np.roll(self.next, -1)  # the token after the next
             shorter = np.roll(entered, -1)
-            self.add(3, pair, entered, shorter, heard[3] if level > 3 else None, beyond, shorter > 0)
+            names = two.contexts[two.context] << _ID | two.word
+            self.add(3, names, pair, entered, shorter, heard[3] if level > 3 else None, beyond, shorter > 0)
 
-    def add(self, level: int, contexts: np.ndarray, occurs: np.ndarray, lower: np.ndarray, replies: list[dict] | None, follow: np.ndarray | None = None, can: np.ndarray | None = None) -> None:
+    def add(self, level: int, names: np.ndarray, contexts: np.ndarray, occurs: np.ndarray, lower: np.ndarray, replies: list[dict] | None, follow: np.ndarray | None = None, can: np.ndarray | None = None) -> None:
         at = np.flatnonzero(contexts >= 0)
         follow = (self.next if follow is None else follow)[at]
         word = self.id[follow]
         if can is not None:
             word = np.where(can[at], word, -1)
-        grams = Grams(self.setting, contexts, occurs, at, word, lower[at], self.train[at])
+        grams = Grams(self.setting, names, contexts, occurs, at, word, lower[at], self.train[at])
         if replies is not None:
             grams.hear(replies)
         self.levels[level] = grams
