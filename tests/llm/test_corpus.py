@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from oracle import compare, connect
+from oracle import compare, connect, rows_of
 from pyspark.sql import functions as F
 
 from tallyrow.llm import backoff, common, decontaminate, exactdedup, linededup, mixing, quality, queries, sharding, simhash, tokenstore, urltree
@@ -169,7 +169,7 @@ def test_url_rules(spark):
 
 def test_url_tree_blocks_what_is_labelled_bad(spark):
     urls = [(i, f"http://h.net/{'spam' if i % 3 == 0 else 'news' if i % 3 == 1 else 'blog'}/x/{i}") for i in range(90)]
-    urls += [(900, None), (900, None), (901, "http://h.net"), (902, "http://other.net/" + "/".join("abcdefghijkl"))]
+    urls += [(900, None), (900, None), (901, "http://h.net"), (902, "http://other.net/" + "/".join("abcdefghijkl")), (903, "http://other.net/" + "x/" * 3000)]
     pages = spark.createDataFrame(urls, "page_id long, url string").withColumn("host", F.lit("z"))
     labels = spark.createDataFrame([(i, int(i % 3 != 0), None) for i in range(60)] + [(None, 0, 1), (0, 0, 0)], "doc_id long, quality int, toxic int")
     rows = urltree.judge(pages, labels).collect()
@@ -177,12 +177,36 @@ def test_url_tree_blocks_what_is_labelled_bad(spark):
     by = {r.page_id: r for r in rows}
     assert {by[i].template for i in range(0, 90, 3)} == {"/spam/~/~"}
     assert all((by[i].verdict == "block") == (i % 3 == 0) for i in range(90))
-    assert by[900].host == by[900].path == "" and by[902].template.count("/") == 9
+    assert by[900].host == by[900].path == "" and by[902].template == "/~" * 12 and by[903].template == "/~" * 3000
     kept = urltree.allowed(pages, labels)
     assert kept.columns == pages.columns and kept.count() == len(urls) - 30
     assert urltree.judge(pages.limit(0), labels.limit(0)).count() == 0
 
 
+def test_url_tree_small_bad_section(spark, tmp_path):
+    """A section of 3 % of a host's pages, all bad, is blocked, and nothing else; two bad sections
+    are one branch; ten segments, very long urls and the SQL agree."""
+    import duckdb
+
+    urls = [(i, f"http://h.net/{'casino' if i % 100 < 2 else 'poker' if i % 100 == 2 else f's{i % 60}'}/a{i % 3}/{i}") for i in range(4000)]
+    urls += [(5000 + i, f"http://deep.net/a/b/c/d/e/f/g/h/{'bad' if i % 4 == 0 else 'good'}/{5000 + i}") for i in range(120)]
+    urls += [(9001, "http://long.net/" + "y" * 100_000), (9002, "http://h.net//"), (9003, "")]
+    marks = [(i, int(i % 100 > 2), 0) for i in range(4000)] + [(5000 + i, int(i % 4 != 0), 0) for i in range(120)]
+    con = duckdb.connect()
+    for name, rows, schema in (("pages", urls, "page_id long, url string"), ("labels", marks, "doc_id long, quality int, toxic int")):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / name))
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path / name}/*.parquet'")
+    judged = urltree.judge(spark.read.parquet(str(tmp_path / "pages")), spark.read.parquet(str(tmp_path / "labels")))
+    got = judged.collect()
+    rows = {r.page_id: r for r in got}
+    assert all((rows[i].verdict == "block") == (i % 100 <= 2) for i in range(4000))
+    assert {rows[i].template.split("/")[1] for i in range(4000) if i % 100 <= 2} == {"~casino"}
+    assert all((rows[5000 + i].verdict == "block") == (i % 4 == 0) for i in range(120)) and rows[5000].template == "/~" * 8 + "/bad/~"
+    assert rows[9001].template == "/~"
+    theirs = con.execute(urltree.ORACLE)
+    assert rows_of(judged.columns, got) == rows_of([d[0] for d in theirs.description], theirs.fetchall())
+
+
 # 4
 
 
