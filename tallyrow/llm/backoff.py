@@ -56,6 +56,8 @@ DISCOUNT = 0.5
 BLOCK, PIECE = 800_000, 256
 #: A context is settled in one place for each so many of its occurrences.
 SPLIT = 4_000_000
+#: Blocks' worth of tokens that one place settles.
+SETTLED = 4
 #: Blocks of a bucket of their table, at most so many buckets.
 TOGETHER, BUCKETS = 2, 100_000
 _ID = 32
@@ -325,7 +327,8 @@ class Reader:
 
     def automaton(self):
         """Words: what each costs from no context and the state it leads to. For states of one
-        and two words: weight and target of the failure arc, and sorted arcs."""
+        and two words: weight and target of the failure arc. For the arcs from states of one and
+        of two words, in the order of the n-grams: cost (NaN: no arc) and target."""
         s, two, three = self.setting, self.levels[2], self.levels[3]
         with np.errstate(divide="ignore", invalid="ignore"):
             word_cost = np.where(self.count > 0, np.log10((self.count - s.discount) / max(s.tokens, 1)), math.log10(s.unknown()))
@@ -356,20 +359,23 @@ class Reader:
             known = (three.contexts[place] == pairs) if len(three.contexts) else np.zeros(len(pairs), bool)
             return np.where(known & (state2[place] > 0), state2[place], of_word[words]) if len(three.contexts) else of_word[words]
 
-        own2, own3 = np.flatnonzero(two.total > 0), np.flatnonzero(three.total > 0)
-        word2, word3 = two.word[own2], three.word[own3]
-        first2 = two.contexts[two.context[own2]]
-        cost2 = np.log10((two.total[own2] - DISCOUNT) / self.count[by_id[first2]])
-        cost3 = np.log10((three.total[own3] - DISCOUNT) / times[three.context[own3]])
-        keys = np.concatenate([state1[two.context[own2]] << _ID | word2, state2[three.context[own3]] << _ID | word3])
-        costs = np.concatenate([cost2, cost3])
-        goes = np.concatenate([target(first2 << _ID | word2, by_id[word2]), target(tail[three.context[own3]] << _ID | word3, by_id[word3])])
-        order = np.argsort(keys)
-        return word_cost, of_word, weights, fail, keys[order], costs[order], goes[order]
+        def arcs_of(grams: Grams, times: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            own = np.flatnonzero(grams.total > 0)
+            cost, goes = np.full(len(grams.total) + 1, np.nan), np.zeros(len(grams.total) + 1, np.int64)
+            cost[own] = np.log10((grams.total[own] - DISCOUNT) / times[grams.context[own]])
+            goes[own] = target(pairs[own], by_id[grams.word[own]])
+            return cost, goes
+
+        out1 = arcs_of(two, self.count[local1], key2)
+        out2 = arcs_of(three, times, tail[three.context] << _ID | three.word)
+        return word_cost, of_word, weights, fail, 1 + len(state1), out1, out2
 
     def read(self) -> np.ndarray:
         """Cost of every token, read from left to right, many pieces of texts side by side."""
-        word_cost, of_word, weights, fail, keys, costs, goes = self.automaton()
+        word_cost, of_word, weights, fail, two_from, (cost1, goes1), (cost2, goes2) = self.automaton()
+        # the n-gram that each token ends, by its place among the arcs; the last place is no arc
+        arc1, arc2 = (np.full(len(self.local) + 2, len(c) - 1) for c in (cost1, cost2))
+        arc1[self.levels[2].at + 1], arc2[self.levels[3].at + 2] = self.levels[2].which, self.levels[3].which
         starts = np.cumsum(self.sizes) - self.sizes
         pieces = -(-self.sizes // PIECE)
         begin = np.repeat(starts, pieces) + PIECE * (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces))
@@ -388,13 +394,14 @@ class Reader:
             open_ = np.arange(going)
             while len(open_):
                 own = open_[here[open_] > 0]
-                if len(keys) and len(own):
-                    key = here[own] << _ID | self.id[word[own]]
-                    place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                    hit = (keys[place] == key) & (self.id[word[own]] >= 0)
-                    spent[own[hit]] += costs[place[hit]]
-                    goal[own[hit]] = goes[place[hit]]
-                    own = own[~hit]
+                long_ = here[own] >= two_from
+                arc = np.where(long_, arc2[at[own]], arc1[at[own]])
+                cost = np.where(long_, cost2[np.where(long_, arc, 0)], cost1[np.where(long_, 0, arc)])
+                goes = np.where(long_, goes2[np.where(long_, arc, 0)], goes1[np.where(long_, 0, arc)])
+                hit = ~np.isnan(cost)
+                spent[own[hit]] += cost[hit]
+                goal[own[hit]] = goes[hit]
+                own = own[~hit]
                 done = open_[here[open_] == 0]
                 spent[done] += word_cost[word[done]]
                 goal[done] = of_word[word[done]]
@@ -463,7 +470,7 @@ def _model(docs: DataFrame, training: Column, doc_id: str, text: str, block: int
     about = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (6 * block)
     blocks = _in_buckets(rows.mapInArrow(lambda batches: _blocks(batches, block), _BLOCK), about)
     size = blocks.agg(F.sum("n_tokens")).first()[0] or 0
-    buckets = max(1, min(1 << 20, size // block))
+    buckets = max(1, min(1 << 20, size // (SETTLED * block)))
     asked = blocks.select("block", "n_words", "words", "counts").mapInArrow(lambda batches: _ask_words(batches, buckets), _ASK)
     told = staged(asked.groupBy("bucket").applyInArrow(lambda t: _settle_words(t, buckets), _REPLY), "words")
     facts = told.filter(F.col("level") == _FACTS).mapInArrow(_facts, "tokens long, types long, once long, twice long")
