@@ -139,6 +139,29 @@ def test_late_rows_come_back(spark, tmp_path):
     assert runs[0] == runs[1] == {(*r, False) for r in kept} | {(*r, True) for r in late}
 
 
+def test_late_state_is_held_in_groups_of_keys(spark, tmp_path):
+    """Many keys share a state entry and a timer, missing cells do not make whole numbers
+    inexact, and a group keeps those of its keys whose span is not over."""
+    from tallyrow.streaming import dedupe
+
+    big, keys, base = (1 << 60) + 1, 3000, str(tmp_path / "groups")
+    made = spark.range(keys).selectExpr("CASE WHEN id > 0 THEN id END AS k", f"CASE WHEN id % 3 > 0 THEN {big} + id END AS n", "timestamp_seconds(1700000000 + id * 60) AS at")
+    steps = [made, made.selectExpr("k", "n", "at + INTERVAL 1 MINUTE AS at").unionByName(made.limit(0))]
+    with dedupe.keyed_state(spark):
+        for step in steps:
+            step.repartition(3).write.mode("append").parquet(base + "/in")
+            told = dedupe.dedupe_with_late(dedupe.file_stream(spark, base + "/in", made.schema), "k", "at", "1000 minutes")
+            query = told.writeStream.format("parquet").option("checkpointLocation", base + "/cp").trigger(availableNow=True).start(base + "/out")
+            query.awaitTermination()
+    state = query.recentProgress[-1]["stateOperators"][0]["numRowsTotal"]
+    assert 0 < state <= 2 * dedupe.KEY_GROUPS
+    out = spark.read.parquet(base + "/out")
+    mark = keys - 1 - 1000  # minutes; the watermark of the second step
+    assert out.filter("NOT late").count() == keys  # a second event is a copy or late
+    assert out.filter("late").count() == mark - 1
+    assert out.filter(f"n IS NOT NULL AND n <> {big} + k").count() == 0 and out.filter("n IS NOT NULL").count() > keys / 2
+
+
 def test_split_is_exact_and_stable(spark):
     df = spark.range(1003).select("id", F.when(F.col("id") % 10 == 0, "rare").otherwise("hot").alias("label"))
     a = evaluation.stratified_split(df, "id", "label").persist()
