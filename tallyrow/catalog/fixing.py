@@ -9,6 +9,7 @@ from tallyrow.catalog.quality import POS, messy_table
 from tallyrow.catalog.registry import query
 from tallyrow.functions import vocabulary as v
 from tallyrow.operators import checks, fixes
+from tallyrow.operators.sizing import staged
 from tallyrow.session import scratch_path
 from tallyrow.sources import fixtures as fx, tables
 
@@ -99,7 +100,7 @@ def fix_parse_month_spellings(spark: SparkSession, sf: str) -> DataFrame:
 )
 def dq_invalid_date_spellings(spark: SparkSession, sf: str) -> DataFrame:
     """The scan finds the column of all spellings to hold dates, and only the impossible one wrong."""
-    spelled = _spelled(spark, sf).withColumnRenamed("spelled", "order_date")
+    spelled = staged(_spelled(spark, sf), "spelled").withColumnRenamed("spelled", "order_date")
     found = checks.scan(spelled.withColumnRenamed("o_orderkey", "pos"), "pos", ["invalid_dates"])
     return found.select("kind", "affected")
 
@@ -201,7 +202,7 @@ def cleaned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFra
     """(dirty orders, cleaned and tidied copy, log)."""
     messy = messy_table(spark, sf)
     done, log = fixes.apply_plan(messy, CLEANUP, POS)
-    return messy, fixes.tidy(done), log
+    return messy, fixes.tidy(staged(done, "cleaned")), log
 
 
 @query("fix_apply_plan", f"WITH {CLEANED} SELECT * FROM cleaned")
@@ -277,8 +278,9 @@ def rescanned(spark: SparkSession, sf: str) -> tuple:
     before = checks.scan(messy, POS)
     path = scratch_path(spark, "clean") + ".csv"
     dated = done.withColumn("order_date", F.date_format("order_date", "yyyy-MM-dd"))
-    tables.write_copy(dated, f"{sf}/orders.parquet", path)
-    saved = tables.load_table(spark, path)
+    # one CSV file is one task, so there are to be enough of them; the scan's passes read the file once
+    tables.write_copy(tables.spread(dated), f"{sf}/orders.parquet", path)
+    saved = staged(tables.load_table(spark, path), "saved")
     return messy, saved, log, before, checks.scan(saved, POS)
 
 
