@@ -149,6 +149,39 @@ def test_topk_equals_brute_force(spark, block):
         assert got.get(qid, []) == want
 
 
+def test_products_in_single_precision_lose_no_neighbour(monkeypatch):
+    """Neighbours that differ less than single precision tells apart, NaN, large and tiny vectors."""
+    monkeypatch.setattr(retrieval, "TILE", (5, 7))
+    monkeypatch.setattr(retrieval, "FIRST", 4)
+    rng = np.random.default_rng(5)
+    held = rng.normal(size=(60, 8))
+    held[20:50] = held[0] * (1 + 1e-8 * rng.normal(size=(30, 1)))
+    held[55], held[56, 2] = np.nan, np.inf
+    asked = np.concatenate([held[:20], np.full((1, 8), np.nan)])
+    for scale in (1.0, 1e3, 1e-9, 1e12):
+        x, y = held * scale, asked
+        scores = np.round(np.nan_to_num(y @ x.T, nan=-np.inf, posinf=-np.inf, neginf=-np.inf), 9)
+        q, i, s = retrieval._nearest_rows(np.arange(21), y, np.arange(60), x, 3, True)
+        for n in range(21):
+            ok = [m for m in range(60) if m != n and np.isfinite(scores[n, m])]
+            want = sorted((-scores[n, m] for m in ok))[:3]
+            assert np.allclose(-s[q == n], want, rtol=1e-12, atol=2e-9) and n not in i[q == n]
+
+
+def test_questions_are_encoded_once(spark):
+    """Counting a cell's questions encodes none of them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def encoder(texts):
+        seen.add(len(texts))
+        return np.ones((len(texts), 4))
+
+    c = spark.createDataFrame([(i, "x", "Go", "go", "présent", 1) for i in range(30)], "vec_id bigint, text string, verb string, verb_lower string, tense string, page int")
+    q = spark.createDataFrame([(i, "go now") for i in range(50)], "question_id bigint, question string")
+    _, hits = retrieval.retrieve(q, c, lambda df, key, text, prefix: encoding.encode_batches(df, key, encoder, text, prefix), 3)
+    assert hits.count() == 150 and seen.value == 80
+
+
 def test_topk_with_few_vectors(spark):
     q, c, *_ = vector_tables(spark, 60)
     assert retrieval.knn_topk(q.filter("query_id = 0"), c.limit(3), 5, filtered=False).count() == 3
