@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyrow.functions import vocabulary as v
 from tallyrow.functions.text import named
@@ -47,24 +47,16 @@ def term_counts(df: DataFrame, key: str, text: str = "text", stop_words: list[st
 
 
 def bags(df: DataFrame, key: str, text: str = "text", stop_words: list[str] | None = None) -> DataFrame:
-    """(key, bag): the terms of each key as one array of (term, tf), written once. No term is
-    exchanged: a row's sorted tokens are cut into runs. Only rows that share a key meet."""
+    """(key, bag): the terms of each key as one array of (term, tf), counted and written once.
+    Texts are dealt by key, so that no term is exchanged; only rows that share a key meet."""
     found = F.regexp_extract_all(F.lower(named(text)), F.lit(v.TERM), F.lit(0))
+    # rows without a term keep their key
+    dealt = df.select(named(key), named(text)).repartition(named(key)).select(named(key), F.explode_outer(found).alias("term"))
     if stop_words:
-        found = F.filter(found, lambda t: ~t.isin(stop_words))
-    # written before it is cut: an array that is not a stored column would be built anew for each element
-    tokens = staged(df.select(named(key), F.array_sort(F.coalesce(found, F.array().cast("array<string>"))).alias("tokens")), "tokens")
-    s, last = F.col("tokens"), F.size("tokens") - 1
-    places = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    firsts = F.filter(places, lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
-    lasts = F.filter(places, lambda i: (i == last) | (F.get(s, i) != F.get(s, i + 1)))
-    runs = F.arrays_zip(firsts.alias("a"), lasts.alias("b"))
-    bag = F.transform(runs, lambda x: F.struct(F.get(s, x["a"]).alias("term"), (x["b"] - x["a"] + 1).cast("bigint").alias("tf")))
-    held = tokens.select(named(key), bag.alias("bag"))
-    if not tokens.groupBy(named(key)).count().filter("count > 1").limit(1).count():
-        return held
-    merged = held.select(named(key), F.inline("bag")).groupBy(named(key), "term").agg(F.sum("tf").alias("tf"))
-    return staged(merged.groupBy(named(key)).agg(F.collect_list(F.struct("term", "tf")).alias("bag")), "bags")
+        dealt = dealt.withColumn("term", F.when(~F.col("term").isin(stop_words), F.col("term")))
+    counts = dealt.groupBy(named(key), "term").agg(F.count("term").alias("tf"))
+    entry = F.when(F.col("term").isNotNull(), F.struct("term", "tf"))
+    return staged(counts.groupBy(named(key)).agg(F.collect_list(entry).alias("bag")), "bags")
 
 
 def vocabulary(counts: DataFrame, n_docs: int, max_share: float = v.MAX_DOCUMENT_SHARE) -> DataFrame:
@@ -81,29 +73,37 @@ def dictionary(counts: DataFrame, n_docs: int, max_share: float = v.MAX_DOCUMENT
     return ordinals(vocabulary(counts, n_docs, max_share), "term", "index")
 
 
-def weighed(held: DataFrame, key: str, known: DataFrame, n_docs: int, name: str = "term", broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
-    """(key, vector): the bag of each key with at least one known term as an array of
-    (``name``, weight), tf * idf scaled to unit length. ``known`` has term, df, idf and ``name``.
+def _raw(held: DataFrame, key: str, known: DataFrame, n_docs: int, name: str, broadcast_terms: int) -> DataFrame:
+    """(key, ``name``, raw): tf * idf of the known terms of every bag.
 
-    Terms are exchanged once, in the arrays of their document. A vocabulary too large to be
-    sent whole is joined by term, except for the few terms found in a large share of the
-    documents: these would make skewed partitions and are joined by broadcast instead.
+    A vocabulary that can be sent whole meets bags that were dealt by key, so what follows by
+    key exchanges nothing more. A larger one is joined by term, except for the few terms found
+    in a large share of the documents: these would make skewed partitions and are joined by
+    broadcast instead.
     """
-    counts = held.select(named(key), F.inline("bag"))
-    extra = [] if name == "term" else [name]
+    known_terms = known.select("term", "idf", "df", F.col(name).alias("__name"))
     if known.count() <= broadcast_terms:
-        found = counts.join(F.broadcast(known.select("term", "idf", *extra)), "term")
+        dealt = held.repartition(named(key)).select(named(key), F.inline("bag"))
+        found = dealt.join(F.broadcast(known_terms.drop("df")), "term")
     else:
+        counts = held.select(named(key), F.inline("bag"))
         # the sum of df is the number of (document, term) pairs, so there are at most
         # HOT_TERM_SHARE * (terms per document) hot terms, whatever the corpus size
         hot_from = max(n_docs // HOT_TERM_SHARE, 1)
-        hot = known.filter(F.col("df") > hot_from).select("term", "idf", *extra)
-        cold = known.filter(F.col("df") <= hot_from).select("term", "idf", *extra)
+        hot, cold = known_terms.filter(F.col("df") > hot_from).drop("df"), known_terms.filter(F.col("df") <= hot_from).drop("df")
         found = counts.join(F.broadcast(hot), "term").unionByName(
             counts.join(F.broadcast(hot.select("term")), "term", "left_anti").join(cold, "term")
         )
-    raw = F.struct(F.col(name), (F.col("tf") * F.col("idf")).alias("raw"))
-    listed = found.groupBy(named(key)).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), 2))).alias("norm"), F.collect_list(raw).alias("raw"))
+    return found.select(named(key), F.col("__name").alias(name), (F.col("tf") * F.col("idf")).alias("raw"))
+
+
+def weighed(held: DataFrame, key: str, known: DataFrame, n_docs: int, name: str = "term", broadcast_terms: int = BROADCAST_TERMS) -> DataFrame:
+    """(key, vector): the bag of each key with at least one known term as an array of
+    (``name``, weight), tf * idf scaled to unit length. ``known`` has term, df, idf and ``name``.
+    """
+    found = _raw(held, key, known, n_docs, name, broadcast_terms)
+    raw = F.struct(F.col(name), F.col("raw"))
+    listed = found.groupBy(named(key)).agg(F.sqrt(F.sum(F.pow("raw", F.lit(2)))).alias("norm"), F.collect_list(raw).alias("raw"))
     vector = F.transform("raw", lambda x: F.struct(x[name].alias(name), (x["raw"] / F.col("norm")).alias("weight")))
     return listed.select(named(key), vector.alias("vector"))
 
@@ -126,4 +126,5 @@ def tfidf(
     held = bags(df, key, text, words)
     learned = held if fit_on is None else bags(fit_on, key, text, words)
     known = staged(vocabulary(learned.select(F.inline("bag")), n_docs, max_share), "vocabulary")
-    return weighed(held, key, known, n_docs, "term", broadcast_terms).select(named(key), F.inline("vector"))
+    norm = F.sqrt(F.sum(F.pow("raw", F.lit(2))).over(W.partitionBy(named(key))))
+    return _raw(held, key, known, n_docs, "term", broadcast_terms).select(named(key), "term", (F.col("raw") / norm).alias("weight"))

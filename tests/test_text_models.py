@@ -335,3 +335,17 @@ def test_fixture_counts(spark):
     p = postings.with_flags(fx.job_postings(spark, "/root/testdata/sf0.01"))
     contact = p.filter("flag_off_platform_contact").groupBy(F.col("job_id") % 19).count().collect()
     assert {(r[0], r[1]) for r in contact if r[0] in (0, 2)} == {(0, 53), (2, 53)}
+
+
+def test_bags_are_counted_once_and_dealt_by_key(spark):
+    """A bag is read as it was written, equal keys and rows without a term included, and weights
+    exchange the bags only once."""
+    df = spark.createDataFrame([(1, "aa bb aa"), (1, "bb the"), (2, "the"), (3, None), (4, "aa")], "id int, text string")
+    held = tfidf.bags(df, "id", stop_words=["the"])
+    assert {f.rsplit("/", 2)[1].split("-")[0] for f in held.inputFiles()} == {"bags"}
+    got = {r["id"]: sorted(map(tuple, r["bag"])) for r in held.collect()}
+    assert got == {1: [("aa", 2), ("bb", 2)], 2: [], 3: [], 4: [("aa", 1)]}
+    weights = tfidf.tfidf(df, "id", stop_words=["the"])
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert {(r["id"], r["term"]) for r in weights.collect()} == {(1, "aa"), (1, "bb"), (4, "aa")}
