@@ -5,7 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -21,6 +22,8 @@ from tallyrow.operators.sizing import staged
 BIAS = -1
 # documents of a part, one part being learned from in one task
 PART_ROWS = 8_192
+# entries whose places are looked up at once
+FOUND = 1 << 16
 # rounds, and passes over a part's documents in each
 ROUNDS, PASSES = 5, 4
 
@@ -98,14 +101,21 @@ class TextModel:
     n_docs: int
 
 
-def text_vectors(df: DataFrame, key: str, text: str, dictionary: DataFrame, n_docs: int) -> DataFrame:
+def text_bags(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The bags of a classifier's texts; its functions take them as ``held``, where several of
+    them read the same texts."""
+    return tfidf.bags(df, key, text, tfidf.STOP_WORDS)
+
+
+def text_vectors(df: DataFrame, key: str, text: str, dictionary: DataFrame, n_docs: int, held: DataFrame | None = None) -> DataFrame:
     """(key, vector): the TF-IDF vector as an array of (index, weight), of the rows with at
     least one term of the dictionary."""
-    return tfidf.weighed(tfidf.bags(df, key, text, tfidf.STOP_WORDS), key, dictionary, n_docs, "index")
+    return tfidf.weighed(text_bags(df, key, text) if held is None else held, key, dictionary, n_docs, "index")
 
 
 def fit_text_classifier(
-    train: DataFrame, key: str, text: str, label: str, positive: str, c: float = 1.0, rounds: int = ROUNDS, passes: int = PASSES, part_rows: int = PART_ROWS
+    train: DataFrame, key: str, text: str, label: str, positive: str, c: float = 1.0, rounds: int = ROUNDS, passes: int = PASSES, part_rows: int = PART_ROWS,
+    held: DataFrame | None = None,
 ) -> TextModel:
     """Passive-aggressive learner (hinge loss, step at most ``c``) on TF-IDF vectors.
 
@@ -117,13 +127,14 @@ def fit_text_classifier(
     """
     require_labels(train, label)
     n_docs = train.count()
-    held = tfidf.bags(train, key, text, tfidf.STOP_WORDS)
+    held = text_bags(train, key, text) if held is None else held
     terms = staged(tfidf.dictionary(held.select(F.inline("bag")), n_docs), "dictionary")
     vectors = tfidf.weighed(held, key, terms, n_docs, "index")
     side = F.when(named(label) == positive, 1.0).otherwise(-1.0)
     place = F.xxhash64(named(key).cast("string"))
     parts = max(1, -(-n_docs // part_rows))
-    labelled = vectors.join(train.select(named(key), side.alias("y")), key).select(
+    # in term order, so that sums are the same on each run
+    labelled = vectors.withColumn("vector", F.sort_array("vector")).join(train.select(named(key), side.alias("y")), key).select(
         F.pmod(place, F.lit(parts)).cast("int").alias("part"), place.alias("place"), "y",
         F.concat(F.col("vector.index"), F.array(F.lit(BIAS).cast("bigint"))).alias("index"), F.concat(F.col("vector.weight"), F.array(F.lit(1.0))).alias("value"),
     )
@@ -134,21 +145,29 @@ def fit_text_classifier(
     learn = _learner(c, passes)
     for _ in range(rounds):
         given = holds.join(weights, "index").groupBy("part")
-        learned = rows.groupBy("part").cogroup(given).applyInPandas(learn, "index bigint, weight double")
+        learned = rows.groupBy("part").cogroup(given).applyInArrow(learn, "index bigint, weight double")
         mean = learned.groupBy("index").agg(F.avg("weight").alias("weight"))
         weights = staged(names.join(mean, "index", "left").select("index", F.coalesce("weight", F.lit(0.0)).alias("weight")), "weights")
     return TextModel(terms, weights, n_docs)
 
 
 def _learner(c: float, passes: int):
-    def learn(docs: pd.DataFrame, given: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values("place", kind="stable")
-        own, where = np.unique(np.concatenate(docs["index"].to_numpy()), return_inverse=True)
-        values = np.concatenate(docs["value"].to_numpy())
-        stops = np.cumsum(docs["index"].map(len).to_numpy())
+    def learn(docs: pa.Table, given: pa.Table) -> pa.Table:
+        # the columns stay as they came, in their batches; an entry gets four bytes for its place
+        batches = [b for b in docs.to_batches() if b.num_rows]
+        own = pc.unique(pa.chunked_array([b.column("index").flatten() for b in batches])).to_numpy().copy()
+        own.sort()
         w = np.zeros(len(own))
-        w[np.searchsorted(own, given["index"].to_numpy())] = given["weight"].to_numpy()
-        lines = [(y, where[a:b], values[a:b]) for y, a, b in zip(docs["y"], np.r_[0, stops[:-1]], stops)]
+        w[np.searchsorted(own, given.column("index").to_numpy())] = given.column("weight").to_numpy()
+        lines = []
+        for batch in batches:
+            entries, values = (batch.column(name).flatten().to_numpy() for name in ("index", "value"))
+            where = np.empty(len(entries), np.int32)
+            for a in range(0, len(entries), FOUND):
+                where[a : a + FOUND] = np.searchsorted(own, entries[a : a + FOUND])
+            stops = np.cumsum(batch.column("index").value_lengths().to_numpy())
+            lines += [(y, where[a:b], values[a:b]) for y, a, b in zip(batch.column("y").to_numpy(), np.r_[0, stops[:-1]], stops)]
+        lines = [lines[i] for i in np.argsort(docs.column("place").to_numpy(), kind="stable")]
         for _ in range(passes):
             missed = 0
             for y, at, x in lines:
@@ -158,14 +177,14 @@ def _learner(c: float, passes: int):
                     w[at] += min(c, loss / (x @ x)) * y * x
             if not missed:
                 break
-        return pd.DataFrame({"index": own, "weight": w})
+        return pa.table({"index": own, "weight": w})
 
     return learn
 
 
-def text_margins(model: TextModel, df: DataFrame, key: str, text: str) -> DataFrame:
+def text_margins(model: TextModel, df: DataFrame, key: str, text: str, held: DataFrame | None = None) -> DataFrame:
     """(key, margin) of every row; one without a known term has the bias as margin."""
-    entries = text_vectors(df, key, text, model.dictionary, model.n_docs).select(named(key), F.inline("vector").alias("index", "value"))
+    entries = text_vectors(df, key, text, model.dictionary, model.n_docs, held).select(named(key), F.inline("vector").alias("index", "value"))
     bias = model.weights.filter(F.col("index") == BIAS).first()["weight"]
     # terms without weight add nothing, and the others are at most those of the training rows
     used = model.weights.filter((F.col("weight") != 0) & (F.col("index") != BIAS))
@@ -174,8 +193,8 @@ def text_margins(model: TextModel, df: DataFrame, key: str, text: str) -> DataFr
     return df.select(named(key)).join(sums, key, "left").select(named(key), (F.coalesce("margin", F.lit(0.0)) + F.lit(bias)).alias("margin"))
 
 
-def classify_text(model: TextModel, df: DataFrame, key: str, text: str, labels: tuple[str, str]) -> DataFrame:
+def classify_text(model: TextModel, df: DataFrame, key: str, text: str, labels: tuple[str, str], held: DataFrame | None = None) -> DataFrame:
     """``df`` with ``predicted``; labels are (negative, positive). ``key`` must be unique."""
     predicted = F.when(F.col("margin") > 0, labels[1]).otherwise(labels[0])
-    margins = text_margins(model, df, key, text).select(named(key).alias("__key"), predicted.alias("predicted"))
+    margins = text_margins(model, df, key, text, held).select(named(key).alias("__key"), predicted.alias("predicted"))
     return df.join(margins, named(key) == F.col("__key")).drop("__key")

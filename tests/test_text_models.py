@@ -349,3 +349,46 @@ def test_bags_are_counted_once_and_dealt_by_key(spark):
     plan = weights._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert {(r["id"], r["term"]) for r in weights.collect()} == {(1, "aa"), (1, "bb"), (4, "aa")}
+
+
+def test_a_part_is_learned_in_its_arrow_columns():
+    """The plain rule on the same documents, with less than 12 bytes of new arrays an entry."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    lists = [np.append(np.sort(rng.choice(3000, 400, replace=False)), models.BIAS) for _ in range(300)]
+    values, y = [rng.random(401) / 20 for _ in lists], np.where(rng.random(300) < 0.5, 1.0, -1.0)
+    place = rng.permutation(300)
+    docs = pa.table({"place": place, "y": y, "index": pa.array(lists, pa.list_(pa.int64())), "value": pa.array(values, pa.list_(pa.float64()))})
+    given = pa.table({"index": np.arange(10, 20), "weight": np.full(10, 0.25)})
+    tracemalloc.start()
+    got = models._learner(1.0, 2)(docs, given)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * 300 * 401
+    w = np.zeros(3001)
+    w[10:20] = 0.25
+    for _ in range(2):
+        for n in np.argsort(place):
+            loss = 1.0 - y[n] * (w[lists[n]] @ values[n])
+            if loss > 0:
+                w[lists[n]] += min(1.0, loss / (values[n] @ values[n])) * y[n] * values[n]
+    index, weight = got.column("index").to_numpy(), got.column("weight").to_numpy()
+    assert index[0] == models.BIAS and set(index) == set(np.concatenate(lists))
+    assert np.allclose(weight, w[index])
+
+
+def test_the_classifiers_facts_make_each_bag_once(spark, sf):
+    """Two fits, the margins and two predictions read the bags of two sets of news."""
+    from pathlib import Path
+
+    from tallyrow.catalog import queries
+    from tallyrow.session import scratch_root
+
+    root = Path(scratch_root(spark))
+    before = set(root.iterdir()) if root.exists() else set()
+    queries()["linear_text_classifier_facts"](spark, sf).collect()
+    made = [p.name.split("-")[0] for p in set(root.iterdir()) - before]
+    assert made.count("bags") == 2 and made.count("news") == 1
