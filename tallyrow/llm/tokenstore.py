@@ -58,6 +58,11 @@ SHARD_ARROW = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "binary": p
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
 
+def _size(words: dict[str, bytes]) -> int:
+    """Bytes of kept words."""
+    return sum(map(len, words)) + sum(map(len, words.values())) + ENTRY_BYTES * len(words)
+
+
 class WordEncoder:
     """Ids of texts under a tokenizer that drops white space and never joins what lies on its
     two sides. Ids are kept by word, so a word is encoded once and then taken by number. Words of plain letters and
@@ -99,16 +104,24 @@ class WordEncoder:
         return {p: raw[a:b] for p, a, b in zip(pieces, bounds, bounds[1:])}
 
     def _learn(self, words: list[str]) -> dict[str, bytes]:
-        plain, other, found = {}, [], {}
+        letters_only, plain, other, found = {}, {}, [], {}
         for word in words:
+            if self.bulk and word.isascii() and word.isalpha():
+                letters_only[word] = word.lower()
+                continue
             match = _PLAIN.fullmatch(word) if self.bulk else None
             if match:
                 plain[word] = match[1].lower(), match[2]
             else:
                 other.append(word)
-        if plain:
-            ids = self._encode_pieces([p for p in {p for pair in plain.values() for p in pair} if p])
+        if plain or letters_only:
+            pieces = set(letters_only.values())
+            for pair in plain.values():
+                pieces.update(pair)
+            pieces.discard("")
+            ids = self._encode_pieces(list(pieces)) if pieces else {}
             ids[""] = b""
+            found = {word: ids[letters] for word, letters in letters_only.items()}
             for word, (letters, signs) in plain.items():
                 found[word] = ids[letters] + ids[signs]
         if other:
@@ -120,12 +133,16 @@ class WordEncoder:
         split = pc.ascii_split_whitespace(texts)
         words = split.flatten().dictionary_encode()
         distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
-        known = self.words
-        new = self._learn([w for w in distinct if w not in known])
-        ids = [known[w] if w in known else new[w] for w in distinct]
-        size = sum(len(w) + len(b) + ENTRY_BYTES for w, b in new.items())
+        ids = list(map(self.words.get, distinct))
+        new = self._learn([w for w, i in zip(distinct, ids) if i is None])
+        size = _size(new)
         if self.held + size > CACHE_BYTES:
+            # words met again stay, so that the frequent ones are not encoded in each block
+            again = {w: i for w, i in zip(distinct, ids) if i is not None}
             self.forget()
+            if _size(again) + size <= CACHE_BYTES:
+                self.words, self.held = again, _size(again)
+        ids = [new[w] if i is None else i for w, i in zip(distinct, ids)]
         if size <= CACHE_BYTES:
             self.words.update(new)
             self.held += size

@@ -44,3 +44,19 @@ def test_kept_words_are_bounded(monkeypatch):
     assert 0 < largest <= tokenstore.CACHE_BYTES and enc.held <= tokenstore.CACHE_BYTES
     enc.forget()
     assert not enc.words
+
+
+def test_words_met_again_stay_when_the_cache_is_full(monkeypatch):
+    """A frequent word is encoded once, however often words met once fill the cache."""
+    import public_tokenizers
+
+    monkeypatch.setattr(tokenstore, "CACHE_BYTES", 100_000)
+    monkeypatch.setattr(tokenstore, "BLOCK_BYTES", 3_000)
+    enc = tokenstore.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    learned, plain = [], enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda words: learned.extend(words) or plain(words))
+    texts = ["the frequent Words, été " + " ".join(f"w{i}x{k}" for k in range(200)) for i in range(20)]
+    for text, ids in zip(texts, enc.encode(pa.array(texts))):
+        assert np.frombuffer(ids, enc.dtype).tolist() == enc.full.encode(text, add_special_tokens=False).ids
+    assert learned.count("w0x0") == learned.count("w19x7") == 1
+    assert [learned.count(w) for w in ("the", "frequent", "Words,", "été")] == [1, 1, 1, 1]
