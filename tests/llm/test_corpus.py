@@ -630,6 +630,14 @@ def test_kept_ngrams_grow_with_the_text(spark):
     assert kept[1] > 3 * kept[0]
 
 
+def test_replies_are_dealt_to_their_blocks_once(messy):
+    """Blocks, words and pairs lie in buckets by block, so the last round exchanges its own replies only."""
+    blocks, replies, _ = backoff._model(messy, F.lit(True), "doc_id", "text", 150, 2, None, backoff.SPLIT)
+    plan = backoff._round(blocks, replies, lambda row, heard: None, "block long")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Bucketed: true") >= 3
+    assert plan.count("hashpartitioning(block") == 1 and "REPARTITION_BY_NUM" in plan
+
+
 def test_model_beats_the_base_on_held_out_text(documents):
     rows = [r for r in backoff.held_out_scores(documents).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
