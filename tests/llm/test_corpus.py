@@ -630,6 +630,22 @@ def test_kept_ngrams_grow_with_the_text(spark):
     assert kept[1] > 3 * kept[0]
 
 
+def test_counts_of_frequent_words_are_not_sent_with_pairs(frame, monkeypatch):
+    """The same scores, whichever words are frequent; a pair with a frequent word costs no count."""
+    rng = np.random.default_rng(6)
+    small = frame([(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 40), "a") for i in range(60)])
+    expected, _, _ = slow_scores(as_list(small), backoff.MIN_COUNT / 1e9)
+    expected, _, _ = slow_scores(as_list(small), backoff.MIN_COUNT / expected[0][4])
+    for often in (1, 30, 1 << 16):
+        monkeypatch.setattr(backoff, "OFTEN", often)
+        setting = backoff._model(small, F.lit(True), "doc_id", "text", 150, 2, None, 50)[2]
+        assert len(setting.frequent) == len(setting.times) <= often and (often == 1 or len(setting.frequent))
+        got = backoff.held_out_scores(small, block=150).collect()
+        assert sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got), key=repr) == sorted(expected, key=repr)
+    sums = np.array([[1, 3, 1 << 20], [2, 900, 1 << 22], [2, 1 << 33, 1 << 40]])
+    assert (backoff._unpack_sums(backoff._pack_sums(sums, 2), 3, 2) == sums).all()
+
+
 def test_replies_are_dealt_to_their_blocks_once(messy):
     """Blocks, words and pairs lie in buckets by block, so the last round exchanges its own replies only."""
     blocks, replies, _ = backoff._model(messy, F.lit(True), "doc_id", "text", 150, 2, None, backoff.SPLIT)
