@@ -654,6 +654,34 @@ def test_replies_are_dealt_to_their_blocks_once(messy):
     assert plan.count("hashpartitioning(block") == 1 and "REPARTITION_BY_NUM" in plan
 
 
+def test_sums_that_a_block_has_are_not_sent(frame, monkeypatch):
+    """One block has all arcs of its contexts, so nothing is added to them; with many blocks, and
+    no frequent words, some of a context's arcs lie elsewhere. The scores are the same."""
+    monkeypatch.setattr(backoff, "OFTEN", 1)
+    rng = np.random.default_rng(7)
+    small = frame([(i, " ".join(f"w{x}" for x in rng.zipf(1.5, 30) % 40), "a") for i in range(60)])
+    expected, _, _ = slow_scores(as_list(small), backoff.MIN_COUNT / 1e9)
+    expected, _, _ = slow_scores(as_list(small), backoff.MIN_COUNT / expected[0][4])
+    for block in (backoff.BLOCK, 150):
+        replies = backoff._model(small.repartition(1), F.lit(True), "doc_id", "text", block, 2, None, 50)[1]
+        added = {n: any(any(r.linked) for r in replies.filter(F.col("level") == n).collect()) for n in (2, 3)}
+        assert added == {n: block == 150 for n in (2, 3)}
+        got = backoff.held_out_scores(small, block=block, split=50).collect()
+        assert sorted(((*tuple(r)[:5], round(r.base_score, 6), round(r.score, 6)) for r in got), key=repr) == sorted(expected, key=repr)
+
+
+def test_hashes_of_words_do_not_stay(spark, messy):
+    before = spark.conf.get(backoff.RELEASE, None)
+    blocks, replies, setting = backoff._model(messy, F.lit(True), "doc_id", "text", 150, 2, None, backoff.SPLIT)
+    folder = blocks.inputFiles()[0].rsplit("/kind=", 1)[0]
+    assert "words" not in blocks.columns and blocks.count()
+    assert spark.read.parquet(f"{folder}/kind={backoff._HASHES}").count() == 0
+    assert spark.conf.get(backoff.RELEASE, None) == before
+    assert len(setting.frequent) == len(setting.sums) and setting.sums.any()
+    values = np.array([0, -1, 1, -(1 << 40), 1 << 40])
+    assert (backoff._unsigned(backoff._signed(values)) == values).all() and (backoff._signed(values) >= 0).all()
+
+
 def test_model_beats_the_base_on_held_out_text(documents):
     rows = [r for r in backoff.held_out_scores(documents).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
